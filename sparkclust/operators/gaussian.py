@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .kmeans import assign_nearest, first_k_seeds, kmeanspp_init, total_shift
-from .moments import batch_matrix, fan_in_for, salt_of_task, sum_vectors
+from .moments import batch_matrix, fan_in_for, salt_of_task, spread, sum_vectors
 from .stats import feature_dim
 
 LOG_2PI = math.log(2.0 * math.pi)
@@ -333,7 +333,7 @@ def em_fit(
     """
     data = df.select(id_col, col)
     if persist:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = init if isinstance(init, GaussianMixtureModel) else em_init(data, k, init, seed, power, init_cov, col, id_col)
         shift = old_shift = old_old_shift = float("inf")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vector import argmin, dist_to, dists_to
 from .sampling import uniform_pick, weighted_pick
+from .moments import spread
 from .stats import feature_dim
 
 
@@ -154,7 +155,7 @@ def kmeans_fit(
         raise ValueError("k must be >= 1")
     data = df.select(id_col, col)
     if persist:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         dim = feature_dim(data, col)
         seed_ids: list = []

@@ -29,6 +29,17 @@ def num_partitions(df: DataFrame) -> int:
         return 8
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition when the input has fewer partitions than task slots.
+
+    Only matters for inputs stored as a few large files (one Parquet row group
+    is one scan task); at cluster scale inputs already have far more
+    partitions than slots and this is a no-op.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if num_partitions(df) < slots else df
+
+
 def fan_in_for(df: DataFrame) -> int:
     return max(1, int(math.ceil(math.sqrt(num_partitions(df)))))
 
@@ -105,8 +116,9 @@ def gram_partials_fn(dim: int, center: Sequence[float] | None, col: str, fan_in:
 
 def gram(df: DataFrame, dim: int, col: str = "features", center: Sequence[float] | None = None):
     """``(n, sum, G)`` with ``G = sum (x-c)(x-c)^T`` over all rows, computed on executors."""
+    df = spread(df.select(col))
     fan = fan_in_for(df)
-    parts = df.select(col).mapInArrow(gram_partials_fn(dim, center, col, fan), "salt int, v array<double>")
+    parts = df.mapInArrow(gram_partials_fn(dim, center, col, fan), "salt int, v array<double>")
     row = sum_vectors(parts, "v").first()
     if row is None or row["v"] is None:
         raise ValueError("empty input")
