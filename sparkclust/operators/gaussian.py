@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .kmeans import assign_nearest, first_k_seeds, kmeanspp_init, total_shift
-from .moments import batch_matrix, fan_in_for, salt_of_task, spread, sum_vectors
+from .moments import batch_matrix, fan_in_for, needs_two_levels, salt_of_task, spread, sum_vectors
 from .stats import feature_dim
 
 LOG_2PI = math.log(2.0 * math.pi)
@@ -222,7 +222,8 @@ def _run_pass(df: DataFrame, dim: int, k: int, col: str, centers, factors=None,
     fan = fan_in_for(df)
     fn = _pass_fn(dim, k, col, fan, np.asarray(centers, dtype=np.float64), factors, mode, seeds)
     parts = df.select(col).mapInArrow(fn, "k int, salt int, v array<double>")
-    rows = {r["k"]: np.asarray(r["v"], dtype=np.float64) for r in sum_vectors(parts, "v", keys=["k"]).collect()}
+    summed = sum_vectors(parts, "v", keys=["k"], two_level=needs_two_levels(df))
+    rows = {r["k"]: np.asarray(r["v"], dtype=np.float64) for r in summed.collect()}
     iu = np.triu_indices(dim)
     nk = np.zeros(k)
     sx = np.zeros((k, dim))

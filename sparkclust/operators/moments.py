@@ -11,12 +11,11 @@ reaches the driver.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,31 +33,47 @@ def spread(df: DataFrame) -> DataFrame:
 
     Only matters for inputs stored as a few large files (one Parquet row group
     is one scan task); at cluster scale inputs already have far more
-    partitions than slots and this is a no-op.
+    partitions than slots and this is a no-op.  Call it on scan-level frames:
+    the partition count of a plan with an exchange is only known after the
+    exchange has run.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(slots) if num_partitions(df) < slots else df
 
 
+# First-level groups of the tree reduction.  With P input partitions each
+# group receives about P / FAN_IN partial vectors and the final level FAN_IN;
+# balanced for P up to about a million partitions, harmless for small P.
+FAN_IN = 1024
+
+
 def fan_in_for(df: DataFrame) -> int:
-    return max(1, int(math.ceil(math.sqrt(num_partitions(df)))))
+    """Fan-in of the first reduction level (constant: no partition lookup, which
+    under AQE would execute any exchange in ``df``'s plan)."""
+    return FAN_IN
 
 
-def sum_vectors(parts: DataFrame, vec_col: str, keys: Sequence[str] = (), salt_col: str = "salt") -> DataFrame:
+def sum_vectors(parts: DataFrame, vec_col: str, keys: Sequence[str] = (), salt_col: str = "salt",
+                two_level: bool = True) -> DataFrame:
     """Element-wise sum of ``ARRAY<DOUBLE>`` column ``vec_col`` per ``keys``.
 
     ``parts`` must carry a ``salt_col`` (small integer) used for the first
-    reduction level.  Returns ``keys + [vec_col]`` with ``vec_col`` an array.
+    reduction level; ``two_level=False`` (inputs with at most ``FAN_IN``
+    partitions) sums in one level.  Returns ``keys + [vec_col]`` as an array.
     """
     keys = list(keys)
     v = parts.select(*keys, salt_col, array_to_vector(F.col(vec_col)).alias("_v"))
-    lvl1 = v.groupBy(*keys, salt_col).agg(Summarizer.sum(F.col("_v")).alias("_v"))
-    lvl2 = lvl1.groupBy(*keys).agg(Summarizer.sum(F.col("_v")).alias("_v")) if keys else lvl1.agg(
+    if two_level:
+        v = v.groupBy(*keys, salt_col).agg(Summarizer.sum(F.col("_v")).alias("_v"))
+    total = v.groupBy(*keys).agg(Summarizer.sum(F.col("_v")).alias("_v")) if keys else v.agg(
         Summarizer.sum(F.col("_v")).alias("_v")
     )
-    from pyspark.ml.functions import vector_to_array
+    return total.select(*keys, vector_to_array(F.col("_v")).alias(vec_col))
+
 
-    return lvl2.select(*keys, vector_to_array(F.col("_v")).alias(vec_col))
+def needs_two_levels(df: DataFrame) -> bool:
+    """True when the (scan-level) input has more partitions than ``FAN_IN``."""
+    return num_partitions(df) > FAN_IN
 
 
 def batch_matrix(batch: pa.RecordBatch, col: str, dim: int) -> np.ndarray:
@@ -116,10 +131,10 @@ def gram_partials_fn(dim: int, center: Sequence[float] | None, col: str, fan_in:
 
 def gram(df: DataFrame, dim: int, col: str = "features", center: Sequence[float] | None = None):
     """``(n, sum, G)`` with ``G = sum (x-c)(x-c)^T`` over all rows, computed on executors."""
-    df = spread(df.select(col))
+    df = df.select(col)
     fan = fan_in_for(df)
     parts = df.mapInArrow(gram_partials_fn(dim, center, col, fan), "salt int, v array<double>")
-    row = sum_vectors(parts, "v").first()
+    row = sum_vectors(parts, "v", two_level=needs_two_levels(df)).first()
     if row is None or row["v"] is None:
         raise ValueError("empty input")
     vec = np.asarray(row["v"], dtype=np.float64)
