@@ -9,6 +9,7 @@ bounded by the model, not by the data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -27,13 +28,25 @@ def as_double_array(c: Column | str) -> Column:
     return col_of(c).cast("array<double>")
 
 
+def _dsql(v: float) -> str:
+    """SQL text of a double that parses back to exactly the same value."""
+    v = float(v)
+    if math.isfinite(v):
+        return repr(v) + "D"
+    return "CAST('NaN' AS DOUBLE)" if math.isnan(v) else ("CAST('Infinity' AS DOUBLE)" if v > 0 else "CAST('-Infinity' AS DOUBLE)")
+
+
+def vec_lit_sql(values: Sequence[float]) -> str:
+    return "array(" + ", ".join(_dsql(v) for v in values) + ")"
+
+
 def vec_lit(values: Sequence[float]) -> Column:
-    """A single array literal (one Catalyst node regardless of length)."""
-    return F.lit([float(v) for v in values]).cast("array<double>")
+    """An array literal, parsed by Spark in one call (constant-folded to one node)."""
+    return F.expr(vec_lit_sql(values))
 
 
 def mat_lit(rows: Sequence[Sequence[float]]) -> Column:
-    return F.lit([[float(v) for v in r] for r in rows]).cast("array<array<double>>")
+    return F.expr("array(" + ", ".join(vec_lit_sql(r) for r in rows) + ")")
 
 
 def nan_to_null(x: Column) -> Column:

@@ -19,6 +19,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,11 +85,14 @@ def kmeanspp_init(
 
 
 def cluster_means_frame(assigned: DataFrame, dim: int, col: str = "features", cluster_col: str = "cluster") -> DataFrame:
-    """``(cluster, n, mean ARRAY<DOUBLE>)`` — one aggregation with map-side combine."""
-    f = F.col(col)
+    """``(cluster, n, mean ARRAY<DOUBLE>)`` — one aggregation with map-side combine.
+
+    The vector mean is ``Summarizer.mean`` (one JVM aggregate over the whole
+    vector) rather than D separate ``avg`` expressions.
+    """
     return assigned.groupBy(cluster_col).agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),
-        F.array(*[F.avg(f[i]) for i in range(dim)]).alias("mean"),
+        vector_to_array(Summarizer.mean(array_to_vector(F.col(col)))).alias("mean"),
     )
 
 

@@ -31,7 +31,7 @@ from .inputs import (
     sig9,
     table,
 )
-from .workflows import evaluate_kmeans, prepare
+from .workflows import evaluate_em, evaluate_kmeans, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 E_DIM = 64
@@ -403,6 +403,20 @@ def q_em_full(spark, d):
     return gaussian.em_predict(e, m).select(F.col("id").alias("vec_id"), "cluster")
 
 
+def q_kmeans_fit(spark, d):
+    """Full Lloyd fit with the stop rule; the per-iteration shift history (M2, M9)."""
+    m = kmeans.kmeans_fit(load_E(spark, d), 3, "k-means++", SEED)
+    return m.history_frame(spark).select(F.col("iteration").cast("bigint"), rnd(F.col("total_shift")).alias("total_shift"))
+
+
+def q_em_history(spark, d):
+    """Full EM fit with the stop rule; iteration, shift and log-likelihood (M5, M6, M9)."""
+    m = gaussian.em_fit(load_E2(spark, d), 2, "k-means++", SEED)
+    return m.history_frame(spark).select(
+        F.col("iteration").cast("bigint"), *[rnd(F.col(c)).alias(c) for c in ("total_shift", "log_likelihood", "ll_change")]
+    )
+
+
 # --- composites ------------------------------------------------------------------------
 
 
@@ -410,6 +424,10 @@ def q_evaluate_k(spark, d):
     return evaluate_kmeans(load_E(spark, d), ks=(2, 3), steps=3, frac=TEST_FRAC, seed=SEED)
 
 
+def q_evaluate_em(spark, d):
+    return evaluate_em(load_E2(spark, d), ks=(2, 3), frac=TEST_FRAC, seed=SEED)
+
+
 def q_prepare(spark, d):
     p = prepare(load_E(spark, d), k=40, frac=TEST_FRAC, seed=SEED)
     norm = F.sqrt(F.aggregate(F.col("features"), F.lit(0.0), lambda a, x: a + x * x))
@@ -488,7 +506,10 @@ QUERIES: dict[str, Query] = {
     "em_2iter": q_em_2iter,
     "em_predict": q_em_predict,
     "em_full": q_em_full,
+    "kmeans_fit": q_kmeans_fit,
+    "em_history": q_em_history,
     "evaluate_k": q_evaluate_k,
+    "evaluate_em": q_evaluate_em,
     "prepare": q_prepare,
     "lineitem_kmeans": q_lineitem_kmeans,
     "lineitem_em": q_lineitem_em,

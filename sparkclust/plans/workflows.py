@@ -81,6 +81,9 @@ def evaluate_em(df: DataFrame, ks=(2, 3), frac: float = 0.235, seed: int = 42, r
             m = evaluate.classification_metrics(a).first()
             sil = evaluate.silhouette(a).first()
             rows.append((k, name, *[int(m[c]) for c in COUNT_COLS], *[m[c] for c in METRIC_COLS],
-                         sil["silhouette"], float(model.iterations)))
+                         sil["silhouette"], float(model.iterations), sil["n_clusters"]))
     s.unpersist()
-    return _rows_to_frame(df.sparkSession, rows, ["silhouette", "iterations"])
+    out = _rows_to_frame(df.sparkSession, [r[:-1] for r in rows], ["silhouette", "iterations"])
+    # A single predicted cluster means EM failed to separate the data (Silhouette undefined)
+    status = F.when(F.col("silhouette").isNull(), F.lit("failed")).otherwise(F.lit("ok"))
+    return out.withColumn("status", status)
