@@ -50,11 +50,13 @@ class ColumnStats:
 
 
 def _stat_exprs(dim: int, col: str):
-    f = F.col(col)
-    mean = F.array(*[F.avg(nan_to_null(f[i])) for i in range(dim)]).alias("mean")
-    std = F.array(*[F.stddev_pop(nan_to_null(f[i])) for i in range(dim)]).alias("std")
-    cnt = F.array(*[F.count(nan_to_null(f[i])) for i in range(dim)]).alias("cnt")
-    return mean, std, cnt
+    """D-wide aggregate arrays, sent as one SQL expression each (one parse, no per-column calls)."""
+
+    def arr(fn: str) -> F.Column:
+        cells = [f"{fn}(IF(isnan(`{col}`[{i}]), NULL, `{col}`[{i}]))" for i in range(dim)]
+        return F.expr("array(" + ", ".join(cells) + ")")
+
+    return arr("avg").alias("mean"), arr("stddev_pop").alias("std"), arr("count").alias("cnt")
 
 
 def column_stats_frame(df: DataFrame, dim: int, col: str = "features") -> DataFrame:
