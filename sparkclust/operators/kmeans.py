@@ -30,6 +30,10 @@ from .moments import spread
 from .stats import feature_dim
 
 
+# Up to this width, per-coordinate aggregates are cheaper than a vector aggregate
+SMALL_DIM = 16
+
+
 def assign_nearest(df: DataFrame, centroids, col: str = "features", out: str = "cluster") -> DataFrame:
     """Add ``out`` = index of the nearest centroid (Euclidean; ties -> lowest index)."""
     return df.withColumn(out, argmin(dists_to(col, [list(map(float, c)) for c in centroids])))
@@ -87,13 +91,15 @@ def kmeanspp_init(
 def cluster_means_frame(assigned: DataFrame, dim: int, col: str = "features", cluster_col: str = "cluster") -> DataFrame:
     """``(cluster, n, mean ARRAY<DOUBLE>)`` — one aggregation with map-side combine.
 
-    The vector mean is ``Summarizer.mean`` (one JVM aggregate over the whole
-    vector) rather than D separate ``avg`` expressions.
+    Narrow vectors use D plain ``avg`` aggregates (code-generated); wide ones
+    one ``Summarizer.mean`` over the whole vector, which keeps the aggregate
+    a single expression.
     """
-    return assigned.groupBy(cluster_col).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n"),
-        vector_to_array(Summarizer.mean(array_to_vector(F.col(col)))).alias("mean"),
-    )
+    if dim <= SMALL_DIM:
+        mean = F.expr("array(" + ", ".join(f"avg(`{col}`[{i}])" for i in range(dim)) + ")")
+    else:
+        mean = vector_to_array(Summarizer.mean(array_to_vector(F.col(col))))
+    return assigned.groupBy(cluster_col).agg(F.count(F.lit(1)).cast("bigint").alias("n"), mean.alias("mean"))
 
 
 def lloyd_update(df: DataFrame, centroids, dim: int, col: str = "features"):
