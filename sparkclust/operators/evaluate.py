@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 DEFAULT_BLOCK_ROWS = 2048
 INF = float("inf")
 
@@ -100,6 +102,7 @@ def _num_blocks(n: int, block_rows: int) -> int:
 
 def block_pairs(df: DataFrame, n_blocks: int, id_col: str = "id") -> DataFrame:
     """Replicate each row to the B block pairs ``(a, b), a <= b`` that contain its block."""
+    ship_package(df.sparkSession)
     blk = F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_blocks)).cast("int")
     others = F.sequence(F.lit(0), F.lit(n_blocks - 1))
     pair = F.transform(others, lambda j: F.least(F.col("_blk"), j) * n_blocks + F.greatest(F.col("_blk"), j))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .kmeans import assign_nearest, first_k_seeds, kmeanspp_init, total_shift
 from .moments import batch_matrix, fan_in_for, needs_two_levels, salt_of_task, spread, sum_vectors
+from ..session import ship_package
 from .stats import feature_dim
 
 LOG_2PI = math.log(2.0 * math.pi)
@@ -126,7 +127,9 @@ def _list_array(m: np.ndarray) -> pa.Array:
 # --- narrow scoring (Arrow UDFs) ----------------------------------------------
 
 
-def _score_udf(model: GaussianMixtureModel, dim: int, what: str):
+def _score_udf(model: GaussianMixtureModel, dim: int, what: str, spark=None):
+    if spark is not None:
+        ship_package(spark)
     factors = model.factors()
 
     def score(v: pa.Array) -> pa.Array:
@@ -148,20 +151,20 @@ def _score_udf(model: GaussianMixtureModel, dim: int, what: str):
 
 def gaussian_logpdf(df: DataFrame, model: GaussianMixtureModel, col: str = "features", out: str = "log_joint") -> DataFrame:
     """Add ``ARRAY<DOUBLE>`` of ``ln pi_k + ln N(x; mu_k, Sigma_k)`` per component."""
-    return df.withColumn(out, _score_udf(model, len(model.means[0]), "log_joint")(F.col(col)))
+    return df.withColumn(out, _score_udf(model, len(model.means[0]), "log_joint", df.sparkSession)(F.col(col)))
 
 
 def em_estep(df: DataFrame, model: GaussianMixtureModel, mode: str = "softmax", col: str = "features", out: str = "resp") -> DataFrame:
-    return df.withColumn(out, _score_udf(model, len(model.means[0]), mode)(F.col(col)))
+    return df.withColumn(out, _score_udf(model, len(model.means[0]), mode, df.sparkSession)(F.col(col)))
 
 
 def row_logsumexp(df: DataFrame, model: GaussianMixtureModel, col: str = "features", out: str = "lse") -> DataFrame:
-    return df.withColumn(out, _score_udf(model, len(model.means[0]), "logsumexp")(F.col(col)))
+    return df.withColumn(out, _score_udf(model, len(model.means[0]), "logsumexp", df.sparkSession)(F.col(col)))
 
 
 def em_predict(df: DataFrame, model: GaussianMixtureModel, col: str = "features", out: str = "cluster") -> DataFrame:
     """Arg-max of the joint log density (ties -> lowest component)."""
-    return df.withColumn(out, _score_udf(model, len(model.means[0]), "predict")(F.col(col)))
+    return df.withColumn(out, _score_udf(model, len(model.means[0]), "predict", df.sparkSession)(F.col(col)))
 
 
 # --- one fused pass ------------------------------------------------------------
@@ -219,6 +222,7 @@ def _pass_fn(dim: int, k: int, col: str, fan_in: int, centers: np.ndarray, facto
 
 
 def _run_pass(df: DataFrame, dim: int, k: int, col: str, centers, factors=None, mode="softmax", seeds=None):
+    ship_package(df.sparkSession)
     fan = fan_in_for(df)
     fn = _pass_fn(dim, k, col, fan, np.asarray(centers, dtype=np.float64), factors, mode, seeds)
     parts = df.select(col).mapInArrow(fn, "k int, salt int, v array<double>")

@@ -20,6 +20,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 
 def num_partitions(df: DataFrame) -> int:
     try:
@@ -131,6 +133,7 @@ def gram_partials_fn(dim: int, center: Sequence[float] | None, col: str, fan_in:
 
 def gram(df: DataFrame, dim: int, col: str = "features", center: Sequence[float] | None = None):
     """``(n, sum, G)`` with ``G = sum (x-c)(x-c)^T`` over all rows, computed on executors."""
+    ship_package(df.sparkSession)
     df = df.select(col)
     fan = fan_in_for(df)
     parts = df.mapInArrow(gram_partials_fn(dim, center, col, fan), "salt int, v array<double>")
