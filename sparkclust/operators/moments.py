@@ -43,6 +43,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if num_partitions(df) < slots else df
 
 
+def iterative_input(df: DataFrame) -> DataFrame:
+    """Input of a multi-pass fit: spread over the task slots and persisted
+    (MEMORY_AND_DISK; lost blocks are recomputed from the one-scan lineage)."""
+    from pyspark import StorageLevel
+
+    return spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 # First-level groups of the tree reduction.  With P input partitions each
 # group receives about P / FAN_IN partial vectors and the final level FAN_IN;
 # balanced for P up to about a million partitions, harmless for small P.

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vector import dist_to, dists_to
 from ..operators import decompose, evaluate, gaussian, kmeans, sampling, stats
+from ..operators.moments import iterative_input
 from ..sources import matrix
 from .inputs import (
     LINEITEM_COLS,
@@ -446,6 +447,7 @@ def q_lineitem_kmeans(spark, d):
 
 def q_lineitem_em(spark, d):
     z, _ = stats.fit_standardize(load_L(spark, d), len(LINEITEM_COLS))
+    z = iterative_input(z)
     m = gaussian.em_init(z, 3, list(LINEITEM_SEEDS))
     m = gaussian.em_steps(z, m, 3)
     return gaussian.em_predict(z, m).groupBy("cluster").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
