@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vector import argmin, dist_to, dists_to
 from .sampling import uniform_pick, weighted_pick
+from ..session import cut_lineage
 from .moments import spread
 from .stats import feature_dim
 
@@ -53,6 +54,13 @@ def first_k_seeds(df: DataFrame, k: int, id_col: str = "id", col: str = "feature
     return [r[id_col] for r in rows], [list(map(float, r[col])) for r in rows]
 
 
+# Up to this many seeds the running minimum distance is recomputed from the
+# chosen seeds (literals, no state); beyond it a min_d column is carried.
+RECOMPUTE_SEEDS = 8
+# with a carried min_d column, cut the lineage every this many seeds
+CHECKPOINT_EVERY = 8
+
+
 def kmeanspp_init(
     df: DataFrame,
     k: int,
@@ -68,6 +76,12 @@ def kmeanspp_init(
     nearest chosen seed (``power=1`` is what the reference programs run,
     ``power=2`` the textbook rule).  Raises ``ValueError`` when fewer than K
     distinct points exist.  Returns ``(ids, centroids)``.
+
+    Each step is one scan + top-1.  For small K the nearest-seed distance is
+    recomputed from the chosen seeds; for larger K a ``min_d`` column is
+    carried from step to step (``least(min_d, dist_to_new_seed)``, O(K) work
+    per row in total) and the lineage is cut with a reliable checkpoint into
+    ``spark.checkpoint.dir`` every ``CHECKPOINT_EVERY`` seeds.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -77,14 +91,32 @@ def kmeanspp_init(
         raise ValueError("empty input")
     ids = [first[id_col]]
     cents = [list(map(float, first[col]))]
-    for s in range(1, k):
-        d = min_dist_to(col, cents)
-        w = d if power == 1 else F.pow(d, F.lit(float(power)))
-        pick = weighted_pick(base, w, seed, s, id_col).first()
-        if pick is None:
-            raise ValueError(f"fewer than k={k} distinct points")
-        ids.append(pick[id_col])
-        cents.append(list(map(float, pick[col])))
+    carried = prev = None
+    try:
+        for s in range(1, k):
+            if k <= RECOMPUTE_SEEDS:
+                src, d = base, min_dist_to(col, cents)
+            else:
+                step = dist_to(col, cents[-1])
+                prev = carried
+                nxt = (base.withColumn("min_d", step) if prev is None
+                       else prev.withColumn("min_d", F.least(F.col("min_d"), step)))
+                if s % CHECKPOINT_EVERY == 0:
+                    carried = cut_lineage(nxt)
+                else:
+                    carried = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+                src, d = carried, F.col("min_d")
+            w = d if power == 1 else F.pow(d, F.lit(float(power)))
+            pick = weighted_pick(src, w, seed, s, id_col).first()  # also fills the new cache
+            if k > RECOMPUTE_SEEDS and prev is not None:
+                prev.unpersist()
+            if pick is None:
+                raise ValueError(f"fewer than k={k} distinct points")
+            ids.append(pick[id_col])
+            cents.append(list(map(float, pick[col])))
+    finally:
+        if carried is not None:
+            carried.unpersist()
     return ids, cents
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.vector import col_of, draw_u
 
 # rows per bucket below which the final ordering step runs inside one task
-EXACT_SMALL = 1_000_000
+EXACT_SMALL = 200_000
 HIST_BUCKETS = 4096
 
 
@@ -102,7 +102,7 @@ def _bucket_expr(key: Column, bounds: list) -> Column:
     return build(0, len(bounds)).cast("int")
 
 
-def with_row_id(df: DataFrame, order_col: str, out: str = "row_id", rows_per_bucket: int = EXACT_SMALL) -> DataFrame:
+def with_row_id(df: DataFrame, order_col: str, out: str = "row_id", rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Dense 0..N-1 numbering in ``order_col`` order (``order_col`` should be unique).
 
     Small inputs number in one window; large ones are cut into quantile

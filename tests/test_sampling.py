@@ -59,3 +59,11 @@ def test_weighted_pick_only_positive_weight(spark):
 
     r = sampling.weighted_pick(df, F.col("features")[0], seed=5, step=1).first()
     assert r.id == 2
+
+
+def test_kmeanspp_carried_state_equals_recompute(spark, monkeypatch):
+    e = load_E(spark, SF01)
+    a = kmeans.kmeanspp_init(e, 10, seed=5)
+    monkeypatch.setattr(kmeans, "RECOMPUTE_SEEDS", 100)
+    b = kmeans.kmeanspp_init(e, 10, seed=5)
+    assert a[0] == b[0]
