@@ -300,3 +300,21 @@ def pairwise_summary(df: DataFrame, n: int | None = None, block_rows: int = DEFA
         F.max("far_d").alias("farthest_dist"),
         (F.sum("sum_d") / F.sum("cnt")).alias("mean_dist"),
     ).select(id_col, F.col("nn.near_id").alias("nearest_id"), F.col("nn.near_d").alias("nearest_dist"), "farthest_dist", "mean_dist")
+
+
+def dunn_index(df: DataFrame, **kw) -> DataFrame:
+    """``min_inter, max_intra, dunn`` of an assigned frame (``id, cluster, features``)."""
+    return dunn_parts(df, **kw)
+
+
+def min_intercluster(df: DataFrame, **kw) -> DataFrame:
+    return dunn_parts(df, **kw).select("min_inter")
+
+
+def max_intracluster(df: DataFrame, **kw) -> DataFrame:
+    return dunn_parts(df, **kw).select("max_intra")
+
+
+def pairwise_distance(df: DataFrame, **kw) -> DataFrame:
+    """Per-row summary of all pairwise distances (nearest, farthest, mean); pairs are never materialised."""
+    return pairwise_summary(df, **kw)

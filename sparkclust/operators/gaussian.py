@@ -387,3 +387,8 @@ def cluster_stats(df: DataFrame, dim: int, col: str = "features", cluster_col: s
 
 def assign_hard(df: DataFrame, centroids, col: str = "features") -> DataFrame:
     return assign_nearest(df, centroids, col)
+
+
+def log_likelihood(df: DataFrame, model: GaussianMixtureModel, col: str = "features") -> DataFrame:
+    """One row: ``sum_i logsumexp_k l_ik`` of ``model`` over ``df`` (lazy; Arrow UDF + sum)."""
+    return row_logsumexp(df, model, col).agg(F.sum("lse").alias("ll"), F.count(F.lit(1)).cast("bigint").alias("n"))

@@ -241,3 +241,15 @@ def kmeans_steps(df: DataFrame, centroids, steps: int, col: str = "features"):
 
 def kmeans_predict(df: DataFrame, model: KMeansModel, col: str = "features", out: str = "cluster") -> DataFrame:
     return model.transform(df, col, out)
+
+
+def cluster_means(df: DataFrame, centroids, col: str = "features") -> DataFrame:
+    """Assign to ``centroids`` and return ``(cluster, n, mean)`` (lazy)."""
+    return cluster_means_frame(assign_nearest(df, centroids, col), len(centroids[0]), col)
+
+
+def centroid_shift(df: DataFrame, centroids, col: str = "features"):
+    """One Lloyd update from ``centroids``: ``(new centroids, per-cluster shift, total shift)``."""
+    new, _ = lloyd_update(df, centroids, len(centroids[0]), col)
+    per = [total_shift([a], [b]) for a, b in zip(centroids, new)]
+    return new, per, float(sum(per))

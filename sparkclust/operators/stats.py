@@ -152,3 +152,9 @@ def covariance_frame(spark: SparkSession, cov: np.ndarray, names: list[str]) ->
     d = cov.shape[0]
     rows = [(names[i], names[j], float(cov[i, j])) for i in range(d) for j in range(d)]
     return spark.createDataFrame(rows, "col_i string, col_j string, cov double")
+
+
+def column_stats(df: DataFrame, dim: int | None = None, col: str = "features") -> DataFrame:
+    """Lazy ``(pos, mean, std, n)`` frame (population std, NaN/NULL ignored)."""
+    dim = dim if dim is not None else feature_dim(df, col)
+    return column_stats_frame(df, dim, col)
