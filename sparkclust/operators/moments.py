@@ -40,7 +40,11 @@ def spread(df: DataFrame) -> DataFrame:
     exchange has run.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if num_partitions(df) < slots else df
+    if num_partitions(df) >= slots:
+        return df
+    # hash of the row: deterministic on retry without the local sort that a
+    # round-robin repartition needs
+    return df.repartition(slots, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
 
 
 def iterative_input(df: DataFrame) -> DataFrame:

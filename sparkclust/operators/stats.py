@@ -14,10 +14,14 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vector import is_missing, nan_to_null, vec_lit
+from ..functions.vector import _dsql, is_missing, nan_to_null, vec_lit
 from .moments import gram
 
 
+# Up to this width element-wise transforms are one code-generated array(...) expression
+UNROLL_DIM = 128
+
+
 def feature_dim(df: DataFrame, col: str = "features") -> int:
     """Width of the feature vectors, read from one row (a LIMIT 1 job)."""
     row = df.select(F.size(col).alias("d")).first()
@@ -97,12 +101,20 @@ def impute_mean(df: DataFrame, means: list[float], col: str = "features", count_
     out = df
     if count_col:
         out = out.withColumn(count_col, F.size(F.filter(F.col(col), is_missing)).cast("int"))
+    if len(means) <= UNROLL_DIM:
+        c = f"`{col}`"
+        cells = [f"IF({c}[{i}] IS NULL OR isnan({c}[{i}]), {_dsql(m)}, {c}[{i}])" for i, m in enumerate(means)]
+        return out.withColumn(col, F.when(F.col(col).isNull(), None).otherwise(F.expr("array(" + ", ".join(cells) + ")")))
     return out.withColumn(col, F.zip_with(F.col(col), vec_lit(means), lambda x, m: F.when(is_missing(x), m).otherwise(x)))
 
 
 def standardize(df: DataFrame, stats: ColumnStats, col: str = "features") -> DataFrame:
     """z = (x - mean) / std with population std; constant columns become 0."""
     inv = [1.0 / s if s > 0 else 0.0 for s in stats.std]
+    if stats.dim <= UNROLL_DIM:
+        c = f"`{col}`"
+        cells = [f"({c}[{i}] - {_dsql(m)}) * {_dsql(v)}" for i, (m, v) in enumerate(zip(stats.mean, inv))]
+        return df.withColumn(col, F.when(F.col(col).isNull(), None).otherwise(F.expr("array(" + ", ".join(cells) + ")")))
     return df.withColumn(
         col,
         F.zip_with(
