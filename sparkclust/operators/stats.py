@@ -11,6 +11,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,9 +78,15 @@ def column_stats_frame(df: DataFrame, dim: int, col: str = "features") -> DataFr
     )
 
 
+# Above this width the stats are two vector aggregates instead of 3 x D scalar ones
+VECTOR_STATS_DIM = 16
+
+
 def fit_column_stats(df: DataFrame, dim: int | None = None, col: str = "features") -> ColumnStats:
     """One pass: per-column mean (ignoring NaN/NULL), population std, counts."""
     dim = dim if dim is not None else feature_dim(df, col)
+    if dim > VECTOR_STATS_DIM:
+        return _fit_column_stats_vector(df, dim, col)
     mean, std, cnt = _stat_exprs(dim, col)
     row = df.agg(F.count(F.lit(1)).alias("n"), mean, std, cnt).first()
     return ColumnStats(
@@ -89,6 +97,40 @@ def fit_column_stats(df: DataFrame, dim: int | None = None, col: str = "features
     )
 
 
+def _fit_column_stats_vector(df: DataFrame, dim: int, col: str) -> ColumnStats:
+    """Wide form: ``Summarizer`` sums of a presence mask and of shifted values.
+
+    Values are shifted by one sample row ``s`` (a row of the data, so close to
+    the column means): ``mean = s + sum(x - s) / n`` and
+    ``var = sum((x - s)^2) / n - (mean - s)^2`` stay accurate where the raw
+    ``E[x^2] - mean^2`` would cancel.  Missing cells contribute 0 to both sums.
+    """
+    sample = df.select(col).where(F.col(col).isNotNull()).first()
+    if sample is None:
+        raise ValueError("empty input")
+    shift = [0.0 if (v is None or v != v) else float(v) for v in sample[col]]
+    c = f"`{col}`"
+    miss = [f"({c}[{i}] IS NULL OR isnan({c}[{i}]))" for i in range(dim)]
+    mask = F.expr("array(" + ", ".join(f"IF({m}, 0D, 1D)" for m in miss) + ")")
+    dev = F.expr("array(" + ", ".join(f"IF({m}, 0D, {c}[{i}] - {_dsql(s_)})" for i, (m, s_) in enumerate(zip(miss, shift))) + ")")
+    rows = df.where(F.col(col).isNotNull())
+    row = rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        Summarizer.metrics("sum").summary(array_to_vector(mask)).alias("m"),
+        Summarizer.metrics("sum", "normL2").summary(array_to_vector(dev)).alias("d"),
+    ).first()
+    cnt = np.asarray(row["m"]["sum"].toArray())
+    s1 = np.asarray(row["d"]["sum"].toArray())
+    s2 = np.asarray(row["d"]["normL2"].toArray()) ** 2
+    sh = np.asarray(shift)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        delta = np.where(cnt > 0, s1 / cnt, np.nan)
+        var = np.where(cnt > 0, s2 / cnt - delta * delta, 0.0)
+    mean = sh + delta
+    std = np.sqrt(np.clip(np.nan_to_num(var, nan=0.0), 0.0, None))
+    return ColumnStats(n=int(row["n"]), count=[int(round(x)) for x in cnt], mean=[float(m) for m in mean], std=[float(x) for x in std])
+
+
 def column_means(df: DataFrame, dim: int | None = None, col: str = "features") -> list[float]:
     return fit_column_stats(df, dim, col).mean
 

@@ -67,3 +67,21 @@ def test_sum_vectors_two_levels(spark):
     for two in (True, False):
         out = {r.k: r.v for r in moments.sum_vectors(df, "v", keys=["k"], two_level=two).collect()}
         assert out[0] == pytest.approx([0.0, 5.0, 10.0]) and out[1] == pytest.approx([5.0, 5.0, 10.0])
+
+
+def test_vector_stats_path_equals_scalar_path(spark, monkeypatch):
+    from sparkclust.plans.inputs import load_E_nan
+
+    e = load_E_nan(spark, SF01)
+    wide = stats.fit_column_stats(e, 64)
+    monkeypatch.setattr(stats, "VECTOR_STATS_DIM", 1000)
+    narrow = stats.fit_column_stats(e, 64)
+    assert wide.n == narrow.n and wide.count == narrow.count
+    assert np.allclose(wide.mean, narrow.mean, rtol=1e-12, atol=1e-15)
+    assert np.allclose(wide.std, narrow.std, rtol=1e-10, atol=1e-15)
+    # a column with a large offset keeps its precision (shifted moments)
+    from pyspark.sql import functions as F
+
+    off = e.withColumn("features", F.transform("features", lambda x: x + F.lit(1e6)))
+    w2 = stats.fit_column_stats(off, 64)
+    assert np.allclose(w2.std, narrow.std, rtol=1e-6)
