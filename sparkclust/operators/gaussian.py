@@ -336,7 +336,8 @@ def em_fit(
     back (oscillation guard) or after ``max_iter`` iterations.  The
     log-likelihood of an iteration is that of the parameters it starts from.
     """
-    data = df.select(id_col, col)
+    # rows without a feature vector cannot be assigned; impute NaN cells beforehand
+    data = df.select(id_col, col).where(F.col(col).isNotNull())
     if persist:
         data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
     try:

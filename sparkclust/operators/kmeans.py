@@ -196,7 +196,8 @@ def kmeans_fit(
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    data = df.select(id_col, col)
+    # rows without a feature vector cannot be assigned; impute NaN cells beforehand
+    data = df.select(id_col, col).where(F.col(col).isNotNull())
     if persist:
         data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -1,9 +1,11 @@
 """DuckDB oracle SQL for the registered queries (brute force, no shared code).
 
 Iterative operators (K-means steps, K-means++ seeding, EM steps) are unrolled
-into CTE chains by small generators below.  Queries without an oracle
-(``svd_wide``, ``project_wide``, ``em_full``, ``prepare``, ``lineitem_*``
-fits) are checked row-count only by the driver and by NumPy in the tests.
+into CTE chains by small generators below; full fits are unrolled to their
+``max_iter`` and the stop rule is found with window flags.  Queries without an
+oracle (``svd_wide``, ``project_wide``, ``em_full``, ``evaluate_em``,
+``prepare``, ``lineitem_*`` fits: eigendecompositions or 64-D densities) are
+checked row-count only by the driver and against NumPy in the tests.
 """
 
 from __future__ import annotations
@@ -280,6 +282,63 @@ def _evaluate_k_sql(ks=(2, 3), steps: int = 3) -> str:
     return with_(*ctes) + " UNION ALL ".join(selects)
 
 
+# --- full fits with their stop rules (unrolled to max_iter, stop found with window flags) ----
+
+KMEANS_MAX_ITER = 100
+EM_MAX_ITER = 100
+TOL = 0.005
+
+
+def _kmeans_fit_sql(k: int = 3, max_iter: int = KMEANS_MAX_ITER) -> str:
+    """Lloyd history under the stop rule: pass t counts unless its shift equals the
+    previous one (first compared with 0) or an earlier pass already moved <= tol."""
+    kc, seeds = kmeanspp_ctes("pp", "e", k)
+    lc, _ = lloyd_ctes("l", "e", seeds, max_iter)
+    prev = [seeds] + [f"lc{t}" for t in range(1, max_iter)]
+    shifts = " UNION ALL ".join(
+        f"SELECT {t} AS t, (SELECT sum(list_distance(a.c, b.c)) FROM {prev[t - 1]} a JOIN lc{t} b ON a.cluster = b.cluster) AS change"
+        for t in range(1, max_iter + 1)
+    )
+    return with_(
+        f"e AS ({E})", *kc, *lc,
+        f"sh AS ({shifts})",
+        "fl AS (SELECT t, change, change = lag(change, 1, 0.0) OVER (ORDER BY t) AS eq, change <= "
+        f"{TOL} AS small FROM sh)",
+        "st AS (SELECT t, change, bool_or(eq) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS eq_upto, "
+        "coalesce(bool_or(small) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS small_before FROM fl)",
+    ) + f"SELECT t::BIGINT AS iteration, {R('change')} AS total_shift FROM st WHERE NOT eq_upto AND NOT small_before ORDER BY t"
+
+
+def _em_history_sql(max_iter: int = EM_MAX_ITER) -> str:
+    """EM history under the stop rule: iteration t runs while every earlier one moved the
+    means by > tol, changed the log-likelihood by > tol and was not within tol of the
+    shift two iterations before it."""
+    ctes = em_init_ctes()
+    parts = []
+    prev = "p0"
+    for t in range(1, max_iter + 1):
+        cur = f"p{t}"
+        ctes += em_step_ctes(cur, prev)
+        parts.append(
+            f"SELECT {t} AS t, (SELECT sum({lse2('l0', 'l1')}) FROM {cur}j) AS ll, "
+            f"(SELECT sum(sqrt((a.m0 - b.m0) * (a.m0 - b.m0) + (a.m1 - b.m1) * (a.m1 - b.m1))) "
+            f"FROM {prev} a JOIN {cur} b ON a.cluster = b.cluster) AS shift"
+        )
+        prev = cur
+    inf = "'inf'::DOUBLE"
+    ctes += [
+        f"h AS ({' UNION ALL '.join(parts)})",
+        f"f AS (SELECT t, ll, shift, coalesce(abs(ll - lag(ll) OVER (ORDER BY t)), {inf}) AS llc, "
+        f"abs(coalesce(lag(shift, 2) OVER (ORDER BY t), {inf}) - shift) <= {TOL} AS osc FROM h)",
+        f"g AS (SELECT *, coalesce(bool_or(shift <= {TOL} OR llc <= {TOL} OR osc) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED "
+        "PRECEDING AND 1 PRECEDING), false) AS stopped FROM f)",
+    ]
+    return with_(*ctes) + (
+        f"SELECT t::BIGINT AS iteration, {R('shift')} AS total_shift, {R('ll')} AS log_likelihood, {R('llc')} AS ll_change "
+        "FROM g WHERE NOT stopped ORDER BY t"
+    )
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["matrix_shape"] = "SELECT count(*)::BIGINT AS n_rows, max(len(embedding))::BIGINT AS n_dims FROM embeddings"
@@ -448,6 +507,8 @@ def build() -> dict[str, str]:
     q["metrics_report"] = with_(f"c AS ({counts_select('toxic')})", f"m AS ({metrics_select('c')})") + rep
     q.update(_em_sql())
     q["evaluate_k"] = _evaluate_k_sql()
+    q["kmeans_fit"] = _kmeans_fit_sql()
+    q["em_history"] = _em_history_sql()
     return q
 
 
