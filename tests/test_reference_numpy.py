@@ -96,3 +96,68 @@ def test_prepare_matches_numpy(spark):
     # components are defined up to sign: compare absolute values
     assert np.allclose(np.abs(got), np.abs(y), atol=1e-8)
     assert sum(r.split == "test" for r in rows.values()) == math.floor(0.235 * len(x))
+
+
+def _lineitem(spark):
+    from sparkclust.plans.inputs import load_L
+
+    z, _ = stats.fit_standardize(load_L(spark, SF01), 4)
+    x = np.array([r.features for r in load_L(spark, SF01).collect()])
+    return z, (x - x.mean(0)) / x.std(0)
+
+
+def test_lineitem_svd_matches_numpy(spark):
+    z, xz = _lineitem(spark)
+    m = decompose.svd(z, 4)
+    assert np.allclose(m.singular_values, np.linalg.svd(xz, compute_uv=False), rtol=1e-9)
+
+
+def test_lineitem_em_steps_match_numpy(spark):
+    from sparkclust.plans.inputs import LINEITEM_SEEDS
+
+    z, xz = _lineitem(spark)
+    m = gaussian.em_init(z, 3, list(LINEITEM_SEEDS))
+    ws, mus, covs = np.array(m.weights), np.array(m.means), [np.array(c) for c in m.covs]
+    cur = m
+    for _ in range(3):
+        cur, ll, _ = gaussian.em_mstep(z, cur)
+        ws, mus, covs, ll_np = _np_em_step(xz, ws, mus, covs)
+        assert math.isclose(ll, ll_np, rel_tol=1e-9)
+        assert np.allclose(cur.means, mus, atol=1e-9)
+        assert all(np.allclose(a, b, atol=1e-9) for a, b in zip(cur.covs, covs))
+
+
+def test_lineitem_kmeans_matches_numpy(spark):
+    z, xz = _lineitem(spark)
+    from pyspark.sql import functions as F
+
+    zi = z.withColumn("id", F.monotonically_increasing_id())
+    _, seeds = kmeans.kmeanspp_init(zi, 3, seed=42)
+    m = kmeans.kmeans_fit(zi, 3, init=seeds, max_iter=20)
+    c = np.array(seeds)
+    change, old, it = math.inf, 0.0, 0
+    while change > 0.005 and it < 20:
+        a = np.sqrt(((xz[:, None, :] - c[None]) ** 2).sum(-1)).argmin(1)
+        new = np.array([xz[a == k].mean(0) if (a == k).any() else c[k] for k in range(3)])
+        change = float(np.sqrt(((new - c) ** 2).sum(1)).sum())
+        c = new
+        if change == old:
+            break
+        old = change
+        it += 1
+    assert m.iterations == it
+    assert np.allclose(m.centroids, c, atol=1e-8)
+
+
+def test_evaluate_em_consistent(spark):
+    from sparkclust.plans.inputs import load_E2
+    from sparkclust.plans.workflows import evaluate_em
+
+    rows = evaluate_em(load_E2(spark, SF01), ks=(2,), frac=0.235, seed=42).collect()
+    n = load_E2(spark, SF01).count()
+    by = {r.split: r for r in rows}
+    assert by["test"].correct + by["test"].incorrect == math.floor(0.235 * n)
+    assert by["train"].correct + by["train"].incorrect == n - math.floor(0.235 * n)
+    for r in rows:
+        assert r.status in ("ok", "failed")
+        assert r.silhouette is None or -1.0 <= r.silhouette <= 1.0
