@@ -32,19 +32,23 @@ def with_draw(df: DataFrame, seed: int, step: int = 0, id_col: str = "id", out:
 
 
 def _cut_of_smallest(df: DataFrame, u: Column, id_col: str, n: int):
-    """Exact ``(u, id)`` of the n-th smallest row by ``(u, id)``, or None if n >= rows."""
-    lo, hi = 0.0, 1.0
+    """Exact ``(u, id)`` of the n-th smallest row by ``(u, id)``, or None if n >= rows.
+
+    Each level counts rows per bucket ``floor((u - lo) / w)`` (clipped to the
+    bucket range) and the next level keeps exactly the rows of the chosen
+    bucket by the SAME expression, so counts and filters agree bit for bit.
+    """
+    lo, width = 0.0, 1.0 / HIST_BUCKETS
     remaining = n
-    base = df.select(u.alias("_u"), F.col(id_col).alias("_id"))
+    sub = df.select(u.alias("_u"), F.col(id_col).alias("_id"))
     while True:
-        sub = base.where((F.col("_u") >= lo) & (F.col("_u") < hi))
-        width = (hi - lo) / HIST_BUCKETS
-        b = F.least(F.floor((F.col("_u") - F.lit(lo)) / F.lit(width)), F.lit(HIST_BUCKETS - 1)).cast("int")
+        raw = F.floor((F.col("_u") - F.lit(lo)) / F.lit(width))
+        b = F.least(F.greatest(raw, F.lit(0)), F.lit(HIST_BUCKETS - 1)).cast("int")
         hist = sorted((r["b"], r["c"]) for r in sub.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
         total = sum(c for _, c in hist)
         if remaining > total:
             return None
-        if total <= EXACT_SMALL or width <= 0.0 or hi - lo < 1e-15:
+        if total <= EXACT_SMALL or width < 1e-300:
             row = (
                 sub.orderBy("_u", "_id")
                 .limit(remaining)
@@ -56,7 +60,8 @@ def _cut_of_smallest(df: DataFrame, u: Column, id_col: str, n: int):
         for bucket, c in hist:
             if cum + c >= remaining:
                 remaining -= cum
-                lo, hi = lo + bucket * width, (lo + (bucket + 1) * width if bucket < HIST_BUCKETS - 1 else hi)
+                sub = sub.where(b == F.lit(bucket))
+                lo, width = lo + bucket * width, width / HIST_BUCKETS
                 break
             cum += c
 
