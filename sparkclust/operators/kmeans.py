@@ -110,7 +110,7 @@ def kmeanspp_init(
             pick = weighted_pick(src, w, seed, s, id_col).first()  # also fills the new cache
             if k > RECOMPUTE_SEEDS and prev is not None:
                 prev.unpersist()
-            if pick is None:
+            if pick is None or pick["race_key"] is None:
                 raise ValueError(f"fewer than k={k} distinct points")
             ids.append(pick[id_col])
             cents.append(list(map(float, pick[col])))

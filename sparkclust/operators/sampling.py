@@ -142,16 +142,16 @@ def uniform_pick(df: DataFrame, seed: int, step: int = 0, id_col: str = "id") ->
 def weighted_pick(df: DataFrame, weight: Column | str, seed: int, step: int, id_col: str = "id") -> DataFrame:
     """One row drawn with probability proportional to ``weight`` (exponential race).
 
-    ``key = -ln(u) / w`` over rows with ``w > 0``; the smallest key wins, ties
-    to the lowest id.  One pass, no normalisation of the weights.
+    ``key = -ln(u) / w`` for rows with ``w > 0`` (NULL otherwise); the smallest
+    key wins, ties to the lowest id.  One pass, no normalisation of the
+    weights.  The weight is used in a single projection (no separate filter:
+    a pushed-down filter would evaluate the weight expression twice per row).
+    A NULL ``race_key`` in the result means no row has a positive weight.
     """
     w = col_of(weight)
     u = draw_u(seed, step, id_col)
     return (
-        df.withColumn("_w", w)
-        .where(F.col("_w") > 0)
-        .withColumn("race_key", -F.log(u) / F.col("_w"))
-        .drop("_w")
-        .orderBy("race_key", id_col)
+        df.withColumn("race_key", F.when(w > 0, -F.log(u) / w))
+        .orderBy(F.col("race_key").asc_nulls_last(), F.col(id_col))
         .limit(1)
     )

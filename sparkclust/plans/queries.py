@@ -183,7 +183,9 @@ def q_weighted_pick(spark, d):
     out = None
     for power in (1, 2):
         w = dmin if power == 1 else dmin * dmin
-        p = sampling.weighted_pick(e, w, SEED, 1).select(F.lit(power).cast("bigint").alias("power"), F.col("id").alias("vec_id"))
+        p = sampling.weighted_pick(e, w, SEED, 1).where(F.col("race_key").isNotNull()).select(
+            F.lit(power).cast("bigint").alias("power"), F.col("id").alias("vec_id")
+        )
         out = p if out is None else out.unionByName(p)
     return out
 
