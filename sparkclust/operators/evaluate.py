@@ -268,12 +268,12 @@ def pairwise_summary(df: DataFrame, n: int | None = None, block_rows: int = DEFA
             dm[self_mask] = np.inf
             dx[self_mask] = -np.inf
             cnt = cnt - self_mask.sum(1)
-        # nearest with lowest-id tie break: order candidates by (distance, id)
-        order = np.lexsort((np.broadcast_to(oid, dm.shape), dm), axis=1)
-        j = order[:, 0]
-        near_d = dm[np.arange(len(rows)), j]
+        # nearest with lowest-id tie break: smallest id among the minimal distances
+        near_d = dm.min(1)
+        big = np.iinfo(np.int64).max
+        near_id = np.where(dm == near_d[:, None], oid[None, :].astype(np.int64), big).min(1)
         s = np.where(self_mask, 0.0, d).sum(1) if self_mask is not None else d.sum(1)
-        return pd.DataFrame({id_col: rows[id_col].to_numpy(), "near_d": near_d, "near_id": oid[j],
+        return pd.DataFrame({id_col: rows[id_col].to_numpy(), "near_d": near_d, "near_id": near_id,
                              "far_d": dx.max(1), "sum_d": s, "cnt": cnt})
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
