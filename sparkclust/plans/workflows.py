@@ -60,7 +60,7 @@ def evaluate_kmeans(df: DataFrame, ks=(2, 3), steps: int | None = None, frac: fl
         for name, part in (("train", train), ("test", test)):
             a = model.transform(part)
             m = evaluate.classification_metrics(a).first()
-            dn = evaluate.dunn_parts(a).first()
+            dn = evaluate.dunn_parts(a, n=int(m["correct"] + m["incorrect"])).first()
             rows.append((k, name, *[int(m[c]) for c in COUNT_COLS], *[m[c] for c in METRIC_COLS],
                          dn["min_inter"], dn["max_intra"], dn["dunn"]))
     s.unpersist()
@@ -79,7 +79,7 @@ def evaluate_em(df: DataFrame, ks=(2, 3), frac: float = 0.235, seed: int = 42, r
         for name, part in (("train", train), ("test", test)):
             a = gaussian.em_predict(part, model)
             m = evaluate.classification_metrics(a).first()
-            sil = evaluate.silhouette(a).first()
+            sil = evaluate.silhouette(a, n=int(m["correct"] + m["incorrect"])).first()
             rows.append((k, name, *[int(m[c]) for c in COUNT_COLS], *[m[c] for c in METRIC_COLS],
                          sil["silhouette"], float(model.iterations), sil["n_clusters"]))
     s.unpersist()

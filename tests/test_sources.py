@@ -53,3 +53,11 @@ def test_shape_and_binarize(spark):
     r = matrix.shape(e).first()
     assert (r.n_rows, r.n_dims) == (500, 64)
     assert set(x.label for x in e.select("label").distinct().collect()) <= {0, 1}
+
+
+def test_read_reference_text_format(spark, tmp_path):
+    # "%3.4f, " separated values, integer label last, numbered header line
+    p = tmp_path / "train.txt"
+    p.write_text("0.0000, 0.0000, 1.0000, 2.0000\n17.0000, -1.2345, 0.5000, 1\n18.0000, 2.5000, -0.2500, 0\n")
+    rows = matrix.read_matrix(spark, str(p)).orderBy("id").collect()
+    assert [(r.id, list(r.features), r.label) for r in rows] == [(17, [-1.2345, 0.5], 1), (18, [2.5, -0.25], 0)]
