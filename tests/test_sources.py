@@ -61,3 +61,11 @@ def test_read_reference_text_format(spark, tmp_path):
     p.write_text("0.0000, 0.0000, 1.0000, 2.0000\n17.0000, -1.2345, 0.5000, 1\n18.0000, 2.5000, -0.2500, 0\n")
     rows = matrix.read_matrix(spark, str(p)).orderBy("id").collect()
     assert [(r.id, list(r.features), r.label) for r in rows] == [(17, [-1.2345, 0.5], 1), (18, [2.5, -0.25], 0)]
+
+
+def test_write_vector_one_per_line(spark, tmp_path):
+    df = spark.createDataFrame([(2, 3.14159), (1, 338.82741), (3, 2.39291)], "k int, singular_value double")
+    out = str(tmp_path / "sv")
+    matrix.write_vector(df, out, "singular_value")
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert sorted(lines) == sorted(["338.8274", "3.1416", "2.3929"])
