@@ -25,6 +25,7 @@ from ..functions.vector import col_of, draw_u
 # rows per bucket below which the final ordering step runs inside one task
 EXACT_SMALL = 200_000
 HIST_BUCKETS = 4096
+MAX_ROW_ID_BUCKETS = 4096
 
 
 def with_draw(df: DataFrame, seed: int, step: int = 0, id_col: str = "id", out: str = "u") -> DataFrame:
@@ -111,10 +112,13 @@ def with_row_id(df: DataFrame, order_col: str, out: str = "row_id", rows_per_buc
     """Dense 0..N-1 numbering in ``order_col`` order (``order_col`` should be unique).
 
     Small inputs number in one window; large ones are cut into quantile
-    buckets so no task holds more than about ``rows_per_bucket`` rows.
+    buckets (one ``approxQuantile`` pass, at most 4096 buckets) so each window
+    task holds about ``max(rows_per_bucket, N / 4096)`` rows.
     """
     n = df.count()
-    buckets = max(1, int(math.ceil(n / rows_per_bucket)))
+    # at most MAX_ROW_ID_BUCKETS quantile buckets (a CASE tree of depth 12); past
+    # that the buckets grow instead, and each window sort spills as needed
+    buckets = min(MAX_ROW_ID_BUCKETS, max(1, int(math.ceil(n / rows_per_bucket))))
     key = F.col(order_col)
     if buckets == 1:
         w = Window.partitionBy(F.lit(0)).orderBy(key)
