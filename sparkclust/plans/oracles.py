@@ -3,8 +3,8 @@
 Iterative operators (K-means steps, K-means++ seeding, EM steps) are unrolled
 into CTE chains by small generators below; full fits are unrolled to their
 ``max_iter`` and the stop rule is found with window flags.  Queries without an
-oracle (``svd_wide``, ``project_wide``, ``em_full``, ``evaluate_em``,
-``prepare``, ``lineitem_*`` fits: eigendecompositions or 64-D densities) are
+oracle (``svd_wide``, ``project_wide``, ``em_full``, ``prepare``,
+``lineitem_*`` fits: eigendecompositions, >2-D densities, Spark row hashes) are
 checked row-count only by the driver and against NumPy in the tests.
 """
 
@@ -339,6 +339,105 @@ def _em_history_sql(max_iter: int = EM_MAX_ITER) -> str:
     )
 
 
+# --- EM evaluation: generic K in 2-D (window log-sum-exp per row) ----------------------------
+
+
+def em2d_init_ctes(prefix: str, src: str, k: int) -> tuple[list[str], str]:
+    kc, seeds = kmeanspp_ctes(f"{prefix}pp", src, k)
+    ctes = kc + [
+        assign_cte(f"{prefix}ia", src, seeds),
+        f"{prefix}p0 AS MATERIALIZED (SELECT cluster, count(*)::DOUBLE / (SELECT count(*) FROM {src}) AS w, avg(f[1]) AS m0, "
+        f"avg(f[2]) AS m1, covar_pop(f[1], f[1]) AS c00, covar_pop(f[1], f[2]) AS c01, covar_pop(f[2], f[2]) AS c11 "
+        f"FROM {prefix}ia GROUP BY cluster)",
+    ]
+    return ctes, f"{prefix}p0"
+
+
+def em2d_step_ctes(out: str, params: str, src: str) -> list[str]:
+    """One EM step for any K: log joint, per-row log-sum-exp by window, softmax, M-step."""
+    return [
+        f"{out}_l AS MATERIALIZED (SELECT e.vec_id, e.f, p.cluster, {LOG_JOINT_2D} AS l FROM {src} e, {params} p)",
+        f"{out}_r AS MATERIALIZED (SELECT vec_id, f, cluster, lse, exp(l - lse) AS r FROM (SELECT *, mx + ln(sum(exp(l - mx)) "
+        f"OVER (PARTITION BY vec_id)) AS lse FROM (SELECT *, max(l) OVER (PARTITION BY vec_id) AS mx FROM {out}_l)))",
+        f"{out} AS MATERIALIZED (SELECT g.cluster, m.nk / (SELECT count(*) FROM {src}) AS w, m.m0, m.m1, "
+        f"sum(g.r * (g.f[1] - m.m0) * (g.f[1] - m.m0)) / m.nk AS c00, "
+        f"sum(g.r * (g.f[1] - m.m0) * (g.f[2] - m.m1)) / m.nk AS c01, "
+        f"sum(g.r * (g.f[2] - m.m1) * (g.f[2] - m.m1)) / m.nk AS c11 "
+        f"FROM {out}_r g JOIN (SELECT cluster, greatest(sum(r), 1e-10) AS nk, sum(r * f[1]) / greatest(sum(r), 1e-10) AS m0, "
+        f"sum(r * f[2]) / greatest(sum(r), 1e-10) AS m1 FROM {out}_r GROUP BY cluster) m ON g.cluster = m.cluster "
+        f"GROUP BY g.cluster, m.nk, m.m0, m.m1)",
+    ]
+
+
+def em2d_fit_ctes(prefix: str, src: str, k: int, max_iter: int = EM_MAX_ITER) -> tuple[list[str], str, str]:
+    """Unrolled EM fit to ``max_iter``; returns (ctes, final-params CTE, iteration-count CTE)."""
+    ctes, prev = em2d_init_ctes(prefix, src, k)
+    hist, fins = [], []
+    for t in range(1, max_iter + 1):
+        cur = f"{prefix}p{t}"
+        ctes += em2d_step_ctes(cur, prev, src)
+        hist.append(
+            f"SELECT {t} AS t, (SELECT sum(lse) FROM {cur}_r WHERE cluster = 0) AS ll, (SELECT sum(sqrt((a.m0 - b.m0) * "
+            f"(a.m0 - b.m0) + (a.m1 - b.m1) * (a.m1 - b.m1))) FROM {prev} a JOIN {cur} b ON a.cluster = b.cluster) AS shift"
+        )
+        fins.append(f"SELECT {t} AS t, * FROM {cur}")
+        prev = cur
+    inf = "'inf'::DOUBLE"
+    ctes += [
+        f"{prefix}h AS MATERIALIZED ({' UNION ALL '.join(hist)})",
+        f"{prefix}f AS (SELECT t, ll, shift, coalesce(abs(ll - lag(ll) OVER (ORDER BY t)), {inf}) AS llc, "
+        f"abs(coalesce(lag(shift, 2) OVER (ORDER BY t), {inf}) - shift) <= {TOL} AS osc FROM {prefix}h)",
+        f"{prefix}g AS (SELECT *, coalesce(bool_or(shift <= {TOL} OR llc <= {TOL} OR osc) OVER (ORDER BY t ROWS BETWEEN "
+        f"UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS stopped FROM {prefix}f)",
+        f"{prefix}it AS MATERIALIZED (SELECT max(t) AS n_iter FROM {prefix}g WHERE NOT stopped)",
+        f"{prefix}fin AS MATERIALIZED (SELECT * EXCLUDE (t) FROM ({' UNION ALL '.join(fins)}) WHERE t = (SELECT n_iter FROM {prefix}it))",
+    ]
+    return ctes, f"{prefix}fin", f"{prefix}it"
+
+
+def silhouette_from(a: str) -> str:
+    """Mean Euclidean Silhouette of CTE ``a`` (vec_id, f, cluster); NULL unless 2 <= clusters <= N-1."""
+    return (
+        f"SELECT CASE WHEN k >= 2 AND k <= n - 1 THEN sil END AS silhouette FROM ("
+        f"SELECT avg(s) AS sil, count(*) AS n, (SELECT count(DISTINCT cluster) FROM {a}) AS k FROM ("
+        f"SELECT x.vec_id, CASE WHEN sz.sz = 1 THEN 0.0 WHEN greatest(coalesce(r.ai, 0), r.bi) = 0 THEN 0.0 "
+        f"ELSE (r.bi - coalesce(r.ai, 0)) / greatest(coalesce(r.ai, 0), r.bi) END AS s FROM {a} x "
+        f"JOIN (SELECT cluster, count(*) AS sz FROM {a} GROUP BY cluster) sz ON x.cluster = sz.cluster "
+        f"LEFT JOIN (SELECT vec_id, max(md) FILTER (WHERE other = own) AS ai, min(md) FILTER (WHERE other <> own) AS bi FROM ("
+        f"SELECT p.vec_id, p.cluster AS own, q.cluster AS other, avg(list_distance(p.f, q.f)) AS md FROM {a} p JOIN {a} q "
+        f"ON p.vec_id <> q.vec_id GROUP BY p.vec_id, p.cluster, q.cluster) GROUP BY vec_id) r ON x.vec_id = r.vec_id))"
+    )
+
+
+def _evaluate_em_sql(ks=(2, 3)) -> str:
+    """Per (k, split): EM fitted on train to its stop rule, predictions, metrics, Silhouette."""
+    ctes = [f"e AS ({E2})"] + split_ctes("e")
+    selects = []
+    for k in ks:
+        p = f"k{k}_"
+        fc, fin, it = em2d_fit_ctes(p, "train", k)
+        ctes += fc
+        for split in ("train", "test"):
+            a = f"{p}{split}_a"
+            ctes.append(
+                f"{a} AS MATERIALIZED (SELECT e.vec_id, e.f, e.label, p.cluster FROM {split} e, {fin} p "
+                f"QUALIFY row_number() OVER (PARTITION BY e.vec_id ORDER BY {LOG_JOINT_2D} DESC, p.cluster) = 1)"
+            )
+            ctes.append(f"{p}{split}_met AS ({metrics_select(f'({counts_select(CLUSTER, LABEL, a)})')})")
+            ctes.append(f"{p}{split}_sil AS ({silhouette_from(a)})")
+            selects.append(
+                f"SELECT {k} AS k, '{split}' AS split, correct, incorrect, tp, tn, fp, fn, "
+                + ", ".join(f"{R(c)} AS {c}" for c in MET)
+                + f", {R('silhouette')} AS silhouette, {R(f'(SELECT n_iter FROM {it})')} AS iterations, "
+                "CASE WHEN silhouette IS NULL THEN 'failed' ELSE 'ok' END AS status "
+                f"FROM {p}{split}_met, {p}{split}_sil"
+            )
+    return with_(*ctes) + " UNION ALL ".join(selects)
+
+
+CLUSTER, LABEL = "cluster", "label"
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["matrix_shape"] = "SELECT count(*)::BIGINT AS n_rows, max(len(embedding))::BIGINT AS n_dims FROM embeddings"
@@ -509,6 +608,7 @@ def build() -> dict[str, str]:
     q["evaluate_k"] = _evaluate_k_sql()
     q["kmeans_fit"] = _kmeans_fit_sql()
     q["em_history"] = _em_history_sql()
+    q["evaluate_em"] = _evaluate_em_sql()
     return q
 
 
