@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from .kmeans import assign_nearest, first_k_seeds, kmeanspp_init, total_shift
 from .moments import batch_matrix, fan_in_for, needs_two_levels, salt_of_task, spread, sum_vectors
 from ..session import ship_package
-from .stats import feature_dim
 
 LOG_2PI = math.log(2.0 * math.pi)
 # Fixed values of the reference M-step and stop rule
@@ -170,10 +169,6 @@ def em_predict(df: DataFrame, model: GaussianMixtureModel, col: str = "features"
 # --- one fused pass ------------------------------------------------------------
 
 
-def _stats_len(dim: int) -> int:
-    return 1 + dim + dim * (dim + 1) // 2 + 2
-
-
 def _pass_fn(dim: int, k: int, col: str, fan_in: int, centers: np.ndarray, factors=None, mode="softmax", seeds=None):
     """Per partition: K partial vectors ``[sum r, sum r x, sum r (x-c)(x-c)^T (upper), LL, rows]``.
 
@@ -386,9 +381,6 @@ def cluster_stats(df: DataFrame, dim: int, col: str = "features", cluster_col: s
     return agg.withColumn("weight", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
 
 
-def assign_hard(df: DataFrame, centroids, col: str = "features") -> DataFrame:
-    return assign_nearest(df, centroids, col)
-
 
 def log_likelihood(df: DataFrame, model: GaussianMixtureModel, col: str = "features") -> DataFrame:
     """One row: ``sum_i logsumexp_k l_ik`` of ``model`` over ``df`` (lazy; Arrow UDF + sum)."""

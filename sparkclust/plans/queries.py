@@ -8,13 +8,12 @@ the whole generated tables.  Fitting steps collect only model-sized results
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vector import dist_to, dists_to
+from ..functions.vector import dists_to
 from ..operators import decompose, evaluate, gaussian, kmeans, sampling, stats
 from ..operators.moments import iterative_input
 from ..sources import matrix

@@ -1,7 +1,5 @@
 import math
 
-from conftest import frame
-
 from sparkclust.operators import evaluate
 
 

@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from sparkclust.operators import decompose, evaluate, gaussian, kmeans, moments, sampling, stats  # noqa: E402
+from sparkclust.operators import evaluate, gaussian, kmeans, moments, sampling, stats  # noqa: E402
 from sparkclust.plans.inputs import load_E, load_E2, load_L  # noqa: E402
 from sparkclust.session import local_session  # noqa: E402
 
