@@ -4,7 +4,8 @@ Iterative operators (K-means steps, K-means++ seeding, EM steps) are unrolled
 into CTE chains by small generators below; full fits are unrolled to their
 ``max_iter`` and the stop rule is found with window flags.  Queries without an
 oracle (``svd_wide``, ``project_wide``, ``em_full``, ``prepare``,
-``lineitem_*`` fits: eigendecompositions, >2-D densities, Spark row hashes) are
+``lineitem_svd``, ``lineitem_kmeans``: eigendecompositions, a 64-D density,
+Spark row hashes) are
 checked row-count only by the driver and against NumPy in the tests.
 """
 
@@ -438,6 +439,88 @@ def _evaluate_em_sql(ks=(2, 3)) -> str:
 CLUSTER, LABEL = "cluster", "label"
 
 
+# --- small-D Gaussian via Cholesky (lateral column aliases), used for lineitem ----------------
+
+
+def _s(i: int, j: int) -> str:
+    return f"s{min(i, j)}{max(i, j)}"
+
+
+def chol_select(d: int) -> str:
+    """Select-list computing Cholesky factor ``l{i}{j}`` and ``logdet`` from ``s{i}{j}`` (i <= j)."""
+    out = []
+    for j in range(d):
+        acc = " - ".join([_s(j, j)] + [f"l{j}{k} * l{j}{k}" for k in range(j)])
+        out.append(f"sqrt({acc}) AS l{j}{j}")
+        for i in range(j + 1, d):
+            acc = " - ".join([_s(i, j)] + [f"l{i}{k} * l{j}{k}" for k in range(j)])
+            out.append(f"({acc}) / l{j}{j} AS l{i}{j}")
+    out.append("2 * (" + " + ".join(f"ln(l{j}{j})" for j in range(d)) + ") AS logdet")
+    return ", ".join(out)
+
+
+def maha_select(d: int, x: str = "e.f", p: str = "p") -> str:
+    """Forward substitution ``y = L^-1 (x - m)``; returns select-list ending with ``maha``."""
+    out = []
+    for i in range(d):
+        acc = " - ".join([f"({x}[{i + 1}] - {p}.m{i})"] + [f"{p}.l{i}{k} * y{k}" for k in range(i)])
+        out.append(f"({acc}) / {p}.l{i}{i} AS y{i}")
+    out.append(" + ".join(f"y{i} * y{i}" for i in range(d)) + " AS maha")
+    return ", ".join(out)
+
+
+def gauss_params_ctes(name: str, d: int, body: str) -> list[str]:
+    """``body`` yields cluster, w, m0..m{d-1}, s{i}{j}; adds the Cholesky columns."""
+    return [f"{name}_raw AS MATERIALIZED ({body})", f"{name} AS MATERIALIZED (SELECT *, {chol_select(d)} FROM {name}_raw)"]
+
+
+def gauss_step_ctes(out: str, params: str, src: str, d: int) -> list[str]:
+    """One EM step (softmax) for rows ``src(rid, f)``; new params named ``out``."""
+    lj = (
+        f"SELECT e.rid, e.f, p.cluster, {maha_select(d)}, "
+        f"ln(p.w) - 0.5 * ({d} * ln(2 * pi()) + p.logdet + maha) AS l FROM {src} e, {params} p"
+    )
+    means = ", ".join(f"sum(r * f[{i + 1}]) / greatest(sum(r), 1e-10) AS m{i}" for i in range(d))
+    covs = ", ".join(
+        f"sum(g.r * (g.f[{i + 1}] - m.m{i}) * (g.f[{j + 1}] - m.m{j})) / m.nk AS s{i}{j}" for i in range(d) for j in range(i, d)
+    )
+    mcols = ", ".join(f"m.m{i}" for i in range(d))
+    body = (
+        f"SELECT g.cluster, m.nk / (SELECT count(*) FROM {src}) AS w, {mcols}, {covs} FROM {out}_r g JOIN "
+        f"(SELECT cluster, greatest(sum(r), 1e-10) AS nk, {means} FROM {out}_r GROUP BY cluster) m ON g.cluster = m.cluster "
+        f"GROUP BY g.cluster, m.nk, {mcols}"
+    )
+    return [
+        f"{out}_l AS MATERIALIZED ({lj})",
+        f"{out}_r AS MATERIALIZED (SELECT rid, f, cluster, exp(l - lse) AS r FROM (SELECT *, mx + ln(sum(exp(l - mx)) "
+        f"OVER (PARTITION BY rid)) AS lse FROM (SELECT *, max(l) OVER (PARTITION BY rid) AS mx FROM {out}_l)))",
+    ] + gauss_params_ctes(out, d, body)
+
+
+def _lineitem_em_sql(steps: int = 3) -> str:
+    d = len(LINEITEM_COLS)
+    zl = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()" for c in LINEITEM_COLS)
+    seeds_vals = ", ".join(f"({i}, [{', '.join(repr(float(v)) for v in s_)}]::DOUBLE[])" for i, s_ in enumerate(LINEITEM_SEEDS))
+    means = ", ".join(f"avg(f[{i + 1}]) AS m{i}" for i in range(d))
+    covs = ", ".join(f"covar_pop(f[{i + 1}], f[{j + 1}]) AS s{i}{j}" for i in range(d) for j in range(i, d))
+    ctes = [
+        f"z AS MATERIALIZED (SELECT row_number() OVER () AS rid, [{zl}] AS f FROM lineitem)",
+        f"sd AS (SELECT * FROM (VALUES {seeds_vals}) t(cluster, c))",
+        "ia AS MATERIALIZED (SELECT z.rid, z.f, sd.cluster FROM z, sd "
+        "QUALIFY row_number() OVER (PARTITION BY z.rid ORDER BY list_distance(z.f, sd.c), sd.cluster) = 1)",
+    ]
+    ctes += gauss_params_ctes("q0", d, f"SELECT cluster, count(*)::DOUBLE / (SELECT count(*) FROM z) AS w, {means}, {covs} FROM ia GROUP BY cluster")
+    prev = "q0"
+    for t in range(1, steps + 1):
+        ctes += gauss_step_ctes(f"q{t}", prev, "z", d)
+        prev = f"q{t}"
+    ctes.append(
+        f"pr AS (SELECT e.rid, p.cluster, {maha_select(d)}, ln(p.w) - 0.5 * ({d} * ln(2 * pi()) + p.logdet + maha) AS l "
+        f"FROM z e, {prev} p QUALIFY row_number() OVER (PARTITION BY e.rid ORDER BY l DESC, p.cluster) = 1)"
+    )
+    return with_(*ctes) + "SELECT cluster::INT AS cluster, count(*)::BIGINT AS n FROM pr GROUP BY cluster"
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["matrix_shape"] = "SELECT count(*)::BIGINT AS n_rows, max(len(embedding))::BIGINT AS n_dims FROM embeddings"
@@ -609,6 +692,7 @@ def build() -> dict[str, str]:
     q["kmeans_fit"] = _kmeans_fit_sql()
     q["em_history"] = _em_history_sql()
     q["evaluate_em"] = _evaluate_em_sql()
+    q["lineitem_em"] = _lineitem_em_sql()
     return q
 
 
