@@ -45,6 +45,19 @@ def load_L(spark: SparkSession, sf_dir: str, keep: tuple = ()) -> DataFrame:
     return li.select(*keep, F.array(*[F.col(c).cast("double") for c in LINEITEM_COLS]).alias("features"))
 
 
+# Fixed values of the lineitem content id shared with the SQL oracle:
+# id = integer of the first 13 hex digits of md5 of
+#   "l_orderkey|l_partkey|l_suppkey|l_linenumber|round(100*l_quantity)|round(100*l_extendedprice)|round(100*l_discount)|round(100*l_tax)"
+LINEITEM_ID_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
+def lineitem_row_id():
+    """Layout-independent content id of a lineitem row (lineitem has no unique key)."""
+    parts = [F.col(c).cast("bigint").cast("string") for c in LINEITEM_ID_KEYS]
+    parts += [F.round(F.col(c) * 100).cast("bigint").cast("string") for c in LINEITEM_COLS]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 13), 16, 10).cast("bigint")
+
+
 def load_LB(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, label = quality, cluster = toxic`` (prediction column)."""
     lb = table(spark, sf_dir, "labels")

@@ -4,14 +4,13 @@ Iterative operators (K-means steps, K-means++ seeding, EM steps) are unrolled
 into CTE chains by small generators below; full fits are unrolled to their
 ``max_iter`` and the stop rule is found with window flags.  Queries without an
 oracle (``svd_wide``, ``project_wide``, ``em_full``, ``prepare``,
-``lineitem_svd``, ``lineitem_kmeans``: eigendecompositions, a 64-D density,
-Spark row hashes) are
+``lineitem_svd``: eigendecompositions or a 64-D density) are
 checked row-count only by the driver and against NumPy in the tests.
 """
 
 from __future__ import annotations
 
-from .inputs import LINEITEM_COLS, LINEITEM_SEEDS, SEED, TEST_FRAC
+from .inputs import LINEITEM_COLS, LINEITEM_ID_KEYS, LINEITEM_SEEDS, SEED, TEST_FRAC
 
 E = "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS f, CASE WHEN label = 1 THEN 1 ELSE 0 END AS label FROM embeddings"
 E2 = (
@@ -521,6 +520,34 @@ def _lineitem_em_sql(steps: int = 3) -> str:
     return with_(*ctes) + "SELECT cluster::INT AS cluster, count(*)::BIGINT AS n FROM pr GROUP BY cluster"
 
 
+def _lineitem_kmeans_sql(k: int = 3, max_iter: int = 20) -> str:
+    """K-means++ + Lloyd on z-scored lineitem to the stop rule; rows per final cluster.
+
+    The final centroids are those of the last executed pass (an uncounted
+    equal-shift pass still replaces them)."""
+    parts = [f"{c}::BIGINT" for c in LINEITEM_ID_KEYS] + [f"round(100 * {c})::BIGINT" for c in LINEITEM_COLS]
+    rid = f"('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 13))::BIGINT"
+    zl = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()" for c in LINEITEM_COLS)
+    kc, seeds = kmeanspp_ctes("pp", "z", k)
+    lc, _ = lloyd_ctes("l", "z", seeds, max_iter)
+    prev = [seeds] + [f"lc{t}" for t in range(1, max_iter)]
+    shifts = " UNION ALL ".join(
+        f"SELECT {t} AS t, (SELECT sum(list_distance(a.c, b.c)) FROM {prev[t - 1]} a JOIN lc{t} b ON a.cluster = b.cluster) AS change"
+        for t in range(1, max_iter + 1)
+    )
+    cents = " UNION ALL ".join(f"SELECT {t} AS t, cluster, c FROM lc{t}" for t in range(1, max_iter + 1))
+    return with_(
+        f"z AS MATERIALIZED (SELECT {rid} AS vec_id, [{zl}] AS f, 0 AS label FROM lineitem)",
+        *kc, *lc,
+        f"sh AS MATERIALIZED ({shifts})",
+        f"fl AS (SELECT t, change = lag(change, 1, 0.0) OVER (ORDER BY t) OR change <= {TOL} AS stop FROM sh)",
+        "ex AS (SELECT max(t) AS last FROM (SELECT t, coalesce(bool_or(stop) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED "
+        "PRECEDING AND 1 PRECEDING), false) AS stopped FROM fl) WHERE NOT stopped)",
+        f"fin AS MATERIALIZED (SELECT cluster, c FROM ({cents}) WHERE t = (SELECT last FROM ex))",
+        assign_cte("fa", "z", "fin"),
+    ) + "SELECT cluster::INT AS cluster, count(*)::BIGINT AS n FROM fa GROUP BY cluster"
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["matrix_shape"] = "SELECT count(*)::BIGINT AS n_rows, max(len(embedding))::BIGINT AS n_dims FROM embeddings"
@@ -693,6 +720,7 @@ def build() -> dict[str, str]:
     q["em_history"] = _em_history_sql()
     q["evaluate_em"] = _evaluate_em_sql()
     q["lineitem_em"] = _lineitem_em_sql()
+    q["lineitem_kmeans"] = _lineitem_kmeans_sql()
     return q
 
 

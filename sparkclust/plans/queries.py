@@ -26,6 +26,7 @@ from .inputs import (
     load_E2,
     load_E_nan,
     load_L,
+    lineitem_row_id,
     load_LB,
     rnd,
     sig9,
@@ -440,10 +441,9 @@ def q_prepare(spark, d):
 
 
 def q_lineitem_kmeans(spark, d):
-    # lineitem has no unique key: a content hash of the whole row is a
-    # layout-independent id (identical rows share it, and their features)
-    cols = table(spark, d, "lineitem").columns
-    li = load_L(spark, d, keep=(F.xxhash64(*[F.col(c) for c in cols]).alias("id"),))
+    # lineitem has no unique key: a content id makes the seeding independent
+    # of file layout and partitioning (identical rows share it and their features)
+    li = load_L(spark, d, keep=(lineitem_row_id().alias("id"),))
     z, _ = stats.fit_standardize(li, len(LINEITEM_COLS))
     m = kmeans.kmeans_fit(z, 3, "k-means++", SEED, max_iter=20)
     return m.transform(z).groupBy("cluster").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
