@@ -3,8 +3,8 @@
 Iterative operators (K-means steps, K-means++ seeding, EM steps) are unrolled
 into CTE chains by small generators below; full fits are unrolled to their
 ``max_iter`` and the stop rule is found with window flags.  Queries without an
-oracle (``svd_wide``, ``project_wide``, ``em_full``, ``prepare``,
-``lineitem_svd``: eigendecompositions or a 64-D density) are
+oracle (``svd_wide``, ``project_wide``, ``em_full``, ``prepare``: 64-D
+eigendecompositions or densities) are
 checked row-count only by the driver and against NumPy in the tests.
 """
 
@@ -548,6 +548,60 @@ def _lineitem_kmeans_sql(k: int = 3, max_iter: int = 20) -> str:
     ) + "SELECT cluster::INT AS cluster, count(*)::BIGINT AS n FROM fa GROUP BY cluster"
 
 
+# --- small symmetric eigenvalues by cyclic Jacobi rotations (one CTE per rotation) ---------
+
+
+def _a(i: int, j: int) -> str:
+    return f"a{min(i, j)}{max(i, j)}"
+
+
+def jacobi_ctes(src: str, d: int, sweeps: int = 10) -> tuple[list[str], str]:
+    """Eigenvalues of the symmetric matrix in one-row CTE ``src`` (columns a{i}{j}, i <= j)."""
+    ctes, prev, n = [], src, 0
+    cols = [_a(i, j) for i in range(d) for j in range(i, d)]
+    for _ in range(sweeps):
+        for p in range(d):
+            for q in range(p + 1, d):
+                n += 1
+                apq, app, aqq = _a(p, q), _a(p, p), _a(q, q)
+                theta = f"({aqq} - {app}) / (2 * {apq})"
+                t = (f"CASE WHEN {apq} = 0 THEN 0.0 ELSE (CASE WHEN {theta} >= 0 THEN 1.0 ELSE -1.0 END) / "
+                     f"(abs({theta}) + sqrt({theta} * {theta} + 1)) END")
+                new = {app: f"{app} - t * {apq}", aqq: f"{aqq} + t * {apq}", apq: "0.0"}
+                for r in range(d):
+                    if r in (p, q):
+                        continue
+                    new[_a(r, p)] = f"c * {_a(r, p)} - s * {_a(r, q)}"
+                    new[_a(r, q)] = f"s * {_a(r, p)} + c * {_a(r, q)}"
+                sel = ", ".join(f"{new.get(c, c)} AS {c}" for c in cols)
+                ctes.append(
+                    f"jr{n} AS MATERIALIZED (SELECT {sel} FROM (SELECT *, t * c AS s FROM (SELECT *, 1 / sqrt(t * t + 1) AS c FROM "
+                    f"(SELECT *, {t} AS t FROM {prev}))))"
+                )
+                prev = f"jr{n}"
+    return ctes, prev
+
+
+def _lineitem_svd_sql() -> str:
+    d = len(LINEITEM_COLS)
+    corr = ", ".join(
+        (f"1.0::DOUBLE AS {_a(i, j)}" if i == j else f"corr({LINEITEM_COLS[i]}, {LINEITEM_COLS[j]}) AS {_a(i, j)}")
+        for i in range(d) for j in range(i, d)
+    )
+    jc, fin = jacobi_ctes("cm", d)
+    diag = " UNION ALL ".join(f"SELECT {_a(i, i)} AS lam FROM {fin}" for i in range(d))
+    return with_(
+        f"cm AS MATERIALIZED (SELECT {corr} FROM lineitem)",
+        *jc,
+        f"ev AS (SELECT row_number() OVER (ORDER BY lam DESC) AS k, greatest(lam, 0.0) AS lam FROM ({diag}))",
+        "nn AS (SELECT count(*) AS n FROM lineitem)",
+        "pv AS (SELECT k, sqrt((SELECT n FROM nn) * lam) AS sv, 100 * lam / sum(lam) OVER () AS pct FROM ev)",
+    ) + (
+        f"SELECT k::BIGINT AS k, {R('sv')} AS singular_value, {R('pct')} AS pct_variance, "
+        f"{R('sum(pct) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')} AS cum_pct FROM pv"
+    )
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["matrix_shape"] = "SELECT count(*)::BIGINT AS n_rows, max(len(embedding))::BIGINT AS n_dims FROM embeddings"
@@ -721,6 +775,7 @@ def build() -> dict[str, str]:
     q["evaluate_em"] = _evaluate_em_sql()
     q["lineitem_em"] = _lineitem_em_sql()
     q["lineitem_kmeans"] = _lineitem_kmeans_sql()
+    q["lineitem_svd"] = _lineitem_svd_sql()
     return q
 
 
