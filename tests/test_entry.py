@@ -6,7 +6,8 @@ from conftest import SF01
 import __spark_entry__ as entry
 
 FAST = ["matrix_shape", "split_exact", "kmeanspp_init", "assign_nearest", "dunn_index", "silhouette",
-        "confusion", "classification_metrics", "em_2iter", "singular_values", "covariance_wide", "standardize_columns"]
+        "confusion", "classification_metrics", "em_2iter", "singular_values", "covariance_wide", "standardize_columns",
+        "lineitem_svd", "lineitem_em"]
 
 
 def test_entry_runs(spark):
