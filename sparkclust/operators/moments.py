@@ -143,8 +143,37 @@ def gram_partials_fn(dim: int, center: Sequence[float] | None, col: str, fan_in:
     return fn
 
 
+# Up to this width the Gram matrix is one JVM aggregate of D(D+1)/2 product sums
+JVM_GRAM_DIM = 16
+
+
+def _gram_jvm(df: DataFrame, dim: int, col: str, center: Sequence[float] | None):
+    """Narrow form: count, D sums and D(D+1)/2 product sums in one code-generated aggregate."""
+    c = f"`{col}`"
+    if center is None:
+        x = [f"{c}[{i}]" for i in range(dim)]
+    else:
+        x = [f"({c}[{i}] - ({float(v)!r}D))" for i, v in enumerate(center)]
+    exprs = ["count(1)"] + [f"sum({xi})" for xi in x] + [f"sum({x[i]} * {x[j]})" for i in range(dim) for j in range(i, dim)]
+    row = df.where(F.col(col).isNotNull()).agg(F.expr("array(" + ", ".join(f"CAST({e} AS DOUBLE)" for e in exprs) + ")").alias("v")).first()
+    vec = np.asarray([0.0 if v is None else v for v in row["v"]], dtype=np.float64)
+    n = int(round(vec[0]))
+    if n == 0:
+        raise ValueError("empty input")
+    s = vec[1 : 1 + dim]
+    g = np.zeros((dim, dim))
+    g[np.triu_indices(dim)] = vec[1 + dim :]
+    return n, s, g + np.triu(g, 1).T
+
+
 def gram(df: DataFrame, dim: int, col: str = "features", center: Sequence[float] | None = None):
-    """``(n, sum, G)`` with ``G = sum (x-c)(x-c)^T`` over all rows, computed on executors."""
+    """``(n, sum, G)`` with ``G = sum (x-c)(x-c)^T`` over all rows, computed on executors.
+
+    Narrow vectors use one JVM aggregate; wider ones per-partition NumPy
+    partials (``mapInArrow``) and the two-level vector tree-sum.
+    """
+    if dim <= JVM_GRAM_DIM:
+        return _gram_jvm(df, dim, col, center)
     ship_package(df.sparkSession)
     df = df.select(col)
     fan = fan_in_for(df)

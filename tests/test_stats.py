@@ -85,3 +85,14 @@ def test_vector_stats_path_equals_scalar_path(spark, monkeypatch):
     off = e.withColumn("features", F.transform("features", lambda x: x + F.lit(1e6)))
     w2 = stats.fit_column_stats(off, 64)
     assert np.allclose(w2.std, narrow.std, rtol=1e-6)
+
+
+def test_gram_jvm_path_equals_arrow_path(spark, monkeypatch):
+    e = load_E(spark, SF01).selectExpr("id", "slice(features, 1, 8) AS features")
+    center = [0.01 * i for i in range(8)]
+    a = moments.gram(e, 8, center=center)
+    monkeypatch.setattr(moments, "JVM_GRAM_DIM", 0)
+    b = moments.gram(e, 8, center=center)
+    assert a[0] == b[0]
+    assert np.allclose(a[1], b[1], rtol=1e-12, atol=1e-14)
+    assert np.allclose(a[2], b[2], rtol=1e-12, atol=1e-14)
