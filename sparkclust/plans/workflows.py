@@ -9,6 +9,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,13 +18,24 @@ from pyspark.sql import functions as F
 from ..operators import decompose, evaluate, gaussian, kmeans, sampling, stats
 
 
+def imputed_stats(obs: stats.ColumnStats) -> stats.ColumnStats:
+    """Stats of the mean-imputed matrix, derived from the NaN-aware pass (no second scan).
+
+    Imputed cells equal the column mean, so the mean is unchanged and the
+    population variance becomes ``var_observed * count / N``.
+    """
+    n = obs.n
+    std = [s * math.sqrt(c / n) if n and c else 0.0 for s, c in zip(obs.std, obs.count)]
+    return stats.ColumnStats(n=n, count=[n] * obs.dim, mean=list(obs.mean), std=std)
+
+
 def prepare(df: DataFrame, k: int, frac: float | None = None, n_test: int | None = None, seed: int = 42,
             col: str = "features") -> DataFrame:
     """``id, features (K principal-component scores), label, split``."""
     dim = stats.feature_dim(df, col)
-    means = stats.column_means(df, dim, col)
-    imp = stats.impute_mean(df, means, col)
-    z, _ = stats.fit_standardize(imp, dim, col)
+    obs = stats.fit_column_stats(df, dim, col)
+    imp = stats.impute_mean(df, obs.mean, col)
+    z = stats.standardize(imp, imputed_stats(obs), col)
     model = decompose.svd(z, dim, col)
     proj = decompose.project(z, model, k, col)
     return sampling.split_exact(proj, n_test=n_test, frac=frac, seed=seed)

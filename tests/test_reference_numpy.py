@@ -161,3 +161,15 @@ def test_evaluate_em_consistent(spark):
     for r in rows:
         assert r.status in ("ok", "failed")
         assert r.silhouette is None or -1.0 <= r.silhouette <= 1.0
+
+
+def test_imputed_stats_equal_second_pass(spark):
+    from sparkclust.plans.inputs import load_E_nan
+    from sparkclust.plans.workflows import imputed_stats
+
+    e = load_E_nan(spark, SF01)
+    obs = stats.fit_column_stats(e, 64)
+    derived = imputed_stats(obs)
+    second = stats.fit_column_stats(stats.impute_mean(e, obs.mean), 64)
+    assert np.allclose(derived.mean, second.mean, atol=1e-15)
+    assert np.allclose(derived.std, second.std, rtol=1e-10)
