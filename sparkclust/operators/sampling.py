@@ -32,23 +32,32 @@ def with_draw(df: DataFrame, seed: int, step: int = 0, id_col: str = "id", out:
     return df.withColumn(out, draw_u(seed, step, id_col))
 
 
-def _cut_of_smallest(df: DataFrame, u: Column, id_col: str, n: int):
+def _cut_of_smallest(df: DataFrame, u: Column, id_col: str, n: int | None, frac: float | None = None):
     """Exact ``(u, id)`` of the n-th smallest row by ``(u, id)``, or None if n >= rows.
 
+    With ``frac`` instead of ``n``, ``n = floor(frac * N)`` where N is the
+    total of the first histogram (no separate count pass).  Returns
+    ``(cut, n)``; ``cut`` is None when n is 0 or covers every row.
+
     Each level counts rows per bucket ``floor((u - lo) / w)`` (clipped to the
     bucket range) and the next level keeps exactly the rows of the chosen
     bucket by the SAME expression, so counts and filters agree bit for bit.
     """
     lo, width = 0.0, 1.0 / HIST_BUCKETS
     remaining = n
+    first = True
     sub = df.select(u.alias("_u"), F.col(id_col).alias("_id"))
     while True:
         raw = F.floor((F.col("_u") - F.lit(lo)) / F.lit(width))
         b = F.least(F.greatest(raw, F.lit(0)), F.lit(HIST_BUCKETS - 1)).cast("int")
         hist = sorted((r["b"], r["c"]) for r in sub.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
         total = sum(c for _, c in hist)
-        if remaining > total:
-            return None
+        if first:  # the first histogram covers every row: total = N
+            if remaining is None:
+                remaining = n = int(math.floor(frac * total))
+            if remaining <= 0 or remaining >= total:
+                return None, n
+            first = False
         if total <= EXACT_SMALL or width < 1e-300:
             row = (
                 sub.orderBy("_u", "_id")
@@ -56,7 +65,7 @@ def _cut_of_smallest(df: DataFrame, u: Column, id_col: str, n: int):
                 .agg(F.max_by(F.struct("_u", "_id"), F.struct("_u", "_id")).alias("m"))
                 .first()["m"]
             )
-            return row["_u"], row["_id"]
+            return (row["_u"], row["_id"]), n
         cum = 0
         for bucket, c in hist:
             if cum + c >= remaining:
@@ -79,18 +88,16 @@ def split_exact(
 
     Give ``n_test`` directly or ``frac`` (``n_test = floor(frac * N)``).
     """
-    if n_test is None:
-        if frac is None:
-            raise ValueError("give n_test or frac")
-        n_test = int(math.floor(frac * df.count()))
-    if n_test < 0:
+    if n_test is None and frac is None:
+        raise ValueError("give n_test or frac")
+    if n_test is not None and n_test < 0:
         raise ValueError("n_test must be >= 0")
     u = draw_u(seed, 0, id_col)
     if n_test == 0:
         return df.withColumn(out, F.lit("train"))
-    cut = _cut_of_smallest(df, u, id_col, n_test)
+    cut, n_test = _cut_of_smallest(df, u, id_col, n_test, frac)
     if cut is None:
-        return df.withColumn(out, F.lit("test"))
+        return df.withColumn(out, F.lit("test" if n_test > 0 else "train"))
     cu, cid = cut
     is_test = (u < F.lit(cu)) | ((u == F.lit(cu)) & (F.col(id_col) <= F.lit(cid)))
     return df.withColumn(out, F.when(is_test, "test").otherwise("train"))

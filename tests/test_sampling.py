@@ -67,3 +67,13 @@ def test_kmeanspp_carried_state_equals_recompute(spark, monkeypatch):
     monkeypatch.setattr(kmeans, "RECOMPUTE_SEEDS", 100)
     b = kmeans.kmeanspp_init(e, 10, seed=5)
     assert a[0] == b[0]
+
+
+def test_split_exact_edges(spark):
+    e = load_E(spark, SF01)
+    n = e.count()
+    assert sampling.split_exact(e, n_test=0).where("split = 'test'").count() == 0
+    assert sampling.split_exact(e, n_test=n).where("split = 'test'").count() == n
+    assert sampling.split_exact(e, n_test=n + 5).where("split = 'test'").count() == n
+    assert sampling.split_exact(e, frac=0.0).where("split = 'test'").count() == 0
+    assert sampling.split_exact(e, frac=1.0).where("split = 'test'").count() == n
