@@ -431,6 +431,21 @@ def q_evaluate_em(spark, d):
     return evaluate_em(load_E2(spark, d), ks=(2, 3), frac=TEST_FRAC, seed=SEED)
 
 
+def _projected(spark, d):
+    """The reference study's input: embeddings projected onto 40 principal components."""
+    return prepare(load_E(spark, d), k=40, frac=TEST_FRAC, seed=SEED).drop("split")
+
+
+def q_kmeans_projected(spark, d):
+    """K-means (k = 2, 3; K-means++, full stop rule) on the 40-PC projection, scored on train and test."""
+    return evaluate_kmeans(_projected(spark, d), ks=(2, 3), steps=None, frac=TEST_FRAC, seed=SEED, init="k-means++")
+
+
+def q_em_projected(spark, d):
+    """Gaussian-mixture EM (k = 2, 3) on the 40-PC projection, scored on train and test."""
+    return evaluate_em(_projected(spark, d), ks=(2, 3), frac=TEST_FRAC, seed=SEED)
+
+
 def q_prepare(spark, d):
     p = prepare(load_E(spark, d), k=40, frac=TEST_FRAC, seed=SEED)
     norm = F.sqrt(F.aggregate(F.col("features"), F.lit(0.0), lambda a, x: a + x * x))
@@ -517,6 +532,8 @@ QUERIES: dict[str, Query] = {
     "evaluate_k": q_evaluate_k,
     "evaluate_em": q_evaluate_em,
     "prepare": q_prepare,
+    "kmeans_projected": q_kmeans_projected,
+    "em_projected": q_em_projected,
     "lineitem_kmeans": q_lineitem_kmeans,
     "lineitem_em": q_lineitem_em,
     "lineitem_svd": q_lineitem_svd,
