@@ -18,16 +18,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vector import argmin, dist_to, dists_to
+from ..functions.vector import UNROLL_LIMIT, argmin, dist_to, dists_to
+from ..session import cut_lineage, ship_package
+from .moments import FAN_IN, batch_matrix, needs_two_levels, salt_of_task, spread, sum_vectors
 from .sampling import uniform_pick, weighted_pick
-from ..session import cut_lineage
-from .moments import spread
 from .stats import feature_dim
 
 
@@ -134,17 +135,63 @@ def cluster_means_frame(assigned: DataFrame, dim: int, col: str = "features", cl
     return assigned.groupBy(cluster_col).agg(F.count(F.lit(1)).cast("bigint").alias("n"), mean.alias("mean"))
 
 
+def _lloyd_partials_fn(centroids, dim: int, col: str, fan_in: int):
+    """mapInArrow function: nearest centroid per row (exact squared differences,
+    ties to the lowest id) and per-cluster ``[count, sum x]`` for the partition."""
+    c = np.asarray(centroids, dtype=np.float64)
+    k = len(c)
+
+    def fn(batches):
+        n = np.zeros(k)
+        sx = np.zeros((k, dim))
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            x = batch_matrix(b, col, dim)
+            d2 = np.empty((x.shape[0], k))
+            for j in range(k):
+                diff = x - c[j]
+                d2[:, j] = np.einsum("ij,ij->i", diff, diff)
+            a = np.argmin(d2, axis=1)
+            for j in range(k):
+                m = a == j
+                n[j] += m.sum()
+                sx[j] += x[m].sum(axis=0)
+        if n.sum() == 0:
+            return
+        salt = salt_of_task(fan_in)
+        yield pa.RecordBatch.from_pydict(
+            {"k": list(range(k)), "salt": [salt] * k, "v": [np.concatenate([[n[j]], sx[j]]).tolist() for j in range(k)]},
+            schema=pa.schema([("k", pa.int32()), ("salt", pa.int32()), ("v", pa.list_(pa.float64()))]),
+        )
+
+    return fn
+
+
 def lloyd_update(df: DataFrame, centroids, dim: int, col: str = "features"):
     """One job: assign to ``centroids`` and return (new centroids, counts).
 
-    A cluster that receives no rows keeps its old centroid and its id.
+    Narrow K x D runs as a code-generated projection + ``groupBy(cluster)``.
+    Wider models (where JVM distances would be interpreted lambdas) use one
+    ``mapInArrow`` pass with NumPy distances and per-partition cluster sums,
+    tree-summed like the EM statistics.  A cluster that receives no rows
+    keeps its old centroid and its id.
     """
-    rows = cluster_means_frame(assign_nearest(df, centroids, col), dim, col).collect()
     new = [list(c) for c in centroids]
     counts = [0] * len(centroids)
-    for r in rows:
-        new[r["cluster"]] = [float(v) for v in r["mean"]]
-        counts[r["cluster"]] = int(r["n"])
+    if len(centroids) * dim <= UNROLL_LIMIT:
+        for r in cluster_means_frame(assign_nearest(df, centroids, col), dim, col).collect():
+            new[r["cluster"]] = [float(v) for v in r["mean"]]
+            counts[r["cluster"]] = int(r["n"])
+        return new, counts
+    ship_package(df.sparkSession)
+    src = df.select(col).where(F.col(col).isNotNull())
+    parts = src.mapInArrow(_lloyd_partials_fn(centroids, dim, col, FAN_IN), "k int, salt int, v array<double>")
+    for r in sum_vectors(parts, "v", keys=["k"], two_level=needs_two_levels(src)).collect():
+        v = np.asarray(r["v"], dtype=np.float64)
+        if v[0] > 0:
+            new[r["k"]] = list(map(float, v[1:] / v[0]))
+            counts[r["k"]] = int(round(v[0]))
     return new, counts
 
 
