@@ -38,6 +38,10 @@ def main() -> None:
         "assign_nearest (K=3, D=64)": kmeans.assign_nearest(e, seeds),
         "Lloyd step: cluster means (D=64)": kmeans.cluster_means_frame(kmeans.assign_nearest(e, seeds), 64),
         "Lloyd step: cluster means (D=4)": kmeans.cluster_means_frame(kmeans.assign_nearest(z, [[0.0] * 4, [1.0] * 4]), 4),
+        "Lloyd step, wide model (Arrow)": moments.sum_vectors(
+            e.select("features").mapInArrow(kmeans._lloyd_partials_fn(seeds, 64, "features", 1024), "k int, salt int, v array<double>"),
+            "v", keys=["k"], two_level=False,
+        ),
         "Gram partials + tree sum": moments.sum_vectors(
             z.mapInArrow(moments.gram_partials_fn(4, None, "features", 1024), "salt int, v array<double>"), "v", two_level=True
         ),
