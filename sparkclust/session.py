@@ -80,5 +80,9 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(zpath)
+    try:
+        sc.addPyFile(zpath)
+    except Exception as ex:  # already registered by an earlier import of this module
+        if "already" not in str(ex):
+            raise
     _SHIPPED.add(key)
