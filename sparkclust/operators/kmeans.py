@@ -2,13 +2,16 @@
 
 * ``assign_nearest`` is a narrow projection: distances to K literal centroids,
   arg-min with ties to the lowest cluster id.  No join, no shuffle.
-* One Lloyd iteration is ONE Spark job: assignment + ``groupBy(cluster)`` with
-  count and per-coordinate averages.  Partial aggregation runs map-side, so the
-  shuffle carries K rows per partition, whatever the cluster sizes (a cluster
-  holding a third of the rows costs nothing extra).
-* Seeding is K small jobs, each a scan + top-1 (``orderBy(key).limit(1)``);
-  the running minimum distance is recomputed from the chosen seeds (literals),
-  so the plan never grows and no state column is materialised.
+* One Lloyd iteration is ONE Spark job.  Narrow models: code-generated
+  assignment + ``groupBy(cluster)`` with count and per-coordinate averages.
+  Wide models: one ``mapInArrow`` pass (NumPy distances, per-cluster sums per
+  partition) + a keyed vector tree-sum.  Either way the shuffle carries K rows
+  per partition, whatever the cluster sizes (a cluster holding a third of the
+  rows costs nothing extra).
+* Seeding is K small jobs, each a scan + top-1 (``orderBy(key).limit(1)``).
+  For small K the running minimum distance is recomputed from the chosen
+  seeds (literals); for larger K a ``min_d`` column is carried with periodic
+  reliable checkpoints.
 * The input is persisted (MEMORY_AND_DISK) for the loop; lost blocks are
   recomputed from the source by lineage, which stays one scan deep.
 """
@@ -31,7 +34,6 @@ from .moments import FAN_IN, batch_matrix, needs_two_levels, salt_of_task, sprea
 from .sampling import uniform_pick, weighted_pick
 from .stats import feature_dim
 
-
 # Up to this width, per-coordinate aggregates are cheaper than a vector aggregate
 SMALL_DIM = 16
 
