@@ -1 +1 @@
-
+"""Composite flows, registered queries and their DuckDB oracles."""

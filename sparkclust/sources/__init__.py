@@ -1 +1 @@
-
+"""Matrix readers and writers (CSV / Parquet)."""

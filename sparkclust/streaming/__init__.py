@@ -1 +1 @@
-
+"""Scoring streams of new rows with fitted models."""
