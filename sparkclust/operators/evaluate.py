@@ -76,7 +76,14 @@ def metrics_report(metrics: DataFrame) -> DataFrame:
     """Long ``(metric, value)`` text rows as printed by the reference programs."""
 
     def pct(x):
-        return F.concat(F.format_string("%.2f", F.round(x, 2)), F.lit("%"))
+        # Python-style text for the special values: inf, -inf, nan
+        txt = (
+            F.when(F.isnan(x), F.lit("nan"))
+            .when(x == float("inf"), F.lit("inf"))
+            .when(x == float("-inf"), F.lit("-inf"))
+            .otherwise(F.format_string("%.2f", F.round(x, 2)))
+        )
+        return F.concat(txt, F.lit("%"))
 
     rows = [
         ("Accuracy", pct(F.col("accuracy"))),

@@ -41,3 +41,12 @@ def test_metrics_report_format(spark):
     assert d["Accuracy"] == "66.67%"
     assert d["True Positives"] == "1"
     assert d["F1 Score"] == "66.67%"
+
+
+def test_metrics_report_special_values(spark):
+    rep = evaluate.metrics_report(evaluate.classification_metrics(_pred(spark, [(0, 0), (0, 0)]))).collect()
+    d = {r.metric: r.value for r in rep}
+    assert d["True Positive Rate (sensitivity)"] == "inf%"
+    assert d["Positive Prediction Value (precision)"] == "inf%"
+    assert d["F1 Score"] == "nan%"
+    assert d["Accuracy"] == "100.00%"
