@@ -22,13 +22,18 @@ def read_matrix(
     fmt: str = "csv",
     header: bool = True,
     partitions: int | None = None,
+    id_mode: str = "parse",
 ) -> DataFrame:
     """Read a numeric matrix: first column id, last column label, the rest features.
 
-    Cells that do not parse as numbers (text ids, junk, empty cells) become
-    NULL; the header line is skipped by the reader.  A missing path raises
-    Spark's ``PATH_NOT_FOUND`` error.
+    Cells that do not parse as numbers (junk, empty cells) become NULL; the
+    header line is skipped by the reader.  A missing path raises Spark's
+    ``PATH_NOT_FOUND`` error.  ``id_mode="parse"`` reads the id as a number
+    (text ids become NULL); ``id_mode="hash"`` derives a 52-bit id from the id
+    text (first 13 hex digits of its md5), for files whose ids are names.
     """
+    if id_mode not in ("parse", "hash"):
+        raise ValueError("id_mode must be 'parse' or 'hash'")
     if fmt == "parquet":
         raw = spark.read.parquet(path)
     else:
@@ -41,8 +46,12 @@ def read_matrix(
     def num(c: str) -> Column:
         return F.col(f"`{c}`").try_cast("double")
 
+    if id_mode == "hash":
+        rid = F.conv(F.substring(F.md5(F.trim(F.col(f"`{id_c}`"))), 1, 13), 16, 10).cast("bigint")
+    else:
+        rid = num(id_c).cast("bigint")
     out = raw.select(
-        num(id_c).cast("bigint").alias("id"),
+        rid.alias("id"),
         F.array(*[num(c) for c in feat_c]).alias("features"),
         num(label_c).cast("int").alias("label"),
     )

@@ -69,3 +69,11 @@ def test_write_vector_one_per_line(spark, tmp_path):
     matrix.write_vector(df, out, "singular_value")
     lines = [r.value for r in spark.read.text(out).collect()]
     assert sorted(lines) == sorted(["338.8274", "3.1416", "2.3929"])
+
+
+def test_read_matrix_text_ids_hash(spark, tmp_path):
+    p = tmp_path / "raw.csv"
+    p.write_text('"",X1,X2,y\n"X21.V1.791",1.5,2.5,4\n"X15.V1.924",3.0,4.0,1\n')
+    rows = matrix.read_matrix(spark, str(p), id_mode="hash").collect()
+    assert all(r.id is not None for r in rows) and len({r.id for r in rows}) == 2
+    assert sorted(r.label for r in rows) == [1, 4]
