@@ -53,9 +53,13 @@ def test_pairwise_summary_blocks(spark):
     np.fill_diagonal(d, np.inf)
     near = d.argmin(1)
     got = {r.id: r for r in evaluate.pairwise_summary(a, block_rows=70).collect()}
+    full = _brute(x)
+    np.fill_diagonal(full, np.nan)
     for i in range(0, len(x), 37):
         r = got[int(ids[i])]
         assert r.nearest_id == ids[near[i]] and np.isclose(r.nearest_dist, d[i, near[i]], atol=1e-9)
+        assert np.isclose(r.farthest_dist, np.nanmax(full[i]), atol=1e-9)
+        assert np.isclose(r.mean_dist, np.nanmean(full[i]), atol=1e-9)
 
 
 def test_single_cluster_gives_null(spark):
