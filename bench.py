@@ -46,6 +46,9 @@ HEADLINE = [
     "em_full",
     "evaluate_k",
     "prepare",
+    # the reference study: 40 principal components, K-means and EM for k = 2, 3
+    "kmeans_projected",
+    "em_projected",
     "confusion",
     "classification_metrics",
 ]
