@@ -1,11 +1,17 @@
-"""The corpus pipeline: documents through the operators of ``sparkclust.llm``, stage by stage."""
+"""The corpus pipeline: documents through the operators of ``sparkclust.llm``, stage by stage.
+
+Every stage works on all rows of its predecessor and returns the columns of
+``documents``; the last one returns the mix.  Null ids and texts pass through
+all stages: a null or empty text fails the quality rules.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkclust.llm import quality_rules
-from sparkclust.llm.common import stored, table
+from sparkclust.llm import bag_minhash, cube_mixing, decontaminate, quality_rules, secret_scan
+from sparkclust.llm.common import ship_package, stored, table
 
 #: Columns of ``documents``, which every stage but the last returns.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -17,11 +23,42 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality_rules.judge(docs.select(*COLUMNS), rules).where("kept").select(*COLUMNS)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup (5): of each class the document with the least id stays, once."""
+    ship_package(spark)
+    docs = docs.select(*COLUMNS)
+    kept = bag_minhash.near_duplicates(docs).where("kept").select(F.col("row_key").alias("_key")).distinct()
+    chosen = docs.withColumn("_key", bag_minhash.row_key()).join(kept, "_key", "left_semi")
+    return chosen.dropDuplicates(["_key"]).select(*COLUMNS)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination (9): documents that hold a benchmark item go."""
+    return decontaminate.clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans (1): every span found is replaced in the text; no document goes."""
+    docs = docs.select(*COLUMNS)
+    clean = secret_scan.redact(secret_scan.scan(docs, secret_scan.learn_null(docs)))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing (2): the documents that the mix takes, with their copies and words."""
+    ship_package(spark)
+    return cube_mixing.mix(docs).where("copies > 0")
+
+
 STAGES = [
     ("quality rules", reject_low_quality),
+    ("near duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secret scans", redact_secrets),
+    ("source mixing", mix_sources),
 ]
 
-#: The stages learn models and hash, which SQL cannot express; tests compare with brute force.
+#: The stages learn models, hash and draw, which SQL cannot express; tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -5,11 +5,64 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkclust.llm import quality_rules
+from sparkclust.llm import (
+    bag_minhash,
+    cube_mixing,
+    decontaminate,
+    html_extract,
+    line_dedup,
+    quality_rules,
+    secret_scan,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 from sparkclust.llm.common import table
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: fixed patterns and what the randomness battery adds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.learn_null(docs))
+
+    def count(kind: int):
+        return F.size(F.filter("_base", lambda x: x["k"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secret_scan.written(F.col("_base")), 256).alias("base_sha256"),
+        secret_scan.written(F.array_sort(F.concat("_base", "_random"))).alias("spans"),
+    )
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents with the targets of their sources."""
+    mixed = cube_mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back through the index."""
+    index = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(index, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"
+    )
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated byte strings of all documents."""
+    return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op5_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return bag_minhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "class_size", "n_links", "kept"
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text statistics of every document and the verdict of the learned decision list."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -19,8 +72,55 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated line of the documents with its place and the line that stays."""
+    return line_dedup.repeats(table(spark, sf_dir, "documents")).drop("row")
+
+
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.learn(pages))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions of the documents within the edit budget of a benchmark item."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scans": op1_secret_scans,
+    "op2_source_mixing": op2_source_mixing,
+    "op3_warc_archive": op3_warc_archive,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_bag_minhash": op5_bag_minhash,
     "op6_quality_rules": op6_quality_rules,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_html_extract": op8_html_extract,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+#: Where SQL gives the same rows: the archive (the others learn, draw or align).
+ORACLES: dict[str, str] = {
+    "op3_warc_archive": """
+        WITH p AS (
+            SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), f AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id
+            FROM p
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to, url
+        FROM f
+    """,
+}
