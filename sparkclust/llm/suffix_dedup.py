@@ -39,9 +39,9 @@ from sparkclust.llm.textarrays import mix, prefix_hashes, slices, span_hashes
 
 SPAN = 100
 GRAM = 40
-BUCKET_BYTES = 6 << 20
-SLICE_BYTES = 2 << 20
-CHUNK_BYTES = 8 << 20
+BUCKET_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
+CHUNK_BYTES = 3 << 20
 
 SEGMENTS = "bucket long, key long, doc_id long, h long, start int, off int, n int, body binary"
 MARKS = "bucket long, doc_id long, h long, marks binary"

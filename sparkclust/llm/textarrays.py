@@ -7,7 +7,6 @@ bounded by ``SLICE_BYTES`` (one longer text forms a slice by itself).
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,17 +29,17 @@ BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 IS_BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
 
-@lru_cache(maxsize=2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    n = 1 << bits
-    base, inverse = np.full(n, BASE, np.uint64), np.full(n, pow(BASE, -1, 1 << 64), np.uint64)
-    base[0] = inverse[0] = 1
-    return np.cumprod(base, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
+_POWERS: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i mod 2**64 for i < n at least."""
-    return _powers(max(16, int(n).bit_length()))
+    """BASE**i and BASE**-i mod 2**64 for i < n at least; the longest pair made so far is kept."""
+    if not _POWERS or _POWERS[0].size < n:
+        size = -(-n >> 18 << 18) if n > 1 << 18 else 1 << 18
+        base, inverse = np.full(size, BASE, np.uint64), np.full(size, pow(BASE, -1, 1 << 64), np.uint64)
+        base[0] = inverse[0] = 1
+        _POWERS[:] = np.cumprod(base, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
+    return _POWERS[0], _POWERS[1]
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
