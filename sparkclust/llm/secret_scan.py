@@ -106,43 +106,81 @@ def _normal(token: Column, encoding: Column) -> Column:
     return F.when(encoding == "hex", F.lower(bare)).otherwise(F.replace(bare, F.lit("="), F.lit("")))
 
 
-def _uniform(token: Column) -> Column:
-    """Whether chi-squared, runs and serial correlation all accept uniform draws from the alphabet."""
-    encoding = _encoding(token)
-    symbols = _normal(token, encoding)
-    alphabet = F.lit(ALPHABETS["base64"])
-    for name in ("decimal", "hex", "base32"):
-        alphabet = F.when(encoding == name, F.lit(ALPHABETS[name])).otherwise(alphabet)
-    k = F.length(alphabet).cast("double")
-    n = F.greatest(F.length(symbols), F.lit(2)).cast("double")
-    chars = F.split(symbols, "")
-    # chi-squared: k/n * sum(c^2) - n
-    squares = F.aggregate(
-        F.array_distinct(chars),
-        F.lit(0.0),
-        lambda a, c: a + F.pow((F.length(symbols) - F.length(F.replace(symbols, c, F.lit("")))).cast("double"), 2),
-    )
-    df = k - 1
-    chi = F.greatest(k / n * squares - n, F.lit(0.0)) / df
-    z_chi = (F.pow(chi, 1 / 3) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-    codes = F.transform(chars, lambda c: F.instr(alphabet, c).cast("double"))
-    later = F.slice(codes, F.lit(2), F.greatest(F.size(codes) - 1, F.lit(0)))
-    earlier = F.slice(codes, F.lit(1), F.greatest(F.size(codes) - 1, F.lit(0)))
-    plus = lambda a, x: a + x
-    # runs about the middle of the alphabet
-    high = F.aggregate(F.transform(codes, lambda x: (x > k / 2).cast("double")), F.lit(0.0), plus)
-    runs = 1 + F.aggregate(
-        F.zip_with(earlier, later, lambda x, y: ((x > k / 2) != (y > k / 2)).cast("double")), F.lit(0.0), plus
-    )
-    both = 2 * high * (n - high)
-    spread = both * (both - n) / (n * n * (n - 1))
-    z_runs = F.when(spread > 0, F.abs(runs - both / n - 1) / F.sqrt(spread)).otherwise(99.0)
-    # serial correlation of neighbours
-    mean = F.aggregate(codes, F.lit(0.0), plus) / n
-    around = F.aggregate(codes, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-    along = F.aggregate(F.zip_with(earlier, later, lambda x, y: (x - mean) * (y - mean)), F.lit(0.0), plus)
-    z_serial = F.when(around > 0, F.abs(along / around) * F.sqrt(n)).otherwise(99.0)
-    return (z_chi < CRITICAL_Z) & (z_runs < CRITICAL_Z) & (z_serial < CRITICAL_Z)
+def _tested(df: DataFrame) -> DataFrame:
+    """Adds ``_tokens`` from ``_text``: array of struct(s, k, e, n, digits, changes, uniform).
+
+    ``uniform``: chi-squared, runs and serial correlation all accept uniform
+    draws from the alphabet of the token's encoding.  Every step is a transform
+    of the array that the step before made, so no step repeats another's work.
+    """
+    text, plus = F.col("_text"), lambda a, x: a + x
+
+    def step(df: DataFrame, make) -> DataFrame:
+        return df.withColumn("_tokens", F.transform("_tokens", make))
+
+    def keep(x: Column, *names: str) -> list[Column]:
+        return [x[c].alias(c) for c in ("s", "k", "e", *names)]
+
+    def symbols(x: Column) -> Column:
+        encoding = _encoding(x["t"])
+        alphabet = F.lit(ALPHABETS["base64"])
+        for name in ("decimal", "hex", "base32"):
+            alphabet = F.when(encoding == name, F.lit(ALPHABETS[name])).otherwise(alphabet)
+        return F.struct(
+            *keep(x), F.length(x["t"]).alias("n"),
+            F.length(F.regexp_replace(x["t"], "[^0-9]+", "")).alias("digits"),
+            F.regexp_count(x["t"], F.lit(CLASS_CHANGE)).alias("changes"),
+            alphabet.alias("alphabet"), _normal(x["t"], encoding).alias("symbols"),
+        )
+
+    def codes(x: Column) -> Column:
+        one = x["symbols"]
+        count = lambda c: (F.length(one) - F.length(F.replace(one, c, F.lit("")))).cast("double")
+        return F.struct(
+            *keep(x, "n", "digits", "changes"), F.length(x["alphabet"]).cast("double").alias("size"),
+            F.greatest(F.length(one), F.lit(2)).cast("double").alias("m"),
+            F.aggregate(F.array_distinct(F.split(one, "")), F.lit(0.0), lambda a, c: a + F.pow(count(c), 2)).alias("squares"),
+            F.transform(F.split(one, ""), lambda c: F.instr(x["alphabet"], c).cast("double")).alias("codes"),
+        )
+
+    def pairs(x: Column) -> Column:
+        less = F.greatest(F.size(x["codes"]) - 1, F.lit(0))
+        return F.struct(
+            *keep(x, "n", "digits", "changes", "size", "m", "squares", "codes"),
+            F.slice(x["codes"], F.lit(1), less).alias("earlier"), F.slice(x["codes"], F.lit(2), less).alias("later"),
+            (F.aggregate(x["codes"], F.lit(0.0), plus) / x["m"]).alias("mean"), (x["size"] / 2).alias("half"),
+        )
+
+    def sums(x: Column) -> Column:
+        return F.struct(
+            *keep(x, "n", "digits", "changes", "size", "m", "squares"),
+            F.aggregate(x["codes"], F.lit(0.0), lambda a, c: a + (c > x["half"]).cast("double")).alias("high"),
+            F.aggregate(x["codes"], F.lit(0.0), lambda a, c: a + (c - x["mean"]) * (c - x["mean"])).alias("around"),
+            F.aggregate(
+                F.zip_with(x["earlier"], x["later"], lambda c, d: ((c > x["half"]) != (d > x["half"])).cast("double")),
+                F.lit(1.0), plus,
+            ).alias("runs"),
+            F.aggregate(
+                F.zip_with(x["earlier"], x["later"], lambda c, d: (c - x["mean"]) * (d - x["mean"])), F.lit(0.0), plus
+            ).alias("along"),
+        )
+
+    def verdict(x: Column) -> Column:
+        n, df_ = x["m"], x["size"] - 1
+        chi = F.greatest(x["size"] / n * x["squares"] - n, F.lit(0.0)) / df_
+        z_chi = (F.pow(chi, 1 / 3) - (1 - 2 / (9 * df_))) / F.sqrt(2 / (9 * df_))
+        both = 2 * x["high"] * (n - x["high"])
+        spread = both * (both - n) / (n * n * (n - 1))
+        z_runs = F.when(spread > 0, F.abs(x["runs"] - both / n - 1) / F.sqrt(spread)).otherwise(99.0)
+        z_serial = F.when(x["around"] > 0, F.abs(x["along"] / x["around"]) * F.sqrt(n)).otherwise(99.0)
+        accepts = (z_chi < CRITICAL_Z) & (z_runs < CRITICAL_Z) & (z_serial < CRITICAL_Z)
+        return F.struct(*keep(x, "n", "digits", "changes"), accepts.alias("uniform"))
+
+    df = df.withColumn("_tokens", _found(text, len(BASE_KINDS), TOKEN, 0, 1))
+    df = step(df, lambda x: F.struct(*keep(x), F.substring(text, x["s"] + 1, x["e"] - x["s"]).alias("t")))
+    for make in (symbols, codes, pairs, sums, verdict):
+        df = step(df, make)
+    return df
 
 
 def _tail(seen: Column, mean: Column) -> Column:
@@ -151,12 +189,16 @@ def _tail(seen: Column, mean: Column) -> Column:
 
 
 def _surprise(token: Column, null: Null) -> Column:
-    """Whole part of a lower bound of -log p that ordinary text made the token (two tests: minus log 2)."""
-    n = F.length(token).cast("double")
-    digits = F.length(F.regexp_replace(token, "[^0-9]+", "")).cast("double")
-    changes = F.regexp_count(token, F.lit(CLASS_CHANGE)).cast("double")
-    both = F.greatest(_tail(digits, n * null.digits), _tail(changes, n * null.changes)) - math.log(2)
-    return F.least(F.floor(F.greatest(both, F.lit(0.0))), F.lit(TOP)).cast("int")
+    """Whole part of a lower bound of -log p that ordinary text made the token (two tests: minus log 2).
+
+    0 where the token is not uniform.
+    """
+    n = token["n"].cast("double")
+    bound = F.greatest(
+        _tail(token["digits"].cast("double"), n * null.digits), _tail(token["changes"].cast("double"), n * null.changes)
+    )
+    whole = F.least(F.floor(F.greatest(bound - math.log(2), F.lit(0.0))), F.lit(TOP)).cast("int")
+    return F.when(token["uniform"], whole).otherwise(0)
 
 
 def _range_of(length: Column) -> Column:
@@ -179,12 +221,9 @@ def learn_null(docs: DataFrame, text_col: str = "text", q: float = FALSE_DISCOVE
     ).agg(F.sum("n"), F.sum("d"), F.sum("c")).first()
     n = float(row[0] or 0)
     null = Null(max(float(row[1] or 0) / n, 1e-6) if n else 1e-6, max(float(row[2] or 0) / n, 1e-6) if n else 1e-6)
-    tokens = docs.select(F.explode(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))).alias("t"))
+    tokens = _tested(docs.select(text.alias("_text"))).select(F.explode("_tokens").alias("t"))
     cells = (
-        tokens.select(
-            _range_of(F.length("t")).alias("range"),
-            F.when(_uniform(F.col("t")), _surprise(F.col("t"), null)).otherwise(0).alias("cell"),
-        )
+        tokens.select(_range_of(F.col("t.n")).alias("range"), _surprise(F.col("t"), null).alias("cell"))
         .groupBy("range", "cell")
         .count()
         .collect()  # at most len(LENGTHS) * (TOP + 1) rows
@@ -205,19 +244,18 @@ def scan(docs: DataFrame, null: Null, text_col: str = "text") -> DataFrame:
     df = docs.withColumn("_text", text_of(text_col))
     base = [_found(text, k, pattern, group, least) for k, (_, pattern, group, least) in enumerate(BASE_KINDS)]
     df = df.withColumn("_base", F.array_sort(F.concat(*base)))
-    df = df.withColumn("_tokens", _found(text, len(BASE_KINDS), TOKEN, 0, 1))
+    df = _tested(df)
 
     def chosen(x: Column) -> Column:
-        token = F.substring(text, x["s"] + 1, x["e"] - x["s"])
         cut = F.lit(None).cast("int")
         for start in LENGTHS:
             if start in null.cuts:
-                cut = F.when(_range_of(x["e"] - x["s"]) == start, F.lit(null.cuts[start])).otherwise(cut)
+                cut = F.when(_range_of(x["n"]) == start, F.lit(null.cuts[start])).otherwise(cut)
         free = ~F.exists("_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-        return free & F.coalesce(_surprise(token, null) >= cut, F.lit(False)) & _uniform(token)
+        return free & F.coalesce(_surprise(x, null) >= cut, F.lit(False))
 
-    df = df.withColumn("_random", F.filter("_tokens", chosen))
-    return df.drop("_text", "_tokens")
+    found = F.transform(F.filter("_tokens", chosen), lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e")))
+    return df.withColumn("_random", found).drop("_text", "_tokens")
 
 
 def written(spans: Column) -> Column:
