@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 FIT_PAGES = 200
 FIT_CHARS = 50_000
 TEMPLATE_PAGES = 160
-STEPS = 150
+STEPS = 300
 BATCH_CHARS = 4 << 20
 
 TAG = re.compile(
@@ -56,7 +56,7 @@ INLINE = {
 TEXT_BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "td", "th", "dt", "dd", "figcaption"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": set()}
-KNOWN = ["html", "body", "head", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "ul",
+KNOWN = ["#root", "html", "body", "head", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "ul",
          "ol", "li", "p", "h1", "h2", "h3", "h4", "h5", "h6", "table", "tr", "td", "th", "blockquote", "pre", "a", "span",
          "b", "em", "i", "strong", "button", "figure", "figcaption", "dl", "dt", "dd", "fieldset", "dialog", "details", "hgroup", "address", "menu"]
 #: Words in class, id and role that hint at the purpose of an element.
@@ -74,7 +74,7 @@ HINTS = {
 }
 HINT_OF = {w: k for k, ws in HINTS.items() for w in ws.split()}
 FEATURES = (
-    ["bias", "tag=other", "header in article", "footer in article", "links=0", "links<.4", "links<.8", "links>=.8"]
+    ["bias", "tag=other", "header in article", "footer in article", "article in article", "links=0", "links<.4", "links<.8", "links>=.8"]
     + [f"chars{i}" for i in range(5)]
     + [f"tag={t}" for t in KNOWN]
     + [f"hint={h}" for h in HINTS]
@@ -214,15 +214,16 @@ class Forest:
                 depth.append(depth[base + p] + 1 if p >= 0 else 0)
                 inside[i] = p >= 0 and (inside[p] or page.tag[p] in ("article", "main"))
                 kind.append(int(tag in INLINE or tag in TEXT_BLOCKS))
-                if tag in ("header", "footer") and inside[i]:
+                inner = inside[p] if p >= 0 else False
+                if tag in ("header", "footer") and inside[i] or tag == "article" and inner and page.tag[p] != "main":
                     own = NUMBER[f"{tag} in article"]
                 else:
                     own = NUMBER.get(f"tag={tag}", 1)
                 mine = [0, own] + [NUMBER[f"hint={h}"] for h in page.hints[i]]
                 t, k = total[i], through[i]
-                mine.append(8 + (t > 0) + (t > 20) + (t > 80) + (t > 400))
+                mine.append(NUMBER["chars0"] + (t > 0) + (t > 20) + (t > 80) + (t > 400))
                 if t:
-                    mine.append(4 if not k else 5 if k < 0.4 * t else 6 if k < 0.8 * t else 7)
+                    mine.append(NUMBER["links=0"] + (0 if not k else 1 if k < 0.4 * t else 2 if k < 0.8 * t else 3))
                 node += [base + i] * len(mine)
                 feature += mine
             chars += total
@@ -341,7 +342,9 @@ def _page(rng: random.Random) -> str:
     ])()
     odd = lambda: side[pick(["ad", "share", "aside", "comments", "notice", "nav", "form", "side"])]() if rng.random() < 0.35 else ""
     title = pick([f"<h1 {one}>{prose(2, 9)}</h1>", f"<h1 {one}>{prose(2, 9)}</h1>", f"<header {one}><h1 {one}>{prose(2, 9)}</h1></header>"])
-    body = title + some(lambda: inside() + odd(), 1, 9)
+    if rng.random() < 0.25:
+        title = ""
+    body = title + (some(lambda: inside() + odd(), 1, 9) if rng.random() < 0.8 else f"<p {one}>{prose(1, 6)}</p>")
     tail = pick(["", "", f"<footer>{prose(2, 9)}</footer>"])
     shell = pick(["article", "article", "main", "mainart", "content"])
     if shell in ("article", "main"):
@@ -352,6 +355,8 @@ def _page(rng: random.Random) -> str:
         main = f'<div {pick(["class", "id"])}="{pick(HINTS["content"].split())}" {one}>{body.replace("<header", "<div").replace("</header", "</div")}</div>'
     if rng.random() < 0.3:
         main = f'<div class="{pick(["wrap", "container", "row", "layout"])}" {one}>{main}</div>'
+    if rng.random() < 0.15:  # a fragment
+        return pick([main, before + main + after])
     return f"<html {one}><head><title>{prose(2, 5)}</title></head><body {one}>{before}{main}{after}</body></html>"
 
 
