@@ -2,11 +2,11 @@
 
 A text is cut into overlapping windows of ``WINDOW`` words, ``STRIDE`` apart,
 the last one at the end of the text, so that every word lies in a window.  A
-word enters as the sum of a hashed word embedding and the mean of its hashed
-character-trigram embeddings; the two directions run over the window, attention
-pools the states, and a logistic unit gives the window's logit.  A document's
-logit is its highest window (multiple-instance learning: labels mark documents,
-not windows).
+word enters as the sum of a hashed word embedding and the scaled sum of the
+hashed embeddings of its character pieces; the two directions run over the
+window, attention pools the states, and a logistic unit gives the window's
+logit.  A document's logit is its highest window (multiple-instance learning:
+labels mark documents, not windows).
 
 Training is numpy on the driver: at most ``FIT_TOXIC`` toxic and ``FIT_CLEAN``
 clean labelled documents, chosen by a hash of the id, texts of at most
@@ -32,26 +32,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkclust.llm.common import text_of
-from sparkclust.llm.textarrays import mix, prefix_hashes, slices, span_hashes, words
+from sparkclust.llm.textarrays import BASE, M64, mix, prefix_hashes, slices, span_hashes, words
 
 WINDOW = 32
-STRIDE = 16
+STRIDE = 24
 WORDS = 1 << 15
-TRIGRAMS = 1 << 13
+PIECES = 1 << 14
+#: Lengths of the character pieces, in bytes.
+GRAMS = (3, 5)
 WIDTH = 12
 HIDDEN = 8
 THRESHOLD = 0.3
-FIT_TOXIC = 1_500
-FIT_CLEAN = 2_500
+FIT_TOXIC = 800
+FIT_CLEAN = 1_200
 FIT_CHARS = 20_000
-EPOCHS = 8
+EPOCHS = 6
 BATCH_WINDOWS = 4096
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, index of the distinct word, word cells, trigram cells, trigram owners) with ASCII letters lowered.
+    """(row, index of the distinct word, word cells, piece cells, owners of the pieces) with ASCII letters lowered.
 
     Words are read without ASCII punctuation at either end where that leaves something.
     """
@@ -68,11 +70,21 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     h = mix(span_hashes(prefix, start, end) + (end - start).astype(np.uint64))
     distinct, first, index = np.unique(h, return_index=True, return_inverse=True)
     s, e = start[first], end[first]
-    n = np.maximum(e - s - 2, 1)
-    owner = np.repeat(np.arange(distinct.size), n)
-    at = np.arange(owner.size) - np.repeat(np.cumsum(n) - n, n) + s[owner]
-    grams = mix(span_hashes(prefix, at, np.minimum(at + 3, e[owner])))
-    return row, index, (distinct & np.uint64(WORDS - 1)).astype(np.int64), (grams & np.uint64(TRIGRAMS - 1)).astype(np.int64), owner
+    per = [np.maximum(e - s - size + 1, 1) for size in GRAMS]
+    total = np.sum(per, axis=0)
+    first = np.cumsum(total) - total
+    owner = np.repeat(np.arange(distinct.size), total)
+    grams = np.empty(owner.size, np.int64)
+    for size, n in zip(GRAMS, per, strict=True):
+        of = np.repeat(np.arange(distinct.size), n)
+        k = np.arange(of.size) - np.repeat(np.cumsum(n) - n, n)
+        at = k + s[of]
+        # a piece at the beginning of a word is another piece
+        salt = np.where(k == 0, np.uint64((size + (1 << 20)) * BASE & M64), np.uint64(size * BASE & M64))
+        cell = mix(span_hashes(prefix, at, np.minimum(at + size, e[of])) + salt) & np.uint64(PIECES - 1)
+        grams[first[of] + k] = cell
+        first = first + n
+    return row, index, (distinct & np.uint64(WORDS - 1)).astype(np.int64), grams, owner
 
 
 def window_starts(row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,7 +100,18 @@ def window_starts(row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    x = np.negative(x)
+    np.exp(np.minimum(x, 60, out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _tanh(x: np.ndarray) -> np.ndarray:
+    """By exp, which numpy has vectorised for single precision."""
+    x = _sigmoid(x * 2)
+    x *= 2
+    x -= 1
+    return x
 
 
 @dataclass
@@ -106,35 +129,40 @@ class Model:
         if word.size:
             first = np.searchsorted(owner, np.arange(word.size))
             n = np.diff(np.append(first, owner.size))
-            out = out + np.add.reduceat(self.p["gram"][gram], first, axis=0) / n[:, None].astype(np.float32)
+            out = out + np.add.reduceat(self.p["gram"][gram], first, axis=0) / np.sqrt(n)[:, None].astype(np.float32)
         return out
 
-    def forward(self, x: np.ndarray, index: np.ndarray, begin: np.ndarray, size: np.ndarray, keep: bool = False):
+    def gates(self, x: np.ndarray) -> list[np.ndarray]:
+        """What the words add to the gates of either direction, once per distinct word."""
+        return [x @ self.p[f"wx{side}"] + self.p[f"b{side}"] for side in (0, 1)]
+
+    def forward(self, x: np.ndarray, gates: list[np.ndarray], index: np.ndarray, begin: np.ndarray, size: np.ndarray, keep: bool = False):
         """Logits of windows over the word vectors ``x[index]``; with ``keep`` also what backward needs."""
         p, h = self.p, HIDDEN
         at = begin[:, None] + np.arange(WINDOW)[None, :]
         live = np.arange(WINDOW)[None, :] < size[:, None]
         ids = index[np.minimum(at, index.size - 1)]
-        m = begin.size
+        m, full = begin.size, bool(live.all())
         states = np.zeros((WINDOW, m, 2 * h), np.float32)
         memo = []
         for side, order in ((0, range(WINDOW)), (1, range(WINDOW - 1, -1, -1))):
-            gates = x @ p[f"wx{side}"] + p[f"b{side}"]  # once per distinct word
             wh, wn = p[f"wh{side}"][:, : 2 * h], p[f"wh{side}"][:, 2 * h :]
             s = np.zeros((m, h), np.float32)
             steps = []
             for t in order:
-                g = gates[ids[:, t]]
+                g = gates[side][ids[:, t]]
                 zr = _sigmoid(g[:, : 2 * h] + s @ wh)
                 z, r = zr[:, :h], zr[:, h:]
-                n = np.tanh(g[:, 2 * h :] + (r * s) @ wn)
-                new = np.where(live[:, t : t + 1], s + z * (n - s), s)
+                n = _tanh(g[:, 2 * h :] + (r * s) @ wn)
+                new = s + z * (n - s)
+                if not full:
+                    new = np.where(live[:, t : t + 1], new, s)
                 if keep:
                     steps.append((t, s, z, r, n))
                 s = new
                 states[t, :, side * h : side * h + h] = s
             memo.append(steps)
-        u = np.tanh(states @ p["wa"])  # WINDOW x m x h
+        u = _tanh(states @ p["wa"])  # WINDOW x m x h
         e = u @ p["va"]
         e = np.where(live.T, e, -1e9)
         a = np.exp(e - e.max(axis=0))
@@ -177,7 +205,7 @@ class Model:
                 ds = dt * np.where(on, 1 - z, 1) + drs * r + dg[:, : 2 * h] @ w[:, : 2 * h].T
         np.add.at(g["word"], word, dx)
         n = np.bincount(owner, minlength=word.size).astype(np.float32)
-        np.add.at(g["gram"], gram, (dx / np.maximum(n, 1)[:, None])[owner])
+        np.add.at(g["gram"], gram, (dx / np.sqrt(np.maximum(n, 1))[:, None])[owner])
         return g
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -188,10 +216,11 @@ class Model:
         if not self.fitted or row.size == 0:
             return np.full(n, self.prior)
         x = self.embed(word, gram, owner)
+        gates = self.gates(x)
         doc, begin, size = window_starts(row, n)
         for i in range(0, doc.size, BATCH_WINDOWS):
             part = slice(i, i + BATCH_WINDOWS)
-            np.maximum.at(out, doc[part], self.forward(x, index, begin[part], size[part]))
+            np.maximum.at(out, doc[part], self.forward(x, gates, index, begin[part], size[part]))
         return np.where(np.isfinite(out), _sigmoid(out + self.shift), self.prior)
 
 
@@ -203,7 +232,7 @@ def fit(texts: list[str], labels: list[int], share: float, seed: int = 7, epochs
     def draw(*shape, scale):
         return (rng.standard_normal(shape) * scale).astype(np.float32)
 
-    p = {"word": draw(WORDS, w, scale=0.1), "gram": draw(TRIGRAMS, w, scale=0.1), "wa": draw(2 * h, h, scale=0.3),
+    p = {"word": draw(WORDS, w, scale=0.1), "gram": draw(PIECES, w, scale=0.1), "wa": draw(2 * h, h, scale=0.3),
          "va": draw(h, scale=0.3), "wo": draw(2 * h, scale=0.5), "bo": np.zeros(1, np.float32)}
     for side in (0, 1):
         p |= {f"wx{side}": draw(w, 3 * h, scale=0.4), f"wh{side}": draw(h, 3 * h, scale=0.3), f"b{side}": np.zeros(3 * h, np.float32)}
@@ -218,12 +247,25 @@ def fit(texts: list[str], labels: list[int], share: float, seed: int = 7, epochs
     if row.size == 0:
         return model
     doc, begin, size = window_starts(row, y.size)
-    # the first embedding column starts as the log odds of documents that hold the word cell
-    cells = np.unique(np.stack((word[index], row)), axis=1)
-    toxic = np.bincount(cells[0], y[cells[1]], WORDS) + 0.5
-    clean = np.bincount(cells[0], 1 - y[cells[1]], WORDS) + 0.5
-    p["word"][:, 0] = np.clip(np.log(toxic / clean) - np.log(y.sum() / (y.size - y.sum())), -3, 3) * (toxic + clean > 4)
-    odds = p["word"][word, 0][index]
+
+    def odds_of(cell: np.ndarray, doc_of: np.ndarray, n: int) -> np.ndarray:
+        """Log odds of toxic documents among those that hold a cell; 0 for cells of few documents."""
+        pairs = np.sort(doc_of * n + cell)
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]
+        toxic = np.bincount(pairs % n, y[pairs // n], n) + 0.5
+        clean = np.bincount(pairs % n, 1 - y[pairs // n], n) + 0.5
+        return np.clip(np.log(toxic / clean) - np.log(y.sum() / (y.size - y.sum())), -3, 3) * (toxic + clean > 4)
+
+    # one embedding column of the words and one of the pieces start as these log odds
+    p["word"][:, 0] = odds_of(word[index], row, WORDS)
+    seen = np.unique(row * word.size + index)
+    held = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=word.size))))
+    doc_of, of = seen // word.size, seen % word.size
+    n_of = held[of + 1] - held[of]
+    at = np.arange(n_of.sum()) - np.repeat(np.cumsum(n_of) - n_of - held[of], n_of)
+    p["gram"][:, 1] = odds_of(gram[at], np.repeat(doc_of, n_of), PIECES)
+    x0 = model.embed(word, gram, owner)
+    odds = (x0[:, 0] + x0[:, 1])[index]
     # epoch 0 takes the window with the highest log odds
     top = np.array([odds[b : b + s].max() for b, s in zip(begin, size, strict=True)])
     m1 = {k: np.zeros_like(v) for k, v in p.items()}
@@ -233,7 +275,9 @@ def fit(texts: list[str], labels: list[int], share: float, seed: int = 7, epochs
     for epoch in range(epochs):
         if epoch:
             x = model.embed(word, gram, owner)
-            top = np.concatenate([model.forward(x, index, begin[i : i + BATCH_WINDOWS], size[i : i + BATCH_WINDOWS]) for i in range(0, doc.size, BATCH_WINDOWS)])
+            gates = model.gates(x)
+            parts = [slice(i, i + BATCH_WINDOWS) for i in range(0, doc.size, BATCH_WINDOWS)]
+            top = np.concatenate([model.forward(x, gates, index, begin[q], size[q]) for q in parts])
         order = np.lexsort((-top, doc))
         best = order[np.searchsorted(doc[order], np.unique(doc))]
         for part in np.array_split(rng.permutation(best), max(1, best.size // 128)):
@@ -244,7 +288,7 @@ def fit(texts: list[str], labels: list[int], share: float, seed: int = 7, epochs
             mine = np.isin(owner, at)
             lw, lg, lo = word[at], gram[mine], local[owner[mine]]
             x = model.embed(lw, lg, lo)
-            logit, kept = model.forward(x, local[index], begin[part], size[part], keep=True)
+            logit, kept = model.forward(x, model.gates(x), local[index], begin[part], size[part], keep=True)
             d = ((_sigmoid(logit) - y[doc[part]]) / part.size).astype(np.float32)
             g = model.backward(kept, d, lw, lg, lo)
             step += 1

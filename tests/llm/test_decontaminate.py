@@ -39,7 +39,7 @@ def test_equals_edit_distance_on_planted_items(spark):
     prose = lambda k: " ".join("".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 7))) for _ in range(k))
     bench = [(i, prose(rng.randint(8, 30))) for i in range(8)] + [(50, "short one"), (51, "ab")]
     rows = []
-    for i in range(40):
+    for i in range(70):
         text = prose(rng.randint(1, 25))
         if i % 2:
             item = rng.choice(bench[:8])[1]

@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 from llm_cases import EDGES, SF01, docs
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ def brute(text):
     words = WORD.findall(text)
     lines = [x for x in text.split("\n") if WORD.search(x)]
     windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
-    twice = {w for w in windows if windows.count(w) > 1} if len(windows) < 2_000 else set()
+    twice = {w for w, n in Counter(windows).items() if n > 1}
     hit = {i + k for i, w in enumerate(windows) if w in twice for k in range(8)}
     n = len(words)
     return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit),

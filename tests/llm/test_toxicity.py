@@ -19,9 +19,11 @@ def test_gradient_equals_differences(monkeypatch):
     d = np.array([0.7, -0.4])
 
     def value():
-        return float(d @ model.forward(model.embed(word, gram, owner), index, begin, size))
+        x = model.embed(word, gram, owner)
+        return float(d @ model.forward(x, model.gates(x), index, begin, size))
 
-    _, kept = model.forward(model.embed(word, gram, owner), index, begin, size, keep=True)
+    x = model.embed(word, gram, owner)
+    _, kept = model.forward(x, model.gates(x), index, begin, size, keep=True)
     grad = model.backward(kept, d, word, gram, owner)
     for k, v in model.p.items():
         flat = np.flatnonzero(grad[k])
