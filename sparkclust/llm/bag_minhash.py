@@ -40,7 +40,10 @@ BANDS = 20
 ROWS = 4
 GOLDEN = 0x9E3779B97F4A7C15
 
-SIGNED = "doc_id long, row_key string, node binary, n_shingles long, bag binary, bands array<long>"
+SLICE_BYTES = 2 << 20
+
+SIGNED = "doc_id long, row_key string, node binary, n_shingles long, bands array<long>"
+BAGS = "row_key string, node binary, bag binary"
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -118,43 +121,61 @@ def band_hashes(registers: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix(out + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(GOLDEN)).view(np.int64)
 
 
+def node_keys(row: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int) -> list[bytes | None]:
+    """128-bit digest of every row's multiset; None for rows without shingles."""
+    key = np.zeros((n, 2), np.uint64)
+    first = np.searchsorted(row, np.arange(n + 1))
+    full = first[1:] > first[:-1]
+    if row.size:
+        w = weight.astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        for k, salt in enumerate((0xA24BAED4963EE407, 0x9FB21C651E98DF25)):
+            key[full, k] = mix(np.add.reduceat(mix(value ^ np.uint64(salt)) * w, first[:-1][full]))
+    return [key[i].tobytes() if full[i] else None for i in range(n)]
+
+
 def _sign(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, data, offsets in slices(batch, "_text"):
+            for at, data, offsets in slices(batch, "_text", SLICE_BYTES):
                 n = offsets.size - 1
                 srow, svalue = shingles(data, offsets)
                 row, value, weight = bags(srow, svalue)
-                registers = signatures(row, value, weight, n, bands * rows)
-                hashes = band_hashes(registers, bands, rows)
-                w = weight.astype(np.uint64)
-                key = np.zeros((n, 2), np.uint64)
-                first = np.searchsorted(row, np.arange(n + 1))
-                if row.size:
-                    full = first[1:] > first[:-1]
-                    for k, salt in enumerate((0xA24BAED4963EE407, 0x9FB21C651E98DF25)):
-                        parts = mix(value ^ np.uint64(salt)) * (w * np.uint64(2) + np.uint64(1))
-                        key[full, k] = mix(np.add.reduceat(parts, first[:-1][full]))
+                hashes = band_hashes(signatures(row, value, weight, n, bands * rows), bands, rows)
                 total = np.bincount(srow, minlength=n)
-                small = (svalue >> np.uint64(32)).astype(np.uint32)
-                order = np.lexsort((small, srow))
-                small, cut = small[order], np.concatenate(([0], np.cumsum(total)))
-                some = total > 0
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(at, n),
                         batch.column("row_key").slice(at, n),
-                        pa.array([key[i].tobytes() if some[i] else None for i in range(n)], pa.binary()),
+                        pa.array(node_keys(row, value, weight, n), pa.binary()),
                         pa.array(total.astype(np.int64)),
-                        pa.array([small[cut[i] : cut[i + 1]].tobytes() if some[i] else None for i in range(n)], pa.binary()),
-                        pa.array([hashes[i] if some[i] else None for i in range(n)], pa.list_(pa.int64())),
+                        pa.array([hashes[i] if total[i] else None for i in range(n)], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "row_key", "node", "n_shingles", "bag", "bands"],
+                    names=["doc_id", "row_key", "node", "n_shingles", "bands"],
                 )
 
     return run
 
 
+def _bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted 32-bit shingle hashes, repeats included, of every row that has shingles."""
+    for batch in batches:
+        for at, data, offsets in slices(batch, "_text", SLICE_BYTES):
+            n = offsets.size - 1
+            srow, svalue = shingles(data, offsets)
+            nodes = node_keys(*bags(srow, svalue), n)
+            small = (svalue >> np.uint64(32)).astype(np.uint32)
+            small, cut = small[np.lexsort((small, srow))], np.concatenate(([0], np.cumsum(np.bincount(srow, minlength=n))))
+            some = np.flatnonzero(np.diff(cut))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("row_key").slice(at, n).take(pa.array(some)),
+                    pa.array([nodes[i] for i in some], pa.binary()),
+                    pa.array([small[cut[i] : cut[i + 1]].tobytes() for i in some], pa.binary()),
+                ],
+                names=["row_key", "node", "bag"],
+            )
+
+
 def overlap(a: bytes, b: bytes) -> float:
     """Weighted Jaccard similarity of two sorted arrays of 32-bit shingle hashes."""
     x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
@@ -233,20 +254,20 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
 
 
 def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS):
-    """(signed rows, nodes, verified links between nodes with their components)."""
-    signed = stored(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), text_of().alias("_text")
-        ).mapInArrow(_sign(bands, rows), SIGNED),
-        "signatures",
-    )
-    nodes = signed.where("node is not null")
-    # copies have equal bags and bands: one row per node, taken from the least row key
-    least = nodes.groupBy("node").agg(F.min("row_key").alias("row_key"))
-    nodes = stored(nodes.join(least, ["node", "row_key"]).dropDuplicates(["node"]).select("node", "n_shingles", "bag", "bands"), "nodes")
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
+    """(signed rows, nodes that share a bucket, verified links between nodes, their components)."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), text_of().alias("_text"))
+    signed = stored(texts.mapInArrow(_sign(bands, rows), SIGNED), "signatures")
+    # copies have equal multisets and bands: one row per node, that of the least row key
+    signs = F.min(F.struct("row_key", "n_shingles", "bands")).alias("s")
+    nodes = signed.where("node is not null").groupBy("node").agg(signs).select("node", "s.*")
+    banded = nodes.select("node", "row_key", "n_shingles", F.explode("bands").alias("bucket"))
+    banded = stored(banded, "banded")
     buckets = banded.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader != other")
     members = stored(banded.join(buckets.select("bucket", "leader"), "bucket"), "buckets")
+    # multisets are made again for the nodes that share a bucket, and for no others
+    needed = members.select("node", "row_key", "n_shingles").distinct()
+    made = texts.select("row_key", "_text").mapInArrow(_bag, BAGS)
+    nodes = stored(needed.join(made, ["node", "row_key"]).dropDuplicates(["node"]).select("node", "n_shingles", "bag"), "bags")
     stars = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     found = stored(verified(stars, nodes, threshold), "links")
     tried = stars
