@@ -18,7 +18,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
@@ -35,16 +35,18 @@ def confusion(df: DataFrame, label_col: str = "label", pred_col: str = "cluster"
 
     Correct: prediction equals label -> TN if the label is 0, else TP.
     Wrong: FN if the label is 1, otherwise FP (so label 0 / cluster 2 is FP).
+    A NULL label or prediction equals nothing, so that every row is counted.
     """
     lab, pred = F.col(label_col), F.col(pred_col)
-    eq = lab == pred
+    eq = F.coalesce(lab == pred, F.lit(False))
+    positive = F.coalesce(lab == 1, F.lit(False))
     return df.agg(
         F.count_if(eq).cast("bigint").alias("correct"),
         F.count_if(~eq).cast("bigint").alias("incorrect"),
         F.count_if(eq & (lab != 0)).cast("bigint").alias("tp"),
         F.count_if(eq & (lab == 0)).cast("bigint").alias("tn"),
-        F.count_if(~eq & (lab != 1)).cast("bigint").alias("fp"),
-        F.count_if(~eq & (lab == 1)).cast("bigint").alias("fn"),
+        F.count_if(~eq & ~positive).cast("bigint").alias("fp"),
+        F.count_if(~eq & positive).cast("bigint").alias("fn"),
     )
 
 
@@ -104,25 +106,40 @@ def metrics_report(metrics: DataFrame) -> DataFrame:
 
 
 def _num_blocks(n: int, block_rows: int) -> int:
-    return max(1, int(math.ceil(n / max(1, block_rows))))
+    """Blocks of at most ``block_rows`` rows, and enough block pairs for all task slots.
+
+    B (B + 1) / 2 pairs are at least three times the slots, so small inputs
+    replicate rows about sqrt(6 * slots) times and large ones n / block_rows.
+    """
+    slots = SparkSession.getActiveSession().sparkContext.defaultParallelism
+    return max(1, int(math.ceil(n / max(1, block_rows))), min(n // 2, int(math.ceil(math.sqrt(6 * slots)))))
 
 
 def block_pairs(df: DataFrame, n_blocks: int, id_col: str = "id") -> DataFrame:
     """Replicate each row to the B block pairs ``(a, b), a <= b`` that contain its block."""
     ship_package(df.sparkSession)
-    blk = F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_blocks)).cast("int")
-    others = F.sequence(F.lit(0), F.lit(n_blocks - 1))
-    pair = F.transform(others, lambda j: F.least(F.col("_blk"), j) * n_blocks + F.greatest(F.col("_blk"), j))
+    blk = F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_blocks)).cast("bigint")
+    others = F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))
+    pair = F.transform(others, lambda j: F.least(F.col("_blk"), j) * F.lit(n_blocks).cast("bigint") + F.greatest(F.col("_blk"), j))
     return df.withColumn("_blk", blk).withColumn("_pair", F.explode(pair))
 
 
 def _dist_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances; both sides shifted by a common centre to limit cancellation."""
+    """Euclidean distances; both sides shifted by a common centre.
+
+    Where the squared distance is small against the squared lengths the
+    expansion cancels: those pairs are subtracted directly.
+    """
     c = np.vstack([a, b]).mean(axis=0) if len(a) + len(b) else 0.0
     a = a - c
     b = b - c
-    d2 = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
+    size = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :]
+    d2 = size - 2.0 * (a @ b.T)
     np.maximum(d2, 0.0, out=d2)
+    i, j = np.nonzero(d2 < 1e-6 * size)
+    for s in range(0, len(i), 65_536):
+        p, q = i[s : s + 65_536], j[s : s + 65_536]
+        d2[p, q] = ((a[p] - b[q]) ** 2).sum(1)
     return np.sqrt(d2)
 
 

@@ -57,6 +57,7 @@ class GaussianMixtureModel:
     iterations: int = 0
     history: list = field(default_factory=list)  # (iteration, total_shift, log_likelihood, ll_change)
     log_likelihood: float | None = None
+    converged: bool = True
 
     @property
     def k(self) -> int:
@@ -292,6 +293,8 @@ def em_init(
             raise ValueError(f"unknown init {init!r}")
     else:
         seeds = [list(map(float, s)) for s in init]
+        if len(seeds) != k:
+            raise ValueError("init must hold k means")
     dim = len(seeds[0])
     centers = np.asarray(seeds) if init_cov == "centered" else np.zeros((k, dim))
     nk, sx, g, _, n = _run_pass(df, dim, k, col, centers, seeds=seeds)
@@ -311,6 +314,15 @@ def em_init(
     return GaussianMixtureModel(weights, means, covs)
 
 
+def em_settled(history: list[tuple[int, float, float, float]], tol: float) -> bool:
+    """The stop rule over rows (iteration, shift, log-likelihood, its change)."""
+    if not history:
+        return False
+    _, shift, _, gain = history[-1]
+    two_back = history[-3][1] if len(history) > 2 else math.inf
+    return shift <= tol or gain <= tol or abs(two_back - shift) <= tol
+
+
 def em_fit(
     df: DataFrame,
     k: int,
@@ -319,7 +331,7 @@ def em_fit(
     power: float = 1.0,
     resp: str = "softmax",
     tol: float = EPSILON,
-    max_iter: int = 100,
+    max_iter: int | None = None,
     init_cov: str = "centered",
     col: str = "features",
     id_col: str = "id",
@@ -328,8 +340,10 @@ def em_fit(
     """EM until the summed mean shift or the log-likelihood change is <= ``tol``.
 
     Also stops when the shift is within ``tol`` of the shift two iterations
-    back (oscillation guard) or after ``max_iter`` iterations.  The
-    log-likelihood of an iteration is that of the parameters it starts from.
+    back (oscillation guard).  There is no limit unless ``max_iter`` gives one;
+    a fit that it ends has ``converged`` False.  Values that are not finite (NaN
+    cells) raise.  The log-likelihood of an iteration is that of the parameters
+    it starts from.
     """
     # rows without a feature vector cannot be assigned; impute NaN cells beforehand
     data = df.select(id_col, col).where(F.col(col).isNotNull())
@@ -337,24 +351,18 @@ def em_fit(
         data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = init if isinstance(init, GaussianMixtureModel) else em_init(data, k, init, seed, power, init_cov, col, id_col)
-        shift = old_shift = old_old_shift = float("inf")
-        ll_change, ll_prev, iters = float("inf"), None, 0
-        history = []
-        ll = None
-        while shift > tol and ll_change > tol and iters < max_iter:
-            iters += 1
+        history: list[tuple[int, float, float, float]] = []
+        while not em_settled(history, tol) and (max_iter is None or len(history) < max_iter):
             new, ll, _ = em_mstep(data, model, resp, col)
-            ll_change = float("inf") if ll_prev is None else abs(ll - ll_prev)
-            ll_prev = ll
-            old_old_shift, old_shift = old_shift, shift
-            shift = total_shift(model.means, new.means)
+            gain = abs(ll - history[-1][2]) if history else math.inf
+            history.append((len(history) + 1, total_shift(model.means, new.means), ll, gain))
             model = new
-            history.append((iters, shift, ll, ll_change))
-            if abs(old_old_shift - shift) <= tol:
-                break
-        model.iterations = iters
+            if not (math.isfinite(history[-1][1]) and math.isfinite(ll)):
+                raise ValueError("parameters are not finite: impute missing cells before fitting")
+        model.iterations = len(history)
         model.history = history
-        model.log_likelihood = ll
+        model.log_likelihood = history[-1][2] if history else None
+        model.converged = em_settled(history, tol)
         return model
     finally:
         if persist:

@@ -18,6 +18,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -197,6 +198,15 @@ def lloyd_update(df: DataFrame, centroids, dim: int, col: str = "features"):
     return new, counts
 
 
+def settled(moves: list[float], tol: float) -> int | None:
+    """Number of counted passes if the fit is over after these movements, else None."""
+    if not moves:
+        return None
+    if moves[-1] == (moves[-2] if len(moves) > 1 else 0.0):
+        return len(moves) - 1
+    return len(moves) if moves[-1] <= tol else None
+
+
 def total_shift(old, new) -> float:
     return float(sum(np.sqrt(np.sum((np.asarray(a) - np.asarray(b)) ** 2)) for a, b in zip(old, new)))
 
@@ -208,6 +218,7 @@ class KMeansModel:
     history: list = field(default_factory=list)  # (iteration, total_shift)
     counts: list = field(default_factory=list)
     seed_ids: list = field(default_factory=list)
+    converged: bool = True
 
     @property
     def k(self) -> int:
@@ -231,7 +242,7 @@ def kmeans_fit(
     seed: int = 42,
     power: float = 1.0,
     tol: float = 0.005,
-    max_iter: int = 100,
+    max_iter: int | None = None,
     col: str = "features",
     id_col: str = "id",
     persist: bool = True,
@@ -240,7 +251,9 @@ def kmeans_fit(
 
     Stop when the summed centroid movement is <= ``tol``, when it equals the
     previous movement exactly (that pass is not counted; the first pass is
-    compared with 0), or after ``max_iter`` counted passes.
+    compared with 0).  There is no limit unless ``max_iter`` gives one; a fit
+    that it ends has ``converged`` False.  A movement that is not finite (NaN
+    cells) raises.
     ``init``: ``"k-means++"``, ``"first"`` (lowest ids) or a list of centroids.
     """
     if k < 1:
@@ -263,18 +276,17 @@ def kmeans_fit(
             cents = [list(map(float, c)) for c in init]
             if len(cents) != k:
                 raise ValueError("init must hold k centroids")
-        change, old_change, iters = float("inf"), 0.0, 0
-        history, counts = [], []
-        while change > tol and iters < max_iter:
-            old = cents
-            cents, counts = lloyd_update(data, old, dim, col)
-            change = total_shift(old, cents)
-            if change == old_change:
-                break
-            old_change = change
-            iters += 1
-            history.append((iters, change))
-        return KMeansModel(centroids=cents, iterations=iters, history=history, counts=counts, seed_ids=seed_ids)
+        moves: list[float] = []
+        counts: list = []
+        while settled(moves, tol) is None and (max_iter is None or len(moves) < max_iter):
+            new, counts = lloyd_update(data, cents, dim, col)
+            moves.append(total_shift(cents, new))
+            cents = new
+            if not math.isfinite(moves[-1]):
+                raise ValueError("centroids are not finite: impute missing cells before fitting")
+        counted = settled(moves, tol)
+        history = list(enumerate(moves if counted is None else moves[:counted], start=1))
+        return KMeansModel(cents, len(history), history, counts, seed_ids, converged=counted is not None)
     finally:
         if persist:
             data.unpersist()

@@ -9,8 +9,7 @@ operator sorts the whole table in one task:
   driver per pass), then marks rows with a narrow filter expression.
 * ``with_row_id`` numbers rows in key order with quantile buckets, one
   ``row_number`` window per bucket and per-bucket offsets.
-* picks use ``orderBy(key).limit(1)`` (TakeOrderedAndProject: top-1 per
-  partition, then a merge of one row per partition).
+* picks use ``min_by(row, key)``: one partial row per task, merged by a shuffle.
 """
 
 from __future__ import annotations
@@ -50,7 +49,7 @@ def _cut_of_smallest(df: DataFrame, u: Column, id_col: str, n: int | None, frac:
     while True:
         raw = F.floor((F.col("_u") - F.lit(lo)) / F.lit(width))
         b = F.least(F.greatest(raw, F.lit(0)), F.lit(HIST_BUCKETS - 1)).cast("int")
-        hist = sorted((r["b"], r["c"]) for r in sub.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
+        hist = sorted((-1 if r["b"] is None else r["b"], r["c"]) for r in sub.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
         total = sum(c for _, c in hist)
         if first:  # the first histogram covers every row: total = N
             if remaining is None:
@@ -58,7 +57,9 @@ def _cut_of_smallest(df: DataFrame, u: Column, id_col: str, n: int | None, frac:
             if remaining <= 0 or remaining >= total:
                 return None, n
             first = False
-        if total <= EXACT_SMALL or width < 1e-300:
+        if total > EXACT_SMALL and width < 2.0**-53:  # draws have 52 bits: equal draws are equal ids
+            raise ValueError(f"{id_col} must be unique")
+        if total <= EXACT_SMALL:
             row = (
                 sub.orderBy("_u", "_id")
                 .limit(remaining)
@@ -86,7 +87,8 @@ def split_exact(
 ) -> DataFrame:
     """Mark exactly ``n_test`` rows (the smallest draws) as ``test``, the rest ``train``.
 
-    Give ``n_test`` directly or ``frac`` (``n_test = floor(frac * N)``).
+    Give ``n_test`` directly or ``frac`` (``n_test = floor(frac * N)``).  Ids
+    must be unique and not NULL: a split that they make inexact raises.
     """
     if n_test is None and frac is None:
         raise ValueError("give n_test or frac")
@@ -100,6 +102,9 @@ def split_exact(
         return df.withColumn(out, F.lit("test" if n_test > 0 else "train"))
     cu, cid = cut
     is_test = (u < F.lit(cu)) | ((u == F.lit(cu)) & (F.col(id_col) <= F.lit(cid)))
+    marked, missing = df.agg(F.count_if(is_test), F.count_if(F.col(id_col).isNull())).first()
+    if marked != n_test or missing:
+        raise ValueError(f"{id_col} must be unique and not NULL: {marked} rows for n_test={n_test}, {missing} NULL ids")
     return df.withColumn(out, F.when(is_test, "test").otherwise("train"))
 
 
@@ -144,10 +149,16 @@ def with_row_id(df: DataFrame, order_col: str, out: str = "row_id", rows_per_buc
     return tagged.withColumn(out, (F.row_number().over(w) - 1 + off).cast("bigint")).drop("_bucket")
 
 
+def _least_row(df: DataFrame, key: Column) -> DataFrame:
+    """The row with the smallest key (none for an empty frame): an aggregate with partial results, one row at the end."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.agg(F.min_by(row, key).alias("_row")).where(F.col("_row").isNotNull()).select("_row.*")
+
+
 def uniform_pick(df: DataFrame, seed: int, step: int = 0, id_col: str = "id") -> DataFrame:
     """The row with the smallest draw ``u(seed, step, id)`` (ties: lowest id)."""
     u = draw_u(seed, step, id_col)
-    return df.withColumn("u", u).orderBy("u", id_col).limit(1)
+    return _least_row(df.withColumn("u", u), F.struct("u", id_col))
 
 
 def weighted_pick(df: DataFrame, weight: Column | str, seed: int, step: int, id_col: str = "id") -> DataFrame:
@@ -161,8 +172,5 @@ def weighted_pick(df: DataFrame, weight: Column | str, seed: int, step: int, id_
     """
     w = col_of(weight)
     u = draw_u(seed, step, id_col)
-    return (
-        df.withColumn("race_key", F.when(w > 0, -F.log(u) / w))
-        .orderBy(F.col("race_key").asc_nulls_last(), F.col(id_col))
-        .limit(1)
-    )
+    raced = df.withColumn("race_key", F.when(w > 0, -F.log(u) / w))
+    return _least_row(raced, F.struct(F.col("race_key").isNull(), "race_key", id_col))

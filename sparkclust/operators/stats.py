@@ -100,18 +100,23 @@ def fit_column_stats(df: DataFrame, dim: int | None = None, col: str = "features
 def _fit_column_stats_vector(df: DataFrame, dim: int, col: str) -> ColumnStats:
     """Wide form: ``Summarizer`` sums of a presence mask and of shifted values.
 
-    Values are shifted by one sample row ``s`` (a row of the data, so close to
-    the column means): ``mean = s + sum(x - s) / n`` and
-    ``var = sum((x - s)^2) / n - (mean - s)^2`` stay accurate where the raw
-    ``E[x^2] - mean^2`` would cancel.  Missing cells contribute 0 to both sums.
+    Two scans: the first sums the cells that are there, the second sums the
+    deviations from those means, ``mean = s + sum(x - s) / n`` and
+    ``var = sum((x - s)^2) / n - (mean - s)^2``, which cannot cancel because
+    ``s`` is the mean but for rounding.  Missing cells contribute 0 to all sums.
     """
-    sample = df.select(col).where(F.col(col).isNotNull()).first()
-    if sample is None:
-        raise ValueError("empty input")
-    shift = [0.0 if (v is None or v != v) else float(v) for v in sample[col]]
     c = f"`{col}`"
     miss = [f"({c}[{i}] IS NULL OR isnan({c}[{i}]))" for i in range(dim)]
     mask = F.expr("array(" + ", ".join(f"IF({m}, 0D, 1D)" for m in miss) + ")")
+    cells = F.expr("array(" + ", ".join(f"IF({m}, 0D, {c}[{i}])" for i, m in enumerate(miss)) + ")")
+    first = df.where(F.col(col).isNotNull()).agg(
+        Summarizer.metrics("sum").summary(array_to_vector(mask)).alias("m"),
+        Summarizer.metrics("sum").summary(array_to_vector(cells)).alias("x"),
+    ).first()
+    if first["m"] is None or first["m"]["sum"] is None or first["m"]["sum"].size == 0:
+        raise ValueError("empty input")
+    seen, total = first["m"]["sum"].toArray(), first["x"]["sum"].toArray()
+    shift = [float(t / k) if k else 0.0 for t, k in zip(total, seen)]
     dev = F.expr("array(" + ", ".join(f"IF({m}, 0D, {c}[{i}] - {_dsql(s_)})" for i, (m, s_) in enumerate(zip(miss, shift))) + ")")
     rows = df.where(F.col(col).isNotNull())
     row = rows.agg(

@@ -520,7 +520,7 @@ def _lineitem_em_sql(steps: int = 3) -> str:
     return with_(*ctes) + "SELECT cluster::INT AS cluster, count(*)::BIGINT AS n FROM pr GROUP BY cluster"
 
 
-def _lineitem_kmeans_sql(k: int = 3, max_iter: int = 20) -> str:
+def _lineitem_kmeans_sql(k: int = 3, max_iter: int = 45) -> str:
     """K-means++ + Lloyd on z-scored lineitem to the stop rule; rows per final cluster.
 
     The final centroids are those of the last executed pass (an uncounted

@@ -460,7 +460,7 @@ def q_lineitem_kmeans(spark, d):
     # of file layout and partitioning (identical rows share it and their features)
     li = load_L(spark, d, keep=(lineitem_row_id().alias("id"),))
     z, _ = stats.fit_standardize(li, len(LINEITEM_COLS))
-    m = kmeans.kmeans_fit(z, 3, "k-means++", SEED, max_iter=20)
+    m = kmeans.kmeans_fit(z, 3, "k-means++", SEED)
     return m.transform(z).groupBy("cluster").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 

@@ -81,7 +81,7 @@ def evaluate_kmeans(df: DataFrame, ks=(2, 3), steps: int | None = None, frac: fl
 
 
 def evaluate_em(df: DataFrame, ks=(2, 3), frac: float = 0.235, seed: int = 42, resp: str = "softmax",
-                max_iter: int = 100) -> DataFrame:
+                max_iter: int | None = None) -> DataFrame:
     """Per (k, split): confusion counts, metrics and the Euclidean Silhouette."""
     s = sampling.split_exact(df, frac=frac, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
     train = s.where(F.col("split") == "train")

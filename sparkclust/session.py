@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,10 +42,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(d)
         return d
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^,\]]*(,\s*\d+)?\])?", master):
+        # local-cluster too: its executors are processes of their own
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     d = tempfile.mkdtemp(prefix="sparkclust-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
