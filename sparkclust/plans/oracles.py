@@ -608,9 +608,17 @@ def build() -> dict[str, str]:
     q["binarize_label"] = "SELECT vec_id, label AS label_raw, CASE WHEN label = 1 THEN 1 ELSE 0 END AS label FROM embeddings"
     q["with_row_id"] = "SELECT vec_id, (row_number() OVER (ORDER BY vec_id) - 1)::BIGINT AS row_id FROM embeddings"
     q["explode_columns"] = (
-        "SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS \"0\", CAST(embedding[2] AS DOUBLE) AS \"1\", "
+        "SELECT vec_id AS id, " + ", ".join(f'CAST(embedding[{i + 1}] AS DOUBLE) AS "{i}"' for i in range(64)) + ", "
         "CASE WHEN label = 1 THEN 1 ELSE 0 END AS label FROM embeddings"
     )
+    cells = ", ".join(f"printf('%.4f', f[{i + 1}]) AS \"{i}\"" for i in range(64))
+    q["matrix_text"] = with_(f"e AS ({E})") + (
+        f"SELECT vec_id AS id, {cells}, label FROM e"
+    )
+    q["matrix_parse"] = with_(f"e AS ({E})", unnest_cte("x", "e")) + (
+        "SELECT x.vec_id, x.pos::BIGINT AS pos, CASE WHEN (x.vec_id + x.pos) % 7 = 0 THEN NULL "
+        "ELSE printf('%.4f', x.v)::DOUBLE END AS v, e.label FROM x JOIN e ON x.vec_id = e.vec_id"
+    )
     q["plot_frame"] = with_(*_seeds3()) + "SELECT vec_id, cluster, f[1] AS pc1, f[2] AS pc2, f[3] AS pc3 FROM a"
 
     nan = [
@@ -640,7 +648,7 @@ def build() -> dict[str, str]:
         + " AS z FROM x"
     )
     q["covariance_wide"] = with_(
-        "x AS (SELECT vec_id, unnest(list_slice(CAST(embedding AS DOUBLE[]), 1, 16)) AS v, unnest(range(0, 16)) AS pos FROM embeddings)"
+        "x AS (SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS v, unnest(range(0, 64)) AS pos FROM embeddings)"
     ) + (
         f"SELECT a.pos::BIGINT AS i, b.pos::BIGINT AS j, {SIG9('covar_pop(a.v, b.v)')} AS cov "
         "FROM x a JOIN x b ON a.vec_id = b.vec_id GROUP BY a.pos, b.pos"
@@ -676,6 +684,10 @@ def build() -> dict[str, str]:
     q["split_exact"] = with_(f"e AS ({E})", *split_ctes("e")) + (
         "SELECT vec_id, CASE WHEN rn <= (SELECT n FROM sp_n) THEN 'test' ELSE 'train' END AS split FROM sp_r"
     )
+    q["split_text"] = with_(f"e AS ({E})", *split_ctes("e")) + (
+        f"SELECT e.vec_id AS id, {cells}, e.label, "
+        "CASE WHEN rn <= (SELECT n FROM sp_n) THEN 'test' ELSE 'train' END AS split FROM e JOIN (SELECT vec_id, rn FROM sp_r) r ON e.vec_id = r.vec_id"
+    )
     q["uniform_pick"] = f"SELECT vec_id, {U(0)} AS u FROM embeddings ORDER BY u, vec_id LIMIT 1"
     q["weighted_pick"] = with_(
         f"e AS ({E})",

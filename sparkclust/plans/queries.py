@@ -56,7 +56,27 @@ def q_with_row_id(spark, d):
 
 
 def q_explode_columns(spark, d):
-    return matrix.explode_columns(load_E2(spark, d), 2)
+    return matrix.explode_columns(load_E(spark, d), E_DIM)
+
+
+def q_matrix_text(spark, d):
+    """The text rows of the CSV writer (K1, K4)."""
+    return matrix.matrix_text(load_E(spark, d), E_DIM)
+
+
+def q_split_text(spark, d):
+    """The text rows of the train and test matrices (K5)."""
+    return matrix.matrix_text(sampling.split_exact(load_E(spark, d), frac=TEST_FRAC, seed=SEED), E_DIM)
+
+
+def q_matrix_parse(spark, d):
+    """The reader's parsing of text columns with junk cells (S1-S3)."""
+    text = matrix.matrix_text(load_E(spark, d), E_DIM)
+    junk = [F.when((F.col("id").cast("bigint") + i) % 7 == 0, "abc").otherwise(F.col(str(i))).alias(str(i)) for i in range(E_DIM)]
+    m = matrix.parse_matrix(text.select("id", *junk, "label"))
+    return m.select(F.col("id").alias("vec_id"), F.posexplode("features").alias("pos", "v"), "label").withColumn(
+        "pos", F.col("pos").cast("bigint")
+    )
 
 
 def q_plot_frame(spark, d):
@@ -113,9 +133,9 @@ def q_covariance_narrow(spark, d):
 
 
 def q_covariance_wide(spark, d):
-    e = matrix.to_matrix(table(spark, d, "embeddings"), dims=16)
-    cov = stats.covariance_matrix(e, 16)
-    c = stats.covariance_frame(spark, cov, [str(i) for i in range(16)])
+    e = matrix.to_matrix(table(spark, d, "embeddings"))
+    cov = stats.covariance_matrix(e, E_DIM)
+    c = stats.covariance_frame(spark, cov, [str(i) for i in range(E_DIM)])
     return c.select(F.col("col_i").cast("bigint").alias("i"), F.col("col_j").cast("bigint").alias("j"), sig9(F.col("cov")).alias("cov"))
 
 
@@ -483,6 +503,9 @@ QUERIES: dict[str, Query] = {
     "binarize_label": q_binarize_label,
     "with_row_id": q_with_row_id,
     "explode_columns": q_explode_columns,
+    "matrix_text": q_matrix_text,
+    "split_text": q_split_text,
+    "matrix_parse": q_matrix_parse,
     "plot_frame": q_plot_frame,
     "column_means_nan": q_column_means_nan,
     "impute_mean": q_impute_mean,

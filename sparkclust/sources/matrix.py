@@ -32,12 +32,18 @@ def read_matrix(
     (text ids become NULL); ``id_mode="hash"`` derives a 52-bit id from the id
     text (first 13 hex digits of its md5), for files whose ids are names.
     """
-    if id_mode not in ("parse", "hash"):
-        raise ValueError("id_mode must be 'parse' or 'hash'")
     if fmt == "parquet":
         raw = spark.read.parquet(path)
     else:
         raw = spark.read.option("header", header).option("mode", "PERMISSIVE").csv(path)
+    out = parse_matrix(raw, id_mode)
+    return out.repartition(partitions) if partitions else out
+
+
+def parse_matrix(raw: DataFrame, id_mode: str = "parse") -> DataFrame:
+    """Canonical frame from columns of text: first id, last label, the rest features (rules of ``read_matrix``)."""
+    if id_mode not in ("parse", "hash"):
+        raise ValueError("id_mode must be 'parse' or 'hash'")
     cols = raw.columns
     if len(cols) < 3:
         raise ValueError("a matrix needs an id column, at least one feature and a label column")
@@ -50,12 +56,11 @@ def read_matrix(
         rid = F.conv(F.substring(F.md5(F.trim(F.col(f"`{id_c}`"))), 1, 13), 16, 10).cast("bigint")
     else:
         rid = num(id_c).cast("bigint")
-    out = raw.select(
+    return raw.select(
         rid.alias("id"),
         F.array(*[num(c) for c in feat_c]).alias("features"),
         num(label_c).cast("int").alias("label"),
     )
-    return out.repartition(partitions) if partitions else out
 
 
 def to_matrix(
@@ -120,6 +125,8 @@ def _text_frame(df: DataFrame, dims: int, decimals: int | None, int_cols: Sequen
                 cols.append((F.format_string(f"%.{decimals}f", x) if decimals is not None else x).alias(str(i)))
         elif c in int_cols or decimals is None:
             cols.append(F.col(c))
+        elif dict(df.dtypes)[c] == "string":
+            cols.append(F.col(c))
         else:
             cols.append(F.format_string(f"%.{decimals}f", F.col(c).cast("double")).alias(c))
     return df.select(*cols)
@@ -150,14 +157,24 @@ def write_vector(df: DataFrame, path: str, value_col: str, order_col: str = "k",
     df.orderBy(order_col).select(F.format_string("%.4f", F.col(value_col)).alias(value_col)).write.mode(mode).text(path)
 
 
-def write_split(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Write train and test rows into ``split=train`` / ``split=test`` folders."""
+def matrix_text(df: DataFrame, dims: int, decimals: int | None = 4) -> DataFrame:
+    """The rows that the CSV writers write: features with ``decimals`` places, ids and labels as whole numbers."""
+    return _text_frame(df, dims, decimals, int_cols=("id", "label"))
+
+
+def write_split(
+    df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", decimals: int | None = None
+) -> None:
+    """Write train and test rows into ``split=train`` / ``split=test`` folders.
+
+    ``decimals=4`` gives the reference's text: features as ``%.4f``, labels as ``%d``.
+    """
     w = df.write.mode(mode).partitionBy("split")
     if fmt == "parquet":
         w.parquet(path)
     else:
         d = df.select(F.max(F.size("features"))).first()[0] or 0
-        _text_frame(df, d, None).write.mode(mode).partitionBy("split").option("header", True).csv(path)
+        _text_frame(df, d, decimals, ("id", "label") if decimals is not None else ()).write.mode(mode).partitionBy("split").option("header", True).csv(path)
 
 
 def write_clusters(
