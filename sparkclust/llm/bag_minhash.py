@@ -12,9 +12,10 @@ similarity.  Processes stop when their time passes the latest register.
 
 Documents with equal multisets form one node.  Nodes that agree in a band of
 registers are candidates; in a bucket each node is paired with the bucket's
-least node, and buckets whose nodes are still in several components after
-verification are paired again between components until nothing new is found.
-Pairs are verified by the exact overlap of their multisets (32-bit shingle
+most central node, and in buckets whose nodes are still in several components
+after verification ``LEADERS`` more nodes, drawn anew in every round, are paired
+with the nodes of other components, until a round finds no new link.  So pairs
+grow with the size of a bucket, not with its square.  Pairs are verified by the exact overlap of their multisets (32-bit shingle
 hashes).  Classes are the connected components of verified pairs, found by
 alternating star contractions on tables in the shared folder.
 
@@ -41,6 +42,8 @@ ROWS = 4
 GOLDEN = 0x9E3779B97F4A7C15
 
 SLICE_BYTES = 2 << 20
+#: Nodes of a bucket that are compared with the others in each later round.
+LEADERS = 3
 
 SIGNED = "doc_id long, row_key string, node binary, n_shingles long, bands array<long>"
 BAGS = "row_key string, node binary, bag binary"
@@ -260,35 +263,40 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, row
     # copies have equal multisets and bands: one row per node, that of the least row key
     signs = F.min(F.struct("row_key", "n_shingles", "bands")).alias("s")
     nodes = signed.where("node is not null").groupBy("node").agg(signs).select("node", "s.*")
-    banded = nodes.select("node", "row_key", "n_shingles", F.explode("bands").alias("bucket"))
-    banded = stored(banded, "banded")
-    buckets = banded.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader != other")
-    members = stored(banded.join(buckets.select("bucket", "leader"), "bucket"), "buckets")
+    banded = stored(nodes.select("node", "row_key", "n_shingles", F.explode("bands").alias("bucket")), "banded")
+    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = banded.join(sizes, "bucket")
+    # a node in large buckets is alike to many: it leads
+    central = members.groupBy("node").agg(F.sum("size").alias("score"))
+    members = stored(members.join(central, "node"), "buckets")
+    leads = members.groupBy("bucket").agg(F.max_by("node", F.struct("score", "node")).alias("leader"))
     # multisets are made again for the nodes that share a bucket, and for no others
     needed = members.select("node", "row_key", "n_shingles").distinct()
     made = texts.select("row_key", "_text").mapInArrow(_bag, BAGS)
     nodes = stored(needed.join(made, ["node", "row_key"]).dropDuplicates(["node"]).select("node", "n_shingles", "bag"), "bags")
-    stars = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    stars = members.join(leads, "bucket").where("node != leader")
+    stars = stored(stars.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct(), "pairs")
     found = stored(verified(stars, nodes, threshold), "links")
-    tried = stars
+    tried, turn = stars, 0
     while True:
         roots = components(found)
+        turn += 1
         here = members.select("bucket", "node").join(roots, "node", "left")
         here = here.select("bucket", "node", F.coalesce("root", "node").alias("root"))
-        # buckets whose nodes are still apart: each component's least node against the others' nodes
+        # buckets whose nodes are still apart: a few new leaders against the nodes of other components
         apart = here.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-        here = here.join(apart.select("bucket"), "bucket")
-        delegates = here.groupBy("bucket", "root").agg(F.min("node").alias("a")).withColumnRenamed("root", "root_a")
-        again = here.join(delegates, "bucket").where("root != root_a")
-        again = again.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+        here = here.join(apart.select("bucket"), "bucket", "left_semi")
+        draw = F.xxhash64("node", F.lit(turn))
+        drawn = here.groupBy("bucket", F.pmod(draw, F.lit(LEADERS)).alias("slot")).agg(
+            F.min_by(F.struct(F.col("node").alias("leader"), F.col("root").alias("lead_root")), draw).alias("l")
+        )
+        again = here.join(drawn.select("bucket", "l.*"), "bucket").where("root != lead_root")
+        again = again.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
         again = stored(again.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not again.take(1):
-            return signed, nodes, found, roots
         more = stored(verified(again, nodes, threshold), "links")
-        tried = tried.union(again)
         if not more.take(1):
             return signed, nodes, found, roots
-        found = found.union(more)
+        tried, found = tried.union(again), found.union(more)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
