@@ -129,7 +129,11 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     covered = F.transform(
         starts, lambda x, i: F.least(F.lit(n), F.coalesce(F.get(starts, i + 1) - x, F.lit(n))).cast("long")
     )
-    df = df.withColumn("_n_repeat_words", F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x)).drop("_starts")
+    # the id (never negative) keeps the optimiser from moving later filters below, where they would
+    # evaluate the arrays again for every element
+    once = F.when(F.monotonically_increasing_id() < 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
+    total = F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x)
+    df = df.withColumn("_n_repeat_words", total + once).drop("_starts")
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits",
              "n_shouts"]
     df = df.drop(*names)
