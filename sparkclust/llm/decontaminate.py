@@ -32,6 +32,8 @@ Q = 12
 EDIT_SHARE = 0.05
 BLOCK_BYTES = 4 << 20
 BITS = 22
+#: Bytes of text that a task works on at once.
+SLICE_BYTES = 1 << 20
 FOLD = np.where(IS_BLANK, 32, np.arange(256)).astype(np.uint8)
 FOLD[65:91] += 32
 FAR = np.int64(1) << 40
@@ -191,7 +193,7 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for first, data, offsets in slices(batch, "_text"):
+                for first, data, offsets in slices(batch, "_text", SLICE_BYTES):
                     rows = index.value.matches(data, offsets)
                     if rows:
                         ids = batch.column("doc_id").slice(first, offsets.size - 1)
@@ -222,7 +224,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> Data
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for first, data, offsets in slices(batch, text_col):
+                for first, data, offsets in slices(batch, text_col, SLICE_BYTES):
                     keep[[first + r[0] for r in index.value.matches(data, offsets)]] = False
                 yield batch.filter(pa.array(keep))
 
