@@ -11,13 +11,17 @@ multisets agree in a register with probability equal to their weighted Jaccard
 similarity.  Processes stop when their time passes the latest register.
 
 Documents with equal multisets form one node.  Nodes that agree in a band of
-registers are candidates; in a bucket each node is paired with the bucket's
-most central node, and in buckets whose nodes are still in several components
-after verification ``LEADERS`` more nodes, drawn anew in every round, are paired
-with the nodes of other components, until a round finds no new link.  So pairs
-grow with the size of a bucket, not with its square.  Pairs are verified by the exact overlap of their multisets (32-bit shingle
-hashes).  Classes are the connected components of verified pairs, found by
-alternating star contractions on tables in the shared folder.
+registers are candidates.  In a bucket each node is paired with the bucket's
+most central node, and for ``ROUNDS`` rounds ``LEADERS`` more nodes, drawn anew,
+are paired with the nodes of other components.  That joins most of a large class
+with few pairs and leaves nothing out: then every candidate pair whose nodes are
+still in different components is decided.  In buckets of up to ``SMALL`` nodes
+all such pairs are verified, in larger ones those that a size, prefix and
+position filter on the rarest shingles cannot rule out (what it rules out is
+below the threshold).  Pairs are verified by the exact overlap of their multisets
+(32-bit shingle hashes).  Classes are the connected components of all candidate
+pairs that reach the threshold, found by alternating star contractions on tables
+in the shared folder.
 
 Null and empty texts never link.  Repeated rows are copies.  A null id is
 replaced by a digest of the text as row key.  Extra columns are ignored.
@@ -29,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkclust.llm.common import stored, text_of
@@ -42,8 +46,13 @@ ROWS = 4
 GOLDEN = 0x9E3779B97F4A7C15
 
 SLICE_BYTES = 2 << 20
-#: Nodes of a bucket that are compared with the others in each later round.
+#: Rounds before all remaining pairs are decided, and the nodes of a bucket that are compared with the others in each.
+ROUNDS = 2
 LEADERS = 3
+#: Buckets of up to so many nodes pair them directly.
+SMALL = 16
+#: Added to counts before they are compared with fractions, so that rounding rules no pair out.
+SLACK = 1e-6
 
 SIGNED = "doc_id long, row_key string, node binary, n_shingles long, bands array<long>"
 BAGS = "row_key string, node binary, bag binary"
@@ -179,17 +188,18 @@ def _bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _ranked(v: np.ndarray) -> np.ndarray:
+    """The k-th of equal values matches the k-th: sorted values with their rank among equals."""
+    start = np.searchsorted(v, v, side="left")
+    return v.astype(np.uint64) << np.uint64(32) | (np.arange(v.size) - start).astype(np.uint64)
+
+
 def overlap(a: bytes, b: bytes) -> float:
     """Weighted Jaccard similarity of two sorted arrays of 32-bit shingle hashes."""
     x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
     if min(x.size, y.size) < THRESHOLD * max(x.size, y.size) - 1:
         return min(x.size, y.size) / max(x.size, y.size)  # an upper bound below the threshold
-    # the k-th of equal values matches the k-th: rank equal values and intersect the pairs
-    def ranked(v: np.ndarray) -> np.ndarray:
-        start = np.searchsorted(v, v, side="left")
-        return v.astype(np.uint64) << np.uint64(32) | (np.arange(v.size) - start).astype(np.uint64)
-
-    common = np.intersect1d(ranked(x), ranked(y), assume_unique=True).size
+    common = np.intersect1d(_ranked(x), _ranked(y), assume_unique=True).size
     return common / (x.size + y.size - common)
 
 
@@ -220,6 +230,63 @@ def verified(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(_verify(threshold), "a binary, b binary, similarity double")
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per shingle of a node's multiset; the k-th of equal shingles is an element of its own."""
+    for batch in batches:
+        for i, bag in enumerate(batch.column("bag")):
+            elements = _ranked(np.frombuffer(bag.as_py(), np.uint32)).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(pa.array(np.full(elements.size, i))), pa.array(elements)], names=["node", "element"]
+            )
+
+
+def filtered_pairs(open_: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): the pairs of ``open_`` (node, root) with different roots that sizes and shared elements do not rule out.
+
+    Elements are ordered by the number of nodes that have them, the rarest
+    first.  If ``rest`` elements of a node stand at and after the first one that
+    it shares with another node, their overlap is at most ``rest``, and that of
+    the other node.  A true pair meets at its first shared element.
+    """
+    bags_ = open_.join(nodes, "node")
+    elements = stored(bags_.select("node", "bag").mapInArrow(_elements, "node binary, element long"), "elements")
+    common = elements.groupBy("element").agg(F.count(F.lit(1)).alias("n_nodes")).where("n_nodes > 1")
+    # elements of one node only come first in the order and are never shared: rest counts from the end
+    from_end = Window.partitionBy("node").orderBy(F.desc("n_nodes"), F.desc("element"))
+    ranked = elements.join(common, "element").withColumn("rest", F.row_number().over(from_end))
+    ranked = ranked.join(bags_.select("node", "root", "n_shingles"), "node")
+    prefix = stored(ranked.where(F.col("rest") + SLACK >= threshold * F.col("n_shingles")).drop("n_nodes"), "prefixes")
+    # an element within one component makes no pair
+    across = prefix.groupBy("element").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    prefix = prefix.join(across.select("element"), "element", "left_semi")
+    x = prefix.select("element", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n_shingles").alias("na"), F.col("rest").alias("xa"))
+    y = prefix.select("element", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n_shingles").alias("nb"), F.col("rest").alias("xb"))
+    possible = (
+        (x["element"] == y["element"]) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
+        & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
+        & ((F.least("xa", "xb") + SLACK) * (1 + threshold) >= threshold * (F.col("na") + F.col("nb")))
+    )
+    return x.join(y, possible).select("a", "b").distinct()
+
+
+def undecided(members: DataFrame, roots: DataFrame, nodes: DataFrame, tried: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): all pairs that share a bucket, have not been tried, are in different components and may reach the threshold."""
+    here = members.select("bucket", "size", "node").join(roots, "node", "left")
+    here = here.select("bucket", "size", "node", F.coalesce("root", "node").alias("root"))
+    apart = here.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    here = stored(here.join(apart.select("bucket"), "bucket", "left_semi"), "apart")
+    few = here.where(F.col("size") <= SMALL)
+    x = few.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"))
+    y = few.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"))
+    direct = x.join(y, (x["bucket"] == y["bucket"]) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).select("a", "b")
+    many = here.where(F.col("size") > SMALL)
+    pairs = filtered_pairs(many.select("node", "root").distinct(), nodes, threshold)
+    shared = many.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
+    pairs = pairs.join(shared.toDF("a", "buckets_a"), "a").join(shared.toDF("b", "buckets_b"), "b")
+    pairs = pairs.where(F.arrays_overlap("buckets_a", "buckets_b")).select("a", "b")
+    return direct.union(pairs).distinct().join(tried, ["a", "b"], "left_anti")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the least node of each connected component, for nodes that have an edge.
 
@@ -277,10 +344,9 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, row
     stars = members.join(leads, "bucket").where("node != leader")
     stars = stored(stars.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct(), "pairs")
     found = stored(verified(stars, nodes, threshold), "links")
-    tried, turn = stars, 0
-    while True:
-        roots = components(found)
-        turn += 1
+    tried = stars
+    roots = components(found)
+    for turn in range(1, ROUNDS + 1):
         here = members.select("bucket", "node").join(roots, "node", "left")
         here = here.select("bucket", "node", F.coalesce("root", "node").alias("root"))
         # buckets whose nodes are still apart: a few new leaders against the nodes of other components
@@ -294,9 +360,17 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, row
         again = again.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
         again = stored(again.join(tried, ["a", "b"], "left_anti"), "pairs")
         more = stored(verified(again, nodes, threshold), "links")
+        tried = tried.union(again)
         if not more.take(1):
-            return signed, nodes, found, roots
-        tried, found = tried.union(again), found.union(more)
+            break
+        found = found.union(more)
+        roots = components(found)
+    last = stored(undecided(members, roots, nodes, tried, threshold), "pairs")
+    more = stored(verified(last, nodes, threshold), "links")
+    if more.take(1):
+        found = found.union(more)
+        roots = components(found)
+    return signed, nodes, found, roots
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

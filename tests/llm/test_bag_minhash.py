@@ -99,3 +99,31 @@ def test_components_of_a_long_chain_and_a_star(spark):
     df = spark.createDataFrame(edges, "a binary, b binary")
     got = {bytes(r.node): bytes(r.root) for r in bm.components(df).collect()}
     assert got == {bytes([i]): b"\x00" for i in range(41)} | {b"\x80": b"\x80"} | {bytes([129 + i]): b"\x80" for i in range(50)}
+
+
+def crowded_bucket(n, n_pairs, seed=9):
+    """n texts of which any two agree to 0.7 or less, and for the first n_pairs of them another one that agrees to 0.8 or a bit more."""
+    rng = random.Random(seed)
+    frame = [f"f{i}" for i in range(300)]
+    rows = [(i, frame + [f"o{i}_{k}" for k in range(rng.randint(66, 72) if i < n_pairs else rng.randint(66, 160))]) for i in range(n)]
+    rows += [(n + j, rows[j][1][: -rng.randint(34, 38)]) for j in range(n_pairs)]
+    rows[n:] = [(i, w + [f"c{i}_{k}" for k in range(len(rows[i - n][1]) - len(w))]) for i, w in rows[n:]]
+    return [(i, " ".join(w)) for i, w in rows]
+
+
+def test_every_true_pair_of_a_crowded_bucket_is_found(spark):
+    n, n_pairs = 900, 100
+    rows = crowded_bucket(n, n_pairs)
+    df = docs(spark, [(i, t, "s") for i, t in rows])
+    text = [t.encode() for _, t in rows]
+    data, offsets = np.frombuffer(b"".join(text), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in text])))
+    registers = bm.signatures(*bm.bags(*bm.shingles(data, offsets)), len(rows), bm.BANDS * bm.ROWS)
+    bands = [set(b) for b in bm.band_hashes(registers, bm.BANDS, bm.ROWS).tolist()]
+    size = Counter(b for own in bands for b in own)
+    shared = [bands[j] & bands[n + j] for j in range(n_pairs)]
+    assert max(size.values()) > n / 4
+    assert sum(bool(s) and min(size[b] for b in s) > 16 for s in shared) >= 3  # pairs that meet in crowded buckets only
+    assert all(similarity(bag(rows[j][1]), bag(rows[n + j][1])) >= 0.8 for j in range(n_pairs))
+    got = {r.doc_id: (r.class_id, r.class_size) for r in bm.near_duplicates(df).collect()}
+    want = {i: (i, 1) for i, _ in rows} | {i: (j, 2) for j in range(n_pairs) if shared[j] for i in (j, n + j)}
+    assert got == want
