@@ -14,8 +14,11 @@ anchor; equal strings have equal anchors at the same distance.  Neighbouring
 strings with one anchor form a segment.  Anchor hashes go round first, once per
 bucket of documents; only segments whose anchor occurs in several buckets are
 exchanged with their bytes, and equal segments of one bucket are exchanged
-once.  Segments arrive in order of anchor and document, so a group of any size
-is worked on in chunks that carry only its distinct segments.
+once.  Segments arrive in order of anchor and document, and a group is worked on
+in chunks that carry only its distinct segments.  An anchor with more than
+``HOT`` segments (a short passage between ever differing neighbours) is not one
+group: its strings are exchanged one by one, grouped by the hash of all their
+``SPAN`` bytes, so that a group carries one string.
 
 Order: doc_id, null last; rows with equal doc_id and different text by a hash
 of the text.  Rows that agree in both are one document and get equal results.
@@ -42,6 +45,8 @@ GRAM = 40
 BUCKET_BYTES = 3 << 20
 SLICE_BYTES = 1 << 20
 CHUNK_BYTES = 3 << 20
+#: Segments of an anchor above which its strings are grouped by their whole bytes: about a chunk of them.
+HOT = CHUNK_BYTES // (2 * SPAN)
 
 SEGMENTS = "bucket long, key long, doc_id long, h long, start int, off int, n int, body binary"
 MARKS = "bucket long, doc_id long, h long, marks binary"
@@ -228,18 +233,24 @@ def runs(flags: np.ndarray, n: np.ndarray, start: np.ndarray, span: int = SPAN)
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct (key, bucket) per slice."""
+    """Distinct (key, bucket) per slice, with the number of different segments."""
     for batch in batches:
         buckets = batch.column("bucket").to_numpy()
         for at, data, offsets in slices(batch, "text", SLICE_BYTES):
-            row, _, _, _, key = segments(data, offsets)
+            row, start, off, n, key = segments(data, offsets)
             if key.size:
                 bucket = buckets[at + row]
-                order = np.lexsort((bucket, key))
-                key, bucket = key[order], bucket[order]
+                whole = span_hashes(prefix_hashes(data), start, start + n - 1 + SPAN) ^ mix((off * 4096 + n).astype(np.uint64))
+                order = np.lexsort((whole, bucket, key))
+                key, bucket, whole = key[order], bucket[order], whole[order]
                 new = np.ones(key.size, bool)
                 new[1:] = (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(bucket[new])], names=["key", "bucket"])
+                other = new.copy()
+                other[1:] |= whole[1:] != whole[:-1]
+                count = np.add.reduceat(other.astype(np.int64), np.flatnonzero(new))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[new]), pa.array(bucket[new]), pa.array(count)], names=["key", "bucket", "n"]
+                )
 
 
 def _documents(docs: pa.Table) -> tuple[pa.Table, np.ndarray]:
@@ -257,6 +268,15 @@ def _documents(docs: pa.Table) -> tuple[pa.Table, np.ndarray]:
     return docs.take(pa.array(order[new])), document
 
 
+def _strings(which: np.ndarray, n: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(segment, number within it) of the strings of the segments ``which`` that are not flagged."""
+    before = np.cumsum(n) - n
+    flat, _ = gather(np.arange(flags.size), before[which], n[which])
+    owner = np.repeat(which, n[which])
+    free = ~flags[flat]
+    return owner[free], (flat - before[owner])[free]
+
+
 def _bucket_segments(docs: pa.Table, hot: pa.Table) -> pa.Table:
     """Repeats inside one bucket, as marks, and its distinct segments whose anchors other buckets have."""
     names = [x.split()[0] for x in SEGMENTS.split(", ")]
@@ -296,18 +316,28 @@ def _bucket_segments(docs: pa.Table, hot: pa.Table) -> pa.Table:
         for d in np.unique(doc):
             mine = doc == d if doc.size < 1000 else slice(*np.searchsorted(doc, [d, d + 1]))
             out.append((int(d), np.stack((lo[mine], hi[mine]), axis=1).astype(np.int64).tobytes()))
-    send = np.flatnonzero(first & np.isin(key, shared))
-    m, k = len(out), send.size
-    docs_of = np.concatenate((np.array([d for d, _ in out], np.int64), row[send]))
+    split = np.isin(key, np.unique(hot.column("key").to_numpy()[hot.column("split").to_numpy()]))
+    send = np.flatnonzero(first & np.isin(key, shared) & ~split)
+    # of anchors with many segments, the first of equal strings, each with a key of its own
+    string, w = _strings(np.flatnonzero(split), n, flags)
+    begin = offsets[string] + w
+    string_key = np.empty(0, np.int64)
+    if string.size:
+        content = span_hashes(prefix_hashes(body), begin, begin + SPAN)
+        string_key = mix(content ^ mix(key[string].view(np.uint64) + (off[string] - w).astype(np.uint64))).view(np.int64)
+    m, k = len(out), send.size + string.size
+    docs_of = np.concatenate((np.array([d for d, _ in out], np.int64), row[send], row[string]))
     marks_key = mix(np.array([d for d, _ in out], np.uint64) + np.uint64(bucket) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
     pieces = [b for _, b in out] + [body[offsets[i] : offsets[i + 1]].tobytes() for i in send]
+    bytes_of, cut = gather(body, begin, np.full(string.size, SPAN))
+    alone = pa.Array.from_buffers(pa.binary(), string.size, [None, pa.py_buffer(cut.astype(np.int32)), pa.py_buffer(bytes_of)])
     columns = [
-        pa.array(np.full(m + k, bucket)), pa.array(np.concatenate((marks_key, key[send]))),
+        pa.array(np.full(m + k, bucket)), pa.array(np.concatenate((marks_key, key[send], string_key))),
         ids.take(pa.array(docs_of)), hs.take(pa.array(docs_of)),
-        pa.array(np.concatenate((np.full(m, -1), start[send])).astype(np.int32)),
-        pa.array(np.concatenate((np.zeros(m), off[send])).astype(np.int32)),
-        pa.array(np.concatenate((np.zeros(m), n[send])).astype(np.int32)),
-        pa.array(pieces, pa.binary()),
+        pa.array(np.concatenate((np.full(m, -1), start[send], start[string] + w)).astype(np.int32)),
+        pa.array(np.concatenate((np.zeros(m), off[send], off[string] - w)).astype(np.int32)),
+        pa.array(np.concatenate((np.zeros(m), n[send], np.ones(string.size))).astype(np.int32)),
+        pa.chunked_array([pa.array(pieces, pa.binary()), alone]),
     ]
     return pa.Table.from_arrays(columns, names=names)
 
@@ -406,11 +436,12 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("h", F.xxhash64("text"))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "h"), F.lit(n)))
     rows = rows.select("bucket", "doc_id", "h", "text")
-    anchors = rows.mapInArrow(_anchors, "key long, bucket long")
+    anchors = rows.mapInArrow(_anchors, "key long, bucket long, n long")
     # one row per anchor and bucket: the count is of buckets, not of documents
     everywhere = Window.partitionBy("key")
     several = F.min("bucket").over(everywhere) != F.max("bucket").over(everywhere)
-    hot = anchors.withColumn("several", several).where("several").select("bucket", "key")
+    split = F.sum("n").over(everywhere) > F.lit(HOT)
+    hot = anchors.withColumn("several", several).withColumn("split", split).where("several").select("bucket", "key", "split")
     # the exchange of the texts by bucket is the same in both places and is reused
     by_bucket = rows.groupBy("bucket")
     parts = by_bucket.cogroup(hot.groupBy("bucket")).applyInArrow(_bucket_segments, SEGMENTS)

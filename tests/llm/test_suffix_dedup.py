@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from llm_cases import EDGES, SF001, docs
 
 from sparkclust.llm import suffix_dedup as sd
@@ -88,3 +90,35 @@ def test_spans_are_the_removed_ranges(spark):
     by = {r.doc_id: r for r in rows}
     assert by[1].spans == [] or by[1].n_removed == sum(s.end - s.start for s in by[1].spans)
     assert [tuple(s) for s in by[2].spans] == [(2, 152)]
+
+
+def passage_rows(n, seed=5):
+    """A passage of 60 bytes between neighbours that differ in every text, two of them alike."""
+    rng = random.Random(seed)
+    noise = lambda k: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(k))
+    passage = noise(60)
+    rows = [(i, noise(80) + passage + noise(80)) for i in range(n)]
+    return rows + [(n, noise(30) + rows[1][1][40:190] + noise(30))]
+
+
+def test_strings_of_frequent_anchors_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 4_000)
+    monkeypatch.setattr(sd, "HOT", 3)
+    check(spark, planted(3))
+    check(spark, passage_rows(80))
+
+
+def test_no_group_holds_all_neighbours_of_a_frequent_passage():
+    rows = passage_rows(300)
+    text = pa.array([t for _, t in rows])
+    columns = {"bucket": pa.array([0] * len(rows)), "doc_id": pa.array([i for i, _ in rows]), "h": pa.array(range(len(rows))), "text": text}
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(t) for _, t in rows])))
+    keys, count = np.unique(sd.segments(data, offsets)[4], return_counts=True)
+    assert count.max() > 50
+    anchors = next(iter(sd._anchors([pa.RecordBatch.from_pydict(columns)])))
+    assert max(anchors.column("n").to_pylist()) == count.max() - 1  # the copied segment counts once
+    hot = pa.table({"key": keys, "split": count > 50})
+    out = sd._bucket_segments(pa.table(columns), hot)
+    sent = out.filter(pa.compute.greater_equal(out.column("start"), 0)).column("key").to_numpy()
+    assert np.unique(sent, return_counts=True)[1].max() <= 50  # anchors that are not split
