@@ -4,7 +4,8 @@ Every unit (line, or paragraph between blank lines) is normalised (lower case,
 blanks to one space, trimmed) and digested; digests are grouped over the whole
 corpus; the earliest unit in the order (doc_id, row, position) stays, all
 others go, with their code-point offsets in the original text.  Units of fewer
-than ``MIN_WORDS`` words are not units of this operator: they stay.
+than ``min_words`` words are not units and stay: ``MIN_WORDS`` unless given; the
+registered query gives 1, so that every line that is not blank is a unit.
 
 Digests are summed up before the shuffle, so a unit that occurs everywhere
 costs each task one row; the join back is split by the optimiser where one

@@ -73,8 +73,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every repeated line of the documents with its place and the line that stays."""
-    return line_dedup.repeats(table(spark, sf_dir, "documents")).drop("row")
+    """Every repeated line of the documents, of one word or more, with its place and the line that stays."""
+    return line_dedup.repeats(table(spark, sf_dir, "documents"), min_words=1).drop("row")
 
 
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

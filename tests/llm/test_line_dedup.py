@@ -3,6 +3,7 @@ import random
 from llm_cases import EDGES, SF01, docs
 
 from sparkclust.llm import line_dedup as ld
+from sparkclust.llm import queries
 
 
 def brute(rows, min_words=ld.MIN_WORDS):
@@ -67,3 +68,16 @@ def test_hot_line(spark):
     rows = [(i, f"this very line is everywhere\nown {rng.random()} a b c d", "s") for i in range(500)]
     got = ld.repeats(docs(spark, rows)).collect()
     assert sorted(r.doc_id for r in got) == list(range(1, 500)) and {r.first_doc_id for r in got} == {0}
+
+
+def test_query_removes_short_and_unspaced_lines(spark, tmp_path):
+    rows = [(1, "All rights reserved.\n \n版权所有不得转载", "s"), (2, "own\n all  RIGHTS reserved. \n \n版权所有不得转载", "s"), (3, "Own", "s")]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = as_rows(queries.op7_line_dedup(spark, str(tmp_path)))
+    assert got == sorted((str(i), *x) for i, *x in brute([r[:2] for r in rows], min_words=1))
+    assert [r[:2] for r in got] == [("2", 1), ("2", 3), ("3", 0)]
+
+
+def test_query_equals_brute_force_without_a_floor(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()]
+    assert as_rows(queries.op7_line_dedup(spark, SF01)) == sorted((str(i), *x) for i, *x in brute(rows, min_words=1))
