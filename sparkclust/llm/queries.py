@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkclust.llm import (
     bag_minhash,
+    chat_repair,
     cube_mixing,
     decontaminate,
     html_extract,
@@ -94,6 +95,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the stated damage."""
+    rows, dropped = chat_repair.damaged(table(spark, sf_dir, "conversations"))
+    return chat_repair.audits(rows, dropped)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_source_mixing": op2_source_mixing,
@@ -105,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extract": op8_html_extract,
     "op9_decontaminate": op9_decontaminate,
     "op10_toxicity": op10_toxicity,
+    "op12_chat_repair": op12_chat_repair,
 }
 
 #: Where SQL gives the same rows: the archive (the others learn, draw or align).
