@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkclust.llm import (
     bag_minhash,
+    byte_bpe,
     chat_repair,
     cube_mixing,
     decontaminate,
@@ -101,6 +103,17 @@ def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.audits(rows, dropped)
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """Byte-level BPE ids of every document by the ranks of a file, and the bytes that they decode to, as digests."""
+    tokens = byte_bpe.read_ranks(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), tokens, pattern)
+    return byte_bpe.decode(coded, tokens).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_source_mixing": op2_source_mixing,
@@ -113,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": op9_decontaminate,
     "op10_toxicity": op10_toxicity,
     "op12_chat_repair": op12_chat_repair,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 #: Where SQL gives the same rows: the archive (the others learn, draw or align).

@@ -90,3 +90,9 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     last[cuts - 1] = solid[cuts - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     return np.searchsorted(offsets, start, side="right") - 1, start, end
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of every range, one range after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if ends.size else 0) + np.repeat(start - (ends - size), size)
