@@ -16,6 +16,7 @@ from sparkclust.llm import (
     decontaminate,
     html_extract,
     line_dedup,
+    phrases,
     quality_rules,
     secret_scan,
     suffix_dedup,
@@ -97,6 +98,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest collocations of every language, of phrases that occur 100 times or more."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every conversation after the stated damage."""
     rows, dropped = chat_repair.damaged(table(spark, sf_dir, "conversations"))
@@ -125,12 +131,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extract": op8_html_extract,
     "op9_decontaminate": op9_decontaminate,
     "op10_toxicity": op10_toxicity,
+    "op11_phrases": op11_phrases,
     "op12_chat_repair": op12_chat_repair,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
-#: Where SQL gives the same rows: the archive (the others learn, draw or align).
+#: Where SQL gives the same rows (the others learn, draw, align, merge or search for the least audit).
 ORACLES: dict[str, str] = {
+    "op11_phrases": r"""
+        WITH folded AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        ), pieces AS (
+            SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM folded
+        ), worded AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), x -> x <> '') AS w FROM pieces
+        ), sums AS (
+            SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM worded GROUP BY lang
+        ), grams AS (
+            SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase
+            FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+                  FROM worded, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m)
+        ), f AS (
+            SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100
+        ), split AS (
+            SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1
+        ), inside AS (
+            SELECT lang, array_to_string(w[i : i + s - 1], ' ') AS phrase, max(a) AS most
+            FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM split))
+            GROUP BY ALL
+        ), cuts AS (
+            SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS lp, array_to_string(w[k + 1 : m], ' ') AS rp
+            FROM (SELECT *, unnest(range(1, m)) AS k FROM split)
+        ), graded AS (
+            SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r, n,
+                   (CAST(1000 AS HUGEINT) * c.a * n) // (CAST(x.a AS HUGEINT) * y.a) AS score
+            FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.lp JOIN f y ON y.lang = c.lang AND y.phrase = c.rp
+                 JOIN sums s ON s.lang = c.lang
+        ), lowest AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM graded
+        ), ranked AS (
+            SELECT g.*, row_number() OVER (PARTITION BY g.lang ORDER BY score DESC, a DESC, g.phrase) AS rank
+            FROM lowest g LEFT JOIN inside i ON i.lang = g.lang AND i.phrase = g.phrase
+            WHERE place = 1 AND (most IS NULL OR 100 * most < 100 * a)
+        )
+        SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+               CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM ranked WHERE rank <= 2000
+    """,
     "op3_warc_archive": """
         WITH p AS (
             SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
