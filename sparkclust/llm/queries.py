@@ -146,7 +146,7 @@ ORACLES: dict[str, str] = {
         ), pieces AS (
             SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM folded
         ), worded AS (
-            SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), x -> x <> '') AS w FROM pieces
+            SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[ \t]+') IF x <> ''] AS w FROM pieces
         ), sums AS (
             SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM worded GROUP BY lang
         ), grams AS (
