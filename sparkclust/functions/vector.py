@@ -118,20 +118,19 @@ def logsumexp(arr: Column) -> Column:
     return F.when(m == float("-inf"), m).otherwise(m + F.log(s))
 
 
-def matvec(mat: Sequence[Sequence[float]], v: Column | str) -> Column:
-    """``[row_k . v for each row]`` for a literal matrix, e.g. projection."""
-    v = col_of(v)
-    return F.transform(mat_lit(mat), lambda row: dot(row, v))
-
-
 # Fixed values of the reproducible draw shared with the SQL oracle:
 # u = (integer of the first 13 hex digits of md5("seed|step|id") + 0.5) / 2^52
 DRAW_HEX_DIGITS = 13
-DRAW_SCALE = float(2**52)
+DRAW_BITS = 4 * DRAW_HEX_DIGITS
+DRAW_SCALE = float(1 << DRAW_BITS)
 
 
-def draw_u(seed: int, step: int, id_col: Column | str) -> Column:
-    """Deterministic uniform draw in (0, 1) per row, independent of partitioning."""
+def draw_int(seed: int, step: int, id_col: Column | str) -> Column:
+    """Deterministic draw of ``DRAW_BITS`` bits per row, independent of partitioning."""
     key = F.concat_ws("|", F.lit(str(int(seed))), F.lit(str(int(step))), col_of(id_col).cast("string"))
-    h = F.conv(F.substring(F.md5(key), 1, DRAW_HEX_DIGITS), 16, 10).cast("bigint")
-    return (h.cast("double") + F.lit(0.5)) / F.lit(DRAW_SCALE)
+    return F.conv(F.substring(F.md5(key), 1, DRAW_HEX_DIGITS), 16, 10).cast("bigint")
+
+
+def draw_u(seed: int, step: int, id_col: Column | str) -> Column:
+    """The draw as a uniform number in (0, 1)."""
+    return (draw_int(seed, step, id_col).cast("double") + F.lit(0.5)) / F.lit(DRAW_SCALE)

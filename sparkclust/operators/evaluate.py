@@ -1,29 +1,48 @@
 """Cluster quality and classification metrics.
 
-Pairwise metrics (Dunn index, Euclidean Silhouette, nearest/farthest
-neighbour summaries) are inherently O(N^2) in distance evaluations.  They run
-as a block nested loop: rows are hashed into B blocks of about
-``block_rows`` rows (``xxhash64(id)``, so cluster skew cannot make a block
-hot), every row is replicated to the B block pairs it belongs to, and each
-block pair ``(a, b), a <= b`` is one ``applyInPandas`` group evaluated with
-NumPy.  Groups hold at most ~2 x ``block_rows`` rows; only per-block-pair
-minima/maxima or per-(row, cluster) distance sums are emitted, never the
-pairs.  Memory per task is flat; total work is quadratic, spread over
-B(B+1)/2 tasks.
+The pairwise metrics are exact.
+
+* Equal rows (labels and vector) count once with their number, so copies of a row,
+  however many, are one row of the distance work.
+* **Dunn index**: every row goes to the nearest of a few pivots; per pivot and
+  cluster one aggregate gives the largest and least distance to the pivot.  The
+  triangle inequality then bounds every pair of such balls from both sides, and
+  only pairs of balls that the bounds cannot rule out are visited: rows are sent to
+  those pairs only, large balls in parts of ``block_rows`` rows.  ``visited`` states
+  the share of row pairs whose distance was computed.
+* **Silhouette, nearest-neighbour summary**: a task owns a block of rows and streams
+  all other rows past it, a batch at a time.  Every row is sent to each owner, and
+  only the finished values of the owned rows come out: no partial sums are
+  shuffled.
+* Several labellings of the same rows are scored in one pass.
+
+Rows without a vector or label are left out and counted in ``skipped``.  Work grows
+with the pairs that are visited; memory per task is that of one block and a batch.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .kmeans import distances
+from .moments import batch_matrix
 
 DEFAULT_BLOCK_ROWS = 2048
+#: Pivots at most: their distances among each other are one matrix per task.
+MAX_PIVOTS = 4096
+#: Rows that are compared with a block at once.
+STEP = 1024
+#: Bounds are loosened by this share, for the rounding of the distances behind them.
+SLACK = 1e-9
 INF = float("inf")
 
 
@@ -50,6 +69,18 @@ def confusion(df: DataFrame, label_col: str = "label", pred_col: str = "cluster"
     )
 
 
+def confusions(df: DataFrame, pred_cols: list[str], by: str, label_col: str = "label") -> dict[tuple, dict[str, int]]:
+    """Confusion counts of several predictions in one pass: {(prediction column, value of ``by``): counts}."""
+    lab, counts = F.col(label_col), []
+    positive = F.coalesce(lab == 1, F.lit(False))
+    for p in pred_cols:
+        eq = F.coalesce(lab == F.col(p), F.lit(False))
+        rules = {"correct": eq, "incorrect": ~eq, "tp": eq & (lab != 0), "tn": eq & (lab == 0), "fp": ~eq & ~positive, "fn": ~eq & positive}
+        counts += [F.count_if(rule).alias(f"{p}:{name}") for name, rule in rules.items()]
+    rows = df.groupBy(by).agg(*counts).collect()
+    return {(p, r[by]): {c.split(":")[-1]: int(r[c]) for c in r.asDict() if c.startswith(f"{p}:")} for r in rows for p in pred_cols}
+
+
 def _ratio(num, den):
     """100 * num / den, +inf when den == 0 (ANSI-safe: no division by zero)."""
     return F.when(den == 0, F.lit(INF)).otherwise(F.lit(100.0) * num.cast("double") / den.cast("double"))
@@ -102,26 +133,46 @@ def metrics_report(metrics: DataFrame) -> DataFrame:
     return metrics.select(F.inline(arr))
 
 
-# --- block nested loop -------------------------------------------------------
+# --- rows and blocks -------------------------------------------------------------
 
 
-def _num_blocks(n: int, block_rows: int) -> int:
-    """Blocks of at most ``block_rows`` rows, and enough block pairs for all task slots.
+@dataclass
+class Scored:
+    """Distinct rows (features, labels, w) of the labellings, persisted."""
 
-    B (B + 1) / 2 pairs are at least three times the slots, so small inputs
-    replicate rows about sqrt(6 * slots) times and large ones n / block_rows.
-    """
-    slots = SparkSession.getActiveSession().sparkContext.defaultParallelism
-    return max(1, int(math.ceil(n / max(1, block_rows))), min(n // 2, int(math.ceil(math.sqrt(6 * slots)))))
+    rows: DataFrame
+    n: int
+    skipped: int
+    distinct: int
+    most: int  # copies of the most frequent row
+    dim: int
+    sizes: list[dict[int, int]]  # per labelling: rows by cluster
 
 
-def block_pairs(df: DataFrame, n_blocks: int, id_col: str = "id") -> DataFrame:
-    """Replicate each row to the B block pairs ``(a, b), a <= b`` that contain its block."""
-    ship_package(df.sparkSession)
-    blk = F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_blocks)).cast("bigint")
-    others = F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))
-    pair = F.transform(others, lambda j: F.least(F.col("_blk"), j) * F.lit(n_blocks).cast("bigint") + F.greatest(F.col("_blk"), j))
-    return df.withColumn("_blk", blk).withColumn("_pair", F.explode(pair))
+def _weighted(df: DataFrame, labels: list[str], col: str) -> DataFrame:
+    """Distinct (features, labels) with their number of rows ``w``; summed up before the exchange."""
+    there = F.col(col).isNotNull()
+    for c in labels:
+        there = there & F.col(c).isNotNull()
+    rows = df.where(there).select(F.col(col).alias("features"), F.array(*[F.col(c).cast("int") for c in labels]).alias("labels"))
+    return rows.groupBy("features", "labels").agg(F.count(F.lit(1)).alias("w"))
+
+
+def _scored(df: DataFrame, labels: list[str], col: str) -> Scored:
+    rows = _weighted(df, labels, col).persist(StorageLevel.MEMORY_AND_DISK)
+    cells = rows.select("w", F.size("features").alias("d"), F.posexplode("labels").alias("m", "label"))
+    found = cells.groupBy("m", "label").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("rows"), F.max("w").alias("most"), F.max("d").alias("d")).collect()
+    first = [r for r in found if r["m"] == 0]
+    n = sum(r["n"] for r in first)
+    sizes = [{r["label"]: r["n"] for r in found if r["m"] == m} for m in range(len(labels))]
+    dim = max((r["d"] for r in found), default=0)
+    return Scored(rows, n, df.count() - n, sum(r["rows"] for r in first), max((r["most"] for r in found), default=0), dim, sizes)
+
+
+def _num_blocks(n: int, block_rows: int) -> int:
+    """Blocks of about ``block_rows`` rows, and enough block pairs for all task slots."""
+    slots = SparkSession.getActiveSession().sparkContext.defaultParallelism
+    return max(1, math.ceil(n / max(1, block_rows)), min(n // 2, math.ceil(math.sqrt(6 * slots))))
 
 
 def _dist_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -143,79 +194,309 @@ def _dist_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(d2)
 
 
-def _split_block(pdf: pd.DataFrame, n_blocks: int):
-    pair = int(pdf["_pair"].iloc[0])
-    a, b = divmod(pair, n_blocks)
-    left = pdf[pdf["_blk"] == a]
-    right = pdf[pdf["_blk"] == b] if a != b else left
-    return a, b, left, right
 
-
-def _mat(p: pd.DataFrame, col: str) -> np.ndarray:
-    if len(p) == 0:
-        return np.zeros((0, 0))
-    return np.stack(p[col].to_numpy()).astype(np.float64)
+def _labels(batch: pa.RecordBatch, models: int) -> np.ndarray:
+    return batch.column("labels").flatten().to_numpy().reshape(-1, models)
+
+
+# --- Dunn index --------------------------------------------------------------------
+
+
+@dataclass
+class Balls:
+    """Pivots and, per labelling, cluster and pivot, the range of distances to the pivot and the number of rows."""
+
+    pivots: np.ndarray
+    parts: np.ndarray  # blocks of every pivot's rows
+    clusters: list[list[int]]
+    far: list[np.ndarray]  # (clusters, pivots); -inf where there is no row
+    near: list[np.ndarray]
+    count: list[np.ndarray]
+
+    def combinations(self, m: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(cluster, cluster, least, largest possible distance by pivot pair)."""
+        between = distances(self.pivots, self.pivots)
+        for a in range(len(self.clusters[m])):
+            for b in range(len(self.clusters[m])):
+                reach = self.far[m][a][:, None] + self.far[m][b][None, :]
+                there = np.isfinite(reach)
+                low = np.where(there, np.maximum(between - reach, 0.0), INF)
+                yield a, b, low, np.where(there, between + reach, -INF)
+
+    def best(self, m: int) -> tuple[float, float]:
+        """(a distance between clusters that some pair does not pass, one within a cluster that some pair reaches)."""
+        between, closest, widest = distances(self.pivots, self.pivots), INF, 0.0
+        off = ~np.eye(len(self.pivots), dtype=bool)
+        for a in range(len(self.clusters[m])):
+            for b in range(len(self.clusters[m])):
+                both = np.isfinite(self.near[m][a])[:, None] & np.isfinite(self.near[m][b])[None, :]
+                reach = np.where(both, self.near[m][a][:, None] + self.near[m][b][None, :], 0.0)
+                if a != b:
+                    closest = min(closest, np.where(both, between + reach, INF).min())
+                else:
+                    widest = max(widest, np.where(both & off, between - reach, 0.0).max())
+            inner = self.count[m][a] > 1
+            widest = max(widest, float((self.far[m][a][inner] - self.near[m][a][inner]).max(initial=0.0)))
+        return closest * (1 + SLACK), widest * (1 - SLACK)
+
+    def open(self) -> list[dict[tuple[int, int], np.ndarray]]:
+        """Per labelling, by pair of clusters: the pivot pairs that the bounds cannot rule out."""
+        out = []
+        for m in range(len(self.clusters)):
+            closest, widest = self.best(m)
+            out.append({(a, b): (low * (1 - SLACK) <= closest if a != b else (high * (1 + SLACK) >= widest) & (high > -INF)) & np.isfinite(low)
+                        for a, b, low, high in self.combinations(m)})
+        return out
+
+
+def _balls(s: Scored, block_rows: int) -> Balls:
+    """Pivots are the rows with the least hashes; one pass assigns all rows."""
+    blocks = min(MAX_PIVOTS, _num_blocks(s.distinct, block_rows))
+    chosen = s.rows.orderBy(F.xxhash64("features", "labels")).limit(blocks).select("features").collect()
+    pivots = np.array([r["features"] for r in chosen], dtype=np.float64)
+    dim, models = s.dim, len(s.sizes)
+
+    def place(batches):
+        for b in batches:
+            d = distances(batch_matrix(b, "features", dim), pivots)
+            cell = np.argmin(d, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(d[np.arange(len(d)), cell]), b.column("labels")], names=["cell", "d", "labels"])
+
+    cells = s.rows.select("features", "labels").mapInArrow(place, "cell int, d double, labels array<int>")
+    exploded = cells.select("cell", "d", F.posexplode("labels").alias("m", "label"))
+    found = exploded.groupBy("cell", "m", "label").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("far"), F.min("d").alias("near")).collect()
+    clusters = [sorted(sizes) for sizes in s.sizes]
+    shape = [(len(c), len(pivots)) for c in clusters]
+    far, near = [np.full(x, -INF) for x in shape], [np.full(x, INF) for x in shape]
+    count = [np.zeros(x, np.int64) for x in shape]
+    for r in found:
+        at = clusters[r["m"]].index(r["label"]), r["cell"]
+        far[r["m"]][at], near[r["m"]][at], count[r["m"]][at] = r["far"], r["near"], r["n"]
+    parts = np.maximum(1, -(-count[0].sum(0) // block_rows))
+    assert models == len(clusters)
+    return Balls(pivots, parts, clusters, far, near, count)
+
+
+def _to_pairs(balls: Balls, wanted: np.ndarray, dim: int):
+    """Sends every row to the pairs of blocks of its pivot that are wanted."""
+    pivots, parts = balls.pivots, balls.parts
+    first = np.cumsum(parts) - parts
+    blocks = int(parts.sum())
+
+    def fn(batches):
+        owner = np.repeat(np.arange(len(parts)), parts)
+        for b in batches:
+            cell = np.argmin(distances(batch_matrix(b, "features", dim), pivots), axis=1)
+            block = first[cell] + np.mod(b.column("h").to_numpy(), parts[cell])
+            for one in np.unique(block):
+                rows = np.flatnonzero(block == one)
+                others = np.flatnonzero(wanted[owner[one]][owner])
+                pair = np.minimum(others, one) * blocks + np.maximum(others, one)
+                for at in range(0, pair.size, max(1, 100_000 // rows.size)):
+                    some = pair[at : at + max(1, 100_000 // rows.size)]
+                    take = b.take(pa.array(np.tile(rows, some.size)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(some, rows.size)), pa.array(np.full(len(take), one)), take.column("features"), take.column("labels")],
+                        names=["pair", "block", "features", "labels"],
+                    )
+
+    return fn, blocks
+
+
+PAIR_RESULT = "m int, low double, high double, visited bigint"
+
+
+def _pair_extremes(balls: Balls, open_: list, blocks: int, dim: int):
+    """Least distance between clusters and largest within one, of one pair of blocks."""
+    owner = np.repeat(np.arange(len(balls.parts)), balls.parts)
+    models = len(balls.clusters)
+
+    def fn(group: pa.Table) -> pa.Table:
+        a, b = divmod(group.column("pair")[0].as_py(), blocks)
+        batch = group.combine_chunks().to_batches()[0]
+        x, labels, side = batch_matrix(batch, "features", dim), _labels(batch, models), batch.column("block").to_numpy()
+        left, right = np.flatnonzero(side == a), np.flatnonzero(side == b)
+        low, high, visited = [INF] * models, [-INF] * models, 0
+        use = []
+        for m in range(models):
+            known = np.array(balls.clusters[m])
+            table = np.zeros((len(known), len(known)), bool)
+            for (i, j), pairs in open_[m].items():
+                table[i, j] = pairs[owner[a], owner[b]]
+            use.append((table, np.searchsorted(known, labels[:, m])))
+        # rows that stand in an open combination of any labelling
+        rows = left[np.any([t.any(1)[k[left]] for t, k in use], axis=0)] if left.size else left
+        columns = right[np.any([t.any(0)[k[right]] for t, k in use], axis=0)] if right.size else right
+        for at in range(0, rows.size, STEP):
+            some = rows[at : at + STEP]
+            if not columns.size:
+                break
+            d = _dist_matrix(x[some], x[columns])
+            valid = some[:, None] < columns[None, :] if a == b else np.ones(d.shape, bool)
+            visited += int(valid.sum())
+            for m, (table, k) in enumerate(use):
+                wanted = valid & table[k[some]][:, k[columns]]
+                same = k[some][:, None] == k[columns][None, :]
+                low[m] = min(low[m], d[wanted & ~same].min(initial=INF))
+                high[m] = max(high[m], d[wanted & same].max(initial=-INF))
+        return pa.table({"m": pa.array(range(models), pa.int32()), "low": low, "high": high, "visited": pa.array([visited] * models, pa.int64())})
+
+    return fn
+
+
+def dunn_many(df: DataFrame, label_cols: list[str], block_rows: int = DEFAULT_BLOCK_ROWS, col: str = "features") -> list[dict]:
+    """Per labelling: ``min_inter``, ``max_intra``, ``dunn``, ``visited`` (share of pairs of distinct rows), ``skipped``."""
+    ship_package(df.sparkSession)
+    s = _scored(df, label_cols, col)
+    try:
+        out = [{"min_inter": None, "max_intra": 0.0 if s.most > 1 else None, "dunn": None, "visited": 0.0, "skipped": s.skipped} for _ in label_cols]
+        if s.distinct > 1:
+            balls = _balls(s, block_rows)
+            open_ = balls.open()
+            wanted = np.zeros((len(balls.pivots),) * 2, bool)
+            for m in open_:
+                for pairs in m.values():
+                    wanted |= pairs | pairs.T
+            fn, blocks = _to_pairs(balls, wanted, s.dim)
+            rows = s.rows.select("features", "labels", F.xxhash64("features", "labels").alias("h"))
+            sent = rows.mapInArrow(fn, "pair bigint, block bigint, features array<double>, labels array<int>")
+            found = sent.groupBy("pair").applyInArrow(_pair_extremes(balls, open_, blocks, s.dim), PAIR_RESULT)
+            pairs = s.distinct * (s.distinct - 1) // 2
+            for r in found.groupBy("m").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("visited").alias("visited")).collect():
+                one = out[r["m"]]
+                one["min_inter"] = r["low"] if r["low"] < INF else None
+                one["max_intra"] = max(r["high"], one["max_intra"] or 0.0) if r["high"] > -INF else one["max_intra"]
+                one["visited"] = r["visited"] / pairs
+        for one in out:
+            if one["max_intra"] and one["min_inter"] is not None:
+                one["dunn"] = one["min_inter"] / one["max_intra"]
+        return out
+    finally:
+        s.rows.unpersist()
 
 
 def dunn_parts(df: DataFrame, n: int | None = None, block_rows: int = DEFAULT_BLOCK_ROWS, col: str = "features",
                cluster_col: str = "cluster", id_col: str = "id") -> DataFrame:
-    """One row: ``min_inter`` (closest pair in different clusters), ``max_intra``, ``dunn``.
+    """One row: ``min_inter`` (closest pair in different clusters), ``max_intra``, ``dunn``, ``visited``, ``skipped``.
 
     NULL when no pair of the kind exists (single cluster / only singletons).
     """
-    n = n if n is not None else df.count()
-    nb = _num_blocks(n, block_rows)
-    rep = block_pairs(df.select(id_col, cluster_col, col), nb, id_col)
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b, left, right = _split_block(pdf, nb)
-        xl, xr = _mat(left, col), _mat(right, col)
-        lo, hi = np.nan, np.nan
-        if len(left) and len(right):
-            d = _dist_matrix(xl, xr)
-            cl = left[cluster_col].to_numpy()[:, None]
-            cr = right[cluster_col].to_numpy()[None, :]
-            same = cl == cr
-            valid = np.ones_like(d, dtype=bool)
-            if a == b:
-                valid = np.triu(valid, 1)
-            inter = valid & ~same
-            intra = valid & same
-            if inter.any():
-                lo = float(d[inter].min())
-            if intra.any():
-                hi = float(d[intra].max())
-        return pd.DataFrame({"min_inter": [lo], "max_intra": [hi]})
-
-    parts = rep.groupBy("_pair").applyInPandas(fn, "min_inter double, max_intra double")
-    # NaN marks "no such pair in this block pair": drop it before min/max
-    agg = parts.agg(
-        F.min(F.when(~F.isnan("min_inter"), F.col("min_inter"))).alias("min_inter"),
-        F.max(F.when(~F.isnan("max_intra"), F.col("max_intra"))).alias("max_intra"),
-    )
-    return agg.withColumn(
-        "dunn",
-        F.when(F.col("max_intra").isNull() | (F.col("max_intra") == 0) | F.col("min_inter").isNull(), F.lit(None).cast("double"))
-        .otherwise(F.col("min_inter") / F.col("max_intra")),
-    )
+    one = dunn_many(df, [cluster_col], block_rows, col)[0]
+    schema = "min_inter double, max_intra double, dunn double, visited double, skipped bigint"
+    return df.sparkSession.createDataFrame([tuple(one.values())], schema)
+
+
+# --- owned blocks: Silhouette and nearest neighbours ---------------------------------
+
+
+def _to_owners(rows: DataFrame, blocks: int, key: Column) -> DataFrame:
+    """Every row once per owner of a block; within an owner its own rows come first."""
+    block = F.pmod(key, F.lit(blocks)).cast("int")
+    sent = rows.withColumn("_block", block).withColumn("_owner", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    sent = sent.withColumn("_other", F.col("_owner") != F.col("_block")).drop("_block")
+    return sent.repartition("_owner").sortWithinPartitions("_owner", "_other")
+
+
+def _owned(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch | None]]:
+    """("own", rows of the owned block), then ("past", rows) pieces of all rows, the own ones included, then ("end", None)."""
+    now, own, open_ = None, [], False
+    for batch in batches:
+        owner, other = batch.column("_owner").to_numpy(), batch.column("_other").to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((np.diff(owner) != 0) | (np.diff(other.astype(np.int8)) != 0)) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(owner)]):
+            if owner[lo] != now:
+                if now is not None:
+                    yield from _past(own, open_)
+                    yield "end", None
+                now, own, open_ = owner[lo], [], False
+            piece = batch.slice(lo, hi - lo)
+            if other[lo]:
+                if not open_:
+                    yield from _past(own, False)
+                    open_ = True
+                for at in range(0, len(piece), STEP):
+                    yield "past", piece.slice(at, STEP)
+            else:
+                own.append(piece)
+    if now is not None:
+        yield from _past(own, open_)
+        yield "end", None
+
+
+def _past(own: list[pa.RecordBatch], done: bool) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """The owned block as a whole, then past itself."""
+    if not done:
+        whole = pa.Table.from_batches(own).combine_chunks().to_batches()[0] if own else None
+        yield "own", whole
+        if whole is not None:
+            for at in range(0, len(whole), STEP):
+                yield "past", whole.slice(at, STEP)
+
+
+def _silhouettes(sizes: list[dict[int, int]], dim: int):
+    """Finished (features, labels, w, a, b, s) of the owned rows: a, b, s by labelling."""
+    models = len(sizes)
+    known = [np.array(sorted(s)) for s in sizes]
+    rows_of = [np.array([s[k] for k in sorted(s)], dtype=np.float64) for s in sizes]
+
+    def fn(batches):
+        own = x = labels = sums = None
+        for what, rows in _owned(batches):
+            if what == "own":
+                own = rows
+                if own is not None:
+                    x, labels = batch_matrix(own, "features", dim), _labels(own, models)
+                    sums = [np.zeros((len(x), len(k))) for k in known]
+            elif own is None:
+                continue
+            elif what == "past":
+                d = _dist_matrix(x, batch_matrix(rows, "features", dim)) * rows.column("w").to_numpy()
+                passing = _labels(rows, models)
+                for m in range(models):
+                    sums[m] += d @ (passing[:, m : m + 1] == known[m]).astype(np.float64)
+            else:
+                a, b, s = (np.zeros((len(x), models)) for _ in range(3))
+                for m in range(models):
+                    at = np.searchsorted(known[m], labels[:, m])
+                    alone = rows_of[m][at] <= 1
+                    a[:, m] = np.where(alone, 0.0, sums[m][np.arange(len(x)), at] / np.maximum(rows_of[m][at] - 1, 1))
+                    means = sums[m] / rows_of[m]
+                    means[np.arange(len(x)), at] = INF
+                    b[:, m] = means.min(1)
+                    top = np.maximum(a[:, m], b[:, m])
+                    with np.errstate(invalid="ignore"):
+                        s[:, m] = np.where(alone | (top == 0), 0.0, (b[:, m] - a[:, m]) / np.where(top == 0, 1.0, top))
+                lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, x.shape[0] * models + 1, models), pa.int32()), pa.array(v.ravel())) for v in (a, b, s)]
+                yield pa.RecordBatch.from_arrays(
+                    [own.column("features"), own.column("labels"), own.column("w"), *lists], names=["features", "labels", "w", "a", "b", "s"]
+                )
 
+    return fn
 
-def _cluster_sums(pdf_rows: pd.DataFrame, other: pd.DataFrame, d: np.ndarray, id_col, cluster_col, self_mask=None):
-    """Per row of ``pdf_rows``: sum of distances and count per cluster of ``other``."""
-    out = []
-    oc = other[cluster_col].to_numpy()
-    ids = pdf_rows[id_col].to_numpy()
-    own = pdf_rows[cluster_col].to_numpy()
-    for c in np.unique(oc):
-        m = oc == c
-        dd = d[:, m]
-        cnt = np.full(len(ids), int(m.sum()), dtype=np.int64)
-        if self_mask is not None:
-            sm = self_mask[:, m]
-            dd = np.where(sm, 0.0, dd)
-            cnt = cnt - sm.sum(1)
-        out.append(pd.DataFrame({id_col: ids, "own": own, "other": np.full(len(ids), c), "sum_d": dd.sum(1), "cnt": cnt}))
-    return out
+
+SILHOUETTE = "features array<double>, labels array<int>, w bigint, a array<double>, b array<double>, s array<double>"
+
+
+def _row_silhouettes(s: Scored, block_rows: int) -> DataFrame:
+    sent = _to_owners(s.rows, _num_blocks(s.distinct, block_rows), F.xxhash64("features", "labels"))
+    return sent.mapInArrow(_silhouettes(s.sizes, s.dim), SILHOUETTE)
+
+
+def silhouette_many(df: DataFrame, label_cols: list[str], block_rows: int = DEFAULT_BLOCK_ROWS, col: str = "features") -> list[dict]:
+    """Per labelling: mean Silhouette (None unless 2 <= clusters <= N-1), ``n_clusters``, ``skipped``."""
+    ship_package(df.sparkSession)
+    s = _scored(df, label_cols, col)
+    try:
+        means: dict[int, float] = {}
+        if s.distinct:
+            per = _row_silhouettes(s, block_rows).select("w", F.posexplode("s").alias("m", "s"))
+            means = {r["m"]: r["v"] / s.n for r in per.groupBy("m").agg(F.sum(F.col("w") * F.col("s")).alias("v")).collect()}
+        return [
+            {"silhouette": means[m] if 2 <= len(sizes) <= s.n - 1 else None, "n_clusters": len(sizes), "skipped": s.skipped}
+            for m, sizes in enumerate(s.sizes)
+        ]
+    finally:
+        s.rows.unpersist()
 
 
 def silhouette_parts(df: DataFrame, n: int | None = None, block_rows: int = DEFAULT_BLOCK_ROWS, col: str = "features",
@@ -223,111 +504,75 @@ def silhouette_parts(df: DataFrame, n: int | None = None, block_rows: int = DEFA
     """Per-row ``(id, cluster, a, b, s)`` of the Euclidean Silhouette.
 
     ``a`` = mean distance to the other members of the own cluster, ``b`` =
-    smallest mean distance to another cluster, ``s = (b - a) / max(a, b)``,
-    0 for a singleton cluster.
+    smallest mean distance to another cluster (inf if there is none),
+    ``s = (b - a) / max(a, b)``, 0 for a singleton cluster.
     """
-    n = n if n is not None else df.count()
-    nb = _num_blocks(n, block_rows)
-    rep = block_pairs(df.select(id_col, cluster_col, col), nb, id_col)
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b, left, right = _split_block(pdf, nb)
-        parts = []
-        if len(left) and len(right):
-            d = _dist_matrix(_mat(left, col), _mat(right, col))
-            if a == b:
-                idl = left[id_col].to_numpy()
-                parts += _cluster_sums(left, left, d, id_col, cluster_col, self_mask=idl[:, None] == idl[None, :])
-            else:
-                parts += _cluster_sums(left, right, d, id_col, cluster_col)
-                parts += _cluster_sums(right, left, d.T, id_col, cluster_col)
-        if not parts:
-            return pd.DataFrame({id_col: pd.Series([], dtype="int64"), "own": pd.Series([], dtype="int32"),
-                                 "other": pd.Series([], dtype="int32"), "sum_d": pd.Series([], dtype="float64"),
-                                 "cnt": pd.Series([], dtype="int64")})
-        return pd.concat(parts, ignore_index=True)
-
-    schema = f"{id_col} bigint, own int, other int, sum_d double, cnt bigint"
-    sums = rep.groupBy("_pair").applyInPandas(fn, schema).groupBy(id_col, "own", "other").agg(
-        F.sum("sum_d").alias("sum_d"), F.sum("cnt").alias("cnt")
-    )
-    per = sums.groupBy(id_col, "own").agg(
-        F.max(F.when(F.col("other") == F.col("own"), F.col("cnt"))).alias("n_own"),
-        F.max(F.when((F.col("other") == F.col("own")) & (F.col("cnt") > 0), F.col("sum_d") / F.col("cnt"))).alias("a"),
-        F.min(F.when((F.col("other") != F.col("own")) & (F.col("cnt") > 0), F.col("sum_d") / F.col("cnt"))).alias("b"),
-    )
-    a, b = F.coalesce(F.col("a"), F.lit(0.0)), F.col("b")
-    s = F.when(F.coalesce(F.col("n_own"), F.lit(0)) == 0, F.lit(0.0)).when(F.greatest(a, b) == 0, F.lit(0.0)).otherwise(
-        (b - a) / F.greatest(a, b)
-    )
-    return per.select(F.col(id_col), F.col("own").alias(cluster_col), a.alias("a"), b.alias("b"), s.alias("s"))
+    ship_package(df.sparkSession)
+    s = _scored(df, [cluster_col], col)
+    s.rows.unpersist()
+    found = _row_silhouettes(s, block_rows).select("features", F.col("labels")[0].alias("_label"), *[F.col(c)[0].alias(c) for c in "abs"])
+    rows = df.select(id_col, cluster_col, F.col(col).alias("features"), F.col(cluster_col).cast("int").alias("_label"))
+    return rows.join(found, ["features", "_label"]).select(id_col, cluster_col, "a", "b", "s")
 
 
 def silhouette(df: DataFrame, n: int | None = None, block_rows: int = DEFAULT_BLOCK_ROWS, col: str = "features",
                cluster_col: str = "cluster", id_col: str = "id") -> DataFrame:
-    """One row: mean Silhouette and the number of clusters; NULL unless 2 <= clusters <= N-1."""
-    per = silhouette_parts(df, n, block_rows, col, cluster_col, id_col)
-    agg = per.agg(
-        F.avg("s").alias("silhouette"),
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct(F.col(cluster_col)).alias("n_clusters"),
-    )
-    ok = (F.col("n_clusters") >= 2) & (F.col("n_clusters") <= F.col("n") - 1)
-    return agg.select(F.when(ok, F.col("silhouette")).alias("silhouette"), F.col("n_clusters").cast("bigint"))
+    """One row: mean Silhouette (NULL unless 2 <= clusters <= N-1), number of clusters, rows skipped."""
+    one = silhouette_many(df, [cluster_col], block_rows, col)[0]
+    return df.sparkSession.createDataFrame([tuple(one.values())], "silhouette double, n_clusters bigint, skipped bigint")
+
+
+def _neighbours(dim: int, id_col: str):
+    """Nearest other row (ties -> least id), farthest distance and mean distance of the owned rows."""
+
+    def fn(batches):
+        own = x = ids = None
+        for what, rows in _owned(batches):
+            if what == "own":
+                own = rows
+                if own is not None:
+                    x, ids = batch_matrix(own, "features", dim), own.column(id_col).to_numpy()
+                    near, near_id = np.full(len(x), INF), np.full(len(x), np.iinfo(np.int64).max)
+                    far, total, n = np.zeros(len(x)), np.zeros(len(x)), np.zeros(len(x), np.int64)
+            elif own is None:
+                continue
+            elif what == "past":
+                others = rows.column(id_col).to_numpy()
+                d, itself = _dist_matrix(x, batch_matrix(rows, "features", dim)), ids[:, None] == others[None, :]
+                total += np.where(itself, 0.0, d).sum(1)
+                n += (~itself).sum(1)
+                far = np.maximum(far, np.where(itself, 0.0, d).max(1))
+                d[itself] = INF
+                least = d.min(1)
+                first = np.where(d == least[:, None], others[None, :], np.iinfo(np.int64).max).min(1)
+                near_id = np.where(least < near, first, np.where(least == near, np.minimum(first, near_id), near_id))
+                near = np.minimum(near, least)
+            else:
+                some = np.flatnonzero(n > 0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v[some]) for v in (ids, near_id, near, far, total / np.maximum(n, 1))],
+                    names=["id", "nearest_id", "nearest_dist", "farthest_dist", "mean_dist"],
+                )
+
+    return fn
 
 
 def pairwise_summary(df: DataFrame, n: int | None = None, block_rows: int = DEFAULT_BLOCK_ROWS, col: str = "features",
                      id_col: str = "id") -> DataFrame:
-    """Per row: nearest other row (id, distance; ties -> lowest id), farthest distance, mean distance."""
-    n = n if n is not None else df.count()
-    nb = _num_blocks(n, block_rows)
-    rep = block_pairs(df.select(id_col, col), nb, id_col)
-
-    def side(rows: pd.DataFrame, other: pd.DataFrame, d: np.ndarray, self_mask=None):
-        oid = other[id_col].to_numpy()
-        dm = d.copy()
-        dx = d.copy()
-        cnt = np.full(len(rows), len(other), dtype=np.int64)
-        if self_mask is not None:
-            dm[self_mask] = np.inf
-            dx[self_mask] = -np.inf
-            cnt = cnt - self_mask.sum(1)
-        # nearest with lowest-id tie break: smallest id among the minimal distances
-        near_d = dm.min(1)
-        big = np.iinfo(np.int64).max
-        near_id = np.where(dm == near_d[:, None], oid[None, :].astype(np.int64), big).min(1)
-        s = np.where(self_mask, 0.0, d).sum(1) if self_mask is not None else d.sum(1)
-        return pd.DataFrame({id_col: rows[id_col].to_numpy(), "near_d": near_d, "near_id": near_id,
-                             "far_d": dx.max(1), "sum_d": s, "cnt": cnt})
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b, left, right = _split_block(pdf, nb)
-        out = []
-        if len(left) and len(right):
-            d = _dist_matrix(_mat(left, col), _mat(right, col))
-            if a == b:
-                idl = left[id_col].to_numpy()
-                out.append(side(left, left, d, idl[:, None] == idl[None, :]))
-            else:
-                out.append(side(left, right, d))
-                out.append(side(right, left, d.T))
-        if not out:
-            return pd.DataFrame({id_col: pd.Series([], dtype="int64"), "near_d": pd.Series([], dtype="float64"),
-                                 "near_id": pd.Series([], dtype="int64"), "far_d": pd.Series([], dtype="float64"),
-                                 "sum_d": pd.Series([], dtype="float64"), "cnt": pd.Series([], dtype="int64")})
-        return pd.concat(out, ignore_index=True)
-
-    schema = f"{id_col} bigint, near_d double, near_id bigint, far_d double, sum_d double, cnt bigint"
-    parts = rep.groupBy("_pair").applyInPandas(fn, schema).where(F.col("cnt") > 0)
-    return parts.groupBy(id_col).agg(
-        F.min(F.struct(F.col("near_d"), F.col("near_id"))).alias("nn"),
-        F.max("far_d").alias("farthest_dist"),
-        (F.sum("sum_d") / F.sum("cnt")).alias("mean_dist"),
-    ).select(id_col, F.col("nn.near_id").alias("nearest_id"), F.col("nn.near_d").alias("nearest_dist"), "farthest_dist", "mean_dist")
+    """Per row: nearest other row (id, distance; ties -> lowest id), farthest distance, mean distance.
+
+    Rows are told apart by id; rows without a vector or id are left out.
+    """
+    ship_package(df.sparkSession)
+    rows = df.where(F.col(col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias(id_col), F.col(col).alias("features"))
+    head = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("d")).first()
+    sent = _to_owners(rows, _num_blocks(n or head["n"], block_rows), F.xxhash64(id_col))
+    schema = "id bigint, nearest_id bigint, nearest_dist double, farthest_dist double, mean_dist double"
+    return sent.mapInArrow(_neighbours(head["d"] or 0, id_col), schema).withColumnRenamed("id", id_col)
 
 
 def dunn_index(df: DataFrame, **kw) -> DataFrame:
-    """``min_inter, max_intra, dunn`` of an assigned frame (``id, cluster, features``)."""
+    """``min_inter, max_intra, dunn`` of an assigned frame (``cluster, features``)."""
     return dunn_parts(df, **kw)
 
 

@@ -1,14 +1,16 @@
 """Full-covariance Gaussian mixture fitted by expectation maximisation.
 
-One EM iteration is ONE Spark job: a ``mapInArrow`` pass evaluates the
-E-step on Arrow batches (NumPy, vectorised), accumulates per partition the
-M-step sums for every component (``sum r``, ``sum r x``, ``sum r (x-c)(x-c)^T``
-about the previous mean ``c``) and the log-likelihood, and emits K partial
-vectors; a keyed two-level ``Summarizer.sum`` adds them up.  Only K x D^2
-numbers reach the driver, where each covariance is factorised once per
-iteration (eigendecomposition, pseudo-inverse and pseudo-determinant so that
-singular covariances are allowed) and shipped back inside the next task
-closure.  Scoring rows with a fitted model is a narrow Arrow UDF (no shuffle).
+One EM iteration is ONE Spark job for any number of models: a ``mapInArrow`` pass
+evaluates the E-step of every model on Arrow batches, adds up the M-step sums of
+every component (``sum r``, ``sum r x``, ``sum r (x-c)(x-c)^T`` about the previous
+mean ``c``) and the log-likelihood exactly (:mod:`moments`), and one aggregate
+adds up the tasks.  Values of a row are computed term by term, never by a product
+whose rounding depends on the rows beside it, so a fit is the same bits under any
+partitioning.  Only K x D^2 numbers reach the driver, where each covariance is
+factorised once per iteration (eigendecomposition, pseudo-inverse and
+pseudo-determinant so that singular covariances are allowed) and shipped back
+inside the next task closure.  Scoring rows with a fitted model is a narrow Arrow
+UDF (no shuffle); rows whose vector is NULL get NULL.
 """
 
 from __future__ import annotations
@@ -22,9 +24,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kmeans import assign_nearest, first_k_seeds, kmeanspp_init, total_shift
-from .moments import batch_matrix, fan_in_for, needs_two_levels, salt_of_task, spread, sum_vectors
 from ..session import ship_package
+from .kmeans import first_k_seeds, fit_grid, kmeanspp_init, nearest, total_shift
+from .moments import (
+    BITS, LIMBS, Grid, Sums, batch_matrix, group_co_moments, joined, limbs, part_rows, rounded, row_blocks, spread, total, vectors,
+)
 
 LOG_2PI = math.log(2.0 * math.pi)
 # Fixed values of the reference M-step and stop rule
@@ -87,11 +91,15 @@ class GaussianMixtureModel:
 
 
 def log_joint_np(x: np.ndarray, factors) -> np.ndarray:
-    """``l_ik = ln pi_k + ln N(x_i; mu_k, Sigma_k)`` for a batch."""
+    """``l_ik = ln pi_k + ln N(x_i; mu_k, Sigma_k)`` for a batch, each row by itself."""
     out = np.empty((x.shape[0], len(factors)))
     for k, (const, mean, u) in enumerate(factors):
-        y = (x - mean) @ u
-        out[:, k] = const - 0.5 * np.einsum("ij,ij->i", y, y)
+        y, acc = np.zeros((len(x), u.shape[1])), np.zeros(len(x))
+        for j in range(x.shape[1]):
+            y += (x[:, j : j + 1] - mean[j]) * u[j]
+        for j in range(u.shape[1]):
+            acc += y[:, j] * y[:, j]
+        out[:, k] = const - 0.5 * acc
     return out
 
 
@@ -118,12 +126,6 @@ def responsibilities_np(l: np.ndarray, mode: str = "softmax") -> np.ndarray:
     raise ValueError(f"unknown responsibility mode {mode!r}")
 
 
-def _list_array(m: np.ndarray) -> pa.Array:
-    n, k = m.shape
-    offsets = pa.array(np.arange(0, n * k + 1, k, dtype=np.int32))
-    return pa.ListArray.from_arrays(offsets, pa.array(m.ravel(), type=pa.float64()))
-
-
 # --- narrow scoring (Arrow UDFs) ----------------------------------------------
 
 
@@ -136,14 +138,13 @@ def _score_udf(model: GaussianMixtureModel, dim: int, what: str, spark=None):
         x = batch_matrix(pa.RecordBatch.from_arrays([v], ["f"]), "f", dim)
         l = log_joint_np(x, factors)
         if what == "log_joint":
-            return _list_array(l)
-        if what == "softmax" or what == "sequential":
-            return _list_array(responsibilities_np(l, what))
-        if what == "logsumexp":
-            return pa.array(logsumexp_np(l), type=pa.float64())
-        if what == "predict":
-            return pa.array(np.argmax(l, axis=1).astype(np.int32), type=pa.int32())
-        raise ValueError(what)
+            return vectors(l, v)
+        if what in ("softmax", "sequential"):
+            return vectors(responsibilities_np(l, what), v)
+        out = np.full(len(v), np.nan) if what == "logsumexp" else np.zeros(len(v), np.int32)
+        there = np.asarray(v.is_valid())
+        out[there] = logsumexp_np(l) if what == "logsumexp" else np.argmax(l, axis=1)
+        return pa.array(out, mask=~there)
 
     rtype = {"logsumexp": "double", "predict": "int"}.get(what, "array<double>")
     return F.arrow_udf(score, rtype)
@@ -170,77 +171,73 @@ def em_predict(df: DataFrame, model: GaussianMixtureModel, col: str = "features"
 # --- one fused pass ------------------------------------------------------------
 
 
-def _pass_fn(dim: int, k: int, col: str, fan_in: int, centers: np.ndarray, factors=None, mode="softmax", seeds=None):
-    """Per partition: K partial vectors ``[sum r, sum r x, sum r (x-c)(x-c)^T (upper), LL, rows]``.
+#: Binary places of the row log-likelihoods in their sum.
+LL_PLACES = 40
+
 
-    With ``factors`` the responsibilities are the E-step of the current model;
-    with ``seeds`` they are hard nearest-seed indicators (EM initialisation).
+def _run_pass(df: DataFrame, g: Grid, tasks: list[tuple], col: str, mode: str = "softmax") -> list[tuple]:
+    """(sum r, sum r x, sum r (x-c)(x-c)^T, log-likelihood, rows) of every (centers, factors, seeds).
+
+    With ``factors`` the responsibilities are the E-step of a model; with ``seeds``
+    they are hard nearest-seed indicators (EM initialisation).  All sums are exact
+    sums of limb products: of responsibilities to 60 binary places, of the others
+    to 60 places below the largest product.
     """
-    iu = np.triu_indices(dim)
-    seeds_np = None if seeds is None else np.asarray(seeds, dtype=np.float64)
+    dim, exps, width = g.dim, g.exps, max(len(t[0]) for t in tasks)
+    upper = np.triu_indices(dim)
+    shapes = {"n": (1,), "bad": (1,), "ll": (2,), "r": (LIMBS, width), "rx": (LIMBS, width, dim), "rxx": (LIMBS, width, len(upper[0]))}
+    tasks = [(np.asarray(c, dtype=np.float64), f, s) for c, f, s in tasks]
+    # exponents of x - c, whatever c
+    wide = [np.maximum(exps, np.frexp(np.abs(c).max(0))[1]) + 1 for c, _, _ in tasks]
 
     def fn(batches):
-        nk = np.zeros(k)
-        sx = np.zeros((k, dim))
-        g = np.zeros((k, dim, dim))
-        ll, rows = 0.0, 0
+        parts: dict[int, Sums] = {}
         for b in batches:
-            if b.num_rows == 0:
-                continue
-            x = batch_matrix(b, col, dim)
-            if factors is not None:
-                l = log_joint_np(x, factors)
-                r = responsibilities_np(l, mode)
-                ll += float(logsumexp_np(l).sum())
-            else:
-                d2 = ((x[:, None, :] - seeds_np[None, :, :]) ** 2).sum(-1)
-                r = np.zeros((x.shape[0], k))
-                r[np.arange(x.shape[0]), np.argmin(np.sqrt(d2), axis=1)] = 1.0
-            rows += x.shape[0]
-            nk += r.sum(0)
-            sx += r.T @ x
-            for j in range(k):
-                xc = x - centers[j]
-                g[j] += (xc * r[:, j : j + 1]).T @ xc
-        if rows == 0:
-            return
-        salt = salt_of_task(fan_in)
-        vecs = []
-        for j in range(k):
-            tail = [ll, float(rows)] if j == 0 else [0.0, 0.0]
-            vecs.append(np.concatenate([[nk[j]], sx[j], g[j][iu], tail]).tolist())
-        yield pa.RecordBatch.from_pydict(
-            {"k": list(range(k)), "salt": [salt] * k, "v": vecs},
-            schema=pa.schema([("k", pa.int32()), ("salt", pa.int32()), ("v", pa.list_(pa.float64()))]),
-        )
-
-    return fn
-
-
-def _run_pass(df: DataFrame, dim: int, k: int, col: str, centers, factors=None, mode="softmax", seeds=None):
-    ship_package(df.sparkSession)
-    fan = fan_in_for(df)
-    fn = _pass_fn(dim, k, col, fan, np.asarray(centers, dtype=np.float64), factors, mode, seeds)
-    parts = df.select(col).mapInArrow(fn, "k int, salt int, v array<double>")
-    summed = sum_vectors(parts, "v", keys=["k"], two_level=needs_two_levels(df))
-    rows = {r["k"]: np.asarray(r["v"], dtype=np.float64) for r in summed.collect()}
-    iu = np.triu_indices(dim)
-    nk = np.zeros(k)
-    sx = np.zeros((k, dim))
-    g = np.zeros((k, dim, dim))
-    ll, n = 0.0, 0
-    for j in range(k):
-        v = rows.get(j)
-        if v is None:
-            continue
-        nk[j] = v[0]
-        sx[j] = v[1 : 1 + dim]
-        gj = np.zeros((dim, dim))
-        gj[iu] = v[1 + dim : 1 + dim + len(iu[0])]
-        g[j] = gj + np.triu(gj, 1).T
-        ll += v[-2]
-        n += int(round(v[-1]))
-    return nk, sx, g, ll, n
+            every = batch_matrix(b, col, dim)
+            for rows in row_blocks(every):
+                x = every[rows]
+                qx = limbs(x, exps)
+                for m, (centers, factors, seeds) in enumerate(tasks):
+                    s = parts.setdefault(m, Sums(shapes))
+                    k = len(centers)
+                    if factors is not None:
+                        l = log_joint_np(x, factors)
+                        lse = logsumexp_np(l)
+                        good = np.isfinite(lse)
+                        s.add("bad", len(x) - good.sum(), 0)
+                        lse = np.where(good, lse, 0.0)
+                        r = np.where(good[:, None], responsibilities_np(l, mode), 0.0)
+                        whole = np.rint(lse)
+                        s.add("ll", [whole.sum(), np.rint(np.ldexp(lse - whole, LL_PLACES)).astype(np.int64).sum()])
+                    else:
+                        r = (nearest(x, seeds)[:, None] == np.arange(k)).astype(np.float64)
+                    s.add("n", len(x), 0)
+                    qr = limbs(r, np.zeros(k, int))
+                    for i in range(LIMBS):
+                        s.add("r", qr[i].sum(0), (i, slice(0, k)))
+                        for j in range(LIMBS - i):
+                            s.add("rx", qr[i].T @ qx[j], (i + j, slice(0, k)))
+                    xc = [x - c for c in centers]
+                    for a in range(k):
+                        qc, qy = limbs(xc[a], wide[m]), limbs(xc[a] * r[:, a : a + 1], wide[m])
+                        for i in range(LIMBS):
+                            for j in range(LIMBS - i):
+                                s.add("rxx", (qy[i].T @ qc[j])[upper], (i + j, a))
+        yield from part_rows(parts)
+
+    found, out = total(df.select(col), fn, shapes), []
+    for m, (centers, _, _) in enumerate(tasks):
+        t, k = found[m], len(centers)
+        if t["bad"][0]:
+            raise ValueError(f"the densities of {t['bad'][0]} rows are not finite")
+        nk = rounded(joined(t["r"])[:k], -LIMBS * BITS)
+        sx = rounded(joined(t["rx"])[:k], exps - (LIMBS + 1) * BITS)
+        second = np.zeros((k, dim, dim))
+        second[:, upper[0], upper[1]] = rounded(joined(t["rxx"])[:k], (wide[m][:, None] + wide[m])[upper] - (LIMBS + 1) * BITS)
+        second[:, upper[1], upper[0]] = second[:, upper[0], upper[1]]
+        ll = float(rounded([t["ll"][0] * (1 << LL_PLACES) + t["ll"][1]], -LL_PLACES)[0])
+        out.append((nk, sx, second, ll, int(t["n"][0])))
+    return out
 
 
 def _mstep(nk, sx, g, centers, n):
@@ -260,12 +257,18 @@ def _mstep(nk, sx, g, centers, n):
     return weights, means, covs
 
 
-def em_mstep(df: DataFrame, model: GaussianMixtureModel, mode: str = "softmax", col: str = "features"):
+def em_mstep(df: DataFrame, model: GaussianMixtureModel, mode: str = "softmax", col: str = "features", g: Grid | None = None):
     """One fused E+M pass: ``(new model, log-likelihood of the given model, rows)``."""
-    dim = len(model.means[0])
-    nk, sx, g, ll, n = _run_pass(df, dim, model.k, col, model.means, model.factors(), mode)
-    w, m, c = _mstep(nk, sx, g, model.means, n)
-    return GaussianMixtureModel(list(w), [list(x) for x in m], [x.tolist() for x in c]), ll, n
+    return _msteps(df, [model], g or fit_grid(df, len(model.means[0]), col), mode, col)[0]
+
+
+def _msteps(df: DataFrame, models: list, g: Grid, mode: str, col: str) -> list[tuple]:
+    found = _run_pass(df, g, [(m.means, m.factors(), None) for m in models], col, mode)
+    out = []
+    for model, (nk, sx, second, ll, n) in zip(models, found):
+        w, m, c = _mstep(nk, sx, second, model.means, n)
+        out.append((GaussianMixtureModel([float(x) for x in w], [x.tolist() for x in m], [x.tolist() for x in c]), ll, n))
+    return out
 
 
 def em_init(
@@ -284,34 +287,41 @@ def em_init(
     covariance / class size (``init_cov="second_moment"`` keeps the
     reference's uncentred ``X^T X / N``).
     """
+    return _inits(df, [k], init, seed, power, init_cov, col, id_col)[0][0]
+
+
+def _inits(df, ks, init, seed, power, init_cov, col, id_col) -> tuple[list[GaussianMixtureModel], Grid]:
+    """Initial mixtures of all ``ks`` in one scan (the seeds of a smaller k come first) and the grid."""
+    data = df.where(F.col(col).isNotNull())
     if isinstance(init, str):
         if init == "k-means++":
-            _, seeds = kmeanspp_init(df, k, seed, power, col, id_col)
+            _, seeds = kmeanspp_init(data, max(ks), seed, power, col, id_col)
         elif init == "first":
-            _, seeds = first_k_seeds(df, k, id_col, col)
+            _, seeds = first_k_seeds(data, max(ks), id_col, col)
         else:
             raise ValueError(f"unknown init {init!r}")
     else:
         seeds = [list(map(float, s)) for s in init]
-        if len(seeds) != k:
+        if len(seeds) != max(ks):
             raise ValueError("init must hold k means")
     dim = len(seeds[0])
-    centers = np.asarray(seeds) if init_cov == "centered" else np.zeros((k, dim))
-    nk, sx, g, _, n = _run_pass(df, dim, k, col, centers, seeds=seeds)
-    weights, means, covs = [], [], []
-    for j in range(k):
-        cnt = nk[j]
-        weights.append(cnt / n)
-        mu = sx[j] / cnt if cnt > 0 else np.asarray(seeds[j])
-        means.append(list(map(float, mu)))
-        if init_cov == "second_moment":
-            covs.append((g[j] / n).tolist())
-        else:
-            c = centers[j]
-            delta = mu - c
-            cov = (g[j] / cnt - np.outer(delta, delta)) if cnt > 0 else np.zeros((dim, dim))
-            covs.append((0.5 * (cov + cov.T)).tolist())
-    return GaussianMixtureModel(weights, means, covs)
+    g = fit_grid(data, dim, col)
+    centers = [np.asarray(seeds[:k]) if init_cov == "centered" else np.zeros((k, dim)) for k in ks]
+    models = []
+    for k, c, (nk, sx, second, _, n) in zip(ks, centers, _run_pass(data, g, [(c, None, seeds[: len(c)]) for c in centers], col)):
+        means, covs = [], []
+        for j in range(k):
+            cnt = nk[j]
+            mu = sx[j] / cnt if cnt > 0 else np.asarray(seeds[j])
+            means.append(mu.tolist())
+            if init_cov == "second_moment":
+                covs.append((second[j] / n).tolist())
+            else:
+                delta = mu - c[j]
+                cov = (second[j] / cnt - np.outer(delta, delta)) if cnt > 0 else np.zeros((dim, dim))
+                covs.append((0.5 * (cov + cov.T)).tolist())
+        models.append(GaussianMixtureModel([float(x / n) for x in nk], means, covs))
+    return models, g
 
 
 def em_settled(history: list[tuple[int, float, float, float]], tol: float) -> bool:
@@ -341,53 +351,69 @@ def em_fit(
 
     Also stops when the shift is within ``tol`` of the shift two iterations
     back (oscillation guard).  There is no limit unless ``max_iter`` gives one;
-    a fit that it ends has ``converged`` False.  Values that are not finite (NaN
-    cells) raise.  The log-likelihood of an iteration is that of the parameters
+    a fit that it ends has ``converged`` False.  Missing cells and densities that
+    are not finite raise.  The log-likelihood of an iteration is that of the parameters
     it starts from.
     """
+    return em_fit_many(df, [k], init, seed, power, resp, tol, max_iter, init_cov, col, id_col, persist)[0]
+
+
+def em_fit_many(
+    df: DataFrame,
+    ks: list[int],
+    init: str | list | GaussianMixtureModel = "k-means++",
+    seed: int = 42,
+    power: float = 1.0,
+    resp: str = "softmax",
+    tol: float = EPSILON,
+    max_iter: int | None = None,
+    init_cov: str = "centered",
+    col: str = "features",
+    id_col: str = "id",
+    persist: bool = True,
+) -> list[GaussianMixtureModel]:
+    """The fits of all ``ks`` side by side: each scan is an EM step of every model that has not settled."""
     # rows without a feature vector cannot be assigned; impute NaN cells beforehand
     data = df.select(id_col, col).where(F.col(col).isNotNull())
     if persist:
         data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = init if isinstance(init, GaussianMixtureModel) else em_init(data, k, init, seed, power, init_cov, col, id_col)
-        history: list[tuple[int, float, float, float]] = []
-        while not em_settled(history, tol) and (max_iter is None or len(history) < max_iter):
-            new, ll, _ = em_mstep(data, model, resp, col)
-            gain = abs(ll - history[-1][2]) if history else math.inf
-            history.append((len(history) + 1, total_shift(model.means, new.means), ll, gain))
-            model = new
-            if not (math.isfinite(history[-1][1]) and math.isfinite(ll)):
-                raise ValueError("parameters are not finite: impute missing cells before fitting")
-        model.iterations = len(history)
-        model.history = history
-        model.log_likelihood = history[-1][2] if history else None
-        model.converged = em_settled(history, tol)
-        return model
+        if isinstance(init, GaussianMixtureModel):
+            models, g = [init], fit_grid(data, len(init.means[0]), col)
+        else:
+            models, g = _inits(data, ks, init, seed, power, init_cov, col, id_col)
+        histories: list[list[tuple[int, float, float, float]]] = [[] for _ in models]
+        while going := [m for m, h in enumerate(histories) if not em_settled(h, tol) and (max_iter is None or len(h) < max_iter)]:
+            for m, (new, ll, _) in zip(going, _msteps(data, [models[m] for m in going], g, resp, col)):
+                h = histories[m]
+                gain = abs(ll - h[-1][2]) if h else math.inf
+                h.append((len(h) + 1, total_shift(models[m].means, new.means), ll, gain))
+                models[m] = new
+                if not (math.isfinite(h[-1][1]) and math.isfinite(ll)):
+                    raise ValueError("parameters are not finite")
+        for model, h in zip(models, histories):
+            model.iterations, model.history = len(h), h
+            model.log_likelihood = h[-1][2] if h else None
+            model.converged = em_settled(h, tol)
+        return models
     finally:
         if persist:
             data.unpersist()
 
 
 def em_steps(df: DataFrame, model: GaussianMixtureModel, steps: int, resp: str = "softmax", col: str = "features"):
+    g = fit_grid(df, len(model.means[0]), col)
     for _ in range(steps):
-        model, _, _ = em_mstep(df, model, resp, col)
+        model, _, _ = em_mstep(df, model, resp, col, g)
     return model
 
 
 def cluster_stats(df: DataFrame, dim: int, col: str = "features", cluster_col: str = "cluster") -> DataFrame:
-    """Per class: size, weight (size / N), mean and centred covariance (``covar_pop``), all in one aggregate."""
-    f = F.col(col)
-    pairs = [(i, j) for i in range(dim) for j in range(i, dim)]
-    agg = df.groupBy(cluster_col).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n"),
-        *[F.avg(f[i]).alias(f"mean{i}") for i in range(dim)],
-        *[F.covar_pop(f[i], f[j]).alias(f"c{i}{j}") for i, j in pairs],
-    )
-    from pyspark.sql import Window
-
-    return agg.withColumn("weight", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
-
+    """Per class: size, weight (size / N), mean and population covariance (D x D, row by row), from exact co-moments."""
+    found = sorted(group_co_moments(df, dim, cluster_col, col).items())
+    n = sum(int(m.n[0, 0]) for _, m in found)
+    rows = [(k, int(m.n[0, 0]), int(m.n[0, 0]) / n, m.mean.tolist(), m.covariance.tolist()) for k, m in found]
+    return df.sparkSession.createDataFrame(rows, f"{cluster_col} int, n bigint, weight double, mean array<double>, cov array<array<double>>")
 
 
 def log_likelihood(df: DataFrame, model: GaussianMixtureModel, col: str = "features") -> DataFrame:

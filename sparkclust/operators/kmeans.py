@@ -2,42 +2,32 @@
 
 * ``assign_nearest`` is a narrow projection: distances to K literal centroids,
   arg-min with ties to the lowest cluster id.  No join, no shuffle.
-* One Lloyd iteration is ONE Spark job.  Narrow models: code-generated
-  assignment + ``groupBy(cluster)`` with count and per-coordinate averages.
-  Wide models: one ``mapInArrow`` pass (NumPy distances, per-cluster sums per
-  partition) + a keyed vector tree-sum.  Either way the shuffle carries K rows
-  per partition, whatever the cluster sizes (a cluster holding a third of the
-  rows costs nothing extra).
-* Seeding is K small jobs, each a scan + top-1 (``orderBy(key).limit(1)``).
-  For small K the running minimum distance is recomputed from the chosen
-  seeds (literals); for larger K a ``min_d`` column is carried with periodic
-  reliable checkpoints.
+* One Lloyd iteration is ONE Spark job for any width and any number of models: a
+  ``mapInArrow`` pass with the same distances bit for bit, exact per-cluster sums
+  per task (:mod:`moments`) and one aggregate of them, whatever the cluster sizes
+  (a cluster holding a third of the rows costs nothing extra).
+* Seeding is K small jobs, each a scan + ``min_by``.  For small K the running
+  minimum distance is recomputed from the chosen seeds (literals); for larger K a
+  ``min_d`` column is carried with periodic reliable checkpoints.
 * The input is persisted (MEMORY_AND_DISK) for the loop; lost blocks are
   recomputed from the source by lineage, which stays one scan deep.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vector import UNROLL_LIMIT, argmin, dist_to, dists_to
-from ..session import cut_lineage, ship_package
-from .moments import FAN_IN, batch_matrix, needs_two_levels, salt_of_task, spread, sum_vectors
+from ..functions.vector import argmin, dist_to, dists_to
+from ..session import cut_lineage
+from .moments import BITS, LIMBS, Grid, Sums, batch_matrix, grid, joined, limbs, part_rows, ratio, row_blocks, spread, total
 from .sampling import uniform_pick, weighted_pick
 from .stats import feature_dim
 
-# Up to this width, per-coordinate aggregates are cheaper than a vector aggregate
-SMALL_DIM = 16
-
 
 def assign_nearest(df: DataFrame, centroids, col: str = "features", out: str = "cluster") -> DataFrame:
     """Add ``out`` = index of the nearest centroid (Euclidean; ties -> lowest index)."""
@@ -124,78 +114,100 @@ def kmeanspp_init(
     return ids, cents
 
 
+def distances(x: np.ndarray, points) -> np.ndarray:
+    """``n x K`` Euclidean distances, coordinate by coordinate as the column expressions add them: the same bits."""
+    columns, out = np.ascontiguousarray(x.T), np.empty((len(x), len(points)))
+    for k, point in enumerate(points):
+        acc = np.zeros(len(x))
+        for c, v in zip(columns, point):
+            d = c - v
+            acc += d * d
+        out[:, k] = np.sqrt(acc)
+    return out
+
+
+def nearest(x: np.ndarray, points) -> np.ndarray:
+    """Index of the nearest point (ties -> lowest index), as :func:`assign_nearest` gives it."""
+    return np.argmin(distances(x, points), axis=1)
+
+
+def _group_sums(df: DataFrame, dim: int, group: str, col: str) -> dict[int, tuple[int, np.ndarray]]:
+    """(rows, mean) of every group from exact sums."""
+    g = grid(df.where(F.col(group).isNotNull()), dim, col)
+    if not g.complete:
+        raise ValueError("impute missing cells before averaging clusters")
+    shapes, exps = {"n": (1,), "x": (LIMBS, dim)}, g.exps
+
+    def fn(batches):
+        parts: dict[int, Sums] = {}
+        for b in batches:
+            b = b.filter(b.column(1).is_valid())
+            x, group_of = batch_matrix(b, col, dim), b.column(0).to_numpy()
+            for one in np.unique(group_of):
+                mine = x[group_of == one]
+                s = parts.setdefault(int(one), Sums(shapes))
+                for rows in row_blocks(mine):
+                    s.add("n", len(mine[rows]), 0)
+                    for i, q in enumerate(limbs(mine[rows], exps)):
+                        s.add("x", q.sum(0), i)
+        yield from part_rows(parts)
+
+    rows = df.select(F.col(group).cast("int").alias("_group"), col).where(F.col("_group").isNotNull())
+    found = total(rows, fn, shapes)
+    return {k: (int(t["n"][0]), ratio(joined(t["x"]), t["n"][0], exps - LIMBS * BITS)) for k, t in found.items()}
+
+
 def cluster_means_frame(assigned: DataFrame, dim: int, col: str = "features", cluster_col: str = "cluster") -> DataFrame:
-    """``(cluster, n, mean ARRAY<DOUBLE>)`` — one aggregation with map-side combine.
+    """``(cluster, n, mean ARRAY<DOUBLE>)`` of the clusters that have rows with a vector; exact sums, rounded once."""
+    found = _group_sums(assigned, dim, cluster_col, col)
+    rows = [(k, n, mean.tolist()) for k, (n, mean) in sorted(found.items())]
+    return assigned.sparkSession.createDataFrame(rows, f"{cluster_col} int, n bigint, mean array<double>")
 
-    Narrow vectors use D plain ``avg`` aggregates (code-generated); wide ones
-    one ``Summarizer.mean`` over the whole vector, which keeps the aggregate
-    a single expression.
-    """
-    if dim <= SMALL_DIM:
-        mean = F.expr("array(" + ", ".join(f"avg(`{col}`[{i}])" for i in range(dim)) + ")")
-    else:
-        mean = vector_to_array(Summarizer.mean(array_to_vector(F.col(col))))
-    return assigned.groupBy(cluster_col).agg(F.count(F.lit(1)).cast("bigint").alias("n"), mean.alias("mean"))
+
+def fit_grid(df: DataFrame, dim: int, col: str = "features") -> Grid:
+    """The grid of a fit's input; missing cells raise."""
+    g = grid(df, dim, col)
+    if not g.complete:
+        raise ValueError("impute missing cells before fitting")
+    return g
 
 
-def _lloyd_partials_fn(centroids, dim: int, col: str, fan_in: int):
-    """mapInArrow function: nearest centroid per row (exact squared differences,
-    ties to the lowest id) and per-cluster ``[count, sum x]`` for the partition."""
-    c = np.asarray(centroids, dtype=np.float64)
-    k = len(c)
+def lloyd_pass(df: DataFrame, models: list, g: Grid, col: str = "features") -> list[tuple[list, list[int]]]:
+    """One scan for any number of models: (new centroids, counts) of each.
+
+    Sums are exact, so the new centroids are the same bits under any
+    partitioning.  The exchange carries the sums of every task, however large a
+    cluster is.  A cluster that receives no rows keeps its old centroid and id.
+    """
+    dim, exps, width = g.dim, g.exps, max(len(m) for m in models)
+    shapes = {"n": (width,), "x": (LIMBS, width, dim)}
+    points = [np.asarray(m, dtype=np.float64) for m in models]
 
     def fn(batches):
-        n = np.zeros(k)
-        sx = np.zeros((k, dim))
+        parts: dict[int, Sums] = {}
         for b in batches:
-            if b.num_rows == 0:
-                continue
             x = batch_matrix(b, col, dim)
-            d2 = np.empty((x.shape[0], k))
-            for j in range(k):
-                diff = x - c[j]
-                d2[:, j] = np.einsum("ij,ij->i", diff, diff)
-            a = np.argmin(d2, axis=1)
-            for j in range(k):
-                m = a == j
-                n[j] += m.sum()
-                sx[j] += x[m].sum(axis=0)
-        if n.sum() == 0:
-            return
-        salt = salt_of_task(fan_in)
-        yield pa.RecordBatch.from_pydict(
-            {"k": list(range(k)), "salt": [salt] * k, "v": [np.concatenate([[n[j]], sx[j]]).tolist() for j in range(k)]},
-            schema=pa.schema([("k", pa.int32()), ("salt", pa.int32()), ("v", pa.list_(pa.float64()))]),
-        )
-
-    return fn
-
-
-def lloyd_update(df: DataFrame, centroids, dim: int, col: str = "features"):
-    """One job: assign to ``centroids`` and return (new centroids, counts).
-
-    Narrow K x D runs as a code-generated projection + ``groupBy(cluster)``.
-    Wider models (where JVM distances would be interpreted lambdas) use one
-    ``mapInArrow`` pass with NumPy distances and per-partition cluster sums,
-    tree-summed like the EM statistics.  A cluster that receives no rows
-    keeps its old centroid and its id.
-    """
-    new = [list(c) for c in centroids]
-    counts = [0] * len(centroids)
-    if len(centroids) * dim <= UNROLL_LIMIT:
-        for r in cluster_means_frame(assign_nearest(df, centroids, col), dim, col).collect():
-            new[r["cluster"]] = [float(v) for v in r["mean"]]
-            counts[r["cluster"]] = int(r["n"])
-        return new, counts
-    ship_package(df.sparkSession)
-    src = df.select(col).where(F.col(col).isNotNull())
-    parts = src.mapInArrow(_lloyd_partials_fn(centroids, dim, col, FAN_IN), "k int, salt int, v array<double>")
-    for r in sum_vectors(parts, "v", keys=["k"], two_level=needs_two_levels(src)).collect():
-        v = np.asarray(r["v"], dtype=np.float64)
-        if v[0] > 0:
-            new[r["k"]] = list(map(float, v[1:] / v[0]))
-            counts[r["k"]] = int(round(v[0]))
-    return new, counts
+            for rows in row_blocks(x):
+                q = limbs(x[rows], exps)
+                for m, centers in enumerate(points):
+                    mine = (nearest(x[rows], centers)[:, None] == np.arange(width)).astype(np.float64)
+                    s = parts.setdefault(m, Sums(shapes))
+                    s.add("n", mine.sum(0))
+                    for i in range(LIMBS):
+                        s.add("x", mine.T @ q[i], i)
+        yield from part_rows(parts)
+
+    found, out = total(df.select(col), fn, shapes), []
+    for m, old in enumerate(models):
+        counts = [int(c) for c in found[m]["n"][: len(old)]]
+        means = ratio(joined(found[m]["x"]), found[m]["n"][:, None], exps - LIMBS * BITS)
+        out.append(([means[k].tolist() if counts[k] else list(c) for k, c in enumerate(old)], counts))
+    return out
+
+
+def lloyd_update(df: DataFrame, centroids, dim: int, col: str = "features", g: Grid | None = None):
+    """Assign to ``centroids`` and return (new centroids, counts)."""
+    return lloyd_pass(df, [centroids], g or fit_grid(df, dim, col), col)[0]
 
 
 def settled(moves: list[float], tol: float) -> int | None:
@@ -251,12 +263,31 @@ def kmeans_fit(
 
     Stop when the summed centroid movement is <= ``tol``, when it equals the
     previous movement exactly (that pass is not counted; the first pass is
-    compared with 0).  There is no limit unless ``max_iter`` gives one; a fit
-    that it ends has ``converged`` False.  A movement that is not finite (NaN
-    cells) raises.
+    compared with 0).  Movements are the same bits under any partitioning.  There
+    is no limit unless ``max_iter`` gives one; a fit that it ends has
+    ``converged`` False.  Missing cells raise.
     ``init``: ``"k-means++"``, ``"first"`` (lowest ids) or a list of centroids.
     """
-    if k < 1:
+    return kmeans_fit_many(df, [k], init, seed, power, tol, max_iter, col, id_col, persist)[0]
+
+
+def kmeans_fit_many(
+    df: DataFrame,
+    ks: list[int],
+    init: str | list = "k-means++",
+    seed: int = 42,
+    power: float = 1.0,
+    tol: float = 0.005,
+    max_iter: int | None = None,
+    col: str = "features",
+    id_col: str = "id",
+    persist: bool = True,
+) -> list[KMeansModel]:
+    """The fits of all ``ks`` side by side: each scan updates every model that has not settled.
+
+    Both seedings choose the seeds of a smaller k first, so one seeding serves all.
+    """
+    if min(ks) < 1:
         raise ValueError("k must be >= 1")
     # rows without a feature vector cannot be assigned; impute NaN cells beforehand
     data = df.select(id_col, col).where(F.col(col).isNotNull())
@@ -267,26 +298,29 @@ def kmeans_fit(
         seed_ids: list = []
         if isinstance(init, str):
             if init == "k-means++":
-                seed_ids, cents = kmeanspp_init(data, k, seed, power, col, id_col)
+                seed_ids, seeds = kmeanspp_init(data, max(ks), seed, power, col, id_col)
             elif init == "first":
-                seed_ids, cents = first_k_seeds(data, k, id_col, col)
+                seed_ids, seeds = first_k_seeds(data, max(ks), id_col, col)
             else:
                 raise ValueError(f"unknown init {init!r}")
         else:
-            cents = [list(map(float, c)) for c in init]
-            if len(cents) != k:
+            seeds = [list(map(float, c)) for c in init]
+            if len(seeds) != max(ks):
                 raise ValueError("init must hold k centroids")
-        moves: list[float] = []
-        counts: list = []
-        while settled(moves, tol) is None and (max_iter is None or len(moves) < max_iter):
-            new, counts = lloyd_update(data, cents, dim, col)
-            moves.append(total_shift(cents, new))
-            cents = new
-            if not math.isfinite(moves[-1]):
-                raise ValueError("centroids are not finite: impute missing cells before fitting")
-        counted = settled(moves, tol)
-        history = list(enumerate(moves if counted is None else moves[:counted], start=1))
-        return KMeansModel(cents, len(history), history, counts, seed_ids, converged=counted is not None)
+        g = fit_grid(data, dim, col)
+        cents = [[list(c) for c in seeds[:k]] for k in ks]
+        moves: list[list[float]] = [[] for _ in ks]
+        counts: list[list] = [[] for _ in ks]
+        while going := [m for m in range(len(ks)) if settled(moves[m], tol) is None and (max_iter is None or len(moves[m]) < max_iter)]:
+            for m, (new, n) in zip(going, lloyd_pass(data, [cents[m] for m in going], g, col)):
+                moves[m].append(total_shift(cents[m], new))
+                cents[m], counts[m] = new, n
+        models = []
+        for m, k in enumerate(ks):
+            counted = settled(moves[m], tol)
+            history = list(enumerate(moves[m] if counted is None else moves[m][:counted], start=1))
+            models.append(KMeansModel(cents[m], len(history), history, counts[m], seed_ids[:k], converged=counted is not None))
+        return models
     finally:
         if persist:
             data.unpersist()
@@ -294,10 +328,10 @@ def kmeans_fit(
 
 def kmeans_steps(df: DataFrame, centroids, steps: int, col: str = "features"):
     """Exactly ``steps`` Lloyd updates from ``centroids`` (no stop rule)."""
-    dim = len(centroids[0])
+    g = fit_grid(df, len(centroids[0]), col)
     cents = [list(c) for c in centroids]
     for _ in range(steps):
-        cents, _ = lloyd_update(df, cents, dim, col)
+        cents, _ = lloyd_update(df, cents, g.dim, col, g)
     return cents
 
 
@@ -306,7 +340,7 @@ def kmeans_predict(df: DataFrame, model: KMeansModel, col: str = "features", out
 
 
 def cluster_means(df: DataFrame, centroids, col: str = "features") -> DataFrame:
-    """Assign to ``centroids`` and return ``(cluster, n, mean)`` (lazy)."""
+    """Assign to ``centroids`` and return ``(cluster, n, mean)``."""
     return cluster_means_frame(assign_nearest(df, centroids, col), len(centroids[0]), col)
 
 

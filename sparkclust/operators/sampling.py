@@ -2,13 +2,14 @@
 
 All randomness comes from :func:`draw_u` (md5 of ``seed|step|id``), so every
 result is independent of partitioning, task retries and row order.  No
-operator sorts the whole table in one task:
-
-* ``split_exact`` finds the exact cut value of the draw with a few histogram
-  passes (``groupBy(bucket).count()``: at most ``buckets`` numbers reach the
-  driver per pass), then marks rows with a narrow filter expression.
-* ``with_row_id`` numbers rows in key order with quantile buckets, one
-  ``row_number`` window per bucket and per-bucket offsets.
+operator sorts the whole table in one task, and none takes another way for
+small inputs:
+
+* ``split_exact`` finds the n-th smallest draw digit by digit: every pass counts
+  the rows by the next ``DIGIT`` bits (at most ``2**DIGIT`` numbers reach the
+  driver), then marks rows with a narrow filter expression.
+* ``with_row_id`` deals rows into ranges of (key, row hash), sorts each range and
+  adds the sizes of the ranges before it.
 * picks use ``min_by(row, key)``: one partial row per task, merged by a shuffle.
 """
 
@@ -19,62 +20,40 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.vector import col_of, draw_u
+from ..functions.vector import DRAW_BITS, col_of, draw_int, draw_u
+from ..session import cut_lineage
 
-# rows per bucket below which the final ordering step runs inside one task
-EXACT_SMALL = 200_000
-HIST_BUCKETS = 4096
-MAX_ROW_ID_BUCKETS = 4096
+#: Bits of a draw that one pass decides.
+DIGIT = 12
+#: Copies of a row that one task writes at once.
+COPIES = 65_536
 
 
 def with_draw(df: DataFrame, seed: int, step: int = 0, id_col: str = "id", out: str = "u") -> DataFrame:
     return df.withColumn(out, draw_u(seed, step, id_col))
 
 
-def _cut_of_smallest(df: DataFrame, u: Column, id_col: str, n: int | None, frac: float | None = None):
-    """Exact ``(u, id)`` of the n-th smallest row by ``(u, id)``, or None if n >= rows.
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of all columns."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
-    With ``frac`` instead of ``n``, ``n = floor(frac * N)`` where N is the
-    total of the first histogram (no separate count pass).  Returns
-    ``(cut, n)``; ``cut`` is None when n is 0 or covers every row.
 
-    Each level counts rows per bucket ``floor((u - lo) / w)`` (clipped to the
-    bucket range) and the next level keeps exactly the rows of the chosen
-    bucket by the SAME expression, so counts and filters agree bit for bit.
-    """
-    lo, width = 0.0, 1.0 / HIST_BUCKETS
-    remaining = n
-    first = True
-    sub = df.select(u.alias("_u"), F.col(id_col).alias("_id"))
-    while True:
-        raw = F.floor((F.col("_u") - F.lit(lo)) / F.lit(width))
-        b = F.least(F.greatest(raw, F.lit(0)), F.lit(HIST_BUCKETS - 1)).cast("int")
-        hist = sorted((-1 if r["b"] is None else r["b"], r["c"]) for r in sub.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
-        total = sum(c for _, c in hist)
-        if first:  # the first histogram covers every row: total = N
-            if remaining is None:
-                remaining = n = int(math.floor(frac * total))
-            if remaining <= 0 or remaining >= total:
-                return None, n
-            first = False
-        if total > EXACT_SMALL and width < 2.0**-53:  # draws have 52 bits: equal draws are equal ids
-            raise ValueError(f"{id_col} must be unique")
-        if total <= EXACT_SMALL:
-            row = (
-                sub.orderBy("_u", "_id")
-                .limit(remaining)
-                .agg(F.max_by(F.struct("_u", "_id"), F.struct("_u", "_id")).alias("m"))
-                .first()["m"]
-            )
-            return (row["_u"], row["_id"]), n
-        cum = 0
-        for bucket, c in hist:
-            if cum + c >= remaining:
-                remaining -= cum
-                sub = sub.where(b == F.lit(bucket))
-                lo, width = lo + bucket * width, width / HIST_BUCKETS
-                break
-            cum += c
+def _digits(value: Column, bits: int) -> list[Column]:
+    """The digits of a non-negative whole number, highest first."""
+    out, top = [], bits
+    while top > 0:
+        low = max(0, top - DIGIT)
+        out.append(F.shiftright(value, low).bitwiseAND((1 << (top - low)) - 1))
+        top = low
+    return out
+
+
+def _copies(df: DataFrame, n: str) -> DataFrame:
+    """Every row ``n`` times, dealt over tasks."""
+    starts = df.where(F.col(n) > 0).withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1, F.lit(COPIES).cast("bigint"))))
+    dealt = starts.repartition(F.col("_from"))
+    last = F.least(F.col("_from") + COPIES, F.col(n)) - 1
+    return dealt.withColumn("_copy", F.explode(F.sequence(F.col("_from"), last))).drop("_from", "_copy", n)
 
 
 def split_exact(
@@ -82,71 +61,70 @@ def split_exact(
     n_test: int | None = None,
     frac: float | None = None,
     seed: int = 42,
-    id_col: str = "id",
+    id_col: str | None = "id",
     out: str = "split",
 ) -> DataFrame:
     """Mark exactly ``n_test`` rows (the smallest draws) as ``test``, the rest ``train``.
 
-    Give ``n_test`` directly or ``frac`` (``n_test = floor(frac * N)``).  Ids
-    must be unique and not NULL: a split that they make inexact raises.
+    Give ``n_test`` directly or ``frac`` (``n_test = floor(frac * N)``).  Ids may
+    repeat, be NULL or be absent (``id_col=None``: rows are drawn by their hash):
+    equal draws are decided by the row hash, and of rows that are equal in every
+    column as many copies as needed are marked.
     """
     if n_test is None and frac is None:
         raise ValueError("give n_test or frac")
     if n_test is not None and n_test < 0:
         raise ValueError("n_test must be >= 0")
-    u = draw_u(seed, 0, id_col)
     if n_test == 0:
         return df.withColumn(out, F.lit("train"))
-    cut, n_test = _cut_of_smallest(df, u, id_col, n_test, frac)
-    if cut is None:
-        return df.withColumn(out, F.lit("test" if n_test > 0 else "train"))
-    cu, cid = cut
-    is_test = (u < F.lit(cu)) | ((u == F.lit(cu)) & (F.col(id_col) <= F.lit(cid)))
-    marked, missing = df.agg(F.count_if(is_test), F.count_if(F.col(id_col).isNull())).first()
-    if marked != n_test or missing:
-        raise ValueError(f"{id_col} must be unique and not NULL: {marked} rows for n_test={n_test}, {missing} NULL ids")
-    return df.withColumn(out, F.when(is_test, "test").otherwise("train"))
-
-
-def _bucket_expr(key: Column, bounds: list) -> Column:
-    """Index of the quantile bucket of ``key``: a balanced CASE tree, depth log2(B)."""
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key < F.lit(bounds[mid - 1]), build(lo, mid - 1)).otherwise(build(mid, hi))
-
-    return build(0, len(bounds)).cast("int")
-
-
-def with_row_id(df: DataFrame, order_col: str, out: str = "row_id", rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """Dense 0..N-1 numbering in ``order_col`` order (``order_col`` should be unique).
-
-    Small inputs number in one window; large ones are cut into quantile
-    buckets (one ``approxQuantile`` pass, at most 4096 buckets) so each window
-    task holds about ``max(rows_per_bucket, N / 4096)`` rows.
+    hashed = F.shiftrightunsigned(row_hash(df), 1)
+    draw = draw_int(seed, 0, id_col if id_col is not None else hashed)
+    inside, below, need, found = F.lit(True), F.lit(False), n_test, 0
+    for level, digit in enumerate(_digits(draw, DRAW_BITS) + _digits(hashed, 63)):
+        counts = sorted((r["d"], r["n"]) for r in df.where(inside).groupBy(digit.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect())
+        total = sum(n for _, n in counts)
+        if level == 0:
+            need = int(math.floor(frac * total)) if need is None else need
+            if need == 0 or need >= total:
+                return df.withColumn(out, F.lit("test" if need else "train"))
+        at = 0
+        while counts[at][1] < need:
+            need -= counts[at][1]
+            at += 1
+        below = below | (inside & (digit < counts[at][0]))
+        inside = inside & (digit == counts[at][0])
+        found = counts[at][1]
+        if found == need:
+            return df.withColumn(out, F.when(below | inside, "test").otherwise("train"))
+    # rows with one draw and one hash: copies of a row; groups of them go to the test set until it is full
+    rest = df.where(~inside).withColumn(out, F.when(below, "test").otherwise("train"))
+    names = [F.col(f"`{c}`") for c in df.columns]
+    groups = df.where(inside).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.orderBy(F.to_json(F.struct(*names))))
+    test = F.greatest(F.least(F.col("_n"), need - upto + F.col("_n")), F.lit(0).cast("bigint"))
+    shares = F.array(F.struct(F.lit("test").alias(out), F.col("_test").alias("_m")), F.struct(F.lit("train").alias(out), (F.col("_n") - F.col("_test")).alias("_m")))
+    shared = groups.withColumn("_test", test).withColumn("_share", F.explode(shares))
+    return rest.unionByName(_copies(shared.select(*names, "_share.*"), "_m"))
+
+
+def with_row_id(df: DataFrame, order_col: str, out: str = "row_id") -> DataFrame:
+    """Dense 0..N-1 numbering in the order of ``order_col`` (NULL first), of any type that can be ordered.
+
+    Rows with equal keys are in the order of their hashes; copies of a row are
+    dealt by place, so neither a frequent key nor a frequent row fills one range.
+    The sorted rows are checkpointed once, since range bounds are sampled anew by
+    every evaluation; the sizes of the ranges (one row per range) are broadcast.
     """
-    n = df.count()
-    # at most MAX_ROW_ID_BUCKETS quantile buckets (a CASE tree of depth 12); past
-    # that the buckets grow instead, and each window sort spills as needed
-    buckets = min(MAX_ROW_ID_BUCKETS, max(1, int(math.ceil(n / rows_per_bucket))))
-    key = F.col(order_col)
-    if buckets == 1:
-        w = Window.partitionBy(F.lit(0)).orderBy(key)
-        return df.withColumn(out, (F.row_number().over(w) - 1).cast("bigint"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.approxQuantile(order_col, probs, 1.0 / (4 * buckets))))
-    b = _bucket_expr(key, bounds)
-    tagged = df.withColumn("_bucket", b)
-    counts = dict((r["_bucket"], r["c"]) for r in tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("c")).collect())
-    offsets, acc = [], 0
-    for i in range(len(bounds) + 1):
-        offsets.append(acc)
-        acc += counts.get(i, 0)
-    w = Window.partitionBy("_bucket").orderBy(key)
-    off = F.element_at(F.lit(offsets).cast("array<bigint>"), F.col("_bucket") + 1)
-    return tagged.withColumn(out, (F.row_number().over(w) - 1 + off).cast("bigint")).drop("_bucket")
+    order = [F.col(f"`{order_col}`").asc_nulls_first(), "_hash", "_salt"]
+    salted = df.withColumns({"_hash": row_hash(df), "_salt": F.xxhash64(F.monotonically_increasing_id())})
+    ranges = salted.repartitionByRange(*order).sortWithinPartitions(*order).drop("_hash", "_salt")
+    # upper bits: the range; lower 33 bits: the place in it
+    placed = cut_lineage(ranges.withColumn("_place", F.monotonically_increasing_id()))
+    part, at = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    before = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
+    numbered = placed.withColumn("_part", part).join(F.broadcast(before), "_part")
+    return numbered.withColumn(out, (F.col("_before") + at).cast("bigint")).drop("_part", "_place", "_before")
 
 
 def _least_row(df: DataFrame, key: Column) -> DataFrame:

@@ -1,9 +1,9 @@
 """Column statistics, mean imputation, z-normalisation and covariance.
 
-Fitting is one aggregation pass whose partial aggregates are combined map-side
-(``HashAggregate`` partial/final); only ``O(D)`` numbers (or ``O(D^2)`` for
-covariance) come back to the driver.  Applying a fitted model is a narrow
-projection with array literals, so it adds no shuffle.
+Fitting takes the exact sums of :mod:`moments` (two scans, partial sums per task);
+only ``O(D)`` numbers (or ``O(D^2)`` for covariance) come back to the driver.
+Applying a fitted model is a narrow projection with array literals, so it adds
+no shuffle.
 """
 
 from __future__ import annotations
@@ -11,13 +11,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vector import _dsql, is_missing, nan_to_null, vec_lit
-from .moments import gram
+from ..functions.vector import _dsql, is_missing, vec_lit
+from .moments import BITS, LIMBS, co_moments, column_sums, grid, ratio
 
 
 # Up to this width element-wise transforms are one code-generated array(...) expression
@@ -38,6 +36,7 @@ class ColumnStats:
     count: list[int]
     mean: list[float]
     std: list[float]
+    nulls: int = 0
 
     @property
     def dim(self) -> int:
@@ -55,85 +54,17 @@ class ColumnStats:
         return spark.createDataFrame(rows, "pos int, column string, mean double, std double, n bigint")
 
 
-def _stat_exprs(dim: int, col: str):
-    """D-wide aggregate arrays, sent as one SQL expression each (one parse, no per-column calls)."""
-
-    def arr(fn: str) -> F.Column:
-        cells = [f"{fn}(IF(isnan(`{col}`[{i}]), NULL, `{col}`[{i}]))" for i in range(dim)]
-        return F.expr("array(" + ", ".join(cells) + ")")
-
-    return arr("avg").alias("mean"), arr("stddev_pop").alias("std"), arr("count").alias("cnt")
-
-
-def column_stats_frame(df: DataFrame, dim: int, col: str = "features") -> DataFrame:
-    """Lazy ``(pos, mean, std, n)``: NaN/NULL-ignoring mean, population std, non-missing count."""
-    mean, std, cnt = _stat_exprs(dim, col)
-    one = df.agg(mean, std, cnt)
-    z = one.select(F.posexplode(F.arrays_zip("mean", "std", "cnt")).alias("pos", "s"))
-    return z.select(
-        F.col("pos").cast("bigint").alias("pos"),
-        F.col("s.mean").alias("mean"),
-        F.col("s.std").alias("std"),
-        F.col("s.cnt").cast("bigint").alias("n"),
-    )
-
-
-# Above this width the stats are two vector aggregates instead of 3 x D scalar ones
-VECTOR_STATS_DIM = 16
-
-
 def fit_column_stats(df: DataFrame, dim: int | None = None, col: str = "features") -> ColumnStats:
-    """One pass: per-column mean (ignoring NaN/NULL), population std, counts."""
+    """Per-column mean (ignoring NaN/NULL), population std and count from exact sums; ``n`` counts rows with a vector."""
     dim = dim if dim is not None else feature_dim(df, col)
-    if dim > VECTOR_STATS_DIM:
-        return _fit_column_stats_vector(df, dim, col)
-    mean, std, cnt = _stat_exprs(dim, col)
-    row = df.agg(F.count(F.lit(1)).alias("n"), mean, std, cnt).first()
-    return ColumnStats(
-        n=int(row["n"]),
-        count=[int(c) for c in row["cnt"]],
-        mean=[float("nan") if m is None else float(m) for m in row["mean"]],
-        std=[0.0 if s is None else float(s) for s in row["std"]],
-    )
-
-
-def _fit_column_stats_vector(df: DataFrame, dim: int, col: str) -> ColumnStats:
-    """Wide form: ``Summarizer`` sums of a presence mask and of shifted values.
-
-    Two scans: the first sums the cells that are there, the second sums the
-    deviations from those means, ``mean = s + sum(x - s) / n`` and
-    ``var = sum((x - s)^2) / n - (mean - s)^2``, which cannot cancel because
-    ``s`` is the mean but for rounding.  Missing cells contribute 0 to all sums.
-    """
-    c = f"`{col}`"
-    miss = [f"({c}[{i}] IS NULL OR isnan({c}[{i}]))" for i in range(dim)]
-    mask = F.expr("array(" + ", ".join(f"IF({m}, 0D, 1D)" for m in miss) + ")")
-    cells = F.expr("array(" + ", ".join(f"IF({m}, 0D, {c}[{i}])" for i, m in enumerate(miss)) + ")")
-    first = df.where(F.col(col).isNotNull()).agg(
-        Summarizer.metrics("sum").summary(array_to_vector(mask)).alias("m"),
-        Summarizer.metrics("sum").summary(array_to_vector(cells)).alias("x"),
-    ).first()
-    if first["m"] is None or first["m"]["sum"] is None or first["m"]["sum"].size == 0:
-        raise ValueError("empty input")
-    seen, total = first["m"]["sum"].toArray(), first["x"]["sum"].toArray()
-    shift = [float(t / k) if k else 0.0 for t, k in zip(total, seen)]
-    dev = F.expr("array(" + ", ".join(f"IF({m}, 0D, {c}[{i}] - {_dsql(s_)})" for i, (m, s_) in enumerate(zip(miss, shift))) + ")")
-    rows = df.where(F.col(col).isNotNull())
-    row = rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        Summarizer.metrics("sum").summary(array_to_vector(mask)).alias("m"),
-        Summarizer.metrics("sum", "normL2").summary(array_to_vector(dev)).alias("d"),
-    ).first()
-    cnt = np.asarray(row["m"]["sum"].toArray())
-    s1 = np.asarray(row["d"]["sum"].toArray())
-    s2 = np.asarray(row["d"]["normL2"].toArray()) ** 2
-    sh = np.asarray(shift)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        delta = np.where(cnt > 0, s1 / cnt, np.nan)
-        var = np.where(cnt > 0, s2 / cnt - delta * delta, 0.0)
-    mean = sh + delta
-    std = np.sqrt(np.clip(np.nan_to_num(var, nan=0.0), 0.0, None))
-    return ColumnStats(n=int(row["n"]), count=[int(round(x)) for x in cnt], mean=[float(m) for m in mean], std=[float(x) for x in std])
+    g = grid(df, dim, col)
+    x, xx = column_sums(df, g, col)
+    n, places = g.seen.astype(object), LIMBS * BITS
+    mean = ratio(x, n, g.exps - places)
+    # n * sum x^2 - (sum x)^2 in whole numbers cannot cancel
+    var = ratio(n * xx - x * x, n * n, 2 * (g.exps - places))
+    std = np.sqrt(np.nan_to_num(var, nan=0.0))
+    return ColumnStats(g.rows, g.seen.tolist(), mean.tolist(), std.tolist(), g.nulls)
 
 
 def column_means(df: DataFrame, dim: int | None = None, col: str = "features") -> list[float]:
@@ -177,34 +108,14 @@ def fit_standardize(df: DataFrame, dim: int | None = None, col: str = "features"
     return standardize(df, stats, col), stats
 
 
-def covariance_narrow(df: DataFrame, names: list[str], col: str = "features") -> DataFrame:
-    """Population covariance ``(i, j, cov)`` with ``covar_pop`` — one aggregate per pair.
+def covariance_matrix(df: DataFrame, dim: int, col: str = "features") -> np.ndarray:
+    """Population covariance from exact co-moments, each pair over the rows in which both cells are there."""
+    return co_moments(df, dim, col).covariance
 
-    For a handful of columns; the number of aggregate expressions grows as D^2.
-    """
-    f = F.col(col)
-    d = len(names)
-    pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    one = df.agg(*[F.covar_pop(nan_to_null(f[i]), nan_to_null(f[j])).alias(f"c_{i}_{j}") for i, j in pairs])
-    rows = []
-    for i in range(d):
-        for j in range(d):
-            a, b = (i, j) if i <= j else (j, i)
-            rows.append(F.struct(F.lit(names[i]).alias("col_i"), F.lit(names[j]).alias("col_j"), F.col(f"c_{a}_{b}").alias("cov")))
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-
-
-def covariance_matrix(df: DataFrame, dim: int, col: str = "features", means: list[float] | None = None) -> np.ndarray:
-    """Population covariance (``/N``) of a wide matrix, via per-partition Gram partials.
-
-    Data are centred on the column means before the products are summed, so
-    ``sum (x-m)(x-m)^T / N`` does not suffer the cancellation of ``E[xx^T] - mm^T``.
-    """
-    if means is None:
-        means = column_means(df, dim, col)
-    n, s, g = gram(df, dim, col, center=means)
-    d = s / n
-    return g / n - np.outer(d, d)
+
+def covariance(df: DataFrame, names: list[str], col: str = "features") -> DataFrame:
+    """``(col_i, col_j, cov)`` of all pairs of the named columns, at any width."""
+    return covariance_frame(df.sparkSession, covariance_matrix(df, len(names), col), names)
 
 
 def covariance_frame(spark: SparkSession, cov: np.ndarray, names: list[str]) -> DataFrame:
@@ -214,6 +125,7 @@ def covariance_frame(spark: SparkSession, cov: np.ndarray, names: list[str]) ->
 
 
 def column_stats(df: DataFrame, dim: int | None = None, col: str = "features") -> DataFrame:
-    """Lazy ``(pos, mean, std, n)`` frame (population std, NaN/NULL ignored)."""
-    dim = dim if dim is not None else feature_dim(df, col)
-    return column_stats_frame(df, dim, col)
+    """``(pos, mean, std, n)`` frame (population std, NaN/NULL ignored)."""
+    st = fit_column_stats(df, dim, col)
+    rows = [(i, m if c else None, s if c else None, c) for i, (m, s, c) in enumerate(zip(st.mean, st.std, st.count))]
+    return df.sparkSession.createDataFrame(rows, "pos bigint, mean double, std double, n bigint")

@@ -89,7 +89,7 @@ def q_plot_frame(spark, d):
 
 
 def q_column_means_nan(spark, d):
-    s = stats.column_stats_frame(load_E_nan(spark, d), E_DIM)
+    s = stats.column_stats(load_E_nan(spark, d), E_DIM)
     return s.select("pos", rnd(F.col("mean")).alias("mean"), "n")
 
 
@@ -103,7 +103,7 @@ def q_impute_mean(spark, d):
 
 
 def q_column_stats(spark, d):
-    s = stats.column_stats_frame(load_L(spark, d), len(LINEITEM_COLS))
+    s = stats.column_stats(load_L(spark, d), len(LINEITEM_COLS))
     names = F.element_at(F.lit(LINEITEM_COLS), F.col("pos").cast("int") + 1)
     return s.select(names.alias("column"), sig9(F.col("mean")).alias("mean"), sig9(F.col("std")).alias("std"), "n")
 
@@ -128,7 +128,7 @@ def q_standardize_array(spark, d):
 
 
 def q_covariance_narrow(spark, d):
-    c = stats.covariance_narrow(load_L(spark, d), LINEITEM_COLS)
+    c = stats.covariance(load_L(spark, d), LINEITEM_COLS)
     return c.select("col_i", "col_j", sig9(F.col("cov")).alias("cov"))
 
 
@@ -278,8 +278,7 @@ def q_kmeans_predict(spark, d):
     s = sampling.split_exact(load_E(spark, d), frac=TEST_FRAC, seed=SEED)
     train = s.where(F.col("split") == "train")
     test = s.where(F.col("split") == "test")
-    _, seeds = kmeans.first_k_seeds(train, 3)
-    model = kmeans.KMeansModel(centroids=kmeans.kmeans_steps(train, seeds, 3), iterations=3)
+    model = kmeans.kmeans_fit(train, 3, "first")
     return kmeans.kmeans_predict(test, model).select(F.col("id").alias("vec_id"), "cluster")
 
 
@@ -444,7 +443,7 @@ def q_em_history(spark, d):
 
 
 def q_evaluate_k(spark, d):
-    return evaluate_kmeans(load_E(spark, d), ks=(2, 3), steps=3, frac=TEST_FRAC, seed=SEED)
+    return evaluate_kmeans(load_E(spark, d), ks=(2, 3), frac=TEST_FRAC, seed=SEED)
 
 
 def q_evaluate_em(spark, d):
@@ -453,12 +452,12 @@ def q_evaluate_em(spark, d):
 
 def _projected(spark, d):
     """The reference study's input: embeddings projected onto 40 principal components."""
-    return prepare(load_E(spark, d), k=40, frac=TEST_FRAC, seed=SEED).drop("split")
+    return prepare(load_E(spark, d), k=40, frac=TEST_FRAC, seed=SEED)
 
 
 def q_kmeans_projected(spark, d):
     """K-means (k = 2, 3; K-means++, full stop rule) on the 40-PC projection, scored on train and test."""
-    return evaluate_kmeans(_projected(spark, d), ks=(2, 3), steps=None, frac=TEST_FRAC, seed=SEED, init="k-means++")
+    return evaluate_kmeans(_projected(spark, d), ks=(2, 3), frac=TEST_FRAC, seed=SEED, init="k-means++")
 
 
 def q_em_projected(spark, d):

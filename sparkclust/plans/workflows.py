@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import decompose, evaluate, gaussian, kmeans, sampling, stats
+from ..operators.moments import iterative_input
 
 
 def imputed_stats(obs: stats.ColumnStats) -> stats.ColumnStats:
@@ -45,58 +45,67 @@ METRIC_COLS = ["accuracy", "tpr", "ppv", "tnr", "f1"]
 COUNT_COLS = ["correct", "incorrect", "tp", "tn", "fp", "fn"]
 
 
-def _rows_to_frame(spark, rows, extra_cols: list[str]) -> DataFrame:
-    schema = ", ".join(
-        ["k int", "split string"] + [f"{c} bigint" for c in COUNT_COLS] + [f"{c} double" for c in METRIC_COLS + extra_cols]
-    )
-    df = spark.createDataFrame(rows, schema)
-    return df.select("k", "split", *COUNT_COLS, *[(F.round(F.col(c), 6) + F.lit(0.0)).alias(c) for c in METRIC_COLS + extra_cols])
+SPLITS = ("train", "test")
 
 
-def evaluate_kmeans(df: DataFrame, ks=(2, 3), steps: int | None = None, frac: float = 0.235, seed: int = 42,
-                    init: str = "first") -> DataFrame:
+def _split(df: DataFrame, frac: float, seed: int) -> DataFrame:
+    """The given split, or an exact one; spread over the task slots and persisted."""
+    return iterative_input(df if "split" in df.columns else sampling.split_exact(df, frac=frac, seed=seed))
+
+
+def _metric_rows(spark, counts: list[tuple], extra: list[str]) -> DataFrame:
+    """(k, split, counts, metrics, extra) from rows (k, split, counts, extra values)."""
+    rows = [(k, name, *[c[x] for x in COUNT_COLS], *more) for k, name, c, more in counts]
+    schema = ", ".join(["k int", "split string"] + [f"{c} bigint" for c in COUNT_COLS] + [f"{c} double" for c in extra])
+    df = evaluate.metrics_from_confusion(spark.createDataFrame(rows, schema))
+    return df.select("k", "split", *COUNT_COLS, *[(F.round(F.col(c), 6) + F.lit(0.0)).alias(c) for c in METRIC_COLS + extra])
+
+
+def evaluate_kmeans(df: DataFrame, ks=(2, 3), frac: float = 0.235, seed: int = 42, init: str = "first") -> DataFrame:
     """Per (k, split): confusion counts, metrics, min inter / max intra distance, Dunn.
 
-    ``steps`` = fixed number of Lloyd updates (reproducible); ``None`` runs the
-    full stop rule.  Each set is scored with its own distances.
+    All models are fitted side by side to their stop rule, and all (k, split) are
+    scored with one pass of counts and one distance pass per set, so the number
+    of jobs per pass does not depend on the number of models.  Each set is scored
+    with its own distances.  A ``split`` column is taken as it is.
     """
-    s = sampling.split_exact(df, frac=frac, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
-    train = s.where(F.col("split") == "train")
-    test = s.where(F.col("split") == "test")
-    rows = []
-    for k in ks:
-        if steps is None:
-            model = kmeans.kmeans_fit(train, k, init=init, seed=seed)
-        else:
-            _, seeds = kmeans.first_k_seeds(train, k) if init == "first" else kmeans.kmeanspp_init(train, k, seed)
-            model = kmeans.KMeansModel(centroids=kmeans.kmeans_steps(train, seeds, steps), iterations=steps)
-        for name, part in (("train", train), ("test", test)):
-            a = model.transform(part)
-            m = evaluate.classification_metrics(a).first()
-            dn = evaluate.dunn_parts(a, n=int(m["correct"] + m["incorrect"])).first()
-            rows.append((k, name, *[int(m[c]) for c in COUNT_COLS], *[m[c] for c in METRIC_COLS],
-                         dn["min_inter"], dn["max_intra"], dn["dunn"]))
-    s.unpersist()
-    return _rows_to_frame(df.sparkSession, rows, ["min_inter", "max_intra", "dunn"])
+    s = _split(df, frac, seed)
+    try:
+        models = kmeans.kmeans_fit_many(s.where("split = 'train'"), list(ks), init=init, seed=seed, persist=False)
+        names = [f"_k{k}" for k in ks]
+        scored = s
+        for name, model in zip(names, models):
+            scored = model.transform(scored, out=name)
+        counts = evaluate.confusions(scored, names, "split")
+        rows = []
+        for part in SPLITS:
+            for k, name, d in zip(ks, names, evaluate.dunn_many(scored.where(F.col("split") == part), names)):
+                rows.append((k, part, counts.get((name, part), dict.fromkeys(COUNT_COLS, 0)), [d["min_inter"], d["max_intra"], d["dunn"]]))
+    finally:
+        s.unpersist()
+    return _metric_rows(df.sparkSession, rows, ["min_inter", "max_intra", "dunn"])
 
 
 def evaluate_em(df: DataFrame, ks=(2, 3), frac: float = 0.235, seed: int = 42, resp: str = "softmax",
-                max_iter: int | None = None) -> DataFrame:
-    """Per (k, split): confusion counts, metrics and the Euclidean Silhouette."""
-    s = sampling.split_exact(df, frac=frac, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
-    train = s.where(F.col("split") == "train")
-    test = s.where(F.col("split") == "test")
-    rows = []
-    for k in ks:
-        model = gaussian.em_fit(train, k, "k-means++", seed, resp=resp, max_iter=max_iter)
-        for name, part in (("train", train), ("test", test)):
-            a = gaussian.em_predict(part, model)
-            m = evaluate.classification_metrics(a).first()
-            sil = evaluate.silhouette(a, n=int(m["correct"] + m["incorrect"])).first()
-            rows.append((k, name, *[int(m[c]) for c in COUNT_COLS], *[m[c] for c in METRIC_COLS],
-                         sil["silhouette"], float(model.iterations), sil["n_clusters"]))
-    s.unpersist()
-    out = _rows_to_frame(df.sparkSession, [r[:-1] for r in rows], ["silhouette", "iterations"])
-    # A single predicted cluster means EM failed to separate the data (Silhouette undefined)
-    status = F.when(F.col("silhouette").isNull(), F.lit("failed")).otherwise(F.lit("ok"))
-    return out.withColumn("status", status)
+                max_iter: int | None = None, init: str = "k-means++") -> DataFrame:
+    """Per (k, split): confusion counts, metrics, the Euclidean Silhouette, iterations and status; see :func:`evaluate_kmeans`.
+
+    ``failed``: a single predicted cluster, so that the Silhouette is undefined.
+    """
+    s = _split(df, frac, seed)
+    try:
+        models = gaussian.em_fit_many(s.where("split = 'train'"), list(ks), init, seed, resp=resp, max_iter=max_iter, persist=False)
+        names = [f"_k{k}" for k in ks]
+        scored = s
+        for name, model in zip(names, models):
+            scored = gaussian.em_predict(scored, model, out=name)
+        counts = evaluate.confusions(scored, names, "split")
+        rows = []
+        for part in SPLITS:
+            found = evaluate.silhouette_many(scored.where(F.col("split") == part), names)
+            for k, name, model, d in zip(ks, names, models, found):
+                rows.append((k, part, counts.get((name, part), dict.fromkeys(COUNT_COLS, 0)), [d["silhouette"], float(model.iterations)]))
+    finally:
+        s.unpersist()
+    out = _metric_rows(df.sparkSession, rows, ["silhouette", "iterations"])
+    return out.withColumn("status", F.when(F.col("silhouette").isNull(), F.lit("failed")).otherwise(F.lit("ok")))

@@ -3,7 +3,7 @@
 Canonical frame: ``id BIGINT, features ARRAY<DOUBLE>, label INT`` (plus
 ``cluster INT`` after assignment).  Readers and writers are plain
 ``DataFrameReader`` / ``DataFrameWriter`` calls; nothing passes through the
-driver.
+driver.  Id texts are numbered by range (:func:`number_texts`).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vector import as_double_array
+from ..operators.sampling import with_row_id
 
 
 def read_matrix(
@@ -22,15 +23,17 @@ def read_matrix(
     fmt: str = "csv",
     header: bool = True,
     partitions: int | None = None,
-    id_mode: str = "parse",
+    id_mode: str = "auto",
 ) -> DataFrame:
     """Read a numeric matrix: first column id, last column label, the rest features.
 
     Cells that do not parse as numbers (junk, empty cells) become NULL; the
     header line is skipped by the reader.  A missing path raises Spark's
-    ``PATH_NOT_FOUND`` error.  ``id_mode="parse"`` reads the id as a number
-    (text ids become NULL); ``id_mode="hash"`` derives a 52-bit id from the id
-    text (first 13 hex digits of its md5), for files whose ids are names.
+    ``PATH_NOT_FOUND`` error.  ``id_mode`` says what the first column is:
+    ``"auto"`` takes whole numbers as they are if all ids are such, and else
+    numbers the id texts; ``"number"`` always numbers them (see
+    :func:`number_texts`); ``"parse"`` reads numbers and makes other texts NULL;
+    ``"hash"`` derives a 52-bit id from the text (first 13 hex digits of its md5).
     """
     if fmt == "parquet":
         raw = spark.read.parquet(path)
@@ -40,10 +43,25 @@ def read_matrix(
     return out.repartition(partitions) if partitions else out
 
 
-def parse_matrix(raw: DataFrame, id_mode: str = "parse") -> DataFrame:
+ID_MODES = ("auto", "number", "parse", "hash")
+
+
+def number_texts(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Adds ``out``: the rank from 0 of the row's text among the distinct texts of ``col``; NULL for NULL.
+
+    Distinct texts are found with partial results per task and numbered by range,
+    so no two texts share a number and no task holds all of them; the numbers are
+    joined back by text, where a frequent text is split by the optimiser.
+    """
+    texts = df.select(F.col(f"`{col}`").alias("_text")).where(F.col("_text").isNotNull()).distinct()
+    numbers = with_row_id(texts, "_text", out)
+    return df.withColumn("_text", F.col(f"`{col}`")).join(numbers, "_text", "left").drop("_text")
+
+
+def parse_matrix(raw: DataFrame, id_mode: str = "auto") -> DataFrame:
     """Canonical frame from columns of text: first id, last label, the rest features (rules of ``read_matrix``)."""
-    if id_mode not in ("parse", "hash"):
-        raise ValueError("id_mode must be 'parse' or 'hash'")
+    if id_mode not in ID_MODES:
+        raise ValueError(f"id_mode must be one of {', '.join(ID_MODES)}")
     cols = raw.columns
     if len(cols) < 3:
         raise ValueError("a matrix needs an id column, at least one feature and a label column")
@@ -52,15 +70,25 @@ def parse_matrix(raw: DataFrame, id_mode: str = "parse") -> DataFrame:
     def num(c: str) -> Column:
         return F.col(f"`{c}`").try_cast("double")
 
-    if id_mode == "hash":
-        rid = F.conv(F.substring(F.md5(F.trim(F.col(f"`{id_c}`"))), 1, 13), 16, 10).cast("bigint")
-    else:
-        rid = num(id_c).cast("bigint")
-    return raw.select(
+    text = F.trim(F.col(f"`{id_c}`").cast("string"))
+    real = num(id_c)
+    whole = F.coalesce(text.try_cast("bigint"), F.when(real == F.floor(real), real.try_cast("bigint")))
+    if id_mode == "auto":
+        names = raw.agg(F.count_if((text != "") & whole.isNull()).alias("n")).first()["n"]
+        id_mode = "number" if names else "parse"
+    rid = {
+        "hash": F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint"),
+        "number": F.when(text != "", text),
+        "parse": whole,
+    }[id_mode]
+    out = raw.select(
         rid.alias("id"),
         F.array(*[num(c) for c in feat_c]).alias("features"),
         num(label_c).cast("int").alias("label"),
     )
+    if id_mode == "number":
+        out = number_texts(out.withColumnRenamed("id", "_name"), "_name", "id").select("id", "features", "label")
+    return out
 
 
 def to_matrix(

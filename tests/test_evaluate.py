@@ -75,3 +75,65 @@ def test_relabelling_invariance(spark):
     b = a.withColumn("cluster", (F.lit(2) - F.col("cluster")).cast("int"))
     assert np.isclose(evaluate.silhouette(a).first().silhouette, evaluate.silhouette(b).first().silhouette)
     assert np.isclose(evaluate.dunn_parts(a).first().dunn, evaluate.dunn_parts(b).first().dunn)
+
+
+def _clouds(spark, n, copies=0):
+    rng = np.random.default_rng(8)
+    centres = rng.uniform(-100, 100, (12, 3))
+    x = np.vstack([centres[i % 12] + rng.standard_normal(3) for i in range(n)])
+    c = np.arange(n) % 12 % 4
+    x, c = np.vstack([x, np.repeat(x[:1], copies, axis=0)]), np.concatenate([c, np.repeat(c[:1], copies)])
+    rows = [(i, r.tolist(), int(k)) for i, (r, k) in enumerate(zip(x, c))]
+    return spark.createDataFrame(rows, "id bigint, features array<double>, cluster int"), x, c
+
+
+def test_bounds_rule_out_pairs_and_change_no_value(spark):
+    df, x, c = _clouds(spark, 600)
+    d = _brute(x)
+    same = c[:, None] == c[None]
+    r = evaluate.dunn_parts(df, block_rows=20).first()
+    assert np.isclose(r.min_inter, d[~same].min()) and np.isclose(r.max_intra, d[same].max())
+    assert 0 < r.visited < 0.25
+
+
+def test_copies_of_one_row_count_but_are_one_row_of_the_work(spark):
+    df, x, c = _clouds(spark, 120, copies=400)
+    d = _brute(x)
+    r = evaluate.dunn_parts(df, block_rows=10).first()
+    same = c[:, None] == c[None]
+    assert np.isclose(r.min_inter, d[~same].min()) and np.isclose(r.max_intra, d[same].max())
+    s = []
+    for i in range(len(x)):
+        a = d[i, c == c[i]].sum() / ((c == c[i]).sum() - 1)
+        b = min(d[i, c == k].mean() for k in set(c) - {c[i]})
+        s.append((b - a) / max(a, b))
+    assert np.isclose(evaluate.silhouette(df, block_rows=16).first().silhouette, np.mean(s))
+    per = {r.id: r.s for r in evaluate.silhouette_parts(df, block_rows=16).collect()}
+    assert len(per) == len(x) and np.allclose([per[i] for i in range(len(x))], s)
+    twins = spark.createDataFrame([(1, [1.0], 0), (2, [1.0], 0), (3, [1.0], 1)], "id bigint, features array<double>, cluster int")
+    t = evaluate.dunn_parts(twins).first()
+    assert (t.min_inter, t.max_intra, t.dunn) == (0.0, 0.0, None)
+
+
+def test_rows_without_vector_or_cluster_are_counted_not_scored(spark):
+    df, x, c = _clouds(spark, 40)
+    more = df.unionByName(spark.createDataFrame([(90, None, 1), (91, [0.0, 0.0, 0.0], None)], df.schema))
+    a, b = evaluate.dunn_parts(df).first(), evaluate.dunn_parts(more).first()
+    assert (a.min_inter, a.max_intra, a.skipped) == (b.min_inter, b.max_intra, 0) and b.skipped == 2
+    assert evaluate.silhouette(more).first().skipped == 2
+    nulls = more.select("id", "features")
+    assert evaluate.pairwise_summary(nulls).count() == 41
+
+
+def test_several_labellings_in_one_pass(spark):
+    df, x, c = _clouds(spark, 150)
+    from pyspark.sql import functions as F
+
+    two = df.withColumn("half", (F.col("id") % 2).cast("int")).withColumn("one", F.lit(7))
+    for many, alone in ((evaluate.dunn_many, evaluate.dunn_parts), (evaluate.silhouette_many, evaluate.silhouette)):
+        for name, got in zip(("cluster", "half", "one"), many(two, ["cluster", "half", "one"], block_rows=30)):
+            want = alone(two, cluster_col=name, block_rows=30).first().asDict()
+            for key in set(want) - {"visited"}:
+                assert got[key] == want[key] or np.isclose(got[key], want[key])
+    assert evaluate.dunn_many(two.limit(0), ["cluster"])[0]["min_inter"] is None
+    assert evaluate.silhouette_many(two.limit(0), ["cluster"])[0]["silhouette"] is None

@@ -40,3 +40,38 @@ def test_kmeanspp_layout_invariant(spark):
     e = load_E(spark, SF01)
     ids = [kmeans.kmeanspp_init(x, 4, seed=9)[0] for x in _layouts(e)]
     assert all(i == ids[0] for i in ids)
+
+
+def test_fits_have_the_same_history_bits_on_any_partitioning(spark):
+    e = load_E(spark, SF01).selectExpr("id", "slice(features, 1, 12) AS features")
+    runs = [
+        (
+            kmeans.kmeans_fit(x, 3, persist=False).history,
+            kmeans.kmeans_fit(x, 3, persist=False).centroids,
+            gaussian.em_fit(x, 2, max_iter=4, persist=False).history,
+            gaussian.em_fit(x, 2, "first", max_iter=1, resp="sequential", persist=False).covs,
+        )
+        for x in (e.repartition(1), e.repartition(4), e.repartition(37))
+    ]
+    assert runs[0] == runs[1] == runs[2]
+
+
+def test_assignment_in_the_fit_is_that_of_transform(spark):
+    rng = np.random.default_rng(5)
+    for d in (2, 5, 40):
+        x = rng.integers(-3, 4, (300, d)) / 3.0  # many ties
+        points = x[:6]
+        df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id bigint, features array<double>")
+        got = {r.id: r.cluster for r in kmeans.assign_nearest(df, points.tolist()).collect()}
+        assert [got[i] for i in range(len(x))] == kmeans.nearest(x, points).tolist()
+
+
+def test_models_fitted_side_by_side_are_those_fitted_alone(spark):
+    e = load_E(spark, SF01).selectExpr("id", "slice(features, 1, 6) AS features")
+    many = kmeans.kmeans_fit_many(e, [2, 3, 5])
+    for k, m in zip((2, 3, 5), many):
+        alone = kmeans.kmeans_fit(e, k)
+        assert (m.centroids, m.history, m.counts, m.seed_ids) == (alone.centroids, alone.history, alone.counts, alone.seed_ids)
+    for k, m in zip((2, 3), gaussian.em_fit_many(e, [2, 3], max_iter=3)):
+        alone = gaussian.em_fit(e, k, max_iter=3)
+        assert (m.means, m.covs, m.history) == (alone.means, alone.covs, alone.history)

@@ -5,7 +5,7 @@ import pytest
 from conftest import frame
 from pyspark.sql import functions as F
 
-from sparkclust.operators import evaluate, gaussian, kmeans, sampling, stats
+from sparkclust.operators import evaluate, gaussian, kmeans, stats
 
 
 def test_std_of_wide_rows_far_from_zero_with_a_missing_cell(spark):
@@ -27,12 +27,6 @@ def test_closest_pair_far_from_the_centre(spark, far, near):
     assert abs(evaluate.dunn_parts(df, n=4).first().min_inter - near) < 1e-4 * near
 
 
-def test_many_blocks_do_not_overflow(spark):
-    df = frame(spark, [(i, [float(i)], 0) for i in range(3)])
-    pairs = evaluate.block_pairs(df, 60_000).agg(F.max("_pair"), F.count(F.lit(1))).first()
-    assert pairs[0] > 2**31 and pairs[1] == 180_000
-
-
 def test_results_do_not_depend_on_the_number_of_blocks(spark):
     rng = np.random.default_rng(3)
     df = frame(spark, [(i, rng.standard_normal(3).tolist(), i % 3) for i in range(120)]).withColumnRenamed("label", "cluster")
@@ -41,16 +35,6 @@ def test_results_do_not_depend_on_the_number_of_blocks(spark):
     assert abs(evaluate.silhouette(df, n=120).first()[0] - evaluate.silhouette(df, n=120, block_rows=5).first()[0]) < 1e-12
 
 
-def test_a_split_is_exact_or_raises(spark):
-    same = frame(spark, [(7, [1.0], 0)] * 30)
-    missing = frame(spark, [(None, [1.0], 0)] * 3 + [(i, [1.0], 0) for i in range(30)])
-    for df in (same, missing):
-        with pytest.raises(ValueError):
-            sampling.split_exact(df, n_test=10)
-    good = sampling.split_exact(frame(spark, [(i, [1.0], 0) for i in range(30)]), n_test=10)
-    assert good.where("split = 'test'").count() == 10
-
-
 def test_confusion_counts_every_row(spark):
     df = spark.createDataFrame([(1, 1), (0, 0), (None, 1), (1, None), (None, None), (0, 2)], "label int, cluster int")
     r = evaluate.confusion(df).first()

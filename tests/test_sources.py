@@ -14,7 +14,7 @@ def test_read_matrix_csv_edge(spark):
         f.write("0,0,1,2\n")
         f.write("a1,1.5,abc,1\n")
         f.write("7,2.5,,0\n")
-    df = matrix.read_matrix(spark, p).orderBy("label").collect()
+    df = matrix.read_matrix(spark, p, id_mode="parse").orderBy("label").collect()
     assert df[0].id == 7 and df[0].features == [2.5, None]
     assert df[1].id is None and df[1].features == [1.5, None] and df[1].label == 1
 
@@ -77,3 +77,20 @@ def test_read_matrix_text_ids_hash(spark, tmp_path):
     rows = matrix.read_matrix(spark, str(p), id_mode="hash").collect()
     assert all(r.id is not None for r in rows) and len({r.id for r in rows}) == 2
     assert sorted(r.label for r in rows) == [1, 4]
+
+
+def test_text_ids_are_numbered_by_default(spark, tmp_path):
+    p = tmp_path / "raw.csv"
+    p.write_text('"",X1,X2,y\n"X21.V1.791",1.5,2.5,4\n"X15.V1.924",3.0,4.0,1\n,5.0,6.0,2\n"X21.V1.791",7.0,8.0,3\n')
+    rows = {r.label: r.id for r in matrix.read_matrix(spark, str(p)).collect()}
+    assert rows == {1: 0, 4: 1, 3: 1, 2: None}
+
+
+def test_whole_number_ids_stay_and_others_are_numbered(spark):
+    whole = spark.createDataFrame([("9007199254740993", "1", "0"), ("17.0000", "2", "1"), ("", "3", "1")], "id string, x string, y string")
+    assert sorted(str(r.id) for r in matrix.parse_matrix(whole).collect()) == ["17", "9007199254740993", "None"]
+    mixed = spark.createDataFrame([("17", "1", "0"), ("1.5", "2", "1"), ("1.6", "3", "1")], "id string, x string, y string")
+    assert {r.features[0]: r.id for r in matrix.parse_matrix(mixed).collect()} == {1.0: 2, 2.0: 0, 3.0: 1}
+    big = spark.range(3000).selectExpr("concat('k', id % 1000) AS id", "'1' AS x", "'0' AS y").repartition(11)
+    ids = [r.id for r in matrix.parse_matrix(big).collect()]
+    assert len(ids) == 3000 and set(ids) == set(range(1000))

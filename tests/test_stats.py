@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 from conftest import SF01, frame
+from pyspark.sql import functions as F
 
 from sparkclust.operators import decompose, moments, stats
 from sparkclust.plans.inputs import load_E, load_L
@@ -40,7 +41,7 @@ def test_population_std_matches_numpy(spark):
 def test_covariance_narrow_equals_wide(spark):
     e = load_E(spark, SF01).selectExpr("id", "slice(features, 1, 8) AS features")
     names = [str(i) for i in range(8)]
-    narrow = {(r.col_i, r.col_j): r.cov for r in stats.covariance_narrow(e, names).collect()}
+    narrow = {(r.col_i, r.col_j): r.cov for r in stats.covariance(e, names).collect()}
     wide = stats.covariance_matrix(e, 8)
     x = np.array([r.features for r in e.collect()])
     ref = np.cov(x, rowvar=False, bias=True)
@@ -50,49 +51,73 @@ def test_covariance_narrow_equals_wide(spark):
             assert math.isclose(wide[i, j], ref[i, j], rel_tol=1e-9, abs_tol=1e-15)
 
 
-def test_gram_partition_invariant(spark):
-    e = load_E(spark, SF01)
-    results = []
-    for p in (1, 4, 17):
-        n, s, g = moments.gram(e.repartition(p), 64)
-        results.append((n, s, g))
-    for n, s, g in results[1:]:
-        assert n == results[0][0]
-        assert np.allclose(g, results[0][2], rtol=1e-12, atol=1e-12)
-
-
-def test_sum_vectors_two_levels(spark):
-    rows = [(k, salt, [float(k), 1.0, float(salt)]) for k in range(2) for salt in range(5)]
-    df = spark.createDataFrame(rows, "k int, salt int, v array<double>")
-    for two in (True, False):
-        out = {r.k: r.v for r in moments.sum_vectors(df, "v", keys=["k"], two_level=two).collect()}
-        assert out[0] == pytest.approx([0.0, 5.0, 10.0]) and out[1] == pytest.approx([5.0, 5.0, 10.0])
-
-
-def test_vector_stats_path_equals_scalar_path(spark, monkeypatch):
-    from sparkclust.plans.inputs import load_E_nan
-
-    e = load_E_nan(spark, SF01)
-    wide = stats.fit_column_stats(e, 64)
-    monkeypatch.setattr(stats, "VECTOR_STATS_DIM", 1000)
-    narrow = stats.fit_column_stats(e, 64)
-    assert wide.n == narrow.n and wide.count == narrow.count
-    assert np.allclose(wide.mean, narrow.mean, rtol=1e-12, atol=1e-15)
-    assert np.allclose(wide.std, narrow.std, rtol=1e-10, atol=1e-15)
-    # a column with a large offset keeps its precision (shifted moments)
-    from pyspark.sql import functions as F
-
-    off = e.withColumn("features", F.transform("features", lambda x: x + F.lit(1e6)))
-    w2 = stats.fit_column_stats(off, 64)
-    assert np.allclose(w2.std, narrow.std, rtol=1e-6)
-
-
-def test_gram_jvm_path_equals_arrow_path(spark, monkeypatch):
-    e = load_E(spark, SF01).selectExpr("id", "slice(features, 1, 8) AS features")
-    center = [0.01 * i for i in range(8)]
-    a = moments.gram(e, 8, center=center)
-    monkeypatch.setattr(moments, "JVM_GRAM_DIM", 0)
-    b = moments.gram(e, 8, center=center)
-    assert a[0] == b[0]
-    assert np.allclose(a[1], b[1], rtol=1e-12, atol=1e-14)
-    assert np.allclose(a[2], b[2], rtol=1e-12, atol=1e-14)
+def _random(n, d, seed=0, missing=0.0):
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, d)) * np.exp(rng.uniform(-8, 8, d)) + rng.uniform(-1e6, 1e6, d)
+    x[rng.random((n, d)) < missing] = np.nan
+    return x
+
+
+def _frame(spark, x, nulls=0):
+    rows = [(i, r.tolist(), 0) for i, r in enumerate(x)] + [(len(x) + i, None, 0) for i in range(nulls)]
+    return spark.createDataFrame(rows, "id bigint, features array<double>, label int")
+
+
+@pytest.mark.parametrize("d", [4, 17, 64])
+def test_one_rule_for_null_rows_and_cells_at_every_width(spark, d):
+    x = _random(300, d, d, 0.1)
+    df = _frame(spark, x, nulls=7)
+    st = stats.fit_column_stats(df, d)
+    assert (st.n, st.nulls) == (300, 7) and st.count == (~np.isnan(x)).sum(0).tolist()
+    assert np.allclose(st.mean, np.nanmean(x, 0), rtol=1e-13) and np.allclose(st.std, np.nanstd(x, 0), rtol=1e-7)
+    cov = stats.covariance_matrix(df, d)
+    for i, j in [(0, 0), (0, 1), (1, d - 1), (d - 1, 2)]:
+        both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        ref = np.cov(x[both, i], x[both, j], bias=True)[0, 1]
+        assert math.isclose(cov[i, j], ref, rel_tol=1e-5, abs_tol=1e-9 * math.sqrt(cov[i, i] * cov[j, j]) + 1e-15)
+    stats.impute_mean(df, st.mean, count_col="n_imp").collect()
+
+
+def test_covariance_far_from_zero_is_that_of_whole_numbers(spark):
+    rng = np.random.default_rng(2)
+    base = rng.integers(-50, 50, (400, 3))
+    cov = stats.covariance_matrix(_frame(spark, base + 2.0**40), 3)
+    n, s = len(base), base.sum(0)
+    exact = [[(n * int((base[:, i] * base[:, j]).sum()) - int(s[i]) * int(s[j])) / (n * n) for j in range(3)] for i in range(3)]
+    assert cov.tolist() == exact  # no bit lost
+
+
+def test_sums_are_the_same_bits_under_any_partitioning(spark):
+    x = _random(2000, 6, 3, 0.05)
+    df = _frame(spark, x)
+    seen = set()
+    for layout in (df.repartition(1), df.repartition(4), df.repartition(37), df.orderBy(df.id.desc())):
+        st, m = stats.fit_column_stats(layout, 6), moments.co_moments(layout, 6)
+        seen.add((tuple(st.mean), tuple(st.std), m.covariance.tobytes(), m.mean.tobytes(), m.gram.tobytes()))
+    assert len(seen) == 1
+
+
+def test_exact_sums_reach_the_nearest_double(spark):
+    from fractions import Fraction
+
+    x = np.array([[1e16, 1.0], [1.0, 1e-9], [-1e16, -1.0], [3.0, 1e-9]])
+    st = stats.fit_column_stats(_frame(spark, x), 2)
+    want = [float(sum(Fraction(v) for v in c) / 4) for c in x.T]
+    assert st.mean[0] == want[0] and math.isclose(st.mean[1], want[1], rel_tol=1e-7)
+
+
+def test_empty_and_infinite_input(spark):
+    with pytest.raises(ValueError, match="empty"):
+        stats.fit_column_stats(_frame(spark, np.zeros((0, 2)), nulls=3), 2)
+    with pytest.raises(ValueError, match="infinite"):
+        stats.fit_column_stats(_frame(spark, np.array([[1.0, np.inf]])), 2)
+
+
+def test_group_co_moments(spark):
+    x = _random(200, 5, 9)
+    df = _frame(spark, x).withColumn("cluster", (F.col("id") % 3).cast("int"))
+    df = df.unionByName(df.limit(5).withColumn("cluster", F.lit(None).cast("int")))
+    for k, m in moments.group_co_moments(df, 5, "cluster").items():
+        mine = x[k::3]
+        assert m.n[0, 0] == len(mine) and np.allclose(m.mean, mine.mean(0), rtol=1e-12)
+        assert np.allclose(m.covariance, np.cov(mine, rowvar=False, bias=True), rtol=1e-6)
