@@ -27,10 +27,11 @@ the vocabulary.  Extra columns are ignored.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,13 +49,14 @@ SLICE_BYTES = 16 << 20
 BUCKET_BYTES = 32 << 20
 #: Characters above which a text's pre-tokens are not listed at once, and numbers that are turned into ids at once.
 LONG = 1 << 20
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Ids that are decoded at once, but for a single longer document.
-DECODED = 8 << 20
+DECODED = 2 << 20
 
 CODED = "slice long, bucket int, doc_id long, n long, body binary"
 IDS = "slice long, n long, m long, body binary"
 ENCODED = "doc_id long, ids array<int>"
+DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -118,9 +120,8 @@ class Numbers(dict):
 
 def _coded(pattern: str, buckets: int):
     def rows(key: int, numbers: Numbers, docs: list[tuple]) -> Iterator[pa.RecordBatch]:
-        uses = np.zeros(len(numbers), np.int64)
-        for _, codes in docs:
-            uses += np.bincount(codes, minlength=uses.size) if len(codes) else 0
+        line = np.concatenate([np.frombuffer(codes, np.uint32) for _, codes in docs])
+        uses = np.bincount(line, minlength=len(numbers))
         rank = np.empty(uses.size, np.uint32)
         rank[np.argsort(-uses, kind="stable")] = np.arange(uses.size, dtype=np.uint32)
         out = [(key, -1, doc_id, len(codes), squeezed(rank[np.frombuffer(codes, np.uint32)] if len(codes) else rank[:0])) for doc_id, codes in docs]
@@ -167,7 +168,7 @@ def _encoded(tokens):
 
     def run(group: pa.Table) -> pa.Table:
         ranks = {t: i for i, t in enumerate(tokens.value)}
-        known: dict[bytes, np.ndarray] = {}
+        known: dict[bytes, bytes] = {}
         out = []
         for key, n, body in zip(*(group.column(c).to_pylist() for c in ("slice", "n", "body")), strict=True):
             cut = 4 + int.from_bytes(body[:4], "little")
@@ -179,11 +180,11 @@ def _encoded(tokens):
                 word = text[start:end]
                 got = known.get(word)
                 if got is None:
-                    got = known[word] = np.array(merge(word, ranks), np.uint32)
+                    got = known[word] = array("I", merge(word, ranks)).tobytes()
                 ids.append(got)
                 start = end
-            sizes = np.fromiter(map(len, ids), np.uint32, n)
-            flat = np.concatenate(ids)
+            sizes = np.fromiter(map(len, ids), np.uint32, n) // 4
+            flat = np.frombuffer(b"".join(ids), np.uint32)
             out.append((key, n, flat.size, squeezed(np.concatenate((head[n:], sizes, flat)))))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         columns = list(zip(*out, strict=True)) or [()] * 4
@@ -218,15 +219,60 @@ def _reassembled(coded: pa.Table, ids: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([docs.column("doc_id").combine_chunks(), lists], names=["doc_id", "ids"])
 
 
-def encode(docs: DataFrame, tokens: list[bytes], pattern: str) -> DataFrame:
-    """(doc_id, ids) of every row of ``docs`` (doc_id, text): ``tokens`` by rank, pre-tokens by ``pattern``."""
+def encode(docs: DataFrame, tokens: list[bytes], pattern: str, then: Callable | None = None, schema: str = ENCODED) -> DataFrame:
+    """(doc_id, ids) of every row of ``docs`` (doc_id, text): ``tokens`` by rank, pre-tokens by ``pattern``.
+
+    ``then`` turns the encoded documents of a slice, a table (doc_id, ids), into
+    one of ``schema`` where they are made, for results smaller than the ids.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(tokens)  # as large as the vocabulary
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     coded = rows.mapInArrow(_coded(pattern, int(total // BUCKET_BYTES) + 1), CODED).repartition("slice")
     words = coded.mapInArrow(_words_only, CODED)
     ids = words.groupBy("bucket").applyInArrow(_encoded(shared), IDS)
-    return coded.groupBy("slice").cogroup(ids.groupBy("slice")).applyInArrow(_reassembled, ENCODED)
+
+    def documents(coded: pa.Table, ids: pa.Table) -> pa.Table:
+        made = _reassembled(coded, ids)
+        return then(made) if then else made
+
+    return coded.groupBy("slice").cogroup(ids.groupBy("slice")).applyInArrow(documents, schema)
+
+
+def _joined(ids: pa.Array, table: pa.Array) -> pa.Array:
+    """The token of every id."""
+    if len(ids) and (ids.null_count or pc.min(ids).as_py() < 0 or pc.max(ids).as_py() >= len(table)):
+        raise ValueError("ids that are not in the vocabulary")
+    return table.take(ids)
+
+
+def _body(tokens: pa.Array, first: int, last: int) -> memoryview:
+    """The bytes of the tokens from ``first`` to before ``last``."""
+    at = np.frombuffer(tokens.buffers()[1], np.int64)[tokens.offset :]
+    return memoryview(tokens.buffers()[2] or b"")[at[first] : at[last]]
+
+
+def digests(tokens: list[bytes]) -> Callable[[pa.Table], pa.Table]:
+    """For ``encode``: number of ids, SHA-256 of the decimal ids joined by one space, and of the bytes that they decode to."""
+
+    def run(made: pa.Table) -> pa.Table:
+        table, names = pa.array(tokens, pa.large_binary()), [b"%d" % i for i in range(len(tokens))]
+        column = made.column("ids").combine_chunks()
+        ends, out = column.offsets.to_numpy(), []
+        for first, last in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            said, decoded = hashlib.sha256(), hashlib.sha256()
+            for at in range(first, last, CHUNK):
+                ids = column.values.slice(at, min(CHUNK, last - at))
+                decoded.update(_body(_joined(ids, table), 0, len(ids)))
+                said.update((b" " if at > first else b"") + b" ".join(map(names.__getitem__, ids.to_numpy().tolist())))
+            out.append((last - first, said.hexdigest(), decoded.hexdigest()))
+        n, said, decoded = zip(*out, strict=True) if out else ((), (), ())
+        return pa.Table.from_arrays(
+            [made.column("doc_id"), pa.array(n, pa.int64()), pa.array(said, pa.string()), pa.array(decoded, pa.string())],
+            names=[x.split()[0] for x in DIGESTS.split(", ")],
+        )
+
+    return run
 
 
 def _decoded(tokens):
@@ -238,10 +284,7 @@ def _decoded(tokens):
             row = 0
             while row < len(column):
                 stop = max(row + 1, int(np.searchsorted(ends, ends[row] + DECODED, side="right")) - 1)
-                ids = column.values.slice(ends[row], ends[stop] - ends[row])
-                if len(ids) and (ids.null_count or pc.min(ids).as_py() < 0 or pc.max(ids).as_py() >= len(table)):
-                    raise ValueError("ids that are not in the vocabulary")
-                got = table.take(ids)
+                got = _joined(column.values.slice(ends[row], ends[stop] - ends[row]), table)
                 at = np.frombuffer(got.buffers()[1], np.int64)[: len(got) + 1][ends[row : stop + 1] - ends[row]]
                 texts = pa.Array.from_buffers(pa.binary(), stop - row, [None, pa.py_buffer(at.astype(np.int32)), got.buffers()[2]])
                 part = batch.slice(row, stop - row)

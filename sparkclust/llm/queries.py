@@ -112,12 +112,7 @@ def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """Byte-level BPE ids of every document by the ranks of a file, and the bytes that they decode to, as digests."""
     tokens = byte_bpe.read_ranks(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), tokens, pattern)
-    return byte_bpe.decode(coded, tokens).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return byte_bpe.encode(table(spark, sf_dir, "documents"), tokens, pattern, byte_bpe.digests(tokens), byte_bpe.DIGESTS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
