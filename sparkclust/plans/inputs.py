@@ -26,10 +26,6 @@ def load_E(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binarize_label(to_matrix(table(spark, sf_dir, "embeddings")))
 
 
-def load_E2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return binarize_label(to_matrix(table(spark, sf_dir, "embeddings"), dims=2))
-
-
 def load_E_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E with NaN where ``(id + pos) % 7 = 0`` (pos from 0)."""
     e = load_E(spark, sf_dir)
@@ -76,3 +72,9 @@ def sig9(c):
     scaled = F.when(e >= 0, c / p).otherwise(c * p)
     r = F.round(scaled, 8)
     return F.when(c == 0, F.lit(0.0)).otherwise(F.when(e >= 0, r * p).otherwise(r / p)) + F.lit(0.0)
+
+
+def sig6(c):
+    """Round to 6 significant digits (differences of large numbers)."""
+    p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))))
+    return F.when(c == 0, F.lit(0.0)).otherwise(F.round(c / p, 5) * p) + F.lit(0.0)

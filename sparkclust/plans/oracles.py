@@ -1,11 +1,11 @@
 """DuckDB oracle SQL for the registered queries (brute force, no shared code).
 
 Iterative operators (K-means steps, K-means++ seeding, EM steps) are unrolled
-into CTE chains by small generators below; full fits are unrolled to their
-``max_iter`` and the stop rule is found with window flags.  Queries without an
-oracle (``svd_wide``, ``project_wide``, ``em_full``, ``prepare``: 64-D
-eigendecompositions or densities) are
-checked row-count only by the driver and against NumPy in the tests.
+into CTE chains by small generators below; full fits are unrolled to a number of
+passes that is above what they take, and the stop rule is found with window flags.
+The 64 x 64 eigenvectors come from a recursive CTE of Jacobi rotations, 32
+disjoint ones per step; Gaussian densities from a recursive CTE that eliminates
+the covariance beside a unit matrix.
 """
 
 from __future__ import annotations
@@ -13,10 +13,7 @@ from __future__ import annotations
 from .inputs import LINEITEM_COLS, LINEITEM_ID_KEYS, LINEITEM_SEEDS, SEED, TEST_FRAC
 
 E = "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS f, CASE WHEN label = 1 THEN 1 ELSE 0 END AS label FROM embeddings"
-E2 = (
-    "SELECT vec_id, list_slice(CAST(embedding AS DOUBLE[]), 1, 2) AS f, "
-    "CASE WHEN label = 1 THEN 1 ELSE 0 END AS label FROM embeddings"
-)
+D = 64
 
 
 def U(step: int, idexpr: str = "vec_id") -> str:
@@ -36,10 +33,24 @@ def SIG9(x: str) -> str:
     )
 
 
+def SIG6(x: str) -> str:
+    """Six significant digits (differences of large numbers)."""
+    e = f"floor(log10(abs({x})))"
+    return f"(CASE WHEN ({x}) = 0 THEN 0.0 ELSE round(({x}) / pow(10, {e}), 5) * pow(10, {e}) END + 0.0)"
+
+
+#: Fixed value of the reference stop rule.
+TOL = 0.005
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
+def rec_(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
+
+
 def unnest_cte(name: str, src: str) -> str:
     return f"{name} AS (SELECT vec_id, unnest(f) AS v, unnest(range(0, len(f))) AS pos FROM {src})"
 
@@ -137,64 +148,173 @@ def metrics_select(counts: str) -> str:
 MET = ["accuracy", "tpr", "ppv", "tnr", "f1"]
 
 
-# --- Gaussian (2-D, closed form) ------------------------------------------------
+# --- Gaussian mixtures of any width, in long tables ------------------------------
+# A mixture p is p_w(cluster, w), p_m(cluster, pos, m) and p_c(cluster, i, j, v); rows are x(vec_id, pos, v).
 
-LOG_JOINT_2D = (
-    "ln(p.w) - 0.5 * (2 * ln(2 * pi()) + ln(p.c00 * p.c11 - p.c01 * p.c01) + "
-    "((e.f[1] - p.m0) * (e.f[1] - p.m0) * p.c11 - 2 * (e.f[1] - p.m0) * (e.f[2] - p.m1) * p.c01 "
-    "+ (e.f[2] - p.m1) * (e.f[2] - p.m1) * p.c00) / (p.c00 * p.c11 - p.c01 * p.c01))"
-)
 
+def long_rows(name: str, src: str) -> str:
+    return f"{name} AS MATERIALIZED (SELECT vec_id, unnest(f) AS v, unnest(range(0, len(f))) AS pos FROM {src})"
 
-def em_init_ctes() -> list[str]:
-    ctes = [f"e AS ({E2})"]
-    kc, seeds = kmeanspp_ctes("pp", "e", 2)
-    ctes += kc
-    ctes.append(assign_cte("ia", "e", seeds))
-    ctes.append(
-        "p0 AS (SELECT cluster, count(*)::DOUBLE / (SELECT count(*) FROM e) AS w, avg(f[1]) AS m0, avg(f[2]) AS m1, "
-        "covar_pop(f[1], f[1]) AS c00, covar_pop(f[1], f[2]) AS c01, covar_pop(f[2], f[2]) AS c11 FROM ia GROUP BY cluster)"
-    )
-    return ctes
+
+def mixture_of(p: str, x: str, weighted: str) -> list[str]:
+    """Weights, means and covariances of rows ``weighted``(vec_id, cluster, r)."""
+    return [
+        f"{p}_n AS MATERIALIZED (SELECT cluster, greatest(sum(r), 1e-10) AS nk FROM {weighted} GROUP BY cluster)",
+        f"{p}_w AS MATERIALIZED (SELECT cluster, nk / (SELECT count(DISTINCT vec_id) FROM {x}) AS w FROM {p}_n)",
+        f"{p}_m AS MATERIALIZED (SELECT g.cluster, x.pos, sum(g.r * x.v) / any_value(n.nk) AS m FROM {weighted} g "
+        f"JOIN {x} x ON g.vec_id = x.vec_id JOIN {p}_n n ON n.cluster = g.cluster GROUP BY g.cluster, x.pos)",
+        f"{p}_z AS MATERIALIZED (SELECT g.vec_id, g.cluster, x.pos, g.r, x.v - m.m AS z FROM {weighted} g JOIN {x} x ON g.vec_id = x.vec_id "
+        f"JOIN {p}_m m ON m.cluster = g.cluster AND m.pos = x.pos)",
+        f"{p}_c AS MATERIALIZED (SELECT a.cluster, a.pos AS i, b.pos AS j, sum(a.r * a.z * b.z) / any_value(n.nk) AS v FROM {p}_z a "
+        f"JOIN {p}_z b ON a.vec_id = b.vec_id AND a.cluster = b.cluster JOIN {p}_n n ON n.cluster = a.cluster GROUP BY a.cluster, a.pos, b.pos)",
+    ]
 
 
-def log_joint_ctes(out: str, params: str, src: str = "e") -> list[str]:
+def eliminated(p: str, d: int) -> list[str]:
+    """p_r(cluster, c, pos, l), p_d(cluster, c, d): covariance = L diag(d) L^T and p_r = L^-1, by elimination of [covariance | 1]."""
     return [
-        f"{out}_l AS (SELECT e.vec_id, p.cluster, {LOG_JOINT_2D} AS l FROM {src} e, {params} p)",
-        f"{out} AS (SELECT vec_id, max(l) FILTER (WHERE cluster = 0) AS l0, max(l) FILTER (WHERE cluster = 1) AS l1 "
-        f"FROM {out}_l GROUP BY vec_id)",
+        f"""{p}_e(step, cluster, i, j, v) AS (
+            SELECT 0, cluster, i::INT, j::INT, v FROM {p}_c
+            UNION ALL SELECT 0, cluster, i::INT, (j + {d})::INT, CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0 END FROM {p}_c
+            UNION ALL SELECT a.step + 1, a.cluster, a.i, a.j, a.v - f.v * q.v / o.v FROM {p}_e a
+            JOIN {p}_e f ON f.cluster = a.cluster AND f.i = a.i AND f.j = a.step
+            JOIN {p}_e q ON q.cluster = a.cluster AND q.i = a.step AND q.j = a.j
+            JOIN {p}_e o ON o.cluster = a.cluster AND o.i = a.step AND o.j = a.step
+            WHERE a.i > a.step AND a.j > a.step)""",
+        f"{p}_r AS MATERIALIZED (SELECT cluster, i AS c, j - {d} AS pos, v AS l FROM {p}_e WHERE step = i AND j >= {d})",
+        f"{p}_d AS MATERIALIZED (SELECT cluster, i AS c, v AS d FROM {p}_e WHERE step = i AND j = i)",
     ]
 
 
-def lse2(a: str, b: str) -> str:
-    m = f"greatest({a}, {b})"
-    return f"({m} + ln(exp({a} - {m}) + exp({b} - {m})))"
+def densities(out: str, p: str, x: str, d: int) -> list[str]:
+    """out(vec_id, cluster, l, lse): joint log densities of rows ``x`` under mixture ``p`` and their log-sum-exp."""
+    return [
+        f"{out}_y AS MATERIALIZED (SELECT x.vec_id, m.cluster, r.c, sum(r.l * (x.v - m.m)) AS y FROM {x} x JOIN {p}_m m ON m.pos = x.pos "
+        f"JOIN {p}_r r ON r.cluster = m.cluster AND r.pos = x.pos GROUP BY x.vec_id, m.cluster, r.c)",
+        f"{out}_l AS MATERIALIZED (SELECT y.vec_id, y.cluster, ln(any_value(w.w)) - 0.5 * ({d} * ln(2 * pi()) + sum(ln(o.d)) + sum(y.y * y.y / o.d)) AS l "
+        f"FROM {out}_y y JOIN {p}_d o ON o.cluster = y.cluster AND o.c = y.c JOIN {p}_w w ON w.cluster = y.cluster GROUP BY y.vec_id, y.cluster)",
+        f"{out} AS MATERIALIZED (SELECT vec_id, cluster, l, mx + ln(sum(exp(l - mx)) OVER (PARTITION BY vec_id)) AS lse "
+        f"FROM (SELECT *, max(l) OVER (PARTITION BY vec_id) AS mx FROM {out}_l))",
+    ]
+
+
+def em_step(out: str, p: str, x: str, d: int) -> list[str]:
+    """One EM step from mixture ``p`` (densities ``out``_j) to mixture ``out``."""
+    return [
+        *eliminated(p, d), *densities(f"{out}_j", p, x, d),
+        f"{out}_g AS MATERIALIZED (SELECT vec_id, cluster, exp(l - lse) AS r FROM {out}_j)",
+        *mixture_of(out, x, f"{out}_g"),
+    ]
+
+
+def em_start(prefix: str, src: str, k: int) -> list[str]:
+    """K-means++ seeds, nearest-seed classes and the mixture ``prefix``p0 of them; rows ``prefix``x."""
+    kc, seeds = kmeanspp_ctes(f"{prefix}pp", src, k)
+    return [
+        *kc, assign_cte(f"{prefix}ia", src, seeds), long_rows(f"{prefix}x", src),
+        f"{prefix}ig AS MATERIALIZED (SELECT vec_id, cluster, 1.0::DOUBLE AS r FROM {prefix}ia)", *mixture_of(f"{prefix}p0", f"{prefix}x", f"{prefix}ig"),
+    ]
 
 
-def em_step_ctes(out: str, params: str, src: str = "e") -> list[str]:
-    ctes = log_joint_ctes(f"{out}j", params, src)
+def em_run(prefix: str, src: str, k: int, d: int, steps: int) -> list[str]:
+    """``steps`` EM steps, the history under the stop rule (``prefix``h), the iterations (``prefix``it) and the last mixture ``prefix``fin."""
+    ctes, hist = em_start(prefix, src, k), []
+    for t in range(1, steps + 1):
+        now, old = f"{prefix}p{t}", f"{prefix}p{t - 1}"
+        ctes += em_step(now, old, f"{prefix}x", d)
+        hist.append(
+            f"SELECT {t} AS t, (SELECT sum(lse) FROM {now}_j WHERE cluster = 0) AS ll, (SELECT sum(s) FROM (SELECT sqrt(sum((a.m - b.m) * (a.m - b.m))) AS s "
+            f"FROM {old}_m a JOIN {now}_m b ON a.cluster = b.cluster AND a.pos = b.pos GROUP BY a.cluster)) AS shift"
+        )
+    inf = "'inf'::DOUBLE"
     ctes += [
-        f"{out}_r AS (SELECT j.vec_id, e.f, exp(j.l0 - {lse2('j.l0', 'j.l1')}) AS r0, exp(j.l1 - {lse2('j.l0', 'j.l1')}) AS r1 "
-        f"FROM {out}j j JOIN {src} e ON j.vec_id = e.vec_id)",
-        f"{out}_g AS (SELECT vec_id, f, 0 AS cluster, r0 AS r FROM {out}_r UNION ALL SELECT vec_id, f, 1 AS cluster, r1 AS r FROM {out}_r)",
-        f"{out}_m AS (SELECT cluster, greatest(sum(r), 1e-10) AS nk, sum(r * f[1]) / greatest(sum(r), 1e-10) AS m0, "
-        f"sum(r * f[2]) / greatest(sum(r), 1e-10) AS m1 FROM {out}_g GROUP BY cluster)",
-        f"{out} AS (SELECT m.cluster, m.nk / (SELECT count(*) FROM {src}) AS w, m.m0, m.m1, "
-        f"sum(g.r * (g.f[1] - m.m0) * (g.f[1] - m.m0)) / m.nk AS c00, "
-        f"sum(g.r * (g.f[1] - m.m0) * (g.f[2] - m.m1)) / m.nk AS c01, "
-        f"sum(g.r * (g.f[2] - m.m1) * (g.f[2] - m.m1)) / m.nk AS c11 "
-        f"FROM {out}_g g JOIN {out}_m m ON g.cluster = m.cluster GROUP BY m.cluster, m.nk, m.m0, m.m1)",
+        f"{prefix}a AS MATERIALIZED ({' UNION ALL '.join(hist)})",
+        f"{prefix}f AS (SELECT t, ll, shift, coalesce(abs(ll - lag(ll) OVER (ORDER BY t)), {inf}) AS llc, "
+        f"abs(coalesce(lag(shift, 2) OVER (ORDER BY t), {inf}) - shift) <= {TOL} AS osc FROM {prefix}a)",
+        f"{prefix}h AS MATERIALIZED (SELECT * FROM (SELECT *, coalesce(bool_or(shift <= {TOL} OR llc <= {TOL} OR osc) OVER (ORDER BY t ROWS BETWEEN "
+        f"UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS stopped FROM {prefix}f) WHERE NOT stopped)",
+        f"{prefix}it AS MATERIALIZED (SELECT max(t) AS n_iter FROM {prefix}h)",
+    ]
+    for part in ("w", "m", "c"):
+        rows = " UNION ALL ".join(f"SELECT {t} AS t, * FROM {prefix}p{t}_{part}" for t in range(1, steps + 1))
+        ctes.append(f"{prefix}fin_{part} AS MATERIALIZED (SELECT * EXCLUDE (t) FROM ({rows}) WHERE t = (SELECT n_iter FROM {prefix}it))")
+    return ctes + eliminated(f"{prefix}fin", d)
+
+
+def em_classes(out: str, p: str, x: str, d: int) -> list[str]:
+    """out(vec_id, cluster): arg-max of the joint log density, ties to the lowest component."""
+    return [
+        *densities(f"{out}_j", p, x, d),
+        f"{out} AS MATERIALIZED (SELECT vec_id, cluster FROM {out}_j QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY l DESC, cluster) = 1)",
     ]
-    return ctes
 
 
-def params_select(p: str) -> str:
+def params_select(p: str, n: str = "") -> str:
     return (
-        f"SELECT cluster, {R('w')} AS weight, {R('m0')} AS mean0, {R('m1')} AS mean1, "
-        f"{R('c00')} AS c00, {R('c01')} AS c01, {R('c11')} AS c11 FROM {p}"
+        f"SELECT c.cluster, {n}c.i::BIGINT AS i, c.j::BIGINT AS j, {R('w.w')} AS weight, {R('m.m')} AS mean, {R('c.v')} AS cov FROM {p}_c c "
+        f"JOIN {p}_w w ON w.cluster = c.cluster JOIN {p}_m m ON m.cluster = c.cluster AND m.pos = c.i"
     )
 
 
+# --- eigenvectors of a D x D matrix by Jacobi rotations, D / 2 disjoint ones per step ----------------
+
+
+def jacobi_wide(src: str, d: int, sweeps: int = 8) -> list[str]:
+    """eig(k, lam) and vec(k, pos, v), largest first, of the symmetric matrix ``src``(i, j, v); d even.
+
+    Step r of a sweep pairs the indices as a round-robin tournament does.
+    """
+    m = d - 1
+    theta = "((q.v - a.v) / (2 * o.v))"
+    return [
+        f"seat AS MATERIALIZED (SELECT r, i, CASE WHEN i = {m} THEN r WHEN i = r THEN {m} ELSE (2 * r - i + {2 * m}) % {m} END AS p "
+        f"FROM (SELECT unnest(range(0, {m}))::INT AS r), (SELECT unnest(range(0, {d}))::INT AS i))",
+        f"""jac(step, kind, i, j, v) AS (
+            SELECT 0, 0, i::INT, j::INT, v FROM {src}
+            UNION ALL SELECT 0, 1, i::INT, j::INT, CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0 END FROM {src}
+            UNION ALL (WITH rot AS MATERIALIZED (
+                SELECT s.i, s.p, 1 / sqrt(t * t + 1) AS c, (CASE WHEN s.i < s.p THEN -t ELSE t END) / sqrt(t * t + 1) AS g FROM (
+                    SELECT s.i, s.p, CASE WHEN o.v = 0 THEN 0.0 ELSE
+                        (CASE WHEN {theta} >= 0 THEN 1.0 ELSE -1.0 END) / (abs({theta}) + sqrt({theta} * {theta} + 1)) END AS t
+                    FROM seat s JOIN jac o ON o.kind = 0 AND o.i = least(s.i, s.p) AND o.j = greatest(s.i, s.p)
+                    JOIN jac a ON a.kind = 0 AND a.i = least(s.i, s.p) AND a.j = a.i
+                    JOIN jac q ON q.kind = 0 AND q.i = greatest(s.i, s.p) AND q.j = q.i
+                    WHERE s.r = o.step % {m} AND o.step < {sweeps * m}
+                      AND (SELECT max(abs(v)) FROM jac WHERE kind = 0 AND i <> j) > 1e-13) s)
+            SELECT a.step + 1, 0, a.i, a.j, ri.c * rj.c * a.v + ri.g * rj.c * b.v + ri.c * rj.g * d.v + ri.g * rj.g * e.v
+            FROM jac a JOIN rot ri ON ri.i = a.i JOIN rot rj ON rj.i = a.j
+            JOIN jac b ON b.kind = 0 AND b.i = ri.p AND b.j = a.j JOIN jac d ON d.kind = 0 AND d.i = a.i AND d.j = rj.p
+            JOIN jac e ON e.kind = 0 AND e.i = ri.p AND e.j = rj.p WHERE a.kind = 0
+            UNION ALL SELECT a.step + 1, 1, a.i, a.j, rj.c * a.v + rj.g * d.v
+            FROM jac a JOIN rot rj ON rj.i = a.j JOIN jac d ON d.kind = 1 AND d.i = a.i AND d.j = rj.p WHERE a.kind = 1))""",
+        "done AS MATERIALIZED (SELECT * FROM jac WHERE step = (SELECT max(step) FROM jac))",
+        "eig AS MATERIALIZED (SELECT row_number() OVER (ORDER BY v DESC) AS k, i, greatest(v, 0.0) AS lam FROM done WHERE kind = 0 AND i = j)",
+        "vec AS MATERIALIZED (SELECT e.k, v.i AS pos, v.v FROM done v JOIN eig e ON v.kind = 1 AND v.j = e.i)",
+    ]
+
+
+def principal(src: str = "e") -> list[str]:
+    """z(vec_id, pos, v), eig, vec and sv(k, sv, pct, cum) of the standardised rows of ``src``."""
+    return [
+        long_rows("xr", src),
+        "z AS MATERIALIZED (SELECT vec_id, pos, CASE WHEN sd > 0 THEN (v - mu) / sd ELSE 0.0 END AS v FROM (SELECT *, avg(v) OVER (PARTITION BY pos) AS mu, "
+        "stddev_pop(v) OVER (PARTITION BY pos) AS sd FROM xr))",
+        "gm AS MATERIALIZED (SELECT a.pos AS i, b.pos AS j, avg(a.v * b.v) AS v FROM z a JOIN z b ON a.vec_id = b.vec_id GROUP BY a.pos, b.pos)",
+        *jacobi_wide("gm", D),
+        f"pv AS (SELECT k, sqrt((SELECT count(*) FROM {src}) * lam) AS sv, 100 * lam / sum(lam) OVER () AS pct FROM eig)",
+        "sv AS (SELECT k, sv, pct, sum(pct) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM pv)",
+    ]
+
+
+def scores(k: int, src: str = "e") -> list[str]:
+    """pr(vec_id, f, label): the rows of ``src`` on their first ``k`` principal components."""
+    return [
+        *principal(src),
+        f"ps AS MATERIALIZED (SELECT z.vec_id, c.k, sum(z.v * c.v) AS y FROM z JOIN vec c ON c.pos = z.pos WHERE c.k <= {k} GROUP BY z.vec_id, c.k)",
+        f"pr AS MATERIALIZED (SELECT p.vec_id, p.f, e.label FROM (SELECT vec_id, list(y ORDER BY k) AS f FROM ps GROUP BY vec_id) p JOIN {src} e ON e.vec_id = p.vec_id)",
+    ]
+
+
 # --- per-query SQL ---------------------------------------------------------------
 
 
@@ -232,46 +352,85 @@ def _stats_cols_sql() -> dict[str, str]:
     return out
 
 
+def lse2(a: str, b: str) -> str:
+    m = f"greatest({a}, {b})"
+    return f"({m} + ln(exp({a} - {m}) + exp({b} - {m})))"
+
+
+#: EM passes that the unrolled fits hold; the fits of the tables take 2 to 13.
+EM_STEPS = 20
+
+
 def _em_sql() -> dict[str, str]:
     out = {}
-    init = em_init_ctes()
-    out["em_init"] = with_(*init) + params_select("p0")
-    lj = init + log_joint_ctes("lj", "p0")
-    out["gaussian_logpdf"] = with_(*lj) + f"SELECT vec_id, {R('l0')} AS l0, {R('l1')} AS l1 FROM lj"
-    out["logsumexp"] = with_(*lj) + f"SELECT vec_id, {R(lse2('l0', 'l1'))} AS lse FROM lj"
-    lse = lse2("l0", "l1")
-    out["em_estep_softmax"] = with_(*lj) + f"SELECT vec_id, {R(f'exp(l0 - {lse})')} AS r0, {R(f'exp(l1 - {lse})')} AS r1 FROM lj"
+    init = [f"e AS ({E})", *em_start("", "e", 2)]
+    out["em_init"] = rec_(*init) + params_select("p0")
+    lj = [
+        *init, *eliminated("p0", D), *densities("j", "p0", "x", D),
+        "lj AS (SELECT vec_id, max(l) FILTER (WHERE cluster = 0) AS l0, max(l) FILTER (WHERE cluster = 1) AS l1, max(lse) AS lse FROM j GROUP BY vec_id)",
+    ]
+    out["gaussian_logpdf"] = rec_(*lj) + f"SELECT vec_id, {R('l0')} AS l0, {R('l1')} AS l1 FROM lj"
+    out["logsumexp"] = rec_(*lj) + f"SELECT vec_id, {R('lse')} AS lse FROM lj"
+    out["em_estep_softmax"] = rec_(*lj) + f"SELECT vec_id, {R('exp(l0 - lse)')} AS r0, {R('exp(l1 - lse)')} AS r1 FROM lj"
     seq = lj + [
-        f"q0 AS (SELECT vec_id, l0 - {lse2('l0', 'l1')} AS a0, l1 FROM lj)",
+        "q0 AS (SELECT vec_id, l0 - lse AS a0, l1 FROM lj)",
         f"q1 AS (SELECT vec_id, a0, l1 - {lse2('a0', 'l1')} AS a1 FROM q0)",
     ]
-    out["em_estep_sequential"] = with_(*seq) + f"SELECT vec_id, {R('exp(a0)')} AS r0, {R('exp(a1)')} AS r1 FROM q1"
-    out["em_mstep"] = with_(*(init + em_step_ctes("p1", "p0"))) + params_select("p1")
-    ll = with_(*lj) + f"SELECT {R(f'sum({lse})')} AS ll, count(*)::BIGINT AS n FROM lj"
+    out["em_estep_sequential"] = rec_(*seq) + f"SELECT vec_id, {R('exp(a0)')} AS r0, {R('exp(a1)')} AS r1 FROM q1"
+    out["em_mstep"] = rec_(*init, *em_step("p1", "p0", "x", D)) + params_select("p1")
+    ll = rec_(*lj) + f"SELECT {SIG9('sum(lse)')} AS ll, count(*)::BIGINT AS n FROM lj"
     out["log_likelihood"] = ll
     out["log_likelihood_rows"] = ll
-    two = init + em_step_ctes("p1", "p0") + em_step_ctes("p2", "p1")
-    out["em_2iter"] = with_(*two) + params_select("p2")
-    pred = two + [f"pl_l AS (SELECT e.vec_id, p.cluster, {LOG_JOINT_2D} AS l FROM e, p2 p)"]
-    out["em_predict"] = with_(*pred) + (
-        "SELECT vec_id, cluster::INT AS cluster FROM pl_l QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY l DESC, cluster) = 1"
-    )
+    out["em_2iter"] = rec_(*init, *em_step("p1", "p0", "x", D), *em_step("p2", "p1", "x", D)) + params_select("p2")
+    run = [f"e AS ({E})", *em_run("", "e", 2, D, EM_STEPS)]
+    out["em_history"] = rec_(*run) + (
+        f"SELECT t::BIGINT AS iteration, {R('shift')} AS total_shift, {SIG9('ll')} AS log_likelihood, {SIG9('llc')} AS ll_change FROM h"
+    ).replace(SIG9("llc"), f"CASE WHEN isinf(llc) THEN llc ELSE {SIG6('llc')} END")
+    out["em_full"] = rec_(*run, *em_classes("pc", "fin", "x", D)) + "SELECT vec_id, cluster::INT AS cluster FROM pc"
+    held = [f"e AS ({E})", *split_ctes("e"), *em_run("", "train", 2, D, EM_STEPS), long_rows("tx", "test"), *em_classes("pc", "fin", "tx", D)]
+    out["em_predict"] = rec_(*held) + "SELECT vec_id, cluster::INT AS cluster FROM pc"
     return out
 
 
-def _evaluate_k_sql(ks=(2, 3), steps: int = 3) -> str:
-    ctes = [f"e AS ({E})"] + split_ctes("e")
-    selects = []
+def kmeans_run(prefix: str, src: str, seeds: str, passes: int) -> tuple[list[str], str]:
+    """Lloyd passes from ``seeds`` to the stop rule; the CTE of the centroids after the last pass that runs."""
+    lc, _ = lloyd_ctes(prefix, src, seeds, passes)
+    prev = [seeds] + [f"{prefix}c{t}" for t in range(1, passes)]
+    shifts = " UNION ALL ".join(
+        f"SELECT {t} AS t, (SELECT sum(list_distance(a.c, b.c)) FROM {prev[t - 1]} a JOIN {prefix}c{t} b ON a.cluster = b.cluster) AS change"
+        for t in range(1, passes + 1)
+    )
+    cents = " UNION ALL ".join(f"SELECT {t} AS t, cluster, c FROM {prefix}c{t}" for t in range(1, passes + 1))
+    return lc + [
+        f"{prefix}sh AS MATERIALIZED ({shifts})",
+        f"{prefix}fl AS (SELECT t, change = lag(change, 1, 0.0) OVER (ORDER BY t) OR change <= {TOL} AS stop FROM {prefix}sh)",
+        f"{prefix}ex AS (SELECT max(t) AS last FROM (SELECT t, coalesce(bool_or(stop) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED "
+        f"PRECEDING AND 1 PRECEDING), false) AS stopped FROM {prefix}fl) WHERE NOT stopped)",
+        f"{prefix}fin AS MATERIALIZED (SELECT cluster, c FROM ({cents}) WHERE t = (SELECT last FROM {prefix}ex))",
+    ], f"{prefix}fin"
+
+
+#: Lloyd passes that the unrolled fits of the embeddings hold; they take 5 to 25.
+LLOYD_PASSES = 60
+
+
+def _kmeans_report(base: list[str], src: str, init: str, ks=(2, 3)) -> str:
+    """Per (k, split): K-means fitted on train to its stop rule, counts, metrics, distances."""
+    ctes, selects = base + split_ctes(src), []
     for k in ks:
         p = f"k{k}_"
-        ctes.append(first_k(f"{p}c0", "train", k))
-        lc, final = lloyd_ctes(p, "train", f"{p}c0", steps)
+        if init == "first":
+            ctes.append(first_k(f"{p}s", "train", k))
+            seeds = f"{p}s"
+        else:
+            kc, seeds = kmeanspp_ctes(f"{p}pp", "train", k)
+            ctes += kc
+        lc, final = kmeans_run(p, "train", seeds, LLOYD_PASSES)
         ctes += lc
         for split in ("train", "test"):
             a = f"{p}{split}_a"
-            ctes.append(assign_cte(a, split, final))
-            ctes.append(f"{p}{split}_cnt AS ({counts_select('cluster', 'label', a)})")
-            ctes.append(f"{p}{split}_met AS ({metrics_select(f'{p}{split}_cnt')})")
+            ctes.append(assign_cte(a, split, final).replace(" AS (", " AS MATERIALIZED (", 1))
+            ctes.append(f"{p}{split}_met AS ({metrics_select(f'({counts_select(CLUSTER, LABEL, a)})')})")
             ctes.append(f"{p}{split}_dn AS ({_dunn_from(a)})")
             selects.append(
                 f"SELECT {k} AS k, '{split}' AS split, correct, incorrect, tp, tn, fp, fn, "
@@ -279,14 +438,37 @@ def _evaluate_k_sql(ks=(2, 3), steps: int = 3) -> str:
                 + f", {R('min_inter')} AS min_inter, {R('max_intra')} AS max_intra, {R('min_inter / max_intra')} AS dunn "
                 f"FROM {p}{split}_met, {p}{split}_dn"
             )
-    return with_(*ctes) + " UNION ALL ".join(selects)
+    return rec_(*ctes) + " UNION ALL ".join(selects)
+
+
+def _em_report(base: list[str], src: str, d: int, ks=(2, 3)) -> str:
+    """Per (k, split): EM fitted on train to its stop rule, counts, metrics, Silhouette, iterations."""
+    ctes, selects = base + split_ctes(src) + [long_rows("tex", "test")], []
+    for k in ks:
+        p = f"k{k}_"
+        ctes += em_run(p, "train", k, d, EM_STEPS)
+        for split, x in (("train", f"{p}x"), ("test", "tex")):
+            a = f"{p}{split}_a"
+            ctes += em_classes(f"{a}c", f"{p}fin", x, d)
+            ctes.append(f"{a} AS MATERIALIZED (SELECT s.vec_id, s.f, s.label, c.cluster FROM {split} s JOIN {a}c c ON c.vec_id = s.vec_id)")
+            ctes.append(f"{p}{split}_met AS ({metrics_select(f'({counts_select(CLUSTER, LABEL, a)})')})")
+            ctes.append(f"{p}{split}_sil AS ({silhouette_from(a)})")
+            selects.append(
+                f"SELECT {k} AS k, '{split}' AS split, correct, incorrect, tp, tn, fp, fn, "
+                + ", ".join(f"{R(c)} AS {c}" for c in MET)
+                + f", {R('silhouette')} AS silhouette, {R(f'(SELECT n_iter FROM {p}it)')} AS iterations, "
+                "CASE WHEN silhouette IS NULL THEN 'failed' ELSE 'ok' END AS status "
+                f"FROM {p}{split}_met, {p}{split}_sil"
+            )
+    return rec_(*ctes) + " UNION ALL ".join(selects)
+
+
+CLUSTER, LABEL = "cluster", "label"
 
 
 # --- full fits with their stop rules (unrolled to max_iter, stop found with window flags) ----
 
 KMEANS_MAX_ITER = 100
-EM_MAX_ITER = 100
-TOL = 0.005
 
 
 def _kmeans_fit_sql(k: int = 3, max_iter: int = KMEANS_MAX_ITER) -> str:
@@ -309,92 +491,6 @@ def _kmeans_fit_sql(k: int = 3, max_iter: int = KMEANS_MAX_ITER) -> str:
     ) + f"SELECT t::BIGINT AS iteration, {R('change')} AS total_shift FROM st WHERE NOT eq_upto AND NOT small_before ORDER BY t"
 
 
-def _em_history_sql(max_iter: int = EM_MAX_ITER) -> str:
-    """EM history under the stop rule: iteration t runs while every earlier one moved the
-    means by > tol, changed the log-likelihood by > tol and was not within tol of the
-    shift two iterations before it."""
-    ctes = em_init_ctes()
-    parts = []
-    prev = "p0"
-    for t in range(1, max_iter + 1):
-        cur = f"p{t}"
-        ctes += em_step_ctes(cur, prev)
-        parts.append(
-            f"SELECT {t} AS t, (SELECT sum({lse2('l0', 'l1')}) FROM {cur}j) AS ll, "
-            f"(SELECT sum(sqrt((a.m0 - b.m0) * (a.m0 - b.m0) + (a.m1 - b.m1) * (a.m1 - b.m1))) "
-            f"FROM {prev} a JOIN {cur} b ON a.cluster = b.cluster) AS shift"
-        )
-        prev = cur
-    inf = "'inf'::DOUBLE"
-    ctes += [
-        f"h AS ({' UNION ALL '.join(parts)})",
-        f"f AS (SELECT t, ll, shift, coalesce(abs(ll - lag(ll) OVER (ORDER BY t)), {inf}) AS llc, "
-        f"abs(coalesce(lag(shift, 2) OVER (ORDER BY t), {inf}) - shift) <= {TOL} AS osc FROM h)",
-        f"g AS (SELECT *, coalesce(bool_or(shift <= {TOL} OR llc <= {TOL} OR osc) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED "
-        "PRECEDING AND 1 PRECEDING), false) AS stopped FROM f)",
-    ]
-    return with_(*ctes) + (
-        f"SELECT t::BIGINT AS iteration, {R('shift')} AS total_shift, {R('ll')} AS log_likelihood, {R('llc')} AS ll_change "
-        "FROM g WHERE NOT stopped ORDER BY t"
-    )
-
-
-# --- EM evaluation: generic K in 2-D (window log-sum-exp per row) ----------------------------
-
-
-def em2d_init_ctes(prefix: str, src: str, k: int) -> tuple[list[str], str]:
-    kc, seeds = kmeanspp_ctes(f"{prefix}pp", src, k)
-    ctes = kc + [
-        assign_cte(f"{prefix}ia", src, seeds),
-        f"{prefix}p0 AS MATERIALIZED (SELECT cluster, count(*)::DOUBLE / (SELECT count(*) FROM {src}) AS w, avg(f[1]) AS m0, "
-        f"avg(f[2]) AS m1, covar_pop(f[1], f[1]) AS c00, covar_pop(f[1], f[2]) AS c01, covar_pop(f[2], f[2]) AS c11 "
-        f"FROM {prefix}ia GROUP BY cluster)",
-    ]
-    return ctes, f"{prefix}p0"
-
-
-def em2d_step_ctes(out: str, params: str, src: str) -> list[str]:
-    """One EM step for any K: log joint, per-row log-sum-exp by window, softmax, M-step."""
-    return [
-        f"{out}_l AS MATERIALIZED (SELECT e.vec_id, e.f, p.cluster, {LOG_JOINT_2D} AS l FROM {src} e, {params} p)",
-        f"{out}_r AS MATERIALIZED (SELECT vec_id, f, cluster, lse, exp(l - lse) AS r FROM (SELECT *, mx + ln(sum(exp(l - mx)) "
-        f"OVER (PARTITION BY vec_id)) AS lse FROM (SELECT *, max(l) OVER (PARTITION BY vec_id) AS mx FROM {out}_l)))",
-        f"{out} AS MATERIALIZED (SELECT g.cluster, m.nk / (SELECT count(*) FROM {src}) AS w, m.m0, m.m1, "
-        f"sum(g.r * (g.f[1] - m.m0) * (g.f[1] - m.m0)) / m.nk AS c00, "
-        f"sum(g.r * (g.f[1] - m.m0) * (g.f[2] - m.m1)) / m.nk AS c01, "
-        f"sum(g.r * (g.f[2] - m.m1) * (g.f[2] - m.m1)) / m.nk AS c11 "
-        f"FROM {out}_r g JOIN (SELECT cluster, greatest(sum(r), 1e-10) AS nk, sum(r * f[1]) / greatest(sum(r), 1e-10) AS m0, "
-        f"sum(r * f[2]) / greatest(sum(r), 1e-10) AS m1 FROM {out}_r GROUP BY cluster) m ON g.cluster = m.cluster "
-        f"GROUP BY g.cluster, m.nk, m.m0, m.m1)",
-    ]
-
-
-def em2d_fit_ctes(prefix: str, src: str, k: int, max_iter: int = EM_MAX_ITER) -> tuple[list[str], str, str]:
-    """Unrolled EM fit to ``max_iter``; returns (ctes, final-params CTE, iteration-count CTE)."""
-    ctes, prev = em2d_init_ctes(prefix, src, k)
-    hist, fins = [], []
-    for t in range(1, max_iter + 1):
-        cur = f"{prefix}p{t}"
-        ctes += em2d_step_ctes(cur, prev, src)
-        hist.append(
-            f"SELECT {t} AS t, (SELECT sum(lse) FROM {cur}_r WHERE cluster = 0) AS ll, (SELECT sum(sqrt((a.m0 - b.m0) * "
-            f"(a.m0 - b.m0) + (a.m1 - b.m1) * (a.m1 - b.m1))) FROM {prev} a JOIN {cur} b ON a.cluster = b.cluster) AS shift"
-        )
-        fins.append(f"SELECT {t} AS t, * FROM {cur}")
-        prev = cur
-    inf = "'inf'::DOUBLE"
-    ctes += [
-        f"{prefix}h AS MATERIALIZED ({' UNION ALL '.join(hist)})",
-        f"{prefix}f AS (SELECT t, ll, shift, coalesce(abs(ll - lag(ll) OVER (ORDER BY t)), {inf}) AS llc, "
-        f"abs(coalesce(lag(shift, 2) OVER (ORDER BY t), {inf}) - shift) <= {TOL} AS osc FROM {prefix}h)",
-        f"{prefix}g AS (SELECT *, coalesce(bool_or(shift <= {TOL} OR llc <= {TOL} OR osc) OVER (ORDER BY t ROWS BETWEEN "
-        f"UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS stopped FROM {prefix}f)",
-        f"{prefix}it AS MATERIALIZED (SELECT max(t) AS n_iter FROM {prefix}g WHERE NOT stopped)",
-        f"{prefix}fin AS MATERIALIZED (SELECT * EXCLUDE (t) FROM ({' UNION ALL '.join(fins)}) WHERE t = (SELECT n_iter FROM {prefix}it))",
-    ]
-    return ctes, f"{prefix}fin", f"{prefix}it"
-
-
 def silhouette_from(a: str) -> str:
     """Mean Euclidean Silhouette of CTE ``a`` (vec_id, f, cluster); NULL unless 2 <= clusters <= N-1."""
     return (
@@ -409,35 +505,6 @@ def silhouette_from(a: str) -> str:
     )
 
 
-def _evaluate_em_sql(ks=(2, 3)) -> str:
-    """Per (k, split): EM fitted on train to its stop rule, predictions, metrics, Silhouette."""
-    ctes = [f"e AS ({E2})"] + split_ctes("e")
-    selects = []
-    for k in ks:
-        p = f"k{k}_"
-        fc, fin, it = em2d_fit_ctes(p, "train", k)
-        ctes += fc
-        for split in ("train", "test"):
-            a = f"{p}{split}_a"
-            ctes.append(
-                f"{a} AS MATERIALIZED (SELECT e.vec_id, e.f, e.label, p.cluster FROM {split} e, {fin} p "
-                f"QUALIFY row_number() OVER (PARTITION BY e.vec_id ORDER BY {LOG_JOINT_2D} DESC, p.cluster) = 1)"
-            )
-            ctes.append(f"{p}{split}_met AS ({metrics_select(f'({counts_select(CLUSTER, LABEL, a)})')})")
-            ctes.append(f"{p}{split}_sil AS ({silhouette_from(a)})")
-            selects.append(
-                f"SELECT {k} AS k, '{split}' AS split, correct, incorrect, tp, tn, fp, fn, "
-                + ", ".join(f"{R(c)} AS {c}" for c in MET)
-                + f", {R('silhouette')} AS silhouette, {R(f'(SELECT n_iter FROM {it})')} AS iterations, "
-                "CASE WHEN silhouette IS NULL THEN 'failed' ELSE 'ok' END AS status "
-                f"FROM {p}{split}_met, {p}{split}_sil"
-            )
-    return with_(*ctes) + " UNION ALL ".join(selects)
-
-
-CLUSTER, LABEL = "cluster", "label"
-
-
 # --- small-D Gaussian via Cholesky (lateral column aliases), used for lineitem ----------------
 
 
@@ -661,25 +728,20 @@ def build() -> dict[str, str]:
         + R("(SELECT n FROM nn) * count(*) FILTER (WHERE sd > 0)", 4)
         + " AS sum_s2 FROM s"
     )
-    corr = (
-        "e AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)",
-        "c AS (SELECT count(*) AS n, corr(x, y) AS r FROM e)",
+    pc = rec_(f"e AS ({E})", *principal())
+    q["singular_values"] = pc + f"SELECT k::BIGINT AS k, {R('sv')} AS singular_value FROM sv"
+    q["explained_variance"] = pc + (
+        f"SELECT k::BIGINT AS k, {R('sv')} AS singular_value, {R('pct')} AS pct_variance, {R('cum')} AS cum_pct FROM sv"
     )
-    q["singular_values"] = with_(*corr) + (
-        f"SELECT 1::BIGINT AS k, {R('sqrt(n * (1 + abs(r)))')} AS singular_value FROM c "
-        f"UNION ALL SELECT 2::BIGINT AS k, {R('sqrt(n * (1 - abs(r)))')} AS singular_value FROM c"
+    q["svd_wide"] = q["explained_variance"]
+    norm = f"{R('sqrt(list_sum([y * y FOR y IN f]))')} AS pc_norm"
+    q["project_k"] = rec_(f"e AS ({E})", *scores(1)) + f"SELECT vec_id, {R('abs(f[1])')} AS pc1_abs FROM pr"
+    q["project_wide"] = rec_(f"e AS ({E})", *scores(40)) + f"SELECT vec_id, {norm}, {R('abs(f[1])')} AS pc1_abs FROM pr"
+    q["prepare"] = rec_(f"e AS ({E})", *scores(40), *split_ctes("pr")) + (
+        f"SELECT vec_id, CASE WHEN rn <= (SELECT n FROM sp_n) THEN 'test' ELSE 'train' END AS split, {norm} FROM sp_r"
     )
-    q["explained_variance"] = with_(*corr) + (
-        f"SELECT 1::BIGINT AS k, {R('sqrt(n * (1 + abs(r)))')} AS singular_value, {R('100 * (1 + abs(r)) / 2')} AS pct_variance, "
-        f"{R('100 * (1 + abs(r)) / 2')} AS cum_pct FROM c UNION ALL "
-        f"SELECT 2::BIGINT AS k, {R('sqrt(n * (1 - abs(r)))')} AS singular_value, {R('100 * (1 - abs(r)) / 2')} AS pct_variance, "
-        f"{R('100.0')} AS cum_pct FROM c"
-    )
-    q["project_k"] = with_(
-        corr[0],
-        "z AS (SELECT vec_id, (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS z1, (y - avg(y) OVER ()) / stddev_pop(y) OVER () AS z2 FROM e)",
-        "c AS (SELECT corr(x, y) AS r FROM e)",
-    ) + f"SELECT vec_id, {R('abs(z1 + sign(r) * z2) / sqrt(2)')} AS pc1_abs FROM z, c"
+    q["kmeans_projected"] = _kmeans_report([f"e AS ({E})", *scores(40)], "pr", "k-means++")
+    q["em_projected"] = _em_report([f"e AS ({E})", *scores(40)], "pr", 40)
 
     q["split_exact"] = with_(f"e AS ({E})", *split_ctes("e")) + (
         "SELECT vec_id, CASE WHEN rn <= (SELECT n FROM sp_n) THEN 'test' ELSE 'train' END AS split FROM sp_r"
@@ -715,11 +777,10 @@ def build() -> dict[str, str]:
         f"SELECT a.cluster, cnt.n, x.pos::BIGINT AS pos, {R('avg(x.v)')} AS mean FROM x JOIN a ON x.vec_id = a.vec_id "
         "JOIN cnt ON a.cluster = cnt.cluster GROUP BY a.cluster, cnt.n, x.pos"
     )
-    q["cluster_stats"] = with_(f"e AS ({E2})", first_k("s", "e", 2), assign_cte("a", "e", "s")) + (
-        f"SELECT cluster, count(*)::BIGINT AS n, {R('count(*)::DOUBLE / (SELECT count(*) FROM e)')} AS weight, "
-        f"{R('avg(f[1])')} AS mean0, {R('avg(f[2])')} AS mean1, {R('covar_pop(f[1], f[1])')} AS c00, "
-        f"{R('covar_pop(f[1], f[2])')} AS c01, {R('covar_pop(f[2], f[2])')} AS c11 FROM a GROUP BY cluster"
-    )
+    q["cluster_stats"] = with_(
+        f"e AS ({E})", first_k("s", "e", 2), assign_cte("a", "e", "s"), long_rows("x", "e"),
+        "g AS MATERIALIZED (SELECT vec_id, cluster, 1.0::DOUBLE AS r FROM a)", *mixture_of("p", "x", "g"),
+    ) + params_select("p", "(SELECT count(*) FROM g WHERE g.cluster = c.cluster)::BIGINT AS n, ")
     lc, c1 = lloyd_ctes("l", "e", "s", 1)
     q["centroid_shift"] = with_(
         f"e AS ({E})", first_k("s", "e", 3), *lc,
@@ -727,9 +788,9 @@ def build() -> dict[str, str]:
     ) + f"SELECT cluster, {R('shift')} AS shift, {R('sum(shift) OVER ()')} AS total_shift FROM sh"
     lc, c3 = lloyd_ctes("l", "e", "s", 3)
     q["kmeans_3iter"] = with_(f"e AS ({E})", first_k("s", "e", 3), *lc, assign_cte("fin", "e", c3)) + "SELECT vec_id, cluster FROM fin"
-    lc, c3 = lloyd_ctes("l", "train", "s", 3)
-    q["kmeans_predict"] = with_(f"e AS ({E})", *split_ctes("e"), first_k("s", "train", 3), *lc, assign_cte("fin", "test", c3)) + (
-        "SELECT vec_id, cluster FROM fin"
+    lc, final = kmeans_run("l", "train", "s", LLOYD_PASSES)
+    q["kmeans_predict"] = with_(f"e AS ({E})", *split_ctes("e"), first_k("s", "train", 3), *lc, assign_cte("res", "test", final)) + (
+        "SELECT vec_id, cluster FROM res"
     )
     seeds_vals = ", ".join(f"({i}, [{', '.join(repr(float(v)) for v in s)}]::DOUBLE[])" for i, s in enumerate(LINEITEM_SEEDS))
     zl = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()" for c in LINEITEM_COLS)
@@ -781,10 +842,9 @@ def build() -> dict[str, str]:
     )
     q["metrics_report"] = with_(f"c AS ({counts_select('toxic')})", f"m AS ({metrics_select('c')})") + rep
     q.update(_em_sql())
-    q["evaluate_k"] = _evaluate_k_sql()
+    q["evaluate_k"] = _kmeans_report([f"e AS ({E})"], "e", "first")
     q["kmeans_fit"] = _kmeans_fit_sql()
-    q["em_history"] = _em_history_sql()
-    q["evaluate_em"] = _evaluate_em_sql()
+    q["evaluate_em"] = _em_report([f"e AS ({E})"], "e", D)
     q["lineitem_em"] = _lineitem_em_sql()
     q["lineitem_kmeans"] = _lineitem_kmeans_sql()
     q["lineitem_svd"] = _lineitem_svd_sql()

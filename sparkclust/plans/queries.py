@@ -23,12 +23,12 @@ from .inputs import (
     SEED,
     TEST_FRAC,
     load_E,
-    load_E2,
     load_E_nan,
     load_L,
     lineitem_row_id,
     load_LB,
     rnd,
+    sig6,
     sig9,
     table,
 )
@@ -155,18 +155,18 @@ def q_svd_trace(spark, d):
 
 
 def q_singular_values(spark, d):
-    _, _, m = _svd_of(load_E2(spark, d), 2)
+    _, _, m = _svd_of(load_E(spark, d), E_DIM)
     return m.frame(spark).select(F.col("k").cast("bigint"), rnd(F.col("singular_value")).alias("singular_value"))
 
 
 def q_explained_variance(spark, d):
-    _, _, m = _svd_of(load_E2(spark, d), 2)
+    _, _, m = _svd_of(load_E(spark, d), E_DIM)
     ev = decompose.explained_variance(m.frame(spark))
     return ev.select(F.col("k").cast("bigint"), *[rnd(F.col(c)).alias(c) for c in ("singular_value", "pct_variance", "cum_pct")])
 
 
 def q_project_k(spark, d):
-    z, _, m = _svd_of(load_E2(spark, d), 2)
+    z, _, m = _svd_of(load_E(spark, d), E_DIM)
     p = decompose.project(z, m, 1, out="pc")
     return p.select(F.col("id").alias("vec_id"), rnd(F.abs(F.col("pc")[0])).alias("pc1_abs"))
 
@@ -244,17 +244,20 @@ def q_cluster_means(spark, d):
     )
 
 
-def _stats2_cols(df: DataFrame) -> DataFrame:
-    return df.select(
-        "cluster", "n", *[rnd(F.col(c)).alias(c) for c in ("weight", "mean0", "mean1", "c00", "c01", "c11")]
+def _params_rows(df: DataFrame, *keep: str) -> DataFrame:
+    """One row per cell of the covariances: cluster, i, j, weight, mean of i, cov."""
+    rows = df.select("cluster", *keep, "weight", "mean", F.posexplode("cov").alias("i", "row"))
+    cells = rows.select("cluster", *keep, "weight", F.element_at("mean", F.col("i") + 1).alias("mean"), "i", F.posexplode("row").alias("j", "cov"))
+    return cells.select(
+        "cluster", *keep, F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"),
+        *[rnd(F.col(c)).alias(c) for c in ("weight", "mean", "cov")],
     )
 
 
 def q_cluster_stats(spark, d):
-    e2 = load_E2(spark, d)
-    _, seeds = kmeans.first_k_seeds(e2, 2)
-    cs = gaussian.cluster_stats(kmeans.assign_nearest(e2, seeds), 2)
-    return _stats2_cols(cs)
+    e = load_E(spark, d)
+    _, seeds = kmeans.first_k_seeds(e, 2)
+    return _params_rows(gaussian.cluster_stats(kmeans.assign_nearest(e, seeds), E_DIM), "n")
 
 
 def q_centroid_shift(spark, d):
@@ -348,16 +351,13 @@ def q_metrics_report(spark, d):
 
 
 def _gmm_cols(model: gaussian.GaussianMixtureModel, spark) -> DataFrame:
-    rows = []
-    for i, (w, m, c) in enumerate(zip(model.weights, model.means, model.covs)):
-        rows.append((i, float(w), float(m[0]), float(m[1]), float(c[0][0]), float(c[0][1]), float(c[1][1])))
-    df = spark.createDataFrame(rows, "cluster int, weight double, mean0 double, mean1 double, c00 double, c01 double, c11 double")
-    return df.select("cluster", *[rnd(F.col(c)).alias(c) for c in ("weight", "mean0", "mean1", "c00", "c01", "c11")])
+    rows = [(i, float(w), m, c) for i, (w, m, c) in enumerate(zip(model.weights, model.means, model.covs))]
+    return _params_rows(spark.createDataFrame(rows, "cluster int, weight double, mean array<double>, cov array<array<double>>"))
 
 
 def _em_init2(spark, d):
-    e2 = load_E2(spark, d)
-    return e2, gaussian.em_init(e2, 2, "k-means++", SEED, 1.0)
+    e = load_E(spark, d)
+    return e, gaussian.em_init(e, 2, "k-means++", SEED, 1.0)
 
 
 def q_em_init(spark, d):
@@ -366,19 +366,19 @@ def q_em_init(spark, d):
 
 
 def q_gaussian_logpdf(spark, d):
-    e2, m = _em_init2(spark, d)
-    l = gaussian.gaussian_logpdf(e2, m)
+    e, m = _em_init2(spark, d)
+    l = gaussian.gaussian_logpdf(e, m)
     return l.select(F.col("id").alias("vec_id"), rnd(F.col("log_joint")[0]).alias("l0"), rnd(F.col("log_joint")[1]).alias("l1"))
 
 
 def q_logsumexp(spark, d):
-    e2, m = _em_init2(spark, d)
-    return gaussian.row_logsumexp(e2, m).select(F.col("id").alias("vec_id"), rnd(F.col("lse")).alias("lse"))
+    e, m = _em_init2(spark, d)
+    return gaussian.row_logsumexp(e, m).select(F.col("id").alias("vec_id"), rnd(F.col("lse")).alias("lse"))
 
 
 def _estep(spark, d, mode):
-    e2, m = _em_init2(spark, d)
-    r = gaussian.em_estep(e2, m, mode)
+    e, m = _em_init2(spark, d)
+    r = gaussian.em_estep(e, m, mode)
     return r.select(F.col("id").alias("vec_id"), rnd(F.col("resp")[0]).alias("r0"), rnd(F.col("resp")[1]).alias("r1"))
 
 
@@ -391,32 +391,34 @@ def q_em_estep_sequential(spark, d):
 
 
 def q_em_mstep(spark, d):
-    e2, m = _em_init2(spark, d)
-    new, _, _ = gaussian.em_mstep(e2, m)
+    e, m = _em_init2(spark, d)
+    new, _, _ = gaussian.em_mstep(e, m)
     return _gmm_cols(new, spark)
 
 
 def q_log_likelihood(spark, d):
-    e2, m = _em_init2(spark, d)
+    e, m = _em_init2(spark, d)
     # the same fused pass also yields the log-likelihood of the starting parameters
-    _, ll, n = gaussian.em_mstep(e2, m)
-    return spark.createDataFrame([(float(ll), int(n))], "ll double, n bigint").select(rnd(F.col("ll")).alias("ll"), "n")
+    _, ll, n = gaussian.em_mstep(e, m)
+    return spark.createDataFrame([(float(ll), int(n))], "ll double, n bigint").select(sig9(F.col("ll")).alias("ll"), "n")
 
 
 def q_log_likelihood_rows(spark, d):
-    e2, m = _em_init2(spark, d)
-    return gaussian.row_logsumexp(e2, m).agg(rnd(F.sum("lse")).alias("ll"), F.count(F.lit(1)).cast("bigint").alias("n"))
+    e, m = _em_init2(spark, d)
+    return gaussian.row_logsumexp(e, m).agg(F.sum("lse").alias("ll"), F.count(F.lit(1)).cast("bigint").alias("n")).select(sig9(F.col("ll")).alias("ll"), "n")
 
 
 def q_em_2iter(spark, d):
-    e2, m = _em_init2(spark, d)
-    return _gmm_cols(gaussian.em_steps(e2, m, 2), spark)
+    e, m = _em_init2(spark, d)
+    return _gmm_cols(gaussian.em_steps(e, m, 2), spark)
 
 
 def q_em_predict(spark, d):
-    e2, m = _em_init2(spark, d)
-    m2 = gaussian.em_steps(e2, m, 2)
-    return gaussian.em_predict(e2, m2).select(F.col("id").alias("vec_id"), "cluster")
+    """The mixture fitted on the train rows to its stop rule assigns the test rows (M7, M8)."""
+    s = iterative_input(sampling.split_exact(load_E(spark, d), frac=TEST_FRAC, seed=SEED))
+    m = gaussian.em_fit(s.where("split = 'train'"), 2, "k-means++", SEED, persist=False)
+    s.unpersist()
+    return gaussian.em_predict(s.where("split = 'test'"), m).select(F.col("id").alias("vec_id"), "cluster")
 
 
 def q_em_full(spark, d):
@@ -433,9 +435,10 @@ def q_kmeans_fit(spark, d):
 
 def q_em_history(spark, d):
     """Full EM fit with the stop rule; iteration, shift and log-likelihood (M5, M6, M9)."""
-    m = gaussian.em_fit(load_E2(spark, d), 2, "k-means++", SEED)
+    m = gaussian.em_fit(load_E(spark, d), 2, "k-means++", SEED)
     return m.history_frame(spark).select(
-        F.col("iteration").cast("bigint"), *[rnd(F.col(c)).alias(c) for c in ("total_shift", "log_likelihood", "ll_change")]
+        F.col("iteration").cast("bigint"), rnd(F.col("total_shift")).alias("total_shift"), sig9(F.col("log_likelihood")).alias("log_likelihood"),
+        F.when(F.col("ll_change") == float("inf"), F.col("ll_change")).otherwise(sig6(F.col("ll_change"))).alias("ll_change"),
     )
 
 
@@ -447,7 +450,7 @@ def q_evaluate_k(spark, d):
 
 
 def q_evaluate_em(spark, d):
-    return evaluate_em(load_E2(spark, d), ks=(2, 3), frac=TEST_FRAC, seed=SEED)
+    return evaluate_em(load_E(spark, d), ks=(2, 3), frac=TEST_FRAC, seed=SEED)
 
 
 def _projected(spark, d):
