@@ -142,10 +142,14 @@ def _slices(buckets: int):
 def _frequent(keys: np.ndarray, shard: np.ndarray, count: np.ndarray, need: np.ndarray, support: int):
     """(number of its phrase for every entry, frequent phrases, their counts): SON over the shards of one bucket."""
     distinct, which = np.unique(keys, return_inverse=True)
-    local = np.bincount(shard * distinct.size + which, weights=count, minlength=need.size * distinct.size)
-    local = local.reshape(need.size, distinct.size).astype(np.int64)  # mined shards: all counts of all phrases
-    united = (local >= need[:, None]).any(axis=0)
-    total = np.where(united, local.sum(axis=0), 0)
+    united, total = np.zeros(distinct.size, bool), np.zeros(distinct.size, np.int64)
+    for s, least in enumerate(need.tolist()):
+        mine = shard == s
+        # a mined shard: all counts of all its phrases
+        local = np.bincount(which[mine], weights=count[mine], minlength=distinct.size).astype(np.int64)
+        united |= local >= least
+        total += local
+    total[~united] = 0
     return which, distinct, np.flatnonzero(total >= support), total
 
 
