@@ -558,12 +558,12 @@ def gauss_step_ctes(out: str, params: str, src: str, d: int) -> list[str]:
     )
     return [
         f"{out}_l AS MATERIALIZED ({lj})",
-        f"{out}_r AS MATERIALIZED (SELECT rid, f, cluster, exp(l - lse) AS r FROM (SELECT *, mx + ln(sum(exp(l - mx)) "
+        f"{out}_r AS MATERIALIZED (SELECT rid, f, cluster, lse, exp(l - lse) AS r FROM (SELECT *, mx + ln(sum(exp(l - mx)) "
         f"OVER (PARTITION BY rid)) AS lse FROM (SELECT *, max(l) OVER (PARTITION BY rid) AS mx FROM {out}_l)))",
     ] + gauss_params_ctes(out, d, body)
 
 
-def _lineitem_em_sql(steps: int = 3) -> str:
+def _lineitem_em_sql(steps: int = 15) -> str:
     d = len(LINEITEM_COLS)
     zl = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()" for c in LINEITEM_COLS)
     seeds_vals = ", ".join(f"({i}, [{', '.join(repr(float(v)) for v in s_)}]::DOUBLE[])" for i, s_ in enumerate(LINEITEM_SEEDS))
@@ -580,10 +580,24 @@ def _lineitem_em_sql(steps: int = 3) -> str:
     for t in range(1, steps + 1):
         ctes += gauss_step_ctes(f"q{t}", prev, "z", d)
         prev = f"q{t}"
-    ctes.append(
-        f"pr AS (SELECT e.rid, p.cluster, {maha_select(d)}, ln(p.w) - 0.5 * ({d} * ln(2 * pi()) + p.logdet + maha) AS l "
-        f"FROM z e, {prev} p QUALIFY row_number() OVER (PARTITION BY e.rid ORDER BY l DESC, p.cluster) = 1)"
+    gap = " + ".join(f"(a.m{i} - b.m{i}) * (a.m{i} - b.m{i})" for i in range(d))
+    hist = " UNION ALL ".join(
+        f"SELECT {t} AS t, (SELECT sum(lse) FROM q{t}_r WHERE cluster = 0) AS ll, "
+        f"(SELECT sum(sqrt({gap})) FROM q{t - 1} a JOIN q{t} b ON a.cluster = b.cluster) AS shift"
+        for t in range(1, steps + 1)
     )
+    inf = "'inf'::DOUBLE"
+    ctes += [
+        f"hs AS MATERIALIZED ({hist})",
+        f"fl AS (SELECT t, shift, coalesce(abs(ll - lag(ll) OVER (ORDER BY t)), {inf}) AS llc, "
+        f"abs(coalesce(lag(shift, 2) OVER (ORDER BY t), {inf}) - shift) <= {TOL} AS osc FROM hs)",
+        f"it AS (SELECT max(t) AS t FROM (SELECT t, coalesce(bool_or(shift <= {TOL} OR llc <= {TOL} OR osc) OVER (ORDER BY t ROWS BETWEEN "
+        "UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS stopped FROM fl) WHERE NOT stopped)",
+        "fin AS MATERIALIZED (SELECT * EXCLUDE (t) FROM (" + " UNION ALL ".join(f"SELECT {t} AS t, * FROM q{t}" for t in range(1, steps + 1))
+        + ") WHERE t = (SELECT t FROM it))",
+        f"pr AS (SELECT e.rid, p.cluster, {maha_select(d)}, ln(p.w) - 0.5 * ({d} * ln(2 * pi()) + p.logdet + maha) AS l "
+        "FROM z e, fin p QUALIFY row_number() OVER (PARTITION BY e.rid ORDER BY l DESC, p.cluster) = 1)",
+    ]
     return with_(*ctes) + "SELECT cluster::INT AS cluster, count(*)::BIGINT AS n FROM pr GROUP BY cluster"
 
 
@@ -743,6 +757,37 @@ def build() -> dict[str, str]:
     q["kmeans_projected"] = _kmeans_report([f"e AS ({E})", *scores(40)], "pr", "k-means++")
     q["em_projected"] = _em_report([f"e AS ({E})", *scores(40)], "pr", 40)
 
+    q["vector_text"] = pc + " UNION ALL ".join(
+        f"SELECT '{name}' AS name, k::BIGINT AS k, printf('%.4f', {c}) AS line FROM sv" for name, c in (("singular_value", "sv"), ("pct_variance", "pct"))
+    )
+    q["matrix_round_trip"] = with_(f"e AS ({E})", unnest_cte("x", "e")) + (
+        "SELECT x.vec_id, x.pos::BIGINT AS pos, printf('%.4f', x.v)::DOUBLE AS v, e.label FROM x JOIN e ON x.vec_id = e.vec_id"
+    )
+    q["number_text_ids"] = with_(
+        "n AS (SELECT 'X' || (vec_id % 97) || '.V1.' AS name, CAST(embedding[1] AS DOUBLE) AS x FROM embeddings)",
+        "d AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS id FROM (SELECT DISTINCT name FROM n))",
+    ) + f"SELECT d.id::BIGINT AS name_id, count(*)::BIGINT AS n, {R('avg(x)')} AS mean0 FROM n JOIN d ON n.name = d.name GROUP BY d.id"
+    numbered = ", ".join(f'f[{i + 1}] AS "{i}"' for i in range(D))
+    q["clusters_text"] = with_(*_seeds3()) + f"SELECT cluster, {numbered} FROM a"
+    q["em_clusters_text"] = rec_(f"e AS ({E})", *em_run("", "e", 2, D, EM_STEPS), *em_classes("pc", "fin", "x", D)) + (
+        f"SELECT pc.cluster::INT AS cluster, e.vec_id AS id, {numbered} FROM e JOIN pc ON pc.vec_id = e.vec_id"
+    )
+    q["row_id_repeated"] = (
+        "SELECT l_returnflag, (sum(n) OVER (ORDER BY l_returnflag) - n)::BIGINT AS first_id, (sum(n) OVER (ORDER BY l_returnflag) - 1)::BIGINT AS last_id, "
+        "n::BIGINT AS n FROM (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag)"
+    )
+    q["split_repeated_ids"] = (
+        f"SELECT 'test' AS split, floor(count(*) * {TEST_FRAC})::BIGINT AS n FROM labels UNION ALL "
+        f"SELECT 'train' AS split, (count(*) - floor(count(*) * {TEST_FRAC}))::BIGINT AS n FROM labels"
+    )
+    kc, seeds = kmeanspp_ctes("pp", "e", 12)
+    q["kmeanspp_many"] = with_(f"e AS ({E})", *kc) + f"SELECT cluster, vec_id FROM {seeds}"
+    q["em_init_second_moment"] = rec_(
+        f"e AS ({E})", *em_start("", "e", 2),
+        "s_c AS MATERIALIZED (SELECT g.cluster, a.pos AS i, b.pos AS j, sum(a.v * b.v) / (SELECT count(*) FROM e) AS v FROM ig g "
+        "JOIN x a ON a.vec_id = g.vec_id JOIN x b ON b.vec_id = g.vec_id GROUP BY g.cluster, a.pos, b.pos)",
+    ) + params_select("p0").replace("FROM p0_c c", "FROM s_c c")
+    q["evaluate_em_failed"] = _em_report([f"e AS ({E})"], "e", D, ks=(1,))
     q["split_exact"] = with_(f"e AS ({E})", *split_ctes("e")) + (
         "SELECT vec_id, CASE WHEN rn <= (SELECT n FROM sp_n) THEN 'test' ELSE 'train' END AS split FROM sp_r"
     )

@@ -8,6 +8,7 @@ the whole generated tables.  Fitting steps collect only model-sized results
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.vector import dists_to
 from ..operators import decompose, evaluate, gaussian, kmeans, sampling, stats
 from ..operators.moments import iterative_input
+from ..session import checkpoint_dir
 from ..sources import matrix
 from .inputs import (
     LINEITEM_COLS,
@@ -85,6 +87,62 @@ def q_plot_frame(spark, d):
     return matrix.plot_frame(kmeans.assign_nearest(e, seeds)).withColumnRenamed("id", "vec_id")
 
 
+def q_matrix_round_trip(spark, d):
+    """The matrix written as CSV with its header into the shared folder and read back (K1, U1, S1, W1)."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/matrix-{uuid.uuid4().hex}"
+    matrix.write_matrix(load_E(spark, d), path, E_DIM)
+    back = matrix.read_matrix(spark, path)
+    return back.select(F.col("id").alias("vec_id"), F.posexplode("features").alias("pos", "v"), "label").withColumn("pos", F.col("pos").cast("bigint"))
+
+
+def q_number_text_ids(spark, d):
+    """Names as ids, numbered by the reader (S1, S3)."""
+    e = table(spark, d, "embeddings")
+    named = e.select(
+        F.concat(F.lit("X"), F.col("vec_id") % 97, F.lit(".V1.")).alias("name"), F.col("embedding")[0].cast("double").cast("string").alias("x"),
+        F.col("label").cast("string").alias("y"),
+    )
+    m = matrix.parse_matrix(named)
+    return m.groupBy(F.col("id").alias("name_id")).agg(F.count(F.lit(1)).alias("n"), rnd(F.avg(F.col("features")[0])).alias("mean0"))
+
+
+def q_vector_text(spark, d):
+    """The lines of the singular values and of the % variance (K2, K3)."""
+    _, _, m = _svd_of(load_E(spark, d), E_DIM)
+    ev = decompose.explained_variance(m.frame(spark))
+    out = None
+    for name in ("singular_value", "pct_variance"):
+        t = matrix.vector_text(ev, name).select(F.lit(name).alias("name"), F.col("k").cast("bigint").alias("k"), "line")
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+def q_clusters_text(spark, d):
+    """The clustered rows as written, cluster first, no id (K6)."""
+    e, seeds = _first3(spark, d)
+    return matrix.clusters_frame(kmeans.assign_nearest(e, seeds), E_DIM)
+
+
+def q_em_clusters_text(spark, d):
+    """The rows with their mixture component as written, id kept (K7)."""
+    e = load_E(spark, d)
+    return matrix.clusters_frame(gaussian.em_predict(e, gaussian.em_fit(e, 2, "k-means++", SEED)), E_DIM, keep_id=True)
+
+
+def q_row_id_repeated(spark, d):
+    """Numbering by a text key with few values (P5): the range of numbers that every key gets."""
+    li = table(spark, d, "lineitem").select("l_returnflag", "l_linenumber")
+    return sampling.with_row_id(li, "l_returnflag").groupBy("l_returnflag").agg(
+        F.min("row_id").alias("first_id"), F.max("row_id").alias("last_id"), F.count_distinct("row_id").alias("n")
+    )
+
+
+def q_split_repeated_ids(spark, d):
+    """An exact split although ids repeat (T1): two ids in all."""
+    lb = load_LB(spark, d).withColumn("id", F.col("label"))
+    return sampling.split_exact(lb, frac=TEST_FRAC, seed=SEED).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- statistics ----------------------------------------------------------------
 
 
@@ -215,6 +273,12 @@ def q_kmeanspp_init(spark, d):
     return spark.createDataFrame([(i, int(v)) for i, v in enumerate(ids)], "cluster int, vec_id bigint")
 
 
+def q_kmeanspp_many(spark, d):
+    """Twelve seeds: the running minimum distance is carried from step to step (M1, U2)."""
+    ids, _ = kmeans.kmeanspp_init(load_E(spark, d), 12, SEED, 1.0)
+    return spark.createDataFrame([(i, int(v)) for i, v in enumerate(ids)], "cluster int, vec_id bigint")
+
+
 # --- distances and K-means -----------------------------------------------------------
 
 
@@ -365,6 +429,11 @@ def q_em_init(spark, d):
     return _gmm_cols(m, spark)
 
 
+def q_em_init_second_moment(spark, d):
+    """Initial covariances as uncentred second moments over all rows (A12)."""
+    return _gmm_cols(gaussian.em_init(load_E(spark, d), 2, "k-means++", SEED, 1.0, init_cov="second_moment"), spark)
+
+
 def q_gaussian_logpdf(spark, d):
     e, m = _em_init2(spark, d)
     l = gaussian.gaussian_logpdf(e, m)
@@ -453,6 +522,11 @@ def q_evaluate_em(spark, d):
     return evaluate_em(load_E(spark, d), ks=(2, 3), frac=TEST_FRAC, seed=SEED)
 
 
+def q_evaluate_em_failed(spark, d):
+    """One component: all predictions are equal, so the status is failed (A24)."""
+    return evaluate_em(load_E(spark, d), ks=(1,), frac=TEST_FRAC, seed=SEED)
+
+
 def _projected(spark, d):
     """The reference study's input: embeddings projected onto 40 principal components."""
     return prepare(load_E(spark, d), k=40, frac=TEST_FRAC, seed=SEED)
@@ -487,11 +561,15 @@ def q_lineitem_kmeans(spark, d):
 
 
 def q_lineitem_em(spark, d):
+    """A mixture of three components fitted from given seeds to its stop rule; rows by component."""
     z, _ = stats.fit_standardize(load_L(spark, d), len(LINEITEM_COLS))
     z = iterative_input(z)
-    m = gaussian.em_init(z, 3, list(LINEITEM_SEEDS))
-    m = gaussian.em_steps(z, m, 3)
-    return gaussian.em_predict(z, m).groupBy("cluster").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    try:
+        m = gaussian.em_fit(z.withColumn("id", F.lit(0)), 3, list(LINEITEM_SEEDS), persist=False)
+        counts = gaussian.em_predict(z, m).groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()
+    finally:
+        z.unpersist()
+    return spark.createDataFrame([(r["cluster"], r["n"]) for r in counts], "cluster int, n bigint")
 
 
 def q_lineitem_svd(spark, d):
@@ -507,6 +585,13 @@ QUERIES: dict[str, Query] = {
     "explode_columns": q_explode_columns,
     "matrix_text": q_matrix_text,
     "split_text": q_split_text,
+    "matrix_round_trip": q_matrix_round_trip,
+    "number_text_ids": q_number_text_ids,
+    "vector_text": q_vector_text,
+    "clusters_text": q_clusters_text,
+    "em_clusters_text": q_em_clusters_text,
+    "row_id_repeated": q_row_id_repeated,
+    "split_repeated_ids": q_split_repeated_ids,
     "matrix_parse": q_matrix_parse,
     "plot_frame": q_plot_frame,
     "column_means_nan": q_column_means_nan,
@@ -526,6 +611,7 @@ QUERIES: dict[str, Query] = {
     "uniform_pick": q_uniform_pick,
     "weighted_pick": q_weighted_pick,
     "kmeanspp_init": q_kmeanspp_init,
+    "kmeanspp_many": q_kmeanspp_many,
     "pairwise_distance": q_pairwise_distance,
     "assign_nearest": q_assign_nearest,
     "cluster_means": q_cluster_means,
@@ -542,6 +628,7 @@ QUERIES: dict[str, Query] = {
     "classification_metrics": q_classification_metrics,
     "metrics_report": q_metrics_report,
     "em_init": q_em_init,
+    "em_init_second_moment": q_em_init_second_moment,
     "gaussian_logpdf": q_gaussian_logpdf,
     "logsumexp": q_logsumexp,
     "em_estep_softmax": q_em_estep_softmax,
@@ -556,6 +643,7 @@ QUERIES: dict[str, Query] = {
     "em_history": q_em_history,
     "evaluate_k": q_evaluate_k,
     "evaluate_em": q_evaluate_em,
+    "evaluate_em_failed": q_evaluate_em_failed,
     "prepare": q_prepare,
     "kmeans_projected": q_kmeans_projected,
     "em_projected": q_em_projected,

@@ -180,9 +180,14 @@ def write_matrix(
     out.write.mode(mode).option("header", True).csv(path)
 
 
+def vector_text(df: DataFrame, value_col: str, order_col: str = "k") -> DataFrame:
+    """``(order_col, line)``: the lines that :func:`write_vector` writes."""
+    return df.select(order_col, F.format_string("%.4f", F.col(value_col)).alias("line"))
+
+
 def write_vector(df: DataFrame, path: str, value_col: str, order_col: str = "k", mode: str = "overwrite") -> None:
     """One number per line in ``order_col`` order (singular values, % variance)."""
-    df.orderBy(order_col).select(F.format_string("%.4f", F.col(value_col)).alias(value_col)).write.mode(mode).text(path)
+    vector_text(df, value_col, order_col).orderBy(order_col).select("line").write.mode(mode).text(path)
 
 
 def matrix_text(df: DataFrame, dims: int, decimals: int | None = 4) -> DataFrame:
@@ -205,6 +210,11 @@ def write_split(
         _text_frame(df, d, decimals, ("id", "label") if decimals is not None else ()).write.mode(mode).partitionBy("split").option("header", True).csv(path)
 
 
+def clusters_frame(df: DataFrame, dims: int, keep_id: bool = False) -> DataFrame:
+    """The rows that :func:`write_clusters` writes: cluster first, then the features as numbered columns."""
+    return explode_columns(df.select("cluster", *(["id"] if keep_id else []), "features"), dims)
+
+
 def write_clusters(
     df: DataFrame,
     path: str,
@@ -214,9 +224,7 @@ def write_clusters(
     mode: str = "overwrite",
 ) -> None:
     """Write clustered rows: cluster first, then the features (full precision)."""
-    cols = ["cluster"] + (["id"] if keep_id else []) + ["features"]
-    out = df.select(*cols)
     if fmt == "parquet":
-        out.write.mode(mode).parquet(path)
+        df.select("cluster", *(["id"] if keep_id else []), "features").write.mode(mode).parquet(path)
     else:
-        explode_columns(out, dims).write.mode(mode).option("header", True).csv(path)
+        clusters_frame(df, dims, keep_id).write.mode(mode).option("header", True).csv(path)
