@@ -18,7 +18,9 @@ once.  Segments arrive in order of anchor and document, and a group is worked on
 in chunks that carry only its distinct segments.  An anchor with more than
 ``HOT`` segments (a short passage between ever differing neighbours) is not one
 group: its strings are exchanged one by one, grouped by the hash of all their
-``SPAN`` bytes, so that a group carries one string.
+``SPAN`` bytes, so that a group carries one string; a cryptographic digest of the
+bytes stands for them there and decides equality.  Inside a bucket strings and
+segments are views of its bytes, never copies.
 
 Order: doc_id, null last; rows with equal doc_id and different text by a hash
 of the text.  Rows that agree in both are one document and get equal results.
@@ -37,14 +39,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkclust.llm.common import text_of
-from sparkclust.llm.textarrays import mix, prefix_hashes, slices, span_hashes
+from sparkclust.llm.common import release, text_of
+from sparkclust.llm.textarrays import mix, prefix_hashes, ranges, slices, span_hashes
 
 SPAN = 100
 GRAM = 40
 BUCKET_BYTES = 3 << 20
 SLICE_BYTES = 1 << 20
 CHUNK_BYTES = 3 << 20
+#: Strings that repeat the one up to so many bytes before them (runs of a character, short patterns) are found at once.
+PERIODS = 4
+#: Bytes that are compared, and strings that are sorted, at once.
+PIECE = 1 << 20
+STRINGS = 250_000
+#: Bytes of the digest that stands for a string of a frequent anchor.
+DIGEST = 16
 #: Segments of an anchor above which its strings are grouped by their whole bytes: about a chunk of them.
 HOT = CHUNK_BYTES // (2 * SPAN)
 
@@ -53,8 +62,26 @@ MARKS = "bucket long, doc_id long, h long, marks binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
 
 
-def segments(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int = GRAM):
-    """(row, start, off, n, key): runs of n strings with one anchor, which lies ``off`` bytes after the first's start."""
+def own_repeats(data: np.ndarray, offsets: np.ndarray, span: int = SPAN) -> np.ndarray:
+    """Flags of the starts of strings that equal the string 1 to ``PERIODS`` bytes before them in their row."""
+    out = np.zeros(data.size, bool)
+    row_start = np.repeat(offsets[:-1], np.diff(offsets))
+    row_end = np.repeat(offsets[1:], np.diff(offsets))
+    for q in range(1, PERIODS + 1):
+        if data.size < span + q:
+            break
+        same = np.concatenate(([0], np.cumsum(data[q:] == data[:-q], dtype=np.int32)))
+        at = np.flatnonzero(same[span:] - same[:-span] == span) + q
+        at = at[(at - q >= row_start[at]) & (at + span <= row_end[at])]
+        out[at] = True
+    return out
+
+
+def segments(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int = GRAM, again: np.ndarray | None = None):
+    """(row, start, off, n, key): runs of n strings with one anchor, which lies ``off`` bytes after the first's start.
+
+    Strings that start where ``again`` is set are left out.
+    """
     none = np.empty(0, np.int64)
     if data.size < span:
         return none, none, none, none, np.empty(0, np.int64)
@@ -77,9 +104,11 @@ def segments(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int
     np.add.at(valid, offsets[:-1][long], 1)
     np.add.at(valid, offsets[1:][long] - span + 1, -1)
     inside = np.cumsum(valid[:-1]) > 0
+    if again is not None:
+        inside &= ~again[: inside.size]
     new = inside.copy()
     new[1:] &= (anchor[1:] != anchor[:-1]) | ~inside[:-1]
-    new[offsets[:-1][long]] = True
+    new[offsets[:-1][long]] = inside[offsets[:-1][long]]
     start = np.flatnonzero(new)
     if start.size == 0:
         return none, none, none, none, np.empty(0, np.int64)
@@ -89,11 +118,17 @@ def segments(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int
     return row, start, anchor[start] - start, n, h[anchor[start]].view(np.int64)
 
 
-def gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of the pieces, one after the other."""
-    offsets = np.concatenate(([0], np.cumsum(size)))
-    at = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, size)
-    return data[at], offsets
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the pieces at ``a`` and ``b`` are equal byte by byte, a bounded number of bytes at once."""
+    out, done = np.ones(a.size, bool), 0
+    ends = np.cumsum(size)
+    while done < a.size:
+        stop = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + PIECE, side="right")))
+        p = slice(done, stop)
+        differ = data[ranges(a[p], size[p])] != data[ranges(b[p], size[p])]
+        out[p] = np.add.reduceat(differ, np.cumsum(size[p]) - size[p]) == 0
+        done = stop
+    return out
 
 
 class Suffixes:
@@ -164,8 +199,8 @@ class Suffixes:
         return out
 
 
-def resolve(key: np.ndarray, off: np.ndarray, n: np.ndarray, body: np.ndarray, offsets: np.ndarray, span: int = SPAN):
-    """(repeats, first) of segments in document order.
+def resolve(key: np.ndarray, off: np.ndarray, n: np.ndarray, data: np.ndarray, start: np.ndarray, span: int = SPAN):
+    """(repeats, first) of segments in document order, which are views: ``n`` strings from ``start`` in ``data``.
 
     ``repeats``: flags of all strings of all segments, one after the other, of
     those that stand in an earlier segment; ``first``: segments that equal no
@@ -176,47 +211,60 @@ def resolve(key: np.ndarray, off: np.ndarray, n: np.ndarray, body: np.ndarray, o
     flags = np.zeros(windows[-1], bool)
     if m < 2:
         return flags, np.ones(m, bool)
-    text = Suffixes(body, span)
-    size = offsets[1:] - offsets[:-1]
-    whole = mix(span_hashes(text.prefix, offsets[:-1], offsets[1:]) ^ mix((off * 4096 + size).astype(np.uint64)))
-    # equal segments: by hash, then byte by byte
+    text = Suffixes(data, span)
+    size = n - 1 + span
+    whole = mix(span_hashes(text.prefix, start, start + size) ^ mix((off * 4096 + size).astype(np.uint64)))
+    # equal segments (of a run of one character all are): by hash, then byte by byte
     order = np.lexsort((np.arange(m), whole, key))
     new = np.ones(m, bool)
     new[1:] = (key[order][1:] != key[order][:-1]) | (whole[order][1:] != whole[order][:-1])
-    head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
     like = np.empty(m, np.int64)
-    like[order] = head
+    like[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
     copy = np.flatnonzero(like != np.arange(m))
     copy = copy[(size[copy] == size[like[copy]]) & (off[copy] == off[like[copy]])]
-    if copy.size:
-        mine, cut = gather(body, offsets[copy], size[copy])
-        theirs, _ = gather(body, offsets[like[copy]], size[copy])
-        copy = copy[np.add.reduceat(mine != theirs, cut[:-1]) == 0]
+    copy = copy[same_bytes(data, start[copy], start[like[copy]], size[copy])]
     first = np.ones(m, bool)
     first[copy] = False
-    if copy.size:
-        flags[gather(np.arange(windows[-1]), windows[copy], n[copy])[0]] = True
-    # strings of the other segments that share an anchor: suffix sort
+    flags[ranges(windows[copy], n[copy])] = True
+    # strings of the other segments that share an anchor: suffix sort, some anchors at a time
     rest = np.flatnonzero(first)
-    _, inverse, count = np.unique(key[rest], return_inverse=True, return_counts=True)
-    rest, number = rest[count[inverse] > 1], inverse[count[inverse] > 1]
-    if rest.size:
-        owner = np.repeat(np.arange(rest.size), n[rest])
-        w = np.arange(owner.size) - np.repeat(np.cumsum(n[rest]) - n[rest], n[rest])
-        at = offsets[rest][owner] + w
-        group = number[owner] * 2 * span + off[rest][owner] - w + span
-        by = np.lexsort((owner, group))
-        at, group, flat = at[by], group[by], (windows[rest][owner] + w)[by]
-        order = text.sort(at, group)
-        a, b = at[order][:-1], at[order][1:]
-        near = np.flatnonzero(group[:-1] == group[1:])
-        near = near[text.extension(a[near], b[near]) == span]
-        near = near[text.equal(a[near], b[near])]
-        # the sort is stable and starts in document order: all but the first of a run stand earlier elsewhere
-        flags[flat[order][near + 1]] = True
+    rest = rest[np.argsort(key[rest], kind="stable")]
+    head = np.flatnonzero(np.concatenate(([True], key[rest][1:] != key[rest][:-1])))
+    strings = np.concatenate(([0], np.cumsum(n[rest])))
+    tail = np.append(head[1:], rest.size)
+    group = 0
+    while group < head.size:
+        until = max(group + 1, int(np.searchsorted(strings[tail], strings[head[group]] + STRINGS, side="right")))
+        some = rest[head[group] : tail[until - 1]]
+        _sort_strings(text, key, off, n, start, windows, some, flags)
+        group = until
     return flags, first
 
 
+def _sort_strings(text: Suffixes, key, off, n, start, windows, some: np.ndarray, flags: np.ndarray) -> None:
+    """Flags the repeats among the strings of the segments ``some``, which have whole groups of one anchor."""
+    span = text.span
+    _, inverse, count = np.unique(key[some], return_inverse=True, return_counts=True)
+    some, number = some[count[inverse] > 1], inverse[count[inverse] > 1]
+    if some.size == 0:
+        return
+    by = np.argsort(some)  # document order
+    some, number = some[by], number[by]
+    owner = np.repeat(np.arange(some.size), n[some])
+    w = ranges(np.zeros(some.size, np.int64), n[some])
+    at = start[some][owner] + w
+    group = number[owner] * 2 * span + off[some][owner] - w + span
+    by = np.lexsort((owner, group))
+    at, group, flat = at[by], group[by], (windows[some][owner] + w)[by]
+    order = text.sort(at, group)
+    a, b = at[order][:-1], at[order][1:]
+    near = np.flatnonzero(group[:-1] == group[1:])
+    near = near[text.extension(a[near], b[near]) == span]
+    near = near[text.equal(a[near], b[near])]
+    # the sort is stable and starts in document order: all but the first of a run stand earlier elsewhere
+    flags[flat[order][near + 1]] = True
+
+
 def runs(flags: np.ndarray, n: np.ndarray, start: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(segment, from, to) byte ranges that the flagged strings cover, one per run of flags in a segment."""
     owner = np.repeat(np.arange(n.size), n)
@@ -237,7 +285,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         buckets = batch.column("bucket").to_numpy()
         for at, data, offsets in slices(batch, "text", SLICE_BYTES):
-            row, start, off, n, key = segments(data, offsets)
+            row, start, off, n, key = segments(data, offsets, again=own_repeats(data, offsets))
             if key.size:
                 bucket = buckets[at + row]
                 whole = span_hashes(prefix_hashes(data), start, start + n - 1 + SPAN) ^ mix((off * 4096 + n).astype(np.uint64))
@@ -271,12 +319,18 @@ def _documents(docs: pa.Table) -> tuple[pa.Table, np.ndarray]:
 def _strings(which: np.ndarray, n: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(segment, number within it) of the strings of the segments ``which`` that are not flagged."""
     before = np.cumsum(n) - n
-    flat, _ = gather(np.arange(flags.size), before[which], n[which])
+    flat = ranges(before[which], n[which])
     owner = np.repeat(which, n[which])
     free = ~flags[flat]
     return owner[free], (flat - before[owner])[free]
 
 
+def _digests(data: np.ndarray, begin: np.ndarray) -> bytes:
+    """BLAKE2b digests of the strings at ``begin``, one after the other."""
+    body = memoryview(np.ascontiguousarray(data))
+    return b"".join(hashlib.blake2b(body[i : i + SPAN], digest_size=DIGEST).digest() for i in begin.tolist())
+
+
 def _bucket_segments(docs: pa.Table, hot: pa.Table) -> pa.Table:
     """Repeats inside one bucket, as marks, and its distinct segments whose anchors other buckets have."""
     names = [x.split()[0] for x in SEGMENTS.split(", ")]
@@ -286,67 +340,105 @@ def _bucket_segments(docs: pa.Table, hot: pa.Table) -> pa.Table:
     bucket = docs.column("bucket")[0].as_py()
     docs, _ = _documents(docs)
     batch = docs.combine_chunks().to_batches()[0]
-    parts, texts, rows = [], [], []
     shared = np.unique(hot.column("key").to_numpy())
-    sliced = list(slices(batch, "text", SLICE_BYTES))
-    found = []
-    for at, data, offsets in sliced:
-        row, start, off, n, key = segments(data, offsets)
-        found.append((at, row, start, off, n, key))
-    keys = np.concatenate([x[5] for x in found])
-    distinct, count = np.unique(keys, return_counts=True)
-    wanted = np.union1d(shared, distinct[count > 1])
-    base = 0
-    for (at, row, start, off, n, key), (_, data, offsets) in zip(found, sliced, strict=True):
-        keep = np.isin(key, wanted)
-        row, start, off, n, key = row[keep], start[keep], off[keep], n[keep], key[keep]
-        body, cut = gather(data, start, n - 1 + SPAN)
-        texts.append(body)
-        parts.append((at + row, start - offsets[row], off, n, key, cut[:-1] + base))
-        base += body.size
-    row, start, off, n, key, cut = (np.concatenate(x) for x in zip(*parts, strict=True))
-    body, offsets = np.concatenate(texts), np.append(cut, base)
-    flags, first = resolve(key, off, n, body, offsets)
+    parts, texts, begins, own, base = [], [], [], [], 0
+    for at, data, offsets in slices(batch, "text", SLICE_BYTES):
+        again = own_repeats(data, offsets)
+        row, start, off, n, key = segments(data, offsets, again=again)
+        # runs of them: (row, from, to) in the row
+        where = np.flatnonzero(again)
+        edge = np.flatnonzero(np.diff(where, prepend=-2) > 1)
+        lo, of = where[edge], np.searchsorted(offsets, where[edge], side="right") - 1
+        hi = where[np.append(edge[1:], where.size) - 1] + SPAN if where.size else where
+        own.append((at + of, lo - offsets[of], np.minimum(hi, offsets[of + 1]) - offsets[of]))
+        parts.append((at + row, start + base, off, n, key))
+        texts.append(data)
+        begins.append(offsets[:-1] + base)
+        base += data.size
+    row, start, off, n, key = (np.concatenate(x) for x in zip(*parts, strict=True))
+    data, begin = np.concatenate(texts), np.concatenate(begins)
+    distinct, count = np.unique(key, return_counts=True)
+    keep = np.isin(key, np.union1d(shared, distinct[count > 1]))
+    row, start, off, n, key = row[keep], start[keep], off[keep], n[keep], key[keep]
+    flags, first = resolve(key, off, n, data, start)
+    place = start - begin[row]
     ids, hs = batch.column("doc_id"), batch.column("h")
     # the marks of one document, as one row that passes through the next exchange
-    seg, lo, hi = runs(flags, n, start)
+    seg, lo, hi = runs(flags, n, place)
     out = []
-    if seg.size:
-        doc = row[seg]
+    doc, lo, hi = (np.concatenate(x) for x in zip((row[seg], lo, hi), *own, strict=True))
+    by = np.argsort(doc, kind="stable")
+    doc, lo, hi = doc[by], lo[by], hi[by]
+    if doc.size:
         for d in np.unique(doc):
             mine = doc == d if doc.size < 1000 else slice(*np.searchsorted(doc, [d, d + 1]))
             out.append((int(d), np.stack((lo[mine], hi[mine]), axis=1).astype(np.int64).tobytes()))
     split = np.isin(key, np.unique(hot.column("key").to_numpy()[hot.column("split").to_numpy()]))
     send = np.flatnonzero(first & np.isin(key, shared) & ~split)
-    # of anchors with many segments, the first of equal strings, each with a key of its own
+    # of anchors with many segments, the first of equal strings, each by its own hash and digest
     string, w = _strings(np.flatnonzero(split), n, flags)
-    begin = offsets[string] + w
-    string_key = np.empty(0, np.int64)
+    string_key, digests = np.empty(0, np.int64), b""
     if string.size:
-        content = span_hashes(prefix_hashes(body), begin, begin + SPAN)
+        at = start[string] + w
+        content = span_hashes(prefix_hashes(data), at, at + SPAN)
         string_key = mix(content ^ mix(key[string].view(np.uint64) + (off[string] - w).astype(np.uint64))).view(np.int64)
+        digests = _digests(data, at)
     m, k = len(out), send.size + string.size
     docs_of = np.concatenate((np.array([d for d, _ in out], np.int64), row[send], row[string]))
     marks_key = mix(np.array([d for d, _ in out], np.uint64) + np.uint64(bucket) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
-    pieces = [b for _, b in out] + [body[offsets[i] : offsets[i + 1]].tobytes() for i in send]
-    bytes_of, cut = gather(body, begin, np.full(string.size, SPAN))
-    alone = pa.Array.from_buffers(pa.binary(), string.size, [None, pa.py_buffer(cut.astype(np.int32)), pa.py_buffer(bytes_of)])
+    pieces = [b for _, b in out] + [data[start[i] : start[i] + n[i] - 1 + SPAN].tobytes() for i in send.tolist()]
+    cuts = np.arange(0, DIGEST * (string.size + 1), DIGEST, dtype=np.int32)
+    alone = pa.Array.from_buffers(pa.binary(), string.size, [None, pa.py_buffer(cuts), pa.py_buffer(digests)])
     columns = [
         pa.array(np.full(m + k, bucket)), pa.array(np.concatenate((marks_key, key[send], string_key))),
         ids.take(pa.array(docs_of)), hs.take(pa.array(docs_of)),
-        pa.array(np.concatenate((np.full(m, -1), start[send], start[string] + w)).astype(np.int32)),
+        pa.array(np.concatenate((np.full(m, -1), place[send], place[string] + w)).astype(np.int32)),
         pa.array(np.concatenate((np.zeros(m), off[send], off[string] - w)).astype(np.int32)),
-        pa.array(np.concatenate((np.zeros(m), n[send], np.ones(string.size))).astype(np.int32)),
+        pa.array(np.concatenate((np.zeros(m), n[send], np.zeros(string.size))).astype(np.int32)),
         pa.chunked_array([pa.array(pieces, pa.binary()), alone]),
     ]
+    del parts, texts, data, flags, string, w
+    release()
     return pa.Table.from_arrays(columns, names=names)
 
 
+MARK_COLUMNS = ["bucket", "doc_id", "h", "marks"]
+
+
+def _marks(rows: pa.Table | pa.RecordBatch, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
+    """The byte ranges of ``rows`` as marks."""
+    marks = [x.tobytes() for x in np.stack((lo, hi), axis=1).astype(np.int64)]
+    if isinstance(rows, pa.Table):
+        rows = rows.combine_chunks()
+    columns = [rows.column(c) for c in MARK_COLUMNS[:3]]
+    columns = [(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c) if lo.size else pa.array([], pa.int64()) for c in columns]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(marks, pa.binary())], names=MARK_COLUMNS)
+
+
+class _Seen:
+    """Strings that come as digests, in order of key and document: all but the first of equal ones are repeats."""
+
+    def __init__(self) -> None:
+        self.key, self.digests = None, set()
+
+    def repeats(self, rows: pa.RecordBatch) -> pa.RecordBatch:
+        again = []
+        for i, (key, digest) in enumerate(zip(rows.column("key").to_pylist(), rows.column("body").to_pylist(), strict=True)):
+            if key != self.key:
+                self.key, self.digests = key, {digest}
+            elif digest in self.digests:
+                again.append(i)
+            else:
+                self.digests.add(digest)
+        rows = rows.take(pa.array(again, pa.int64()))
+        start = rows.column("start").to_numpy().astype(np.int64)
+        return _marks(rows, start, start + SPAN)
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats across buckets from segments in order of key and document; rows with marks pass through."""
-    names = ["bucket", "doc_id", "h", "marks"]
     held: list[pa.Table] = []
-    held_bytes, old = 0, 0
+    held_bytes, old, seen = 0, 0, _Seen()
 
     def work(table: pa.Table, known: int) -> tuple[pa.RecordBatch, np.ndarray]:
         key, off, n = (table.column(c).to_numpy().astype(np.int64) for c in ("key", "off", "n"))
@@ -356,22 +448,20 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             column = column.chunk(0)
         cut = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
         body = np.frombuffer(column.buffers()[2], np.uint8)[cut[0] : cut[-1]]
-        flags, first = resolve(key, off, n, body, cut - cut[0])
+        flags, first = resolve(key, off, n, body, cut[:-1] - cut[0])
         flags[: int(n[:known].sum())] = False
         seg, lo, hi = runs(flags, n, start)
-        take = table.take(pa.array(seg))
-        marks = [x.tobytes() for x in np.stack((lo, hi), axis=1).astype(np.int64)]
-        out = pa.RecordBatch.from_arrays(
-            [take.column(c).combine_chunks() if seg.size else pa.array([], pa.int64()) for c in names[:3]] + [pa.array(marks, pa.binary())],
-            names=names,
-        )
-        return out, first
+        return _marks(table.take(pa.array(seg)), lo, hi), first
 
     for batch in batches:
         ready = batch.filter(pc.less(batch.column("start"), 0))
         if ready.num_rows:
-            yield pa.RecordBatch.from_arrays([ready.column(c) for c in ("bucket", "doc_id", "h", "body")], names=names)
+            yield pa.RecordBatch.from_arrays([ready.column(c) for c in ("bucket", "doc_id", "h", "body")], names=MARK_COLUMNS)
         batch = batch.filter(pc.greater_equal(batch.column("start"), 0))
+        strings = batch.filter(pc.equal(batch.column("n"), 0))
+        if strings.num_rows:
+            yield seen.repeats(strings)
+        batch = batch.filter(pc.greater(batch.column("n"), 0))
         if batch.num_rows == 0:
             continue
         held.append(pa.Table.from_batches([batch]))

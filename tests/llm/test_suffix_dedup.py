@@ -84,6 +84,14 @@ def test_mergesort_orders_suffixes():
     assert order.tolist() == want
 
 
+def test_runs_and_short_patterns_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 1_000)
+    rows = [(i, p * k + tail) for i, (p, k, tail) in enumerate(
+        [("-", 450, ""), ("-", 99, "x"), ("ab", 80, "c" * 120), ("abc", 60, "-" * 130), ("abcde", 50, ""), ("-", 101, "y"), ("é", 90, "z"), ("ba", 70, "-" * 100)]
+    )]
+    check(spark, rows + [(50, "q" + rows[2][1][1:]), (51, "-" * 100 + rows[4][1])])
+
+
 def test_spans_are_the_removed_ranges(spark):
     body = "".join(chr(97 + i * i % 23) for i in range(150))
     rows = sd.repeated_bytes(docs(spark, [(1, body, "s"), (2, "__" + body + "!!", "s")])).collect()
@@ -122,3 +130,43 @@ def test_no_group_holds_all_neighbours_of_a_frequent_passage():
     out = sd._bucket_segments(pa.table(columns), hot)
     sent = out.filter(pa.compute.greater_equal(out.column("start"), 0)).column("key").to_numpy()
     assert np.unique(sent, return_counts=True)[1].max() <= 50  # anchors that are not split
+
+
+def _peak(call):
+    """MB that ``call`` holds at once, in arrays and objects."""
+    import tracemalloc
+
+    sd.prefix_hashes(np.zeros(sd.BUCKET_BYTES + 200, np.uint8))  # the tables of powers are kept
+    tracemalloc.start()
+    out = call()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return out, peak
+
+
+def _bucket(texts):
+    columns = {"bucket": [0] * len(texts), "doc_id": list(range(len(texts))), "h": list(range(len(texts))), "text": texts}
+    return pa.table(columns)
+
+
+def test_a_bucket_of_one_character_is_worked_on_as_views():
+    docs_ = _bucket(["-" * sd.BUCKET_BYTES])
+    hot = pa.table({"key": pa.array([], pa.int64()), "split": pa.array([], pa.bool_())})
+    out, peak = _peak(lambda: sd._bucket_segments(docs_, hot))
+    assert peak < 500
+    assert out.num_rows == 1
+    marks = np.frombuffer(out.column("body")[0].as_py(), np.int64).reshape(-1, 2)
+    assert marks[:, 0].min() == 1 and marks[:, 1].max() == sd.BUCKET_BYTES
+
+
+def test_a_bucket_of_strings_with_split_anchors_is_worked_on_as_views():
+    rng = np.random.default_rng(0)
+    texts = ["".join(map(chr, rng.integers(97, 123, 1500))) for _ in range(sd.BUCKET_BYTES // 1500)]
+    docs_ = _bucket(texts)
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.arange(0, data.size + 1, 1500)
+    keys = np.unique(sd.segments(data, offsets)[4])
+    hot = pa.table({"key": keys, "split": np.ones(keys.size, bool)})
+    out, peak = _peak(lambda: sd._bucket_segments(docs_, hot))
+    assert peak < 700 and out.nbytes < 60 * data.size  # a string is a row with a digest
+    assert out.num_rows == len(texts) * (1500 - sd.SPAN + 1)
