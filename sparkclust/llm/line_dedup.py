@@ -5,7 +5,10 @@ blanks to one space, trimmed) and digested; digests are grouped over the whole
 corpus; the earliest unit in the order (doc_id, row, position) stays, all
 others go, with their code-point offsets in the original text.  Units of fewer
 than ``min_words`` words are not units and stay: ``MIN_WORDS`` unless given; the
-registered query gives 1, so that every line that is not blank is a unit.
+registered query gives 1, so that every line that is not blank is a unit.  The
+digest of a unit of fewer than ``short`` code points (normalised; 0 unless given,
+``SHORT`` in the query) takes in the unit before it, so a short line goes only
+where both repeat: by itself it says little about what it was copied from.
 
 Digests are summed up before the shuffle, so a unit that occurs everywhere
 costs each task one row; the join back is split by the optimiser where one
@@ -28,23 +31,29 @@ from pyspark.sql import functions as F
 from sparkclust.llm.common import stored, text_of
 
 MIN_WORDS = 5
+SHORT = 40
 LINE = re.compile(r"[^\n]+")
 PARAGRAPH = re.compile(r"[^\n]+(?:\n(?![ \t\r\f\v]*(?:\n|$))[^\n]+)*")
 UNITS = "row long, doc_id long, unit int, start int, end int, digest binary"
 
 
-def units_of(text: str, pattern: re.Pattern = LINE, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int, bytes]]:
+def units_of(
+    text: str, pattern: re.Pattern = LINE, min_words: int = MIN_WORDS, short: int = 0
+) -> Iterator[tuple[int, int, int, bytes]]:
     """(unit number, start, end, digest) of the units with enough words; offsets without outer blanks."""
+    before = ""
     for n, m in enumerate(pattern.finditer(text)):
         body = m.group()
         words = body.lower().split()
+        whole = " ".join(words)
+        key, before = (f"{before}\n{whole}" if len(whole) < short else whole), whole or before
         if len(words) >= min_words:
             start = m.start() + len(body) - len(body.lstrip())
-            digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+            digest = hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=16).digest()
             yield n, start, m.end() - len(body) + len(body.rstrip()), digest
 
 
-def _split(pattern: re.Pattern, min_words: int):
+def _split(pattern: re.Pattern, min_words: int, short: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in UNITS.split(", ")]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
@@ -52,7 +61,7 @@ def _split(pattern: re.Pattern, min_words: int):
             out: list[tuple] = []
             for row, doc_id, text in zip(*(batch.column(c) for c in ("row", "doc_id", "_text")), strict=True):
                 r, d = row.as_py(), doc_id.as_py()
-                out += [(r, d, *u) for u in units_of(text.as_py(), pattern, min_words)]
+                out += [(r, d, *u) for u in units_of(text.as_py(), pattern, min_words, short)]
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds, strict=True)], names=names)
                     out = []
@@ -63,7 +72,7 @@ def _split(pattern: re.Pattern, min_words: int):
 
 
 def repeats(
-    docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, row_col: str | None = None
+    docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, row_col: str | None = None, short: int = 0
 ) -> DataFrame:
     """One row per unit to remove: row, doc_id, unit, start, end, digest, first_doc_id, first_unit.
 
@@ -74,7 +83,7 @@ def repeats(
     rows = docs.select(
         (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("_text")
     )
-    units = stored(rows.mapInArrow(_split(pattern, min_words), UNITS), "units")
+    units = stored(rows.mapInArrow(_split(pattern, min_words, short), UNITS), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "unit")
     firsts = units.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     gone = units.join(firsts, "digest").where(
@@ -86,14 +95,14 @@ def repeats(
     )
 
 
-def deduplicate(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+def deduplicate(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, short: int = 0) -> DataFrame:
     """``docs`` with ``text`` without its repeated units, and ``removed``: their (start, end) in the original.
 
     The blanks around a removed unit stay.  A text without repeats, or null,
     comes back unchanged with an empty ``removed``.
     """
     numbered = stored(docs.drop("removed", "_row").withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    gone = repeats(numbered, unit, min_words, row_col="_row")
+    gone = repeats(numbered, unit, min_words, row_col="_row", short=short)
     spans = gone.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
     out = numbered.join(spans.withColumnRenamed("row", "_row"), "_row", "left").drop("_row")
     out = out.withColumn("removed", F.coalesce("removed", F.array().cast("array<struct<start:int,end:int>>")))

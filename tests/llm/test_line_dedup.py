@@ -6,15 +6,17 @@ from sparkclust.llm import line_dedup as ld
 from sparkclust.llm import queries
 
 
-def brute(rows, min_words=ld.MIN_WORDS):
+def brute(rows, min_words=ld.MIN_WORDS, short=0):
     """Set of (id, unit, start, end) to remove; rows in order of id, null last."""
     seen, gone = set(), []
     for i, t in sorted(rows, key=lambda x: (x[0] is None, x[0] or 0)):
-        at, n = 0, 0
+        at, n, before = 0, 0, ""
         for line in (t or "").split("\n"):
             if line:
                 key = " ".join(line.lower().split())
-                if len(key.split()) >= min_words:
+                enough = len(key.split()) >= min_words
+                key, before = ((before, key) if len(key) < short else key), key or before
+                if enough:
                     if key in seen:
                         start = at + len(line) - len(line.lstrip())
                         gone.append((i, n, start, at + len(line.rstrip())))
@@ -71,13 +73,19 @@ def test_hot_line(spark):
 
 
 def test_query_removes_short_and_unspaced_lines(spark, tmp_path):
-    rows = [(1, "All rights reserved.\n \n版权所有不得转载", "s"), (2, "own\n all  RIGHTS reserved. \n \n版权所有不得转载", "s"), (3, "Own", "s")]
+    rows = [
+        (1, "All rights reserved.\n \n版权所有不得转载", "s"),
+        (2, "own\n all  RIGHTS reserved. \n \n版权所有不得转载\nend", "s"),
+        (3, "Own\nend", "s"),
+        (4, "版权所有不得转载\nEnd", "s"),
+    ]
     docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     got = as_rows(queries.op7_line_dedup(spark, str(tmp_path)))
-    assert got == sorted((str(i), *x) for i, *x in brute([r[:2] for r in rows], min_words=1))
-    assert [r[:2] for r in got] == [("2", 1), ("2", 3), ("3", 0)]
+    assert got == sorted((str(i), *x) for i, *x in brute([r[:2] for r in rows], 1, ld.SHORT))
+    # a short line goes where the line before it repeats too
+    assert [r[:2] for r in got] == [("2", 3), ("3", 0), ("4", 1)]
 
 
 def test_query_equals_brute_force_without_a_floor(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()]
-    assert as_rows(queries.op7_line_dedup(spark, SF01)) == sorted((str(i), *x) for i, *x in brute(rows, min_words=1))
+    assert as_rows(queries.op7_line_dedup(spark, SF01)) == sorted((str(i), *x) for i, *x in brute(rows, 1, ld.SHORT))
