@@ -33,6 +33,12 @@ def words_of(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, BLANK_RUN))
 
 
+def drawn(digest: Column, share: float | Column) -> Column:
+    """Whether a 64-bit hash falls into ``share`` of all, however small the share."""
+    share = share if isinstance(share, Column) else F.lit(float(share))
+    return (F.shiftrightunsigned(digest, 1).cast("double") < share * float(1 << 63)) | (share >= 1.0)
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new folder name below the shared folder of ``spark.checkpoint.dir``."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

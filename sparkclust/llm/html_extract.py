@@ -35,19 +35,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkclust.llm.common import drawn
+
 FIT_PAGES = 200
 FIT_CHARS = 50_000
 TEMPLATE_PAGES = 160
 STEPS = 300
 BATCH_CHARS = 4 << 20
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S
-)
+HEAD = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+MARK = re.compile(r"[>\"']")
 NAMES = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PART = re.compile(r"[a-z]+")
 #: Fixed values of HTML.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "svg", "iframe", "xmp", "noframes", "select", "object", "math", "canvas"}
+#: Raw elements that reach to the end of the page if nothing ends them; of the others only the tag goes then.
+TO_THE_END = {"script", "style", "textarea", "title", "xmp", "noframes", "iframe"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
@@ -95,14 +98,61 @@ class Page:
     content: list[bool] = field(default_factory=list)  # labels, where the page has a data-main attribute
 
 
+class Scanner:
+    """Finds where tags end, in time linear in the text however many quotes stay open.
+
+    The place where a tag ends depends only on the first mark (``>`` or a quote)
+    after its name, so every mark is followed once.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.ends, self.missing = text, {}, set()
+        self.last = {c: text.rfind(c) for c in ">\"'"}
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag whose name ends at ``at``; -1 if none does."""
+        path = []
+        while True:
+            m = MARK.search(self.text, at) if at <= max(self.last.values()) else None
+            if m is None:
+                end = -1
+                break
+            mark, place = m.group(), m.start()
+            if mark == ">":
+                end = place
+                break
+            if place in self.ends:
+                end = self.ends[place]
+                break
+            path.append(place)
+            if place >= self.last[mark]:
+                end = -1
+                break
+            at = self.text.index(mark, place + 1) + 1
+        for place in path:
+            self.ends[place] = end
+        return end
+
+    def raw_end(self, tag: str, at: int) -> int:
+        """Where the text goes on after a raw element whose tag ends at ``at``."""
+        if tag not in self.missing:
+            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(self.text, at)
+            if end:
+                return end.end()
+            self.missing.add(tag)  # there is none further on either
+        return len(self.text) if tag in TO_THE_END else at
+
+
 def parse(text: str) -> Page:
     """The element tree and blocks of one page."""
     page = Page()
     stack: list[int] = []
+    blocks: list[int] = []  # for every open element the block that its text belongs to
+    count: dict[str, int] = {}  # open elements by tag
     buffer: list[str] = []
     holder = -1  # the block element that the buffer belongs to
-    links = 0
     tags = page.tag
+    scan = Scanner(text)
 
     def push(tag: str, attributes: str) -> int:
         hints: tuple[str, ...] = ()
@@ -116,6 +166,8 @@ def parse(text: str) -> Page:
         page.linked.append(0)
         page.content.append('data-main="1"' in attributes)
         stack.append(len(tags) - 1)
+        blocks.append(blocks[-1] if tag in INLINE and blocks else stack[-1])
+        count[tag] = count.get(tag, 0) + 1
         return stack[-1]
 
     def flush() -> None:
@@ -124,46 +176,57 @@ def parse(text: str) -> Page:
             buffer.clear()
 
     def pop_to(depth: int) -> None:
-        nonlocal links
         for node in stack[depth:]:
-            links -= tags[node] == "a"
-        del stack[depth:]
+            count[tags[node]] -= 1
+        del stack[depth:], blocks[depth:]
+
+    def written(piece: str) -> None:
+        nonlocal holder
+        if blocks[-1] != holder:
+            flush()
+            holder = blocks[-1]
+        buffer.append(piece)
+        size = len(piece.strip())
+        page.chars[stack[-1]] += size
+        if count.get("a"):
+            page.linked[stack[-1]] += size
 
     at, n = 0, len(text)
     push("#root", "")
     while at < n:
-        m = TAG.match(text, at)
-        if m is None:  # a "<" that opens no complete tag
-            m_end, piece = at + 1, text[at]
-        else:
-            m_end, piece = m.end(), m.group(4)
-        at = m_end
-        if piece is not None:
-            block = next((x for x in reversed(stack) if tags[x] not in INLINE), 0)
-            if block != holder:
-                flush()
-                holder = block
-            buffer.append(piece)
-            size = len(piece.strip())
-            page.chars[stack[-1]] += size
-            if links:
-                page.linked[stack[-1]] += size
+        if text[at] != "<":
+            end = text.find("<", at)
+            end = n if end < 0 else end
+            written(text[at:end])
+            at = end
+            continue
+        if text.startswith("<!--", at):
+            end = text.find("-->", at + 4)
+            at = n if end < 0 else end + 3
+            continue
+        if text.startswith(("<!", "<?"), at) and at < scan.last[">"]:
+            at = text.index(">", at) + 1
             continue
-        if m.group(2) is None:
+        m = HEAD.match(text, at)
+        end = scan.tag_end(m.end()) if m else -1
+        if end < 0:  # a "<" that opens no complete tag
+            written("<")
+            at += 1
             continue
-        tag = m.group(2).lower()
+        at, tag, attributes = end + 1, m.group(2).lower(), text[m.end() : end]
         if m.group(1):
             if tag not in INLINE:
                 flush()
-            for depth in range(len(stack) - 1, 0, -1):
-                if tags[stack[depth]] == tag:
-                    pop_to(depth)
-                    break
+            if count.get(tag):
+                for depth in range(len(stack) - 1, 0, -1):
+                    if tags[stack[depth]] == tag:
+                        pop_to(depth)
+                        break
             continue
         if tag in RAW:
             flush()
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(text, at)
-            at = end.end() if end else n
+            if not (tag in ("svg", "math") and attributes.endswith("/")):
+                at = scan.raw_end(tag, at)
             continue
         if tag in VOID:
             if tag == "br":
@@ -174,22 +237,22 @@ def parse(text: str) -> Page:
             continue
         if tag not in INLINE:
             flush()
-            for depth in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-                if tags[stack[depth]] == "p":
-                    pop_to(depth)
-                    break
-                if tags[stack[depth]] in ("div", "section", "article", "td", "li", "body", "button"):
-                    break
-            if tag in CLOSES:
+            if count.get("p"):
+                for depth in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
+                    if tags[stack[depth]] == "p":
+                        pop_to(depth)
+                        break
+                    if tags[stack[depth]] in ("div", "section", "article", "td", "li", "body", "button"):
+                        break
+            if any(count.get(t) for t in CLOSES.get(tag, ())):
                 for depth in range(len(stack) - 1, 0, -1):
                     if tags[stack[depth]] in CLOSES[tag]:
                         pop_to(depth)
                         break
                     if tags[stack[depth]] in SCOPE[tag]:
                         break
-        push(tag, m.group(3))
-        links += tag == "a"
-        if m.group(3).endswith("/") and tag in INLINE:
+        push(tag, attributes)
+        if attributes.endswith("/") and tag in INLINE:
             pop_to(len(stack) - 1)
     flush()
     return page
@@ -398,7 +461,7 @@ def learn(pages: DataFrame, fit_pages: int = FIT_PAGES) -> Model:
     rows = pages.select(F.col("html").cast("string").alias("h")).where(F.length("h").between(1, FIT_CHARS))
     n = rows.count()
     share = min(1.0, fit_pages / max(n, 1))
-    rows = rows.where(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < int(share * 1_000_000)).distinct()
+    rows = rows.where(drawn(F.xxhash64("h"), share)).distinct()
     return fit(labelled_pages() + self_labelled(sorted(r.h for r in rows.collect())))
 
 

@@ -102,3 +102,33 @@ def test_messages_equal_enumeration():
         for i, v in enumerate(x):
             total[i, v] += w
     assert np.allclose(forest.marginals(weight, edge)[0], total / mass)
+
+
+def _texts(html):
+    return [t.strip() for _, t in hx.parse(html).blocks if t.strip()]
+
+
+def test_nothing_after_a_raw_tag_without_end_is_lost():
+    assert _texts("<article><p>before</p><svg width=1 /><p>after</p></article>") == ["before", "after"]
+    assert _texts("<article><p>before</p><object data=x><p>after</p><object><p>end</p>") == ["before", "after", "end"]
+    assert _texts("<p>a</p><math/><p>b</p><canvas><p>c</p>") == ["a", "b", "c"]
+    assert _texts("<p>a</p><svg><text>no</text></svg><p>b</p>") == ["a", "b"]
+    assert _texts("<p>a</p><script>if (1 < 2) x = '<p>no</p>'") == ["a"]
+
+
+def test_tags_with_quotes():
+    assert _texts("<p title='a > b' id=\"c > d\">x</p>y < z <b>1</b><!-- <p>no</p> --><!doctype x>w") == ["x", "y < z 1w"]
+    assert _texts('<p>x</p><a href="open>y') == ["x", '<a href="open>y']
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    pages = [
+        '<a href="x> ' * 8000, "<a href='x> \"" * 8000, '<a "' * 8000, "<b>" * 8000 + "t" + "</i>" * 8000, "<svg>" * 8000, "<!" * 8000,
+        "<b>x" * 8000, "<div><p>x" * 4000, "<li>x" * 8000, "<" * 8000,
+    ]
+    for page in pages:
+        start = time.process_time()
+        hx.parse(page)
+        assert time.process_time() - start < 0.5, page[:12]
