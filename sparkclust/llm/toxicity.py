@@ -31,11 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkclust.llm.common import text_of
+from sparkclust.llm.common import drawn, text_of
 from sparkclust.llm.textarrays import BASE, M64, mix, prefix_hashes, slices, span_hashes, words
 
 WINDOW = 32
-STRIDE = 24
+STRIDE = 16
 WORDS = 1 << 15
 PIECES = 1 << 14
 #: Lengths of the character pieces, in bytes.
@@ -43,8 +43,8 @@ GRAMS = (3, 5)
 WIDTH = 12
 HIDDEN = 8
 THRESHOLD = 0.3
-FIT_TOXIC = 800
-FIT_CLEAN = 1_200
+FIT_TOXIC = 1_500
+FIT_CLEAN = 2_500
 FIT_CHARS = 20_000
 EPOCHS = 6
 BATCH_WINDOWS = 4096
@@ -315,9 +315,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_cl
     if not total:
         return fit([], [], 0.5)
     share = {1: min(1.0, fit_toxic / max(toxic, 1)), 0: min(1.0, fit_clean / max(total - toxic, 1))}
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_000))
-    bound = F.when(F.col("y") > 0, int(share[1] * 1_000_000)).otherwise(int(share[0] * 1_000_000))
-    chosen = F.broadcast(marks.where(draw < bound))  # bounded by the fit sizes
+    part = F.when(F.col("y") > 0, share[1]).otherwise(share[0])
+    chosen = F.broadcast(marks.where(drawn(F.xxhash64("doc_id", F.lit("toxicity")), part)))  # bounded by the fit sizes
     rows = docs.select("doc_id", text_of().alias("t")).join(chosen, "doc_id").where(F.length("t") <= FIT_CHARS)
     sample = sorted((r.doc_id, r.t, int(r.y > 0)) for r in rows.select("doc_id", "t", "y").collect())
     return fit([t for _, t, _ in sample], [y for _, _, y in sample], toxic / total)

@@ -84,3 +84,31 @@ def test_scores_depend_on_the_text_alone(spark):
     a = {r.doc_id: r.score for r in tx.score(d, model).collect()}
     b = {r.doc_id - 10**6: r.score for r in tx.score(d.withColumn("doc_id", F.col("doc_id") + 10**6).repartition(5), again).collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-5 for k in a)
+
+
+def test_a_passage_lies_whole_in_a_window_wherever_it_stands():
+    """Any passage of up to WINDOW - STRIDE words is inside some window, at every offset of a long text."""
+    assert tx.STRIDE <= 16
+    n = 300
+    _, begin, size = tx.window_starts(np.zeros(n, np.int64), 1)
+    for at in range(n - (tx.WINDOW - tx.STRIDE)):
+        assert any(b <= at and at + tx.WINDOW - tx.STRIDE <= b + s for b, s in zip(begin, size))
+
+
+def test_the_same_toxic_sentence_scores_alike_at_every_offset(spark):
+    docs_ = spark.read.parquet(f"{SF1}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF1}/labels.parquet")
+    model = tx.learn(docs_, labels)
+    clean = [r.text for r in docs_.join(labels.where("toxic = 0"), "doc_id").where("length(text) between 1500 and 4000").orderBy("doc_id").limit(40).collect()]
+    data = lambda ts: (np.frombuffer(b"".join(t.encode() for t in ts), np.uint8), np.concatenate(([0], np.cumsum([len(t.encode()) for t in ts]))))
+    base = next(t for t, s in zip(clean, model.scores(*data(clean))) if s < 0.1).split()
+    toxic = [r.text for r in docs_.join(labels.where("toxic = 1"), "doc_id").where("length(text) < 400").orderBy("doc_id").limit(40).collect()]
+    if not toxic:
+        return
+    scored = sorted(zip(model.scores(*data(toxic)), toxic), reverse=True)
+    passage = scored[0][1].split()[: tx.WINDOW - tx.STRIDE]
+    texts = [" ".join(base[:k] + passage + base[k:]) for k in range(0, 120, 5)]
+    got = model.scores(*data(texts))
+    alone = model.scores(*data([" ".join(passage)]))[0]
+    if alone > 0.8:
+        assert got.min() > 0.3
