@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkclust.llm.common import text_of, words_of
+from sparkclust.llm.common import drawn, text_of, words_of
 
 WINDOW_WORDS = 8
 #: Labelled rows used for fitting, at most about this many (chosen by a hash of the id).
@@ -247,7 +247,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     n = marks.count()
     share = min(1.0, fit_rows / max(n, 1))
     h = F.xxhash64(F.col("doc_id"), F.lit("fit"))
-    marks = marks.where(F.pmod(h, F.lit(1_000_000)) < int(share * 1_000_000)).withColumn(
+    marks = marks.where(drawn(h, share)).withColumn(
         "_part", F.pmod(F.xxhash64(F.col("doc_id"), F.lit("part")), F.lit(3)).cast("int")
     )
     # the ids are bounded by fit_rows, so the texts are not shuffled
