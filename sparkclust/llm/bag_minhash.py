@@ -323,9 +323,9 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text:"), F.sha2(text_of(text_col), 256)))
 
 
-def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS):
+def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, key: Column | None = None):
     """(signed rows, nodes that share a bucket, verified links between nodes, their components)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), text_of().alias("_text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (row_key() if key is None else key).alias("row_key"), text_of().alias("_text"))
     signed = stored(texts.mapInArrow(_sign(bands, rows), SIGNED), "signatures")
     # copies have equal multisets and bands: one row per node, that of the least row key
     signs = F.min(F.struct("row_key", "n_shingles", "bands")).alias("s")
@@ -373,14 +373,18 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, row
     return signed, nodes, found, roots
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, key: Column | None = None
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, row_key, class_id, class_key, class_size, n_links, kept.
 
     ``class_id`` is the least id of the class; ``n_links`` counts the verified
     links of the document's text to different texts that were found; ``kept``
-    marks the class's representative (all rows of its row key).
+    marks the class's representative (all rows of its row key).  ``key`` tells
+    documents apart, :func:`row_key` unless given; give one that takes in the text
+    where different texts may share an id.
     """
-    signed, _, found, roots = links(docs, threshold, bands, rows)
+    signed, _, found, roots = links(docs, threshold, bands, rows, key)
     degree = found.select(F.col("a").alias("node")).union(found.select(F.col("b").alias("node"))).groupBy("node").count()
     rows_ = signed.select("doc_id", "row_key", "node").join(roots, "node", "left").join(
         degree.withColumnRenamed("count", "n_links"), "node", "left"

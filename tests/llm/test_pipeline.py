@@ -42,6 +42,14 @@ def test_stages_on_the_table(spark):
     assert mixed.where("copies < 1 or taken > 3 * size").count() == 0
 
 
+def test_texts_that_share_an_id_both_stay(spark):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(7, " ".join(words[:60]), "a"), (7, " ".join(words[100:160]), "a"), (7, " ".join(words[:60]), "a"), (8, " ".join(words[:59] + ["x"]), "a"), (None, " ".join(words[60:90]), "b")]
+    for layout in (1, 5):
+        got = cp.drop_near_duplicates(spark, docs(spark, rows).repartition(layout), SF01)
+        assert sorted((str(r.doc_id), r.text[:4]) for r in got.collect()) == [("7", "w0 w"), ("7", "w100"), ("None", "w60 ")]
+
+
 def test_edges(spark, tmp_path):
     rows = EDGES + [(20 + i, f"text number {i} of the table with more than twenty different words so that it may stay here {i} one two three four five", "z") for i in range(9)]
     docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
