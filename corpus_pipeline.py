@@ -24,12 +24,17 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup (5): of each class the document with the least id stays, once."""
+    """MinHash near-dedup (5): of each class the document with the least id stays, once.
+
+    A document is its id and its text: texts that share an id are documents of
+    their own, which are told apart here by a digest.
+    """
     ship_package(spark)
-    docs = docs.select(*COLUMNS)
-    kept = bag_minhash.near_duplicates(docs).where("kept").select(F.col("row_key").alias("_key")).distinct()
-    chosen = docs.withColumn("_key", bag_minhash.row_key()).join(kept, "_key", "left_semi")
-    return chosen.dropDuplicates(["_key"]).select(*COLUMNS)
+    digest = F.hex(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    docs = docs.select(*COLUMNS).withColumn("_document", F.concat_ws("|", "doc_id", digest))
+    found = bag_minhash.near_duplicates(docs, key=F.col("_document"))
+    kept = found.where("kept").select(F.col("row_key").alias("_document")).distinct()
+    return docs.join(kept, "_document", "left_semi").dropDuplicates(["_document"]).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,15 +33,17 @@ def start_scoring(
     stream: DataFrame,
     model,
     sink_format: str,
+    query_name: str,
     path: str | None = None,
-    query_name: str | None = None,
     col: str = "features",
     output_mode: str = "append",
 ) -> StreamingQuery:
     """Start a streaming query writing scored rows; progress is checkpointed
-    under the session's shared ``spark.checkpoint.dir``."""
-    ckpt = os.path.join(checkpoint_dir(spark), f"scoring-{query_name or 'query'}")
+    under the session's shared ``spark.checkpoint.dir``, in a folder of the query's
+    name: two queries with one name would skip each other's rows."""
+    if not query_name:
+        raise ValueError("a streaming query needs a name of its own")
+    ckpt = os.path.join(checkpoint_dir(spark), f"scoring-{query_name}")
     w = score(stream, model, col).writeStream.format(sink_format).outputMode(output_mode).option("checkpointLocation", ckpt)
-    if query_name:
-        w = w.queryName(query_name)
+    w = w.queryName(query_name)
     return w.start(path) if path else w.start()

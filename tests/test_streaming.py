@@ -20,3 +20,10 @@ def test_stream_scoring_matches_batch(spark, tmp_path):
         q.stop()
     want = {r.id: r.cluster for r in score(e, model).collect()}
     assert got == want
+
+
+def test_a_streaming_query_needs_a_name(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        start_scoring(spark, None, None, "memory", query_name="")
