@@ -1,6 +1,6 @@
-"""Print the physical plans of the key operators (used to write PLANS.md).
+"""Print the physical plans of the key operators as Markdown (PLANS.md).
 
-Usage: python tools/show_plans.py [sf_dir]
+Usage: python tools/show_plans.py [sf_dir] > PLANS.md
 """
 
 from __future__ import annotations
@@ -11,8 +11,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from sparkclust.operators import evaluate, gaussian, kmeans, moments, sampling, stats  # noqa: E402
-from sparkclust.plans.inputs import load_E, load_E2, load_L  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from sparkclust.operators import decompose, evaluate, gaussian, kmeans, sampling, stats  # noqa: E402
+from sparkclust.plans.inputs import load_E, load_L  # noqa: E402
 from sparkclust.session import local_session  # noqa: E402
 
 
@@ -27,31 +29,33 @@ def plan(df) -> str:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
-    e, l, e2 = load_E(spark, sf), load_L(spark, sf), load_E2(spark, sf)
-    st = stats.fit_column_stats(l, 4)
-    z = stats.standardize(l, st)
+    e, li = load_E(spark, sf), load_L(spark, sf)
+    st = stats.fit_column_stats(li, 4)
+    z = stats.standardize(li, st)
+    model = decompose.svd(e, 64)
     _, seeds = kmeans.first_k_seeds(e, 3)
-    g = gaussian.em_init(e2, 2, "first")
-    cases = {
-        "column stats (lineitem, D=4)": l.agg(*stats._stat_exprs(4, "features")),
-        "standardize (narrow)": z,
-        "assign_nearest (K=3, D=64)": kmeans.assign_nearest(e, seeds),
-        "Lloyd step: cluster means (D=64)": kmeans.cluster_means_frame(kmeans.assign_nearest(e, seeds), 64),
-        "Lloyd step: cluster means (D=4)": kmeans.cluster_means_frame(kmeans.assign_nearest(z, [[0.0] * 4, [1.0] * 4]), 4),
-        "Lloyd step, wide model (Arrow)": moments.sum_vectors(
-            e.select("features").mapInArrow(kmeans._lloyd_partials_fn(seeds, 64, "features", 1024), "k int, salt int, v array<double>"),
-            "v", keys=["k"], two_level=False,
-        ),
-        "Gram partials + tree sum": moments.sum_vectors(
-            z.mapInArrow(moments.gram_partials_fn(4, None, "features", 1024), "salt int, v array<double>"), "v", two_level=True
-        ),
-        "em_predict (Arrow UDF)": gaussian.em_predict(e2, g),
-        "weighted pick (K-means++ step)": sampling.weighted_pick(e, kmeans.min_dist_to("features", seeds[:1]), 42, 1),
-        "Dunn index (block pairs)": evaluate.dunn_parts(kmeans.assign_nearest(e, seeds), n=500, block_rows=128),
-        "confusion": evaluate.confusion(kmeans.assign_nearest(e, seeds)),
-    }
-    for name, df in cases.items():
-        print(f"### {name}\n\n```\n{plan(df)}\n```\n")
+    mixture = gaussian.em_init(e, 2, "first")
+    parts = spark.createDataFrame([(0, [1, 2])], "k int, v array<bigint>")
+    scored = evaluate._scored(kmeans.assign_nearest(e, seeds), ["cluster"], "features")
+    cases = [
+        ("standardize (narrow)", z, "One projection fused with the scan, no exchange; means and inverse stds are inlined constants."),
+        ("assign_nearest (K=3, D=64)", kmeans.assign_nearest(e, seeds), "Narrow projection over one array-literal matrix."),
+        ("project (40 of 64)", decompose.project(e, model, 40), "One Arrow batch per Python call, no exchange."),
+        ("em_predict", gaussian.em_predict(e, mixture), "One Arrow batch per Python call, no exchange."),
+        ("exact totals", parts.select("k", F.posexplode("v").alias("pos", "v")).groupBy("k", "pos").agg(F.sum("v").alias("v")),
+         "What ends every pass of statistics, Lloyd and EM (the input stands for the rows of the tasks): sums of 64-bit integers that meet before the exchange."),
+        ("weighted pick (K-means++ step)", sampling.weighted_pick(e, kmeans.min_dist_to("features", seeds[:1]), 42, 1),
+         "One row per task reaches the exchange."),
+        ("split_exact", sampling.split_exact(e, frac=0.235), "After the counting passes a narrow filter expression."),
+        ("distinct rows of the pairwise metrics", evaluate._weighted(kmeans.assign_nearest(e, seeds), ["cluster"], "features"),
+         "Copies of a row meet before the exchange."),
+        ("Silhouette, owned blocks", evaluate._row_silhouettes(scored, 128), "N x B rows in, N rows out; no sums are exchanged."),
+        ("confusion", evaluate.confusion(kmeans.assign_nearest(e, seeds)), "One row per task."),
+    ]
+    print("# Physical plans of the key operators\n")
+    print(f"Printed by `python tools/show_plans.py` on {os.path.basename(sf)} (local[8], 8 shuffle partitions), long literals elided.\n")
+    for name, df, note in cases:
+        print(f"## {name}\n\n{note}\n\n```\n{plan(df)}\n```\n")
     spark.stop()
 
 
