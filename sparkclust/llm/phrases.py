@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkclust.llm.byte_bpe import Numbers, squeezed, unsqueezed
-from sparkclust.llm.common import stored, text_of
+from sparkclust.llm.common import release, stored, text_of
 from sparkclust.llm.textarrays import mix
 
 SHARDS = 10
@@ -121,11 +121,11 @@ def _slices(buckets: int):
 
         def rows() -> Iterator[pa.RecordBatch]:
             nonlocal key, size
-            for lang, one in held.items():
-                yield _batch(list(one.rows(lang, key, zlib.crc32(key.to_bytes(8, "little")) % SHARDS, buckets)), SLICES)
+            for lang in list(held):
+                yield _batch(list(held.pop(lang).rows(lang, key, zlib.crc32(key.to_bytes(8, "little")) % SHARDS, buckets)), SLICES)
                 key += 1
-            held.clear()
             size = 0
+            release()
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
@@ -190,6 +190,8 @@ def _count_words(support: int, buckets: int):
         texts = list(numbers)
         out = [(lang, None, None, None, int(number[i]), None, None, texts[i].decode(), int(total[i])) for i in chosen.tolist()]
         out += _answers(lang, group, sizes, code.astype(np.uint64), number[which])
+        del numbers, parts, word, code, count, shard, which, total, number, texts
+        release()
         return pa.Table.from_batches([_batch(out, COUNTED)])
 
     return run
@@ -213,6 +215,8 @@ def _count_phrases(support: int, buckets: int):
             for i in chosen.tolist()
         ]
         out += _answers(lang, group, sizes, keys, number[which])
+        del parts, keys, count, shard, which, distinct, total, number
+        release()
         return pa.Table.from_batches([_batch(out, COUNTED)])
 
     return run
