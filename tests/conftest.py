@@ -42,3 +42,10 @@ def frame(spark, rows, with_label=True):
     """Canonical frame from python rows of (id, [features], label)."""
     schema = "id bigint, features array<double>, label int" if with_label else "id bigint, features array<double>"
     return spark.createDataFrame(rows, schema)
+
+
+def load_E2(spark, sf_dir):
+    """The embeddings on their first two coordinates, for closed forms."""
+    from sparkclust.plans.inputs import load_E
+
+    return load_E(spark, sf_dir).selectExpr("id", "slice(features, 1, 2) AS features", "label")

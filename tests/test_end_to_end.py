@@ -22,7 +22,7 @@ def test_raw_csv_to_kmeans_evaluation(spark, tmp_path):
     assert df.where("id IS NULL").count() == 0
     p = prepare(df, k=40, frac=0.235, seed=42)
     assert p.select(F.size("features").alias("d")).distinct().collect()[0].d == 40
-    out = evaluate_kmeans(p.drop("split"), ks=(2,), steps=2, frac=0.235, seed=42).collect()
+    out = evaluate_kmeans(p.drop("split"), ks=(2,), frac=0.235, seed=42).collect()
     by = {r.split: r for r in out}
     assert by["test"].correct + by["test"].incorrect == math.floor(0.235 * 500)
     assert by["train"].dunn is None or by["train"].dunn >= 0

@@ -7,7 +7,8 @@ import __spark_entry__ as entry
 
 FAST = ["matrix_shape", "split_exact", "kmeanspp_init", "assign_nearest", "dunn_index", "silhouette",
         "confusion", "classification_metrics", "em_2iter", "singular_values", "covariance_wide", "standardize_columns",
-        "lineitem_svd", "lineitem_em"]
+        "lineitem_svd", "lineitem_em", "em_history", "em_predict", "kmeans_predict", "row_id_repeated", "split_repeated_ids",
+        "number_text_ids", "matrix_round_trip", "vector_text", "clusters_text", "kmeanspp_many", "evaluate_em_failed"]
 
 
 def test_entry_runs(spark):

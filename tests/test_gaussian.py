@@ -1,10 +1,10 @@
 import math
 
 import numpy as np
-from conftest import SF01, frame
+from conftest import SF01, frame, load_E2
 
 from sparkclust.operators import gaussian
-from sparkclust.plans.inputs import load_E, load_E2
+from sparkclust.plans.inputs import load_E
 
 
 def test_singular_covariance_finite(spark):

@@ -150,7 +150,7 @@ def test_lineitem_kmeans_matches_numpy(spark):
 
 
 def test_evaluate_em_consistent(spark):
-    from sparkclust.plans.inputs import load_E2
+    from conftest import load_E2
     from sparkclust.plans.workflows import evaluate_em
 
     rows = evaluate_em(load_E2(spark, SF01), ks=(2,), frac=0.235, seed=42).collect()

@@ -31,7 +31,7 @@ def test_results_do_not_depend_on_the_number_of_blocks(spark):
     rng = np.random.default_rng(3)
     df = frame(spark, [(i, rng.standard_normal(3).tolist(), i % 3) for i in range(120)]).withColumnRenamed("label", "cluster")
     a, b = evaluate.dunn_parts(df, n=120).first(), evaluate.dunn_parts(df, n=120, block_rows=5).first()
-    assert np.allclose(a, b)
+    assert np.allclose(a[:3], b[:3])  # not the share of pairs visited
     assert abs(evaluate.silhouette(df, n=120).first()[0] - evaluate.silhouette(df, n=120, block_rows=5).first()[0]) < 1e-12
 
 
