@@ -563,7 +563,7 @@ def gauss_step_ctes(out: str, params: str, src: str, d: int) -> list[str]:
     ] + gauss_params_ctes(out, d, body)
 
 
-def _lineitem_em_sql(steps: int = 15) -> str:
+def _lineitem_em_sql(steps: int = 40) -> str:
     d = len(LINEITEM_COLS)
     zl = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()" for c in LINEITEM_COLS)
     seeds_vals = ", ".join(f"({i}, [{', '.join(repr(float(v)) for v in s_)}]::DOUBLE[])" for i, s_ in enumerate(LINEITEM_SEEDS))
