@@ -43,8 +43,8 @@ GRAMS = (3, 5)
 WIDTH = 12
 HIDDEN = 8
 THRESHOLD = 0.3
-FIT_TOXIC = 1_500
-FIT_CLEAN = 2_500
+FIT_TOXIC = 800
+FIT_CLEAN = 1_200
 FIT_CHARS = 20_000
 EPOCHS = 6
 BATCH_WINDOWS = 4096
