@@ -25,7 +25,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkclust.llm.common import stored, text_of
@@ -34,6 +34,11 @@ MIN_WORDS = 5
 SHORT = 40
 LINE = re.compile(r"[^\n]+")
 PARAGRAPH = re.compile(r"[^\n]+(?:\n(?![ \t\r\f\v]*(?:\n|$))[^\n]+)*")
+#: Code points of the windows that repeated passages are made of.
+SPAN = 150
+#: Where a piece ends: after a sentence or a line.
+PIECE_END = re.compile(r"[.!?]+(?=\s)|[。！？]+|\n")
+WINDOWS = "row long, doc_id long, unit int, from int, start int, end int, digest binary"
 UNITS = "row long, doc_id long, unit int, start int, end int, digest binary"
 
 
@@ -53,15 +58,41 @@ def units_of(
             yield n, start, m.end() - len(body) + len(body.rstrip()), digest
 
 
-def _split(pattern: re.Pattern, min_words: int, short: int):
+def pieces_of(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, normalised text) of the sentences of every line; offsets without outer blanks."""
+    at = 0
+    for end in [*(m.end() for m in PIECE_END.finditer(text)), len(text)]:
+        body = text[at:end]
+        whole = " ".join(body.lower().split())
+        if whole:
+            yield at + len(body) - len(body.lstrip()), end - len(body) + len(body.rstrip()), whole
+        at = end
+
+
+def windows_of(text: str, span: int = SPAN) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """(last piece, first piece, start, end, digest) of every window: the fewest pieces up to one that make ``span`` code points."""
+    pieces = list(pieces_of(text))
+    span = min(span, sum(len(whole) for _, _, whole in pieces))
+    first = size = 0
+    for n, (_, end, whole) in enumerate(pieces):
+        size += len(whole)
+        while size - len(pieces[first][2]) >= span:
+            size -= len(pieces[first][2])
+            first += 1
+        if size >= span:
+            key = "\n".join(whole for _, _, whole in pieces[first : n + 1])
+            yield n, first, pieces[first][0], end, hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def _split(units, schema: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in UNITS.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        names = [x.split()[0] for x in schema.split(", ")]
+        kinds = [{"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[x.split()[1]] for x in schema.split(", ")]
         for batch in batches:
             out: list[tuple] = []
             for row, doc_id, text in zip(*(batch.column(c) for c in ("row", "doc_id", "_text")), strict=True):
                 r, d = row.as_py(), doc_id.as_py()
-                out += [(r, d, *u) for u in units_of(text.as_py(), pattern, min_words, short)]
+                out += [(r, d, *u) for u in units(text.as_py())]
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds, strict=True)], names=names)
                     out = []
@@ -80,19 +111,41 @@ def repeats(
     result, so that repeated rows stay apart.
     """
     pattern = {"line": LINE, "paragraph": PARAGRAPH}[unit]
+    gone = _repeated(docs, lambda text: units_of(text, pattern, min_words, short), UNITS, row_col)
+    return gone.select(
+        "row", "doc_id", "unit", "start", "end", F.lower(F.hex("digest")).alias("digest"),
+        F.col("first.doc_id").alias("first_doc_id"), F.col("first.unit").alias("first_unit"),
+    )
+
+
+def _repeated(docs: DataFrame, units, schema: str, row_col: str | None) -> DataFrame:
+    """The units whose digest occurs earlier, and ``first``: where it occurs first."""
     rows = docs.select(
         (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("_text")
     )
-    units = stored(rows.mapInArrow(_split(pattern, min_words, short), UNITS), "units")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "unit")
+    units = stored(rows.mapInArrow(_split(units, schema), schema), "units")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "unit", *[c for c in units.columns if c == "from"])
     firsts = units.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    gone = units.join(firsts, "digest").where(
+    return units.join(firsts, "digest").where(
         ~((F.col("row") == F.col("first.row")) & (F.col("unit") == F.col("first.unit")))
     )
-    return gone.select(
-        "row", "doc_id", "unit", "start", "end", F.lower(F.hex("digest")).alias("digest"),
-        F.col("first.doc_id").alias("first_doc_id"), F.col("first.unit").alias("first_unit"),
-    )
+
+
+def repeated_passages(docs: DataFrame, span: int = SPAN, row_col: str | None = None) -> DataFrame:
+    """One row per passage to remove, of windows that occur earlier: columns as of ``repeats``.
+
+    ``unit`` and ``first_unit`` are the numbers of the first pieces of the passage
+    and of the first occurrence of its first window, whose digest is ``digest``.
+    """
+    gone = _repeated(docs, lambda text: windows_of(text, span), WINDOWS, row_col)
+    before = Window.partitionBy("row").orderBy("unit")
+    parts = gone.withColumn("_new", F.coalesce(F.col("from") > F.lag("unit").over(before) + 1, F.lit(True)).cast("int"))
+    parts = parts.withColumn("_passage", F.sum("_new").over(before))
+    return parts.groupBy("row", "doc_id", "_passage").agg(
+        F.min("from").alias("unit"), F.min("start").alias("start"), F.max("end").alias("end"),
+        F.lower(F.hex(F.min_by("digest", "unit"))).alias("digest"),
+        F.min_by("first.doc_id", "unit").alias("first_doc_id"), F.min_by("first.from", "unit").alias("first_unit"),
+    ).drop("_passage")
 
 
 def deduplicate(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, short: int = 0) -> DataFrame:

@@ -77,8 +77,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every repeated line of the documents, of one word or more, with its place and the line that stays; short ones repeat with the line before them."""
-    return line_dedup.repeats(table(spark, sf_dir, "documents"), min_words=1, short=line_dedup.SHORT).drop("row")
+    """Every repeated passage of the documents, of lines and their sentences, with its place and the one that stays."""
+    return line_dedup.repeated_passages(table(spark, sf_dir, "documents")).drop("row")
 
 
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
