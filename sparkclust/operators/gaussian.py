@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .kmeans import first_k_seeds, fit_grid, kmeanspp_init, nearest, total_shift
+from .kmeans import first_k_seeds, fit_grid, kmeanspp_init, nearest_of, total_shift
 from .moments import (
-    BITS, LIMBS, Grid, Sums, batch_matrix, group_co_moments, joined, limbs, part_rows, rounded, row_blocks, spread, total, vectors,
+    BITS, LIMBS, Grid, Sums, batch_matrix, columns, group_co_moments, joined, limb_products, limbs, packed, part_rows, rounded, spread, total, vectors,
 )
 
 LOG_2PI = math.log(2.0 * math.pi)
@@ -92,17 +92,39 @@ class GaussianMixtureModel:
 
 def log_joint_np(x: np.ndarray, factors) -> np.ndarray:
     """``l_ik = ln pi_k + ln N(x_i; mu_k, Sigma_k)`` for a batch, each row by itself."""
-    out = np.empty((x.shape[0], len(factors)))
+    return np.ascontiguousarray(log_joint_of(np.ascontiguousarray(x.T), factors).T)
+
+
+def log_joint_of(columns: np.ndarray, factors) -> np.ndarray:
+    """As :func:`log_joint_np`, K x rows, of rows that are given by their columns."""
+    n = columns.shape[1]
+    out, d, acc = np.empty((len(factors), n)), np.empty(n), np.empty(n)
     for k, (const, mean, u) in enumerate(factors):
-        y, acc = np.zeros((len(x), u.shape[1])), np.zeros(len(x))
-        for j in range(x.shape[1]):
-            y += (x[:, j : j + 1] - mean[j]) * u[j]
-        for j in range(u.shape[1]):
-            acc += y[:, j] * y[:, j]
-        out[:, k] = const - 0.5 * acc
+        y = np.zeros((u.shape[1], n))
+        part = np.empty_like(y)
+        for c, m, w in zip(columns, mean, u):
+            np.subtract(c, m, out=d)
+            np.multiply(w[:, None], d, out=part)
+            y += part
+        acc[:] = 0.0
+        for v in y:
+            v *= v
+            acc += v
+        acc *= 0.5
+        np.subtract(const, acc, out=out[k])
     return out
 
 
+def logsumexp_of(l: np.ndarray) -> np.ndarray:
+    """As :func:`logsumexp_np`, of a K x rows matrix, with the same bits."""
+    m = l.max(axis=0)
+    safe = np.where(np.isfinite(m), m, 0.0)
+    e = np.exp(l - safe)
+    with np.errstate(divide="ignore"):
+        # from 8 terms on NumPy adds the ones of a row in another order
+        return safe + np.log(e.sum(axis=0) if len(l) < 8 else np.ascontiguousarray(e.T).sum(axis=1))
+
+
 def logsumexp_np(l: np.ndarray) -> np.ndarray:
     m = np.max(l, axis=1)
     safe = np.where(np.isfinite(m), m, 0.0)
@@ -193,36 +215,30 @@ def _run_pass(df: DataFrame, g: Grid, tasks: list[tuple], col: str, mode: str =
     def fn(batches):
         parts: dict[int, Sums] = {}
         for b in batches:
-            every = batch_matrix(b, col, dim)
-            for rows in row_blocks(every):
-                x = every[rows]
-                qx = limbs(x, exps)
+            for x in columns(batch_matrix(b, col, dim)):
+                qx = limbs(x, exps[:, None])
                 for m, (centers, factors, seeds) in enumerate(tasks):
                     s = parts.setdefault(m, Sums(shapes))
                     k = len(centers)
                     if factors is not None:
-                        l = log_joint_np(x, factors)
-                        lse = logsumexp_np(l)
+                        l = log_joint_of(x, factors)
+                        lse = logsumexp_of(l)
                         good = np.isfinite(lse)
-                        s.add("bad", len(x) - good.sum(), 0)
-                        lse = np.where(good, lse, 0.0)
-                        r = np.where(good[:, None], responsibilities_np(l, mode), 0.0)
+                        s.add("bad", x.shape[1] - good.sum(), 0)
+                        r = np.exp(l - lse) if mode == "softmax" else responsibilities_np(np.ascontiguousarray(l.T), mode).T
+                        lse, r = np.where(good, lse, 0.0), np.where(good, r, 0.0)
                         whole = np.rint(lse)
                         s.add("ll", [whole.sum(), np.rint(np.ldexp(lse - whole, LL_PLACES)).astype(np.int64).sum()])
                     else:
-                        r = (nearest(x, seeds)[:, None] == np.arange(k)).astype(np.float64)
-                    s.add("n", len(x), 0)
-                    qr = limbs(r, np.zeros(k, int))
-                    for i in range(LIMBS):
-                        s.add("r", qr[i].sum(0), (i, slice(0, k)))
-                        for j in range(LIMBS - i):
-                            s.add("rx", qr[i].T @ qx[j], (i + j, slice(0, k)))
-                    xc = [x - c for c in centers]
+                        r = (nearest_of(x, seeds) == np.arange(k)[:, None]).astype(np.float64)
+                    s.add("n", x.shape[1], 0)
+                    qr = limbs(r, np.zeros((k, 1), int))
+                    s.add("r", qr.sum(axis=2), (slice(None), slice(0, k)))
+                    s.add("rx", limb_products(qr, qx), (slice(None), slice(0, k)))
                     for a in range(k):
-                        qc, qy = limbs(xc[a], wide[m]), limbs(xc[a] * r[:, a : a + 1], wide[m])
-                        for i in range(LIMBS):
-                            for j in range(LIMBS - i):
-                                s.add("rxx", (qy[i].T @ qc[j])[upper], (i + j, a))
+                        xc = x - centers[a][:, None]
+                        qc, qy = limbs(xc, wide[m][:, None]), limbs(xc * r[a], wide[m][:, None])
+                        s.add("rxx", limb_products(qy, qc)[:, upper[0], upper[1]], (slice(None), a))
         yield from part_rows(parts)
 
     found, out = total(df.select(col), fn, shapes), []
@@ -287,12 +303,12 @@ def em_init(
     covariance / class size (``init_cov="second_moment"`` keeps the
     reference's uncentred ``X^T X / N``).
     """
-    return _inits(df, [k], init, seed, power, init_cov, col, id_col)[0][0]
+    data = df.where(F.col(col).isNotNull())
+    return _inits(data, [k], _seeds(data, [k], init, seed, power, col, id_col), init_cov, col)[0][0]
 
 
-def _inits(df, ks, init, seed, power, init_cov, col, id_col) -> tuple[list[GaussianMixtureModel], Grid]:
-    """Initial mixtures of all ``ks`` in one scan (the seeds of a smaller k come first) and the grid."""
-    data = df.where(F.col(col).isNotNull())
+def _seeds(data, ks, init, seed, power, col, id_col) -> list[list[float]]:
+    """Seeds of the largest k; those of a smaller one come first."""
     if isinstance(init, str):
         if init == "k-means++":
             _, seeds = kmeanspp_init(data, max(ks), seed, power, col, id_col)
@@ -304,6 +320,11 @@ def _inits(df, ks, init, seed, power, init_cov, col, id_col) -> tuple[list[Gauss
         seeds = [list(map(float, s)) for s in init]
         if len(seeds) != max(ks):
             raise ValueError("init must hold k means")
+    return seeds
+
+
+def _inits(data, ks, seeds, init_cov, col) -> tuple[list[GaussianMixtureModel], Grid]:
+    """Initial mixtures of all ``ks`` in one scan and the grid."""
     dim = len(seeds[0])
     g = fit_grid(data, dim, col)
     centers = [np.asarray(seeds[:k]) if init_cov == "centered" else np.zeros((k, dim)) for k in ks]
@@ -375,13 +396,20 @@ def em_fit_many(
     """The fits of all ``ks`` side by side: each scan is an EM step of every model that has not settled."""
     # rows without a feature vector cannot be assigned; impute NaN cells beforehand
     data = df.select(id_col, col).where(F.col(col).isNotNull())
-    if persist:
-        data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
+    held: list[DataFrame] = []
     try:
-        if isinstance(init, GaussianMixtureModel):
-            models, g = [init], fit_grid(data, len(init.means[0]), col)
-        else:
-            models, g = _inits(data, ks, init, seed, power, init_cov, col, id_col)
+        given = isinstance(init, GaussianMixtureModel)
+        if persist:
+            data = spread(data)
+            if isinstance(init, str):
+                held.append(data.persist(StorageLevel.MEMORY_AND_DISK))
+        seeds = init.means if given else _seeds(data, ks, init, seed, power, col, id_col)
+        if persist:
+            data = packed(data, len(seeds[0]), col).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(data)
+        models, g = ([init], fit_grid(data, len(seeds[0]), col)) if given else _inits(data, ks, seeds, init_cov, col)
+        for one in held[:-1]:  # only the seeding needs rows; the grid's scan has packed them
+            one.unpersist()
         histories: list[list[tuple[int, float, float, float]]] = [[] for _ in models]
         while going := [m for m, h in enumerate(histories) if not em_settled(h, tol) and (max_iter is None or len(h) < max_iter)]:
             for m, (new, ll, _) in zip(going, _msteps(data, [models[m] for m in going], g, resp, col)):
@@ -397,8 +425,8 @@ def em_fit_many(
             model.converged = em_settled(h, tol)
         return models
     finally:
-        if persist:
-            data.unpersist()
+        for one in held:
+            one.unpersist()
 
 
 def em_steps(df: DataFrame, model: GaussianMixtureModel, steps: int, resp: str = "softmax", col: str = "features"):

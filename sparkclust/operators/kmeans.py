@@ -9,12 +9,14 @@
 * Seeding is K small jobs, each a scan + ``min_by``.  For small K the running
   minimum distance is recomputed from the chosen seeds (literals); for larger K a
   ``min_d`` column is carried with periodic reliable checkpoints.
-* The input is persisted (MEMORY_AND_DISK) for the loop; lost blocks are
-  recomputed from the source by lineage, which stays one scan deep.
+* The input is persisted (MEMORY_AND_DISK) for the loop, as packed blocks of
+  numbers, which no pass converts row by row; lost blocks are recomputed from the
+  source by lineage, which stays one scan deep.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vector import argmin, dist_to, dists_to
 from ..session import cut_lineage
-from .moments import BITS, LIMBS, Grid, Sums, batch_matrix, grid, joined, limbs, part_rows, ratio, row_blocks, spread, total
+from .moments import BITS, LIMBS, Grid, Sums, batch_matrix, columns, grid, joined, limbs, packed, part_rows, ratio, row_blocks, spread, total
 from .sampling import uniform_pick, weighted_pick
 from .stats import feature_dim
 
@@ -116,16 +118,33 @@ def kmeanspp_init(
 
 def distances(x: np.ndarray, points) -> np.ndarray:
     """``n x K`` Euclidean distances, coordinate by coordinate as the column expressions add them: the same bits."""
-    columns, out = np.ascontiguousarray(x.T), np.empty((len(x), len(points)))
-    for k, point in enumerate(points):
-        acc = np.zeros(len(x))
-        for c, v in zip(columns, point):
-            d = c - v
-            acc += d * d
-        out[:, k] = np.sqrt(acc)
+    out = np.empty((len(x), len(points)))
+    for k, d in enumerate(column_distances(np.ascontiguousarray(x.T), points)):
+        out[:, k] = d
     return out
 
 
+def column_distances(columns: np.ndarray, points) -> Iterator[np.ndarray]:
+    """The distances to each point in turn, of rows that are given by their columns."""
+    d = np.empty(columns.shape[1])
+    for point in points:
+        acc = np.zeros(columns.shape[1])
+        for c, v in zip(columns, point):
+            np.subtract(c, v, out=d)
+            d *= d
+            acc += d
+        yield np.sqrt(acc, out=acc)
+
+
+def nearest_of(columns: np.ndarray, points) -> np.ndarray:
+    """As :func:`nearest`, of rows that are given by their columns."""
+    best, at = np.full(columns.shape[1], np.inf), np.zeros(columns.shape[1], np.int64)
+    for k, d in enumerate(column_distances(columns, points)):
+        at[d < best] = k
+        np.minimum(best, d, out=best)
+    return at
+
+
 def nearest(x: np.ndarray, points) -> np.ndarray:
     """Index of the nearest point (ties -> lowest index), as :func:`assign_nearest` gives it."""
     return np.argmin(distances(x, points), axis=1)
@@ -186,15 +205,13 @@ def lloyd_pass(df: DataFrame, models: list, g: Grid, col: str = "features") -> l
     def fn(batches):
         parts: dict[int, Sums] = {}
         for b in batches:
-            x = batch_matrix(b, col, dim)
-            for rows in row_blocks(x):
-                q = limbs(x[rows], exps)
+            for x in columns(batch_matrix(b, col, dim)):
+                q = limbs(x, exps[:, None]).reshape(LIMBS * dim, -1)
                 for m, centers in enumerate(points):
-                    mine = (nearest(x[rows], centers)[:, None] == np.arange(width)).astype(np.float64)
+                    mine = (nearest_of(x, centers) == np.arange(width)[:, None]).astype(np.float64)
                     s = parts.setdefault(m, Sums(shapes))
-                    s.add("n", mine.sum(0))
-                    for i in range(LIMBS):
-                        s.add("x", mine.T @ q[i], i)
+                    s.add("n", mine.sum(1))
+                    s.add("x", (mine @ q.T).reshape(width, LIMBS, dim).transpose(1, 0, 2))
         yield from part_rows(parts)
 
     found, out = total(df.select(col), fn, shapes), []
@@ -291,9 +308,12 @@ def kmeans_fit_many(
         raise ValueError("k must be >= 1")
     # rows without a feature vector cannot be assigned; impute NaN cells beforehand
     data = df.select(id_col, col).where(F.col(col).isNotNull())
-    if persist:
-        data = spread(data).persist(StorageLevel.MEMORY_AND_DISK)
+    held: list[DataFrame] = []
     try:
+        if persist:
+            data = spread(data)
+            if isinstance(init, str):
+                held.append(data.persist(StorageLevel.MEMORY_AND_DISK))
         dim = feature_dim(data, col)
         seed_ids: list = []
         if isinstance(init, str):
@@ -307,7 +327,12 @@ def kmeans_fit_many(
             seeds = [list(map(float, c)) for c in init]
             if len(seeds) != max(ks):
                 raise ValueError("init must hold k centroids")
+        if persist:
+            data = packed(data, dim, col).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(data)
         g = fit_grid(data, dim, col)
+        for one in held[:-1]:  # only the seeding needs rows; this scan has packed them
+            one.unpersist()
         cents = [[list(c) for c in seeds[:k]] for k in ks]
         moves: list[list[float]] = [[] for _ in ks]
         counts: list[list] = [[] for _ in ks]
@@ -322,8 +347,8 @@ def kmeans_fit_many(
             models.append(KMeansModel(cents[m], len(history), history, counts[m], seed_ids[:k], converged=counted is not None))
         return models
     finally:
-        if persist:
-            data.unpersist()
+        for one in held:
+            one.unpersist()
 
 
 def kmeans_steps(df: DataFrame, centroids, steps: int, col: str = "features"):

@@ -1,10 +1,10 @@
 """Results do not depend on the number of input partitions or on row order."""
 
 import numpy as np
-from conftest import SF01
+from conftest import SF01, frame
 from pyspark.sql import functions as F
 
-from sparkclust.operators import evaluate, gaussian, kmeans
+from sparkclust.operators import evaluate, gaussian, kmeans, moments
 from sparkclust.plans.inputs import load_E
 
 
@@ -75,3 +75,26 @@ def test_models_fitted_side_by_side_are_those_fitted_alone(spark):
     for k, m in zip((2, 3), gaussian.em_fit_many(e, [2, 3], max_iter=3)):
         alone = gaussian.em_fit(e, k, max_iter=3)
         assert (m.means, m.covs, m.history) == (alone.means, alone.covs, alone.history)
+
+
+def test_packed_rows_take_the_same_passes(spark):
+    x = frame(spark, [(i, [i * 0.37 - 3.0, (i * 7919 % 101) / 9.0, -i / 3.0], 0) for i in range(700)]).repartition(3)
+    blocks = moments.packed(x, 3)
+    assert blocks.columns == ["features"] and blocks.count() < 20
+    points = [[0.0, 1.0, 2.0], [3.0, 5.0, -80.0], [9.0, 9.0, -200.0]]
+    g = kmeans.fit_grid(x, 3)
+    assert vars(kmeans.fit_grid(blocks, 3))["exps"].tolist() == g.exps.tolist()
+    assert kmeans.lloyd_pass(blocks, [points], g) == kmeans.lloyd_pass(x, [points], g)
+    model = gaussian.em_init(x, 3, points)
+    assert gaussian.em_mstep(blocks, model, g=g) == gaussian.em_mstep(x, model, g=g)
+    fits = [kmeans.kmeans_fit(x, 3, points, persist=p) for p in (True, False)]
+    assert fits[0].history == fits[1].history and fits[0].centroids == fits[1].centroids
+
+
+def test_columns_give_the_bits_of_rows():
+    l = -20 * np.random.default_rng(3).random((9, 400))
+    for k in (1, 3, 9):
+        assert (gaussian.logsumexp_of(l[:k]) == gaussian.logsumexp_np(np.ascontiguousarray(l[:k].T))).all()
+    q = moments.limbs(l, np.full((9, 1), 5))
+    want = [sum(int(a) * int(b) for i in range(w + 1) for a, b in zip(q[i][2], q[w - i][4])) for w in range(moments.LIMBS)]
+    assert moments.limb_products(q, q)[:, 2, 4].tolist() == want
