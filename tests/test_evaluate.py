@@ -1,5 +1,6 @@
 import numpy as np
 from conftest import SF01, frame
+from pyspark.sql import functions as F
 
 from sparkclust.operators import evaluate, kmeans
 from sparkclust.plans.inputs import load_E
@@ -137,3 +138,22 @@ def test_several_labellings_in_one_pass(spark):
                 assert got[key] == want[key] or np.isclose(got[key], want[key])
     assert evaluate.dunn_many(two.limit(0), ["cluster"])[0]["min_inter"] is None
     assert evaluate.silhouette_many(two.limit(0), ["cluster"])[0]["silhouette"] is None
+
+
+def test_rows_are_sent_to_few_groups_however_many_blocks(spark):
+    rng = np.random.default_rng(5)
+    df = frame(spark, [(i, rng.normal(size=8).tolist(), i % 3) for i in range(2000)]).withColumnRenamed("label", "cluster")
+    s = evaluate._scored(df, ["cluster"], "features")
+    balls = evaluate._balls(s, 20)
+    fn, group = evaluate._to_pairs(balls, np.ones((len(balls.pivots),) * 2, bool), 8)
+    rows = s.rows.select("features", "labels", F.xxhash64("features", "labels").alias("h"))
+    sent = rows.mapInArrow(fn, "pair bigint, block bigint, features array<double>, labels array<int>").count()
+    s.rows.unpersist()
+    assert len(group) >= 100 and sent <= 2000 * 5
+    # 2,048 rows a block would send every row 98 times
+    assert evaluate._num_owners(200_000, 64, None) == 8
+    got = {r.id: r for r in evaluate.pairwise_summary(df).collect()}
+    x = np.array([r.features for r in df.orderBy("id").collect()])
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    np.fill_diagonal(d, np.inf)
+    assert [got[i].nearest_id for i in range(2000)] == d.argmin(1).tolist()
